@@ -29,21 +29,17 @@ DATE_FORMATS = [
 ]
 
 _WORDS = sorted({w for domain in BOOLEAN_DOMAINS for w in domain})
-_OTHER = 1 << len(_WORDS)
 
 
 def boolean_bit(value: Column) -> Column:
-    """One bit per known word, a further bit for anything else; OR them over a column."""
-    norm = F.lower(F.trim(value))
-    out = F.when(F.lit(False), F.lit(0))
-    for i, word in enumerate(_WORDS):
-        out = out.when(norm == word, F.lit(1 << i))
-    return out.otherwise(F.lit(_OTHER)).cast("long")
+    """One bit per known word, bit 0 for anything else; OR them over a column."""
+    at = F.array_position(F.array(*[F.lit(w) for w in _WORDS]), F.lower(F.trim(value)))
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), at.cast("int"))
 
 
 def is_boolean_domain(bits: Column) -> Column:
     """True when the ORed bits are exactly one complete domain."""
-    masks = [sum(1 << _WORDS.index(w) for w in domain) for domain in BOOLEAN_DOMAINS]
+    masks = [sum(2 << _WORDS.index(w) for w in domain) for domain in BOOLEAN_DOMAINS]
     return F.coalesce(bits.isin(masks), F.lit(False))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lakewarden.functions.codes import exit_code
-from lakewarden.functions.numeric import round_to
 from lakewarden.operators.ordered import previous_row
 
 SERIES = ["table", "scenario"]
@@ -63,10 +62,19 @@ def score_evolution(records: DataFrame) -> DataFrame:
     return out.withColumn("trend", _trend_mark(F.col("quality_score") - F.col("previous_score")))
 
 
+def _tenths(score: str) -> Column:
+    """Scores have one decimal; whole tenths add up exactly in any order."""
+    return F.round(F.col(score) * 10).cast("bigint")
+
+
+def _mean_of_tenths(total: Column, n: Column) -> Column:
+    return F.floor(total.cast("double") / F.nullif(n, F.lit(0)) + F.lit(0.5)) / F.lit(10.0)
+
+
 def run_totals(records: DataFrame) -> DataFrame:
     status = F.col("validation_status")
     return records.groupBy("run_id").agg(
-        round_to(F.avg("quality_score"), 1).alias("mean_score"),
+        _mean_of_tenths(F.sum(_tenths("quality_score")), F.count(F.lit(1))).alias("mean_score"),
         F.count(F.lit(1)).alias("tables"),
         F.count_if(status == "DLQ").alias("dlq"),
         F.count_if(status == "WARNING").alias("warnings"),
@@ -76,11 +84,11 @@ def run_totals(records: DataFrame) -> DataFrame:
 
 def dashboard_totals(records: DataFrame) -> DataFrame:
     """Number of runs, number of records and mean score, from per-run partial sums."""
-    per_run = records.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.sum("quality_score").alias("s"))
+    per_run = records.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.sum(_tenths("quality_score")).alias("s"))
     return per_run.agg(
         F.count(F.lit(1)).alias("runs"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
-        F.coalesce(round_to(F.sum("s") / F.nullif(F.sum("n"), F.lit(0)), 1), F.lit(0.0)).alias("mean_score"),
+        F.coalesce(_mean_of_tenths(F.sum("s"), F.sum("n")), F.lit(0.0)).alias("mean_score"),
     )
 
 

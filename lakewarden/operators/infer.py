@@ -6,11 +6,11 @@ Every test is a fixed-size aggregate over distinct values, so the whole table is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lakewarden.contracts import Contract
 from lakewarden.functions.coercion import DATE_FORMATS, boolean_bit, is_boolean_domain, matches_date
-from lakewarden.functions.flags import regulatory_flags, tags_of
+from lakewarden.functions.flags import regulatory_flags
 from lakewarden.functions.naming import snake_name
 from lakewarden.functions.numeric import INFINITY_PATTERN
 from lakewarden.operators.profile import top_values
@@ -45,7 +45,7 @@ def column_evidence(df: DataFrame, columns: list[str] | None = None) -> DataFram
         F.count_if(filled).alias("distinct_filled"),
         F.coalesce(F.sum(F.when(filled & numeric_like, cnt)), F.lit(0)).alias("numeric_rows"),
         F.coalesce(F.bit_or(F.when(filled, boolean_bit(F.col("value")))), F.lit(0)).alias("boolean_bits"),
-        *[every(matches_date(F.col("value"), shape, pattern)).alias(f"date_{i}")
+        *[every(number.isNull() & matches_date(F.col("value"), shape, pattern)).alias(f"date_{i}")
           for i, (_, shape, pattern) in enumerate(DATE_FORMATS)],
         every(number.isNotNull()).alias("all_numbers"),
         every(number.isNotNull() & whole).alias("all_whole"),
@@ -100,9 +100,7 @@ def observed_domains(df: DataFrame, columns: list[str] | None = None, keep: int
     drafted = infer_columns(df, columns).filter(F.col("domain_size").isNotNull())
     tops = top_values(df, columns, k=keep + 1).filter(F.col("value") != "")
     # The empty string is not part of a domain; one spare rank makes up for it.
-    shift = tops.withColumn("value_rank", F.col("value_rank"))
-    joined = shift.join(drafted.select("pos", "domain_size"), "pos")
-    from pyspark.sql import Window as W
+    joined = tops.join(drafted.select("pos", "domain_size"), "pos")
     order = W.partitionBy("pos").orderBy("value_rank")
     return (joined.withColumn("value_rank", F.row_number().over(order)).filter(F.col("value_rank") <= keep)
             .select("pos", "column_name", "domain_size", "value_rank", "value", "cnt"))
@@ -179,4 +177,4 @@ def without_contract(landed: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 __all__ = ["column_evidence", "infer_columns", "observed_domains", "draft_contract", "draft_document",
-           "without_contract", "tags_of"]
+           "without_contract"]

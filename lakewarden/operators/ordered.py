@@ -7,6 +7,9 @@ from the last row of the chunk before it. The result is the same as lag().
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
@@ -28,8 +31,11 @@ def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict
         F.max_by(F.struct(*[F.col(src).alias(f"t{i}") for i, src in enumerate(values.values())]),
                  F.struct(*order)).alias("_tail"))
     over_chunks = W.partitionBy(*group).orderBy("_chunk")
-    handed = tails.select(*group, "_chunk", F.lag("_tail").over(over_chunks).alias("_before"))
-    joined = looked.join(handed, [*group, "_chunk"], "left")
+    keys = [*group, "_chunk"]
+    handed = tails.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
+                          F.lag("_tail").over(over_chunks).alias("_before"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    joined = looked.join(handed, same, "left")
     return joined.select(
         *df.columns,
         *[F.when(F.col("_first"), F.col(f"_before.t{i}")).otherwise(F.col(f"_p{i}")).alias(new)

@@ -27,8 +27,12 @@ def quality_score(status: Column, mean_null_pct: Column, rows: Column, dups: Col
 
 
 def mean_nulls(profiled: DataFrame, by: list[str]) -> DataFrame:
-    """Mean of the column null percentages: one row per table."""
-    return profiled.groupBy(*by).agg(F.avg("null_pct").alias("mean_null_pct"))
+    """Mean of the column null percentages: one row per table.
+
+    Percentages have two decimals; whole hundredths add up exactly in any order.
+    """
+    hundredths = F.sum(F.round(F.col("null_pct") * 100).cast("bigint"))
+    return profiled.groupBy(*by).agg((hundredths / F.count("null_pct") / F.lit(100.0)).alias("mean_null_pct"))
 
 
 def run_records(run_id: Column, timestamp: Column, results: DataFrame, profiled: DataFrame,
