@@ -1,10 +1,9 @@
-"""Which texts are booleans, dates or members of a declared type."""
+"""Which texts are booleans, dates or members of a declared type (all as SQL text)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-from lakewarden.functions.numeric import INFINITY_PATTERN, INTEGER_PATTERN, NUMBER_PATTERN
+from lakewarden.functions.numeric import INFINITY_PATTERN, INTEGER_PATTERN, NAN_PATTERN, NUMBER_PATTERN
+from lakewarden.functions.sqltext import literal, literals
 
 # Complete boolean domains. A column is boolean when its distinct lower-cased
 # values are exactly one of these sets.
@@ -31,33 +30,31 @@ DATE_FORMATS = [
 _WORDS = sorted({w for domain in BOOLEAN_DOMAINS for w in domain})
 
 
-def boolean_bit(value: Column) -> Column:
+def boolean_bit_sql(value: str) -> str:
     """One bit per known word, bit 0 for anything else; OR them over a column."""
-    at = F.array_position(F.array(*[F.lit(w) for w in _WORDS]), F.lower(F.trim(value)))
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), at.cast("int"))
+    return f"shiftleft(1L, cast(array_position({literals(_WORDS)}, lower(trim({value}))) as int))"
 
 
-def is_boolean_domain(bits: Column) -> Column:
+def is_boolean_domain_sql(bits: str) -> str:
     """True when the ORed bits are exactly one complete domain."""
     masks = [sum(2 << _WORDS.index(w) for w in domain) for domain in BOOLEAN_DOMAINS]
-    return F.coalesce(bits.isin(masks), F.lit(False))
+    return f"{bits} in ({', '.join(f'{m}L' for m in masks)})"
 
 
-def matches_date(value: Column, shape: str, pattern: str) -> Column:
-    text = F.trim(value)
-    parsed = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
-    return parsed.isNotNull()
+def matches_date_sql(value: str, shape: str, pattern: str) -> str:
+    return (f"case when trim({value}) rlike r'{shape}' "
+            f"then try_to_timestamp(trim({value}), '{pattern}') is not null else false end")
 
 
-def fits_type(value: Column, contract_type: str) -> Column:
+def fits_type_sql(value: str, contract_type: str) -> str:
     """Whether a key value can be read as its declared type; NULL always fits."""
-    text = F.trim(value)
+    text = f"trim({value})"
     if contract_type == "integer":
-        ok = text.rlike(INTEGER_PATTERN)
+        ok = f"{text} rlike r'{INTEGER_PATTERN}'"
     elif contract_type == "float":
-        ok = text.rlike(NUMBER_PATTERN) | text.rlike(INFINITY_PATTERN) | text.rlike(r"^[+-]?[nN][aA][nN]$")
+        ok = " or ".join(f"{text} rlike r'{p}'" for p in (NUMBER_PATTERN, INFINITY_PATTERN, NAN_PATTERN))
     elif contract_type == "boolean":
-        ok = F.lower(text).isin(BOOLEAN_WORDS)
+        ok = f"lower({text}) in ({', '.join(literal(w) for w in BOOLEAN_WORDS)})"
     else:
-        return F.lit(True)
-    return value.isNull() | ok
+        return "true"
+    return f"({value} is null or {ok})"

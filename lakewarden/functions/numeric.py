@@ -1,4 +1,7 @@
-"""Number handling shared by profiling, validation and inference."""
+"""Number handling shared by profiling, validation and inference.
+
+Functions ending in ``_sql`` take and return SQL text; the others work on Columns.
+"""
 
 from __future__ import annotations
 
@@ -9,33 +12,42 @@ from pyspark.sql import Column, functions as F
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 INFINITY_PATTERN = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
+NAN_PATTERN = r"^[+-]?[nN][aA][nN]$"
 
 
-def is_number(text: Column) -> Column:
-    return F.trim(text).rlike(NUMBER_PATTERN)
+def is_number_sql(text: str) -> str:
+    return f"trim({text}) rlike r'{NUMBER_PATTERN}'"
 
 
-def to_number(text: Column) -> Column:
+def to_number_sql(text: str) -> str:
     """DOUBLE value of a text, NULL where the text is no number."""
-    return F.when(is_number(text), F.trim(text).try_cast("double"))
+    return f"case when {is_number_sql(text)} then try_cast(trim({text}) as double) end"
 
 
-def round_to(value: Column, digits: int) -> Column:
+def round_sql(value: str, digits: int) -> str:
     """Round half up with plain double arithmetic, so every engine agrees on the digits."""
-    scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scale = f"{10**digits}.0D"
+    return f"floor(({value}) * {scale} + 0.5D) / {scale}"
 
 
-def percent(part: Column, whole: Column, digits: int = 2) -> Column:
+def percent_sql(part: str, whole: str, digits: int = 2) -> str:
     """100 * part / whole rounded; 0 when there is nothing to divide by."""
-    ratio = part.cast("double") * F.lit(100.0) / whole.cast("double")
-    return F.when(whole > 0, round_to(ratio, digits)).otherwise(F.lit(0.0))
+    ratio = f"cast({part} as double) * 100.0D / cast({whole} as double)"
+    return f"case when {whole} > 0 then {round_sql(ratio, digits)} else 0.0D end"
 
 
-def double_text(value: Column) -> Column:
+def double_text_sql(value: str) -> str:
     """Text of a DOUBLE without an exponent between 1e-4 and 1e16 ('10000000.0', not '1.0E7')."""
-    size = F.abs(value)
-    exponent_range = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    plain = F.rtrim(value.cast("string").cast("decimal(38,20)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    return F.when(exponent_range, plain).otherwise(value.cast("string"))
+    plain = f"rtrim('0', cast(cast(cast({value} as string) as decimal(38,20)) as string))"
+    return (f"case when (abs({value}) >= 1e7D and abs({value}) < 1e16D) or (abs({value}) >= 1e-4D and abs({value}) < 1e-3D) "
+            f"then case when endswith({plain}, '.') then concat({plain}, '0') else {plain} end "
+            f"else cast({value} as string) end")
+
+
+def is_number(text: Column) -> Column:
+    return F.trim(text).rlike(NUMBER_PATTERN)
+
+
+def round_to(value: Column, digits: int) -> Column:
+    scale = float(10**digits)
+    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

@@ -8,14 +8,9 @@ from pyspark.sql import Column, functions as F
 TODO_MARKER = "# TODO"
 
 
-def is_blank(text: Column) -> Column:
+def is_blank_sql(text: str) -> str:
     """NULL or only spaces; what the profiler counts as null."""
-    return text.isNull() | (F.trim(text) == "")
-
-
-def is_empty(text: Column) -> Column:
-    """NULL or the empty string; what inference leaves out."""
-    return text.isNull() | (text == "")
+    return f"({text} is null or trim({text}) = '')"
 
 
 def has_todo(text: Column) -> Column:

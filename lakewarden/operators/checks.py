@@ -8,14 +8,16 @@ wanted too, checks read the counters from its facts and only a composite key is
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from lakewarden.contracts import Contract
-from lakewarden.functions.coercion import fits_type
-from lakewarden.functions.numeric import percent
+from lakewarden.functions.coercion import fits_type_sql
+from lakewarden.functions.numeric import percent_sql
+from lakewarden.functions.sqltext import ident, literal, literals
 from lakewarden.operators.profile import column_facts
-from lakewarden.operators.values import column_text, quoted
+from lakewarden.operators.values import text_sql
 
 DRAFT_WARNING = "Contract is in DRAFT status: it has not been validated by a data steward"
 
@@ -73,11 +75,9 @@ def duplicate_counts(df: DataFrame, key: list[str]) -> DataFrame:
     Grouping by the key itself pre-aggregates per task, so a key that repeats in a third of
     the rows costs one shuffled row per task.
     """
-    per_key = df.groupBy(*[quoted(c) for c in key]).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_total"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_count"),
-    )
+    per_key = df.groupBy(*[ident(c) for c in key]).agg(F.expr("count(1) as n"))
+    return per_key.agg(F.expr("coalesce(sum(n), 0L) as rows_total"),
+                       F.expr("coalesce(sum(n - 1), 0L) as duplicate_count"))
 
 
 def drop_duplicates(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
@@ -91,138 +91,125 @@ def drop_duplicates(df: DataFrame, key: list[str], order: list[Column | str]) ->
 
 
 def null_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """(column_name, null_pct) of required columns that hold NULLs. One pass, no shuffle of data."""
+    """(column_name, null_pct, null_count) of required columns that hold NULLs. No shuffle of data."""
     names = [c for c in contract.required() if c in df.columns]
-    counted = df.agg(F.count(F.lit(1)).alias("n"),
-                     *[F.count_if(quoted(c).isNull()).alias(f"m{i}") for i, c in enumerate(names)])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               percent(F.col(f"m{i}"), F.col("n")).alias("null_pct"),
-                               F.col(f"m{i}").alias("null_count")) for i, c in enumerate(names)])
-    return counted.select(F.inline(pairs)).filter(F.col("null_count") > 0)
+    counted = df.agg(F.expr("count(1) as n"),
+                     F.expr(f"array({', '.join(f'count_if({ident(c)} is null)' for c in names)}) as miss"))
+    pairs = counted.selectExpr(
+        "n", f"inline(transform({literals(names)}, (c, i) -> named_struct('column_name', c, 'null_count', miss[i])))")
+    return (pairs.filter("null_count > 0")
+            .selectExpr("column_name", f"{percent_sql('null_count', 'n')} as null_pct", "null_count"))
 
 
-def _misfit(df: DataFrame, name: str, contract_type: str) -> Column:
+def _misfit_sql(df: DataFrame, name: str, contract_type: str) -> str:
     """Key value that cannot be read as its declared type; free when the column already has it."""
     dtype = df.schema[name].dataType
     native = {"integer": T.IntegralType, "float": T.NumericType, "boolean": T.BooleanType}.get(contract_type)
     if native is not None and isinstance(dtype, native):
-        return F.lit(False)
-    return ~fits_type(column_text(df, name), contract_type)
+        return "false"
+    return f"not {fits_type_sql(text_sql(df, name), contract_type)}"
+
+
+def _in_load(contract: Contract, columns: list[str]) -> tuple[list[str], list[str]]:
+    return ([c for c in contract.required() if c in columns], [c for c in contract.primary_keys() if c in columns])
+
+
+def _sum_up(frames: list[DataFrame], required: int, keys: int) -> DataFrame:
+    """Add one-row counter frames: rows_total, duplicate_count, miss and bad arrays."""
+    both = reduce(DataFrame.unionByName, frames)
+
+    def each(name: str, n: int) -> str:
+        return f"cast(array({', '.join(f'sum({name}[{i}])' for i in range(n))}) as array<bigint>) as {name}"
+
+    return both.agg(*[F.expr(e) for e in (
+        "sum(rows_total) as rows_total", "sum(duplicate_count) as duplicate_count",
+        each("miss", required), each("bad", keys))])
+
+
+def _zeros(n: int) -> str:
+    return f"array_repeat(0L, {n})"
+
+
+def _duplicate_frame(df: DataFrame, keys: list[str], required: int) -> DataFrame:
+    return duplicate_counts(df, keys).selectExpr(
+        "0L as rows_total", "duplicate_count", f"{_zeros(required)} as miss", f"{_zeros(len(keys))} as bad")
 
 
 def _counters(df: DataFrame, contract: Contract) -> DataFrame:
-    """One row: rows_total, duplicate_count, miss_<i> per required column, bad_<j> per key column."""
-    required = [c for c in contract.required() if c in df.columns]
-    keys = [c for c in contract.primary_keys() if c in df.columns]
+    """One row of counters: a pass without shuffle, plus the key's own shuffle."""
+    required, keys = _in_load(contract, df.columns)
     types = contract.types()
-    counted = [F.count(F.lit(1)).alias("rows_total"), F.lit(0).cast("bigint").alias("duplicate_count")]
-    counted += [F.count_if(quoted(c).isNull()).alias(f"miss_{i}") for i, c in enumerate(required)]
-    counted += [F.count_if(_misfit(df, c, types[c])).alias(f"bad_{j}")
-                for j, c in enumerate(keys)]
-    passed = df.agg(*counted)
+    miss = ", ".join(f"count_if({ident(c)} is null)" for c in required)
+    bad = ", ".join(f"count_if({_misfit_sql(df, c, types[c])})" for c in keys)
+    passed = df.agg(*[F.expr(e) for e in (
+        "count(1) as rows_total", "sum(0L) as duplicate_count",
+        f"cast(array({miss}) as array<bigint>) as miss", f"cast(array({bad}) as array<bigint>) as bad")])
     if not keys:
         return passed
-    zero = F.lit(0).cast("bigint")
-    dups = duplicate_counts(df, keys).select(
-        zero.alias("rows_total"), "duplicate_count",
-        *[zero.alias(f"miss_{i}") for i in range(len(required))],
-        *[zero.alias(f"bad_{j}") for j in range(len(keys))],
-    )
-    both = passed.unionByName(dups)
-    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
+    return _sum_up([passed, _duplicate_frame(df, keys, len(required))], len(required), len(keys))
 
 
 def _counters_from_facts(df: DataFrame, facts: DataFrame, contract: Contract) -> DataFrame:
     """The same row from column facts (one row per column of df, so tiny)."""
-    required = [c for c in contract.required() if c in df.columns]
-    keys = [c for c in contract.primary_keys() if c in df.columns]
-    zero = F.lit(0).cast("bigint")
-
-    def of(name: str, value: Column) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("column_name") == name, value)), F.lit(0)).cast("bigint")
-
-    cols = [F.coalesce(F.max("rows"), F.lit(0)).alias("rows_total")]
-    if len(keys) == 1:
-        distinct = F.col("unique_count") + F.when(F.col("missing_count") > 0, 1).otherwise(0)
-        cols.append(of(keys[0], F.col("rows") - distinct).alias("duplicate_count"))
-    else:
-        cols.append(F.max(zero).alias("duplicate_count"))
-    cols += [of(c, F.col("missing_count")).alias(f"miss_{i}") for i, c in enumerate(required)]
-    cols += [F.max(zero).alias(f"bad_{j}") for j in range(len(keys))]
-    base = facts.agg(*cols)
-    extra_passes = []
+    required, keys = _in_load(contract, df.columns)
     types = contract.types()
-    natives = (T.IntegralType, T.DoubleType, T.FloatType)
-    text_keys = [j for j, c in enumerate(keys) if types[c] in ("integer", "float", "boolean")
-                 and not isinstance(df.schema[c].dataType, natives)]
-    if text_keys:
-        extra_passes.append(df.agg(*[
-            F.count_if(_misfit(df, keys[j], types[keys[j]])).alias(f"bad_{j}") for j in text_keys]))
+
+    def of(name: str, value: str) -> str:
+        return f"coalesce(sum(if(column_name = {literal(name)}, {value}, 0)), 0L)"
+
+    single = of(keys[0], "rows - unique_count - if(missing_count > 0, 1, 0)") if len(keys) == 1 else "sum(0L)"
+    miss = ", ".join(of(c, "missing_count") for c in required)
+    frames = [facts.agg(*[F.expr(e) for e in (
+        "coalesce(max(rows), 0L) as rows_total", f"{single} as duplicate_count",
+        f"cast(array({miss}) as array<bigint>) as miss")]).selectExpr("*", f"{_zeros(len(keys))} as bad")]
+    misfits = [_misfit_sql(df, c, types[c]) for c in keys]
+    if any(m not in ("false", "not true") for m in misfits):
+        frames.append(df.agg(F.expr(f"cast(array({', '.join(f'count_if({m})' for m in misfits)}) as array<bigint>) as bad"))
+                      .selectExpr("0L as rows_total", "0L as duplicate_count", f"{_zeros(len(required))} as miss", "bad"))
     if len(keys) > 1:
-        extra_passes.append(duplicate_counts(df, keys).select("duplicate_count"))
-    for one in extra_passes:
-        base = base.unionByName(
-            one.select(*[F.col(c) if c in one.columns else zero.alias(c) for c in base.columns]))
-    return base.agg(*[F.sum(c).alias(c) for c in base.columns]) if extra_passes else base
+        frames.append(_duplicate_frame(df, keys, len(required)))
+    return _sum_up(frames, len(required), len(keys)) if len(frames) > 1 else frames[0]
 
 
 def _judge(counters: DataFrame, contract: Contract, evolution: Evolution, columns: list[str],
            scenario: str, enforce_null_tolerance: bool) -> DataFrame:
-    required = [c for c in contract.required() if c in columns]
-    keys = [c for c in contract.primary_keys() if c in columns]
+    """Turn the counter row into the result row, step by step over named columns."""
+    required, keys = _in_load(contract, columns)
     types = contract.types()
-    rows, dups = F.col("rows_total"), F.col("duplicate_count")
-
-    bad_key = F.coalesce(*[
-        F.when(F.col(f"bad_{j}") > 0,
-               F.lit(f"Primary key '{c}' holds values that are not {types[c]}"))
-        for j, c in enumerate(keys)], F.lit(None).cast("string"))
-    if evolution.breaking:
-        issues = F.array(*[F.lit(i) for i in evolution.issues])
-    else:
-        issues = F.array_compact(F.array(bad_key))
-    broken = F.size(issues) > 0
-
-    violations = F.map_from_entries(F.array_compact(F.array(*[
-        F.when(F.col(f"miss_{i}") > 0,
-               F.struct(F.lit(c).alias("key"), percent(F.col(f"miss_{i}"), rows).alias("value")))
-        for i, c in enumerate(required)]))) if required else None
-    empty_map = F.create_map().cast("map<string,double>")
-    violations = F.when(broken, empty_map).otherwise(violations) if required else empty_map
-    has_nulls = F.size(violations) > 0
-    if enforce_null_tolerance:
-        has_nulls = F.exists(F.map_values(violations), lambda v: v > contract.max_null_pct)
-    has_dups = (dups > 0) & ~broken & F.lit(bool(keys) and not contract.allow_duplicates)
-
-    draft = F.lit(None).cast("string") if contract.is_validated() else F.lit(DRAFT_WARNING)
-    extra = (F.lit(f"New columns detected (non-breaking): {', '.join(evolution.extra)}")
-             if evolution.extra else F.lit(None).cast("string"))
-    warnings = F.array_compact(F.array(
-        draft,
-        F.when(~broken, extra),
-        F.when(has_nulls, F.concat(F.lit("Nulls in required columns: "),
-                                   F.array_join(F.map_keys(violations), ", "))),
-        F.when(has_dups, F.concat(dups.cast("string"), F.lit(" duplicate rows ("),
-                                  percent(dups, rows, 1).cast("string"), F.lit("%)"))),
-    ))
-    status = (F.when(broken, F.lit("DLQ"))
-              .when(F.lit(bool(evolution.extra)) | has_nulls | has_dups, F.lit("WARNING"))
-              .otherwise(F.lit("PASS")))
-    evolved = F.when(broken, F.lit("BREAKING"))
-    if evolution.extra:
-        evolved = evolved.otherwise(F.lit("NON_BREAKING"))
-    none = F.lit(0).cast("bigint")
-    return counters.select(
-        F.lit(contract.table).alias("table"),
-        F.lit(scenario).alias("scenario"),
-        status.alias("status"),
-        evolved.alias("evolution_type"),
-        issues.alias("issues"),
-        warnings.alias("warnings"),
-        rows.cast("bigint").alias("rows_total"),
-        F.when(broken, none).otherwise((rows - dups).cast("bigint")).alias("rows_valid"),
-        violations.alias("null_violations"),
-        F.when(broken, none).otherwise(dups.cast("bigint")).alias("duplicate_count"),
+    bad_key = literals(f"Primary key '{c}' holds values that are not {types[c]}" for c in keys)
+    issues = (literals(evolution.issues) if evolution.breaking else
+              f"slice(filter(transform({bad_key}, (m, i) -> if(bad[i] > 0, m, null)), m -> m is not null), 1, 1)")
+    found = counters.selectExpr(
+        "coalesce(rows_total, 0L) as rows_total", "coalesce(duplicate_count, 0L) as dups", f"{issues} as issues",
+        f"filter(transform({literals(required)}, (c, i) -> named_struct('key', c, 'missing', miss[i])), s -> s.missing > 0) as nulls",
+    ).selectExpr("*", "size(issues) > 0 as broken")
+    no_map = "cast(map() as map<string,double>)"
+    pct = percent_sql("s.missing", "rows_total")
+    dup_rule = bool(keys) and not contract.allow_duplicates
+    over = f"exists(map_values(null_violations), p -> p > {contract.max_null_pct}D)" if enforce_null_tolerance else "size(null_violations) > 0"
+    extra = f"New columns detected (non-breaking): {', '.join(evolution.extra)}" if evolution.extra else None
+    judged = found.selectExpr(
+        "*", f"if(broken, {no_map}, map_from_entries(transform(nulls, s -> named_struct('k', s.key, 'v', {pct})))) as null_violations",
+    ).selectExpr("*", f"{over} as has_nulls", f"not broken and dups > 0 and {str(dup_rule).lower()} as has_dups")
+    is_extra = str(bool(evolution.extra)).lower()
+    draft = None if contract.is_validated() else DRAFT_WARNING
+    warnings = ", ".join([
+        literal(draft),
+        f"if(broken, null, {literal(extra)})",
+        "if(has_nulls, concat('Nulls in required columns: ', array_join(map_keys(null_violations), ', ')), null)",
+        f"if(has_dups, concat(cast(dups as string), ' duplicate rows (', cast({percent_sql('dups', 'rows_total', 1)} as string), '%)'), null)",
+    ])
+    return judged.selectExpr(
+        f"{literal(contract.table)} as `table`",
+        f"{literal(scenario)} as scenario",
+        f"case when broken then 'DLQ' when {is_extra} or has_nulls or has_dups then 'WARNING' else 'PASS' end as status",
+        f"case when broken then 'BREAKING' when {is_extra} then 'NON_BREAKING' end as evolution_type",
+        "issues",
+        f"array_compact(array({warnings})) as warnings",
+        "rows_total",
+        "if(broken, 0L, rows_total - dups) as rows_valid",
+        "null_violations",
+        "if(broken, 0L, dups) as duplicate_count",
     )
 
 
@@ -231,12 +218,9 @@ def validate(df: DataFrame, contract: Contract, scenario: str = "baseline",
     """One result row for a load. Nothing runs until the row is asked for."""
     evolution = schema_evolution(contract, df.columns)
     if evolution.breaking:
-        keys = [c for c in contract.primary_keys() if c in df.columns]
-        zero = F.lit(0).cast("bigint")
-        counters = df.agg(F.count(F.lit(1)).alias("rows_total"), F.max(zero).alias("duplicate_count"),
-                          *[F.max(zero).alias(f"bad_{j}") for j in range(len(keys))],
-                          *[F.max(zero).alias(f"miss_{i}")
-                            for i, _ in enumerate(c for c in contract.required() if c in df.columns)])
+        required, keys = _in_load(contract, df.columns)
+        counters = df.agg(F.expr("count(1) as rows_total")).selectExpr(
+            "rows_total", "0L as duplicate_count", f"{_zeros(len(required))} as miss", f"{_zeros(len(keys))} as bad")
     else:
         counters = _counters(df, contract)
     return _judge(counters, contract, evolution, df.columns, scenario, enforce_null_tolerance)
@@ -254,13 +238,11 @@ def validate_with_facts(df: DataFrame, facts: DataFrame, contract: Contract,
 
 def rejected(spark, table: str, issue: str, scenario: str = "baseline") -> DataFrame:
     """Result row of a load that could not be checked: unreadable data or an invalid contract."""
-    return spark.range(1).select(
-        F.lit(table).alias("table"), F.lit(scenario).alias("scenario"), F.lit("DLQ").alias("status"),
-        F.lit(None).cast("string").alias("evolution_type"), F.array(F.lit(issue)).alias("issues"),
-        F.array().cast("array<string>").alias("warnings"),
-        F.lit(0).cast("bigint").alias("rows_total"), F.lit(0).cast("bigint").alias("rows_valid"),
-        F.create_map().cast("map<string,double>").alias("null_violations"),
-        F.lit(0).cast("bigint").alias("duplicate_count"),
+    return spark.range(1).selectExpr(
+        f"{literal(table)} as `table`", f"{literal(scenario)} as scenario", "'DLQ' as status",
+        "cast(null as string) as evolution_type", f"{literals([issue])} as issues",
+        "cast(array() as array<string>) as warnings", "0L as rows_total", "0L as rows_valid",
+        "cast(map() as map<string,double>) as null_violations", "0L as duplicate_count",
     )
 
 

@@ -6,13 +6,14 @@ Every test is a fixed-size aggregate over distinct values, so the whole table is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lakewarden.contracts import Contract
-from lakewarden.functions.coercion import DATE_FORMATS, boolean_bit, is_boolean_domain, matches_date
+from lakewarden.functions.coercion import DATE_FORMATS, boolean_bit_sql, is_boolean_domain_sql, matches_date_sql
 from lakewarden.functions.flags import regulatory_flags
 from lakewarden.functions.naming import snake_name
 from lakewarden.functions.numeric import INFINITY_PATTERN
+from lakewarden.functions.sqltext import literals
 from lakewarden.operators.profile import top_values
 from lakewarden.operators.values import column_refs, empty_positions, name_columns, value_counts
 
@@ -25,35 +26,27 @@ _INT64 = float(2**63)
 def column_evidence(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """What each column's values look like; one row per column, whatever the table size."""
     refs = column_refs(df, columns)
-    filled = ~F.col("missing") & (F.col("value") != "")
-    number, cnt = F.col("number"), F.col("cnt")
-    whole = (number == F.floor(number)) & (F.abs(number) < _INT64)
-    numeric_like = number.isNotNull() | F.trim("value").rlike(INFINITY_PATTERN)
-
-    def every(condition: Column) -> Column:
-        return F.coalesce(F.bool_and(F.when(filled, condition)), F.lit(False))
-
-    zero_row = empty_positions(df, len(refs)).select(
-        "pos", F.lit(None).cast("string").alias("value"), F.lit(None).cast("double").alias("number"),
-        F.lit(True).alias("missing"), F.lit(True).alias("blank"), F.lit(0).cast("bigint").alias("cnt"))
-    counts = value_counts(df, columns).unionByName(zero_row)
-    evidence = counts.groupBy("pos").agg(
-        F.sum("cnt").alias("rows"),
-        F.coalesce(F.sum(F.when(~F.col("missing"), cnt)), F.lit(0)).alias("non_null"),
-        F.count_if(~F.col("missing")).alias("distinct_non_null"),
-        F.coalesce(F.sum(F.when(filled, cnt)), F.lit(0)).alias("filled"),
-        F.count_if(filled).alias("distinct_filled"),
-        F.coalesce(F.sum(F.when(filled & numeric_like, cnt)), F.lit(0)).alias("numeric_rows"),
-        F.coalesce(F.bit_or(F.when(filled, boolean_bit(F.col("value")))), F.lit(0)).alias("boolean_bits"),
-        *[every(number.isNull() & matches_date(F.col("value"), shape, pattern)).alias(f"date_{i}")
-          for i, (_, shape, pattern) in enumerate(DATE_FORMATS)],
-        every(number.isNotNull()).alias("all_numbers"),
-        every(number.isNotNull() & whole).alias("all_whole"),
-        F.min(F.when(filled, number)).alias("lo"),
-        F.max(F.when(filled, number)).alias("hi"),
-    )
-    names = [r.name for r in refs]
-    return name_columns(evidence, names, [c for c in evidence.columns if c != "pos"])
+    zero_row = empty_positions(df, len(refs)).selectExpr(
+        "pos", "cast(null as string) as value", "cast(null as double) as number", "true as missing", "0L as cnt")
+    counts = (value_counts(df, columns).select("pos", "value", "number", "missing", "cnt").unionByName(zero_row)
+              .selectExpr("*", "not missing and value <> '' as filled"))
+    dates = [f"coalesce(bool_and(if(filled, number is null and {matches_date_sql('value', shape, pattern)}, null)), false) as date_{i}"
+             for i, (_, shape, pattern) in enumerate(DATE_FORMATS)]
+    evidence = counts.groupBy("pos").agg(*[F.expr(e) for e in (
+        "sum(cnt) as rows",
+        "sum(if(missing, 0L, cnt)) as non_null",
+        "count_if(not missing) as distinct_non_null",
+        "sum(if(filled, cnt, 0L)) as filled",
+        "count_if(filled) as distinct_filled",
+        f"sum(if(filled and (number is not null or trim(value) rlike r'{INFINITY_PATTERN}'), cnt, 0L)) as numeric_rows",
+        f"coalesce(bit_or(if(filled, {boolean_bit_sql('value')}, null)), 0L) as boolean_bits",
+        *dates,
+        "coalesce(bool_and(if(filled, number is not null, null)), false) as all_numbers",
+        f"coalesce(bool_and(if(filled, coalesce(number = floor(number) and abs(number) < {_INT64}D, false), null)), false) as all_whole",
+        "min(if(filled, number, null)) as lo",
+        "max(if(filled, number, null)) as hi",
+    )])
+    return name_columns(evidence, [r.name for r in refs], [c for c in evidence.columns if c != "pos"])
 
 
 def infer_columns(df: DataFrame, columns: list[str] | None = None, normalize=snake_name) -> DataFrame:
@@ -61,38 +54,25 @@ def infer_columns(df: DataFrame, columns: list[str] | None = None, normalize=sna
 
     The column name is normalised at plan time; names are schema, not data.
     """
-    evidence = column_evidence(df, columns)
     names = [r.name for r in column_refs(df, columns)]
-    tidy = F.array(*[F.lit(normalize(n)) for n in names])
-    label, name = F.col("column_name"), F.get(tidy, F.col("pos"))
-
-    date_format = F.coalesce(*[F.when(F.col(f"date_{i}"), F.lit(fmt)) for i, (fmt, _, _) in enumerate(DATE_FORMATS)])
-    share = F.col("numeric_rows") / F.nullif(F.col("filled"), F.lit(0))
-    is_bool = is_boolean_domain(F.col("boolean_bits"))
-    inferred = (F.when(F.col("filled") == 0, F.lit("string"))
-                .when(is_bool, F.lit("boolean"))
-                .when(date_format.isNotNull(), F.lit("date"))
-                .when(F.col("all_whole"), F.lit("integer"))
-                .when(F.col("all_numbers"), F.lit("float"))
-                .otherwise(F.lit("string")))
-    typed = evidence.withColumns({"type": inferred})
-    is_string, is_number = F.col("type") == "string", F.col("type").isin("integer", "float")
-    return typed.select(
-        "pos",
-        name.alias("name"),
-        label.alias("source_name"),
-        "type",
-        (F.col("filled") < F.col("rows")).alias("nullable"),
-        (name.rlike(KEY_PREFIX_PATTERN) & (F.col("non_null") > 0)
-         & (F.col("distinct_non_null") == F.col("non_null"))).alias("primary_key"),
-        F.when(F.col("type") == "date", date_format).alias("date_format"),
-        (is_string & F.coalesce((share > MIXED_RANGE[0]) & (share < MIXED_RANGE[1]), F.lit(False))).alias("mixed"),
-        F.when(is_number, F.col("lo")).alias("range_min"),
-        F.when(is_number, F.col("hi")).alias("range_max"),
-        F.when(is_string & (F.col("filled") > 0) & (F.col("distinct_filled") <= DOMAIN_LIMIT),
-               F.col("distinct_filled")).alias("domain_size"),
-        regulatory_flags(name, label).alias("regulatory_flags"),
+    formats = " ".join(f"when date_{i} then '{fmt}'" for i, (fmt, _, _) in enumerate(DATE_FORMATS))
+    typed = column_evidence(df, columns).selectExpr(
+        "*", f"get({literals(normalize(n) for n in names)}, pos) as name", f"case {formats} end as found_format",
+        "numeric_rows / nullif(filled, 0) as share",
+    ).selectExpr("*", f"""case when filled = 0 then 'string' when {is_boolean_domain_sql('boolean_bits')} then 'boolean'
+        when found_format is not null then 'date' when all_whole then 'integer' when all_numbers then 'float'
+        else 'string' end as type""")
+    drafted = typed.selectExpr(
+        "pos", "name", "column_name as source_name", "type",
+        "filled < rows as nullable",
+        f"name rlike r'{KEY_PREFIX_PATTERN}' and non_null > 0 and distinct_non_null = non_null as primary_key",
+        "if(type = 'date', found_format, null) as date_format",
+        f"type = 'string' and coalesce(share > {MIXED_RANGE[0]} and share < {MIXED_RANGE[1]}, false) as mixed",
+        "if(type in ('integer', 'float'), lo, null) as range_min",
+        "if(type in ('integer', 'float'), hi, null) as range_max",
+        f"if(type = 'string' and filled > 0 and distinct_filled <= {DOMAIN_LIMIT}, distinct_filled, null) as domain_size",
     )
+    return drafted.withColumn("regulatory_flags", regulatory_flags(F.col("name"), F.col("source_name")))
 
 
 def observed_domains(df: DataFrame, columns: list[str] | None = None, keep: int = 5) -> DataFrame:

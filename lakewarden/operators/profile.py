@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from lakewarden.functions.numeric import percent, round_to, to_number
-from lakewarden.functions.text import is_blank
+from lakewarden.functions.numeric import percent_sql, round_sql, to_number_sql
+from lakewarden.functions.sqltext import ident
+from lakewarden.functions.text import is_blank_sql
 from lakewarden.operators.values import (
-    COLUMNS_PER_BRANCH, column_refs, column_text, empty_positions, name_columns, quoted, value_counts,
+    COLUMNS_PER_BRANCH, column_refs, empty_positions, name_columns, text_sql, value_counts,
 )
 
 # A profile whose null share exceeds this is marked in the documentation summary.
@@ -19,22 +20,11 @@ STATS = ["dtype", "rows", "null_count", "null_pct", "unique_count", "min_value",
 
 
 def _named(stats: DataFrame, names: list[str]) -> DataFrame:
-    return name_columns(
-        stats.select(
-            "pos",
-            F.lit("VARCHAR").alias("dtype"),
-            "rows",
-            "null_count",
-            percent(F.col("null_count"), F.col("rows")).alias("null_pct"),
-            "unique_count",
-            round_to(F.col("lo"), 4).alias("min_value"),
-            round_to(F.col("hi"), 4).alias("max_value"),
-            round_to(F.col("total") / F.nullif(F.col("numbers"), F.lit(0)), 4).alias("mean_value"),
-            "missing_count",
-        ),
-        names,
-        STATS + ["missing_count"],
-    )
+    return name_columns(stats, names, [
+        "'VARCHAR' as dtype", "rows", "null_count", f"{percent_sql('null_count', 'rows')} as null_pct", "unique_count",
+        f"{round_sql('lo', 4)} as min_value", f"{round_sql('hi', 4)} as max_value",
+        f"{round_sql('total / nullif(numbers, 0)', 4)} as mean_value", "missing_count",
+    ])
 
 
 def column_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -44,32 +34,19 @@ def column_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     brought each task down to one row per column.
     """
     names = [r.name for r in column_refs(df, columns)]
-    counts = value_counts(df, columns).select(
-        "pos",
-        F.col("cnt").alias("rows"),
-        F.when(F.col("blank"), F.col("cnt")).otherwise(0).alias("null_rows"),
-        F.when(F.col("missing"), F.col("cnt")).otherwise(0).alias("missing_rows"),
-        F.when(~F.col("missing"), 1).otherwise(0).alias("is_value"),
-        "number",
-        F.when(F.col("number").isNotNull(), F.col("cnt")).otherwise(0).alias("number_rows"),
-        (F.col("number") * F.col("cnt")).alias("weighted"),
-    )
-    width = len(names)
-    zero = empty_positions(df, width).select(
-        "pos", *[F.lit(0).cast("bigint").alias(c) for c in ("rows", "null_rows", "missing_rows", "is_value")],
-        F.lit(None).cast("double").alias("number"), F.lit(0).cast("bigint").alias("number_rows"),
-        F.lit(None).cast("double").alias("weighted"),
-    )
-    stats = counts.unionByName(zero).groupBy("pos").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("null_rows").alias("null_count"),
-        F.sum("missing_rows").alias("missing_count"),
-        F.sum("is_value").alias("unique_count"),
-        F.min("number").alias("lo"),
-        F.max("number").alias("hi"),
-        F.sum("weighted").alias("total"),
-        F.sum("number_rows").alias("numbers"),
-    )
+    counts = value_counts(df, columns).select("pos", "number", "missing", "blank", "cnt")
+    zero = empty_positions(df, len(names)).selectExpr(
+        "pos", "cast(null as double) as number", "true as missing", "true as blank", "0L as cnt")
+    stats = counts.unionByName(zero).groupBy("pos").agg(*[F.expr(e) for e in (
+        "sum(cnt) as rows",
+        "sum(if(blank, cnt, 0)) as null_count",
+        "sum(if(missing, cnt, 0)) as missing_count",
+        "count_if(not missing) as unique_count",
+        "min(number) as lo",
+        "max(number) as hi",
+        "sum(number * cnt) as total",
+        "sum(if(number is not null, cnt, 0)) as numbers",
+    )])
     return _named(stats, names)
 
 
@@ -80,30 +57,23 @@ def sketch_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     large tables where the distinct count does not need to be exact.
     """
     refs = column_refs(df, columns)
-    names = [r.name for r in refs]
     parts = []
     for start in range(0, len(refs), COLUMNS_PER_BRANCH):
         chunk = refs[start:start + COLUMNS_PER_BRANCH]
-        aggs = [F.count(F.lit(1)).alias("rows")]
+        aggs = ["count(1) as rows"]
         for r in chunk:
-            col = quoted(r.name)
-            text = column_text(df, r.name)
-            number = to_number(text) if r.kind == "string" else (
-                col.cast("double") if r.kind in ("bigint", "double") else F.lit(None).cast("double"))
-            blank = is_blank(text) if r.kind == "string" else col.isNull()
-            aggs.append(F.struct(
-                F.lit(r.pos).alias("pos"),
-                F.count_if(blank).alias("null_count"),
-                F.count_if(col.isNull()).alias("missing_count"),
-                F.approx_count_distinct(text if r.kind == "string" else col).alias("unique_count"),
-                F.min(number).alias("lo"),
-                F.max(number).alias("hi"),
-                F.sum(number).alias("total"),
-                F.count(number).alias("numbers"),
-            ).alias(f"c{r.pos}"))
-        one = df.agg(*aggs)
-        parts.append(one.select("rows", F.inline(F.array(*[F.col(f"c{r.pos}") for r in chunk]))))
-    return _named(reduce(DataFrame.unionByName, parts), names)
+            col, text = ident(r.name), text_sql(df, r.name)
+            number = {"string": to_number_sql(text), "bigint": f"cast({col} as double)", "double": col}.get(
+                r.kind, "cast(null as double)")
+            aggs.append(
+                f"named_struct('pos', {r.pos}, "
+                f"'null_count', count_if({is_blank_sql(text) if r.kind == 'string' else f'{col} is null'}), "
+                f"'missing_count', count_if({col} is null), "
+                f"'unique_count', approx_count_distinct({text if r.kind == 'string' else col}), "
+                f"'lo', min({number}), 'hi', max({number}), 'total', sum({number}), 'numbers', count({number})) as c{r.pos}")
+        one = df.agg(*[F.expr(a) for a in aggs])
+        parts.append(one.selectExpr("rows", f"inline(array({', '.join(f'c{r.pos}' for r in chunk)}))"))
+    return _named(reduce(DataFrame.unionByName, parts), [r.name for r in refs])
 
 
 def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -133,15 +103,11 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> D
 def sketch_top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
     """Most frequent values from a bounded sketch: no shuffle of values, counts are estimates."""
     refs = column_refs(df, columns)
-    names = [r.name for r in refs]
-    text = df.select(*[column_text(df, r.name).alias(f"c{r.pos}") for r in refs])
-    aggs = [F.expr(f"approx_top_k(c{r.pos}, {int(k)})").alias(f"t{r.pos}") for r in refs]
-    listed = F.array(*[F.struct(F.lit(r.pos).alias("pos"), F.col(f"t{r.pos}").alias("items")) for r in refs])
-    rows = text.agg(*aggs).select(F.inline(listed)).select("pos", F.posexplode("items").alias("i", "item"))
-    rows = rows.select(
-        "pos", (F.col("i") + 1).alias("value_rank"), F.col("item.item").alias("value"), F.col("item.count").alias("cnt")
-    ).filter(F.col("value").isNotNull())
-    return name_columns(rows, names, ["value_rank", "value", "cnt"])
+    one = df.agg(*[F.expr(f"approx_top_k({text_sql(df, r.name)}, {int(k)}) as t{r.pos}") for r in refs])
+    listed = ", ".join(f"named_struct('pos', {r.pos}, 'items', t{r.pos})" for r in refs)
+    rows = one.selectExpr(f"inline(array({listed}))").selectExpr("pos", "posexplode(items) as (i, item)")
+    rows = rows.selectExpr("pos", "i + 1 as value_rank", "item.item as value", "item.count as cnt").filter("value is not null")
+    return name_columns(rows, [r.name for r in refs], ["value_rank", "value", "cnt"])
 
 
 def profile_with_top(df: DataFrame, columns: list[str] | None = None, k: int = 5, exact: bool = True) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from lakewarden.functions.numeric import round_to
+from lakewarden.functions.numeric import round_sql
+from lakewarden.functions.sqltext import literal
 
 RECORD_FIELDS = [
     "run_id", "timestamp", "table", "scenario", "format", "validation_status", "evolution_type",
@@ -13,17 +14,17 @@ RECORD_FIELDS = [
 ]
 
 
-def quality_score(status: Column, mean_null_pct: Column, rows: Column, dups: Column, evolution: Column) -> Column:
+def quality_score_sql(status: str, mean_null_pct: str, rows: str, dups: str, evolution: str) -> str:
     """0 to 100: 40 for status, 30 for nulls, 20 for duplicates, 10 for an unchanged schema.
 
     ``mean_null_pct`` is NULL when there is no profile, which earns nothing.
     """
-    for_status = F.when(status == "PASS", 40.0).when(status == "WARNING", 25.0).otherwise(0.0)
-    for_nulls = F.when(mean_null_pct.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.lit(30.0) - mean_null_pct))
-    dup_pct = dups.cast("double") / F.greatest(rows, F.lit(1)).cast("double") * F.lit(100.0)
-    for_dups = F.greatest(F.lit(0.0), F.lit(20.0) - dup_pct * F.lit(10.0))
-    for_schema = F.when(evolution.isNull(), 10.0).otherwise(0.0)
-    return round_to(F.least(for_status + for_nulls + for_dups + for_schema, F.lit(100.0)), 1)
+    for_status = f"case {status} when 'PASS' then 40.0D when 'WARNING' then 25.0D else 0.0D end"
+    for_nulls = f"if({mean_null_pct} is null, 0.0D, greatest(0.0D, 30.0D - {mean_null_pct}))"
+    dup_pct = f"cast({dups} as double) / cast(greatest({rows}, 1) as double) * 100.0D"
+    for_dups = f"greatest(0.0D, 20.0D - {dup_pct} * 10.0D)"
+    for_schema = f"if({evolution} is null, 10.0D, 0.0D)"
+    return round_sql(f"least({for_status} + {for_nulls} + {for_dups} + {for_schema}, 100.0D)", 1)
 
 
 def mean_nulls(profiled: DataFrame, by: list[str]) -> DataFrame:
@@ -31,11 +32,11 @@ def mean_nulls(profiled: DataFrame, by: list[str]) -> DataFrame:
 
     Percentages have two decimals; whole hundredths add up exactly in any order.
     """
-    hundredths = F.sum(F.round(F.col("null_pct") * 100).cast("bigint"))
-    return profiled.groupBy(*by).agg((hundredths / F.count("null_pct") / F.lit(100.0)).alias("mean_null_pct"))
+    return profiled.groupBy(*by).agg(F.expr(
+        "cast(sum(cast(round(null_pct * 100) as bigint)) as double) / count(null_pct) / 100.0D as mean_null_pct"))
 
 
-def run_records(run_id: Column, timestamp: Column, results: DataFrame, profiled: DataFrame,
+def run_records(run_id: str, timestamp: str, results: DataFrame, profiled: DataFrame,
                 documented: DataFrame | None = None, fmt: str = "csv", profiling_ms: float = 0.0) -> DataFrame:
     """One record per validation result.
 
@@ -44,32 +45,21 @@ def run_records(run_id: Column, timestamp: Column, results: DataFrame, profiled:
     table run, or are reduced to that before the join.
     """
     key = ["table", "scenario"]
-    nulls = mean_nulls(profiled, key)
-    joined = results.join(nulls, key, "left")
+    joined = results.join(mean_nulls(profiled, key), key, "left")
     if documented is not None:
         joined = joined.join(documented.select(*key, "slm_status", "slm_inference_ms"), key, "left")
-    else:
-        joined = joined.withColumns({"slm_status": F.lit(None).cast("string"),
-                                     "slm_inference_ms": F.lit(None).cast("double")})
-    score = quality_score(F.col("status"), F.col("mean_null_pct"), F.col("rows_total"),
-                          F.col("duplicate_count"), F.col("evolution_type"))
-    return joined.select(
-        run_id.alias("run_id"),
-        timestamp.alias("timestamp"),
-        "table",
-        "scenario",
-        F.lit(fmt).alias("format"),
-        F.col("status").alias("validation_status"),
-        "evolution_type",
-        "rows_total",
-        "rows_valid",
-        "duplicate_count",
-        "null_violations",
-        F.coalesce(round_to(F.col("mean_null_pct"), 2), F.lit(0.0)).alias("avg_null_pct"),
-        F.lit(float(profiling_ms)).alias("profiling_ms"),
-        F.coalesce(F.col("slm_status"), F.lit("SKIPPED")).alias("slm_status"),
-        F.coalesce(F.col("slm_inference_ms"), F.lit(0.0)).alias("slm_inference_ms"),
-        score.alias("quality_score"),
-        "issues",
-        "warnings",
+    slm = documented is not None
+    score = quality_score_sql("status", "mean_null_pct", "rows_total", "duplicate_count", "evolution_type")
+    return joined.selectExpr(
+        f"{literal(run_id)} as run_id",
+        f"{literal(timestamp)} as timestamp",
+        "`table`", "scenario",
+        f"{literal(fmt)} as format",
+        "status as validation_status", "evolution_type", "rows_total", "rows_valid", "duplicate_count", "null_violations",
+        f"coalesce({round_sql('mean_null_pct', 2)}, 0.0D) as avg_null_pct",
+        f"{float(profiling_ms)}D as profiling_ms",
+        f"coalesce({'slm_status' if slm else 'null'}, 'SKIPPED') as slm_status",
+        f"coalesce({'slm_inference_ms' if slm else 'null'}, 0.0D) as slm_inference_ms",
+        f"{score} as quality_score",
+        "issues", "warnings",
     )

@@ -12,9 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from lakewarden.functions.numeric import double_text, to_number
+from lakewarden.functions.numeric import double_text_sql, to_number_sql
+from lakewarden.functions.sqltext import ident, literals
+from lakewarden.functions.text import is_blank_sql
 
 # Columns laid out together; a wider table is split into several branches of this many.
 COLUMNS_PER_BRANCH = 64
@@ -35,56 +37,51 @@ class ColumnRef:
 
 def column_refs(df: DataFrame, columns: list[str] | None = None) -> list[ColumnRef]:
     wanted = columns or df.columns
-    kinds = {f.name: _KINDS.get(type(f.dataType), "string") for f in df.schema.fields}
+    schema = df.schema
+    kinds = {f.name: _KINDS.get(type(f.dataType), "string") for f in schema.fields}
     return [ColumnRef(i, c, kinds[c]) for i, c in enumerate(wanted)]
 
 
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def column_text(df: DataFrame, name: str) -> Column:
+def text_sql(df: DataFrame, name: str) -> str:
     """A column as the text a landing file would hold."""
     dtype = df.schema[name].dataType
-    col = quoted(name)
     if isinstance(dtype, T.DoubleType):
-        return double_text(col)
+        return double_text_sql(ident(name))
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(col)
-    return col.cast("string")
+        return f"to_json({ident(name)})"
+    if isinstance(dtype, T.StringType):
+        return ident(name)
+    return f"cast({ident(name)} as string)"
 
 
 def to_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return df.select(*[column_text(df, c).alias(c) for c in columns or df.columns])
+    return df.selectExpr(*[f"{text_sql(df, c)} as {ident(c)}" for c in columns or df.columns])
 
 
-def _text_and_number(kind: str) -> tuple[Column, Column]:
-    v = F.col("v")
+def _text_and_number(kind: str) -> tuple[str, str]:
     if kind == "string":
-        return v, to_number(v)
+        return "v", to_number_sql("v")
     if kind == "double":
-        number = F.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(None)).otherwise(v)
-        return double_text(v), number
+        return double_text_sql("v"), "case when not isnan(v) and abs(v) < double('infinity') then v end"
     if kind == "bigint":
-        return v.cast("string"), v.cast("double")
-    return v.cast("string"), F.lit(None).cast("double")
+        return "cast(v as string)", "cast(v as double)"
+    return "cast(v as string)", "cast(null as double)"
 
 
 def _branch(df: DataFrame, refs: list[ColumnRef], kind: str) -> DataFrame:
-    cols = [
-        (column_text(df, r.name) if kind == "string" else quoted(r.name).cast(kind)).alias(str(r.pos))
+    cells = [
+        f"{text_sql(df, r.name) if kind == 'string' else f'cast({ident(r.name)} as {kind})'} as `{r.pos}`"
         for r in refs
     ]
-    long = df.select(*cols).unpivot([], [str(r.pos) for r in refs], "p", "v")
-    counted = long.groupBy("p", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    long = df.selectExpr(*cells).unpivot([], [str(r.pos) for r in refs], "p", "v")
+    counted = long.groupBy("p", "v").agg(F.expr("count(1) as cnt"))
     text, number = _text_and_number(kind)
-    return counted.select(
-        F.coalesce(F.col("p").cast("int"), F.lit(0)).alias("pos"),  # never NULL, and typed so
-        text.alias("value"),
-        number.alias("number"),
-        F.col("v").isNull().alias("missing"),
-        (F.col("v").isNull() | (F.trim(F.col("v")) == "") if kind == "string"
-         else F.col("v").isNull()).alias("blank"),
+    return counted.selectExpr(
+        "coalesce(cast(p as int), 0) as pos",  # never NULL, and typed so
+        f"{text} as value",
+        f"{number} as number",
+        "v is null as missing",
+        f"{is_blank_sql('v') if kind == 'string' else 'v is null'} as blank",
         "cnt",
     )
 
@@ -108,10 +105,9 @@ def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def name_columns(by_pos: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     """Put column names back for positions; the list is as long as the table is wide."""
-    listed = F.array(*[F.lit(n) for n in names])
-    return by_pos.select("pos", F.get(listed, F.col("pos")).alias("column_name"), *keep)
+    return by_pos.selectExpr("pos", f"get({literals(names)}, pos) as column_name", *keep)
 
 
 def empty_positions(df: DataFrame, width: int) -> DataFrame:
     """One row per column position, so that a table without rows still reports its columns."""
-    return df.sparkSession.range(0, width, 1, 1).select(F.col("id").cast("int").alias("pos"))
+    return df.sparkSession.range(0, width, 1, 1).selectExpr("cast(id as int) as pos")

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from lakewarden.plans import workload_checks, workload_profile  # noqa: F401
+from lakewarden.plans import (  # noqa: F401
+    workload_checks, workload_history, workload_inference, workload_profile,
+)
 from lakewarden.plans.workload_checks import scorecard_all  # noqa: F401

@@ -80,7 +80,7 @@ def run_load(spark: SparkSession, lake: Lake, load: Load, run_id: str, scenario:
         result = spark.createDataFrame([row], validate_schema())
     elapsed = round((time.perf_counter() - started) * 1000, 1)
     profiled = _profile_rows(spark, result.first()["table"], scenario, facts)
-    record = run_records(F.lit(run_id), F.lit(timestamp), result, profiled, fmt=load.fmt,
+    record = run_records(run_id, timestamp, result, profiled, fmt=load.fmt,
                          profiling_ms=elapsed if facts else 0.0).first()
     return Outcome(record.asDict(recursive=True), path, facts)
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from lakewarden.contracts import Contract
+from lakewarden.functions import numeric
+from lakewarden.functions.coercion import fits_type_sql
 from lakewarden.operators.checks import (
     drop_duplicates, duplicate_counts, null_violations, schema_diff, validate, validate_with_facts,
 )
@@ -54,12 +56,11 @@ FLAT = ["table", "scenario", "status", "evolution_type", "rows_total", "rows_val
 
 
 def flat(result: DataFrame) -> DataFrame:
-    return result.select(
-        "table", "scenario", "status", "evolution_type", "rows_total", "rows_valid", "duplicate_count",
-        F.size("issues").cast("bigint").alias("issue_count"),
-        F.size("warnings").cast("bigint").alias("warning_count"),
-        F.size("null_violations").cast("bigint").alias("violation_count"),
-        F.coalesce(F.array_max(F.map_values("null_violations")), F.lit(0.0)).alias("worst_null_pct"),
+    return result.selectExpr(
+        "`table`", "scenario", "status", "evolution_type", "rows_total", "rows_valid", "duplicate_count",
+        "cast(size(issues) as bigint) as issue_count", "cast(size(warnings) as bigint) as warning_count",
+        "cast(size(null_violations) as bigint) as violation_count",
+        "coalesce(array_max(map_values(null_violations)), 0.0D) as worst_null_pct",
     )
 
 
@@ -164,8 +165,8 @@ def scorecard(df: DataFrame, contract: Contract, scenario: str = "baseline") ->
     """Validate, profile and score one table as one lazy plan."""
     facts = column_facts(df)
     result = validate_with_facts(df, facts, contract, scenario)
-    profiled = facts.select(F.lit(contract.table).alias("table"), F.lit(scenario).alias("scenario"), "null_pct")
-    records = run_records(F.lit("run"), F.lit("1970-01-01T00:00:00"), result, profiled, fmt="parquet")
+    profiled = facts.selectExpr(f"'{contract.table}' as `table`", f"'{scenario}' as scenario", "null_pct")
+    records = run_records("run", "1970-01-01T00:00:00", result, profiled, fmt="parquet")
     return records.select("table", "scenario", "validation_status", "evolution_type", "rows_total", "rows_valid",
                           "duplicate_count", "avg_null_pct", "quality_score")
 
@@ -235,12 +236,10 @@ def null_violations_orders(spark, sf_dir):
            {percent_sql('dup', 'n')} as duplicate_pct, dup > 0 as warns
     from (select count(*) as n, count(*) - count(distinct (l_orderkey, l_linenumber)) as dup from lineitem) c""")
 def duplicate_keys_lineitem(spark, sf_dir):
-    from lakewarden.functions.numeric import percent
     counts = duplicate_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
-    return counts.select(
-        "rows_total", "duplicate_count", (F.col("rows_total") - F.col("duplicate_count")).alias("rows_valid"),
-        percent(F.col("duplicate_count"), F.col("rows_total")).alias("duplicate_pct"),
-        (F.col("duplicate_count") > 0).alias("warns"))
+    return counts.selectExpr(
+        "rows_total", "duplicate_count", "rows_total - duplicate_count as rows_valid",
+        f"{numeric.percent_sql('duplicate_count', 'rows_total')} as duplicate_pct", "duplicate_count > 0 as warns")
 
 
 _DEDUP_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
@@ -275,9 +274,8 @@ _COERCION_SQL = {
            cast(sum(case when v is null or {_COERCION_SQL[t]} then 0 else 1 end) as bigint) as misfits
     from (select {e} as v from orders) s""" for n, (t, e) in _COERCIONS.items()))
 def key_coercion_orders(spark, sf_dir):
-    from lakewarden.functions.coercion import fits_type
     df = table(spark, sf_dir, "orders").selectExpr(*[f"{e} as {n}" for n, (_, e) in _COERCIONS.items()])
-    one = df.agg(*[F.count_if(~fits_type(F.col(n), t)).alias(n) for n, (t, _) in _COERCIONS.items()])
+    one = df.agg(*[F.expr(f"count_if(not {fits_type_sql(n, t)}) as {n}") for n, (t, _) in _COERCIONS.items()])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("key_name"), F.lit(t).alias("declared_type"), (F.col(n) == 0).alias("fits"),
                  F.col(n).alias("misfits")) for n, (t, _) in _COERCIONS.items()])))

@@ -10,7 +10,8 @@ from lakewarden.contracts import Contract
 from lakewarden.functions.codes import BINARY_CODES, fixed_width_type
 from lakewarden.functions.flags import FLAG_PATTERNS
 from lakewarden.functions.naming import snake_case
-from lakewarden.functions.numeric import INTEGER_PATTERN, double_text
+from lakewarden.functions.numeric import INTEGER_PATTERN, double_text_sql
+from lakewarden.functions.sqltext import ident
 from lakewarden.operators.infer import draft_document
 from lakewarden.operators.ordered import previous_row
 
@@ -55,20 +56,22 @@ def layout_offsets(widths: DataFrame, by: list[str], order: str = "pos") -> Data
 
 def parse_fixed(lines: DataFrame, layout: list[Field], value: str = "value") -> DataFrame:
     """Fields of fixed-width lines: trimmed text, blank as NULL. Unused fields are never cut."""
-    return lines.select(*[
-        F.nullif(F.trim(F.substring(value, f.start, f.width)), F.lit("")).alias(f.name) for f in layout])
+    return lines.selectExpr(*[
+        f"nullif(trim(substring({ident(value)}, {int(f.start)}, {int(f.width)})), '') as {ident(f.name)}" for f in layout])
 
 
 def read_fixed(spark: SparkSession, path: str, layout: list[Field]) -> DataFrame:
     return parse_fixed(spark.read.text(path), layout)
 
 
-def field_text(value: Column, dtype: T.DataType, width: int, contract_type: str) -> Column:
-    """One value in exactly ``width`` characters: numbers right-aligned, others left, NULL as spaces."""
-    text = double_text(value) if isinstance(dtype, T.DoubleType) else value.cast("string")
-    pad = F.lpad if contract_type in ("integer", "float") else F.rpad
-    # Cut first: lpad alone would also cut, but keeps this readable for both directions.
-    return pad(F.substring(F.coalesce(text, F.lit("")), 1, width), width, " ")
+def field_sql(name: str, dtype: T.DataType, width: int, contract_type: str) -> str:
+    """One value in exactly ``width`` characters: numbers right-aligned, others left, NULL as spaces.
+
+    Both pads also cut a longer value at the right.
+    """
+    text = double_text_sql(ident(name)) if isinstance(dtype, T.DoubleType) else f"cast({ident(name)} as string)"
+    pad = "lpad" if contract_type in ("integer", "float") else "rpad"
+    return f"{pad}(coalesce({text}, ''), {int(width)}, ' ')"
 
 
 def format_fixed(df: DataFrame, layout: list[Field]) -> DataFrame:
@@ -78,8 +81,8 @@ def format_fixed(df: DataFrame, layout: list[Field]) -> DataFrame:
     missing = [f.name for f in layout if f.name not in df.columns]
     if missing:
         raise ValueError(f"layout columns are not in the table: {missing}")
-    parts = [field_text(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.width, f.type) for f in layout]
-    return df.select(F.concat(*parts).alias("value"))
+    parts = [field_sql(f.name, df.schema[f.name].dataType, f.width, f.type) for f in layout]
+    return df.selectExpr(f"concat({', '.join(parts)}) as value")
 
 
 def write_fixed(df: DataFrame, path: str, layout: list[Field]) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.contracts import Contract
@@ -60,8 +62,8 @@ def ingest(stream: DataFrame, contract: Contract, lake: Lake, checkpoint: str, s
         profiled = spark.createDataFrame([(contract.table, scenario, f["null_pct"]) for f in facts],
                                          "`table` string, scenario string, null_pct double")
         result = spark.createDataFrame([row], validate_schema())
-        at = F.lit(timestamp) if timestamp else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-        write_records(run_records(F.lit(run_id), at, result, profiled, fmt=fmt), lake.path("metrics"), run_id)
+        at = timestamp or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        write_records(run_records(run_id, at, result, profiled, fmt=fmt), lake.path("metrics"), run_id)
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
