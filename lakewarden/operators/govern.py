@@ -58,8 +58,9 @@ def readiness(contracts: DataFrame, columns: DataFrame) -> DataFrame:
 
 def promote(contracts: DataFrame, columns: DataFrame, steward: str, at: str) -> DataFrame:
     """Contracts with nothing pending become VALIDATED by ``steward`` at ``at``; the rest stay."""
-    ready = F.coalesce(F.col("ready"), F.lit(False))
-    joined = contracts.join(readiness(contracts, columns).select("table", "ready"), "table", "left")
+    counted = pending_items(contracts, columns).groupBy("table").agg(F.count(F.lit(1)).alias("_pending"))
+    ready = F.col("_pending").isNull()
+    joined = contracts.join(counted, "table", "left")
     changed = {
         "manifest_status": F.when(ready, F.lit("VALIDATED")).otherwise(F.col("manifest_status")),
         "validated_by": F.when(ready, F.lit(steward)).otherwise(F.col("validated_by")),
@@ -114,16 +115,16 @@ def draft_notice(contracts: DataFrame) -> DataFrame:
 
 def catalog_columns(catalog: DataFrame, fix_datetime: bool = False) -> DataFrame:
     """Draft contract columns from a column catalog (table, pos, name, label, format, storage)."""
-    name = snake_case(F.col("name"))
-    key = catalog_key(F.col("pos"), name)
-    return catalog.select(
-        "table", "pos",
-        name.alias("name"),
+    # Named in a step of its own: the name feeds five outputs and is worked out once.
+    named = catalog.withColumn("name", snake_case(F.col("name"))).withColumn(
+        "primary_key", catalog_key(F.col("pos"), F.col("name")))
+    return named.select(
+        "table", "pos", "name",
         catalog_type(F.col("format"), F.col("storage"), fix_datetime).alias("type"),
-        (~key).alias("nullable"),
-        key.alias("primary_key"),
-        F.coalesce(F.nullif("label", F.lit("")), F.concat(F.lit(f"{TODO_MARKER}: describe "), name)).alias("description"),
+        (~F.col("primary_key")).alias("nullable"),
+        "primary_key",
+        F.coalesce(F.nullif("label", F.lit("")), F.concat(F.lit(f"{TODO_MARKER}: describe "), "name")).alias("description"),
         F.nullif("label", F.lit("")).alias("sas_label"),
-        regulatory_flags(name, F.col("label")).alias("regulatory_flags"),
+        regulatory_flags(F.col("name"), F.col("label")).alias("regulatory_flags"),
         F.array().cast("array<string>").alias("business_rules"),
     )
