@@ -38,14 +38,18 @@ def fixed_width_type(code: Column) -> Column:
     return out.otherwise(F.lit("string"))
 
 
-def catalog_type(fmt: Column, storage: Column, fix_datetime: bool = False) -> Column:
-    """Contract type of a SAS catalog column.
+def clean_format(fmt: Column) -> Column:
+    """Storage format without digits, dots and the leading or trailing $."""
+    letters = F.translate(F.lower(F.coalesce(fmt, F.lit(""))), "0123456789.", "")
+    return F.btrim(letters, F.lit("$"))
+
+
+def catalog_type(clean: Column, storage: Column, fix_datetime: bool = False) -> Column:
+    """Contract type of a SAS catalog column from its clean_format() and storage kind.
 
     'DATETIME19.' is a date here because the date prefixes are tried first; that is the
     established behaviour. ``fix_datetime`` tries the datetime prefixes before them.
     """
-    clean = F.regexp_replace(F.lower(F.coalesce(fmt, F.lit(""))), r"[\d.]", "")
-    clean = F.regexp_replace(clean, r"^\$+|\$+$", "")
     groups = list(CATALOG_FORMAT_PREFIXES)
     if fix_datetime:
         groups.sort(key=lambda g: g[0] != "datetime")

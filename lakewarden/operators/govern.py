@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakewarden.contracts import VERSION_PATTERN
-from lakewarden.functions.codes import catalog_key, catalog_type
+from lakewarden.functions.codes import catalog_key, catalog_type, clean_format
 from lakewarden.functions.flags import regulatory_flags
 from lakewarden.functions.naming import snake_case
 from lakewarden.functions.text import TODO_MARKER, has_todo, is_unfilled
@@ -29,7 +29,7 @@ def pending_items(contracts: DataFrame, columns: DataFrame) -> DataFrame:
     no_tags = F.coalesce(F.size(tags) == 0, F.lit(True)) | F.coalesce(
         F.exists(tags, lambda t: F.contains(t, F.lit(TODO_MARKER))), F.lit(False))
     root.append(_found(no_tags, "regulatory.tags", "tags not reviewed"))
-    of_contract = contracts.select("table", F.inline(F.array_compact(F.array(*root))))
+    of_contract = contracts.select("table", F.inline(F.array(*root))).filter(F.col("field").isNotNull())
     of_columns = columns.filter(is_unfilled(F.col("description"))).select(
         "table",
         F.concat(F.lit("schema["), F.coalesce(F.col("name"), F.lit("?")), F.lit("].description")).alias("field"),
@@ -115,12 +115,12 @@ def draft_notice(contracts: DataFrame) -> DataFrame:
 
 def catalog_columns(catalog: DataFrame, fix_datetime: bool = False) -> DataFrame:
     """Draft contract columns from a column catalog (table, pos, name, label, format, storage)."""
-    # Named in a step of its own: the name feeds five outputs and is worked out once.
-    named = catalog.withColumn("name", snake_case(F.col("name"))).withColumn(
+    # Name and format are cleaned in a step of their own: they feed several outputs each.
+    named = catalog.withColumns({"name": snake_case(F.col("name")), "_clean": clean_format(F.col("format"))}).withColumn(
         "primary_key", catalog_key(F.col("pos"), F.col("name")))
     return named.select(
         "table", "pos", "name",
-        catalog_type(F.col("format"), F.col("storage"), fix_datetime).alias("type"),
+        catalog_type(F.col("_clean"), F.col("storage"), fix_datetime).alias("type"),
         (~F.col("primary_key")).alias("nullable"),
         "primary_key",
         F.coalesce(F.nullif("label", F.lit("")), F.concat(F.lit(f"{TODO_MARKER}: describe "), "name")).alias("description"),

@@ -58,7 +58,7 @@ def score_evolution(records: DataFrame) -> DataFrame:
     A series may hold most of the history, so the lookup runs month by month.
     """
     out = previous_row(records, SERIES, ["timestamp", "run_id"], {"previous_score": "quality_score"},
-                       F.substring(F.col("timestamp").cast("string"), 1, 7))
+                       ["substring(cast(timestamp as string), 1, 7)"])
     return out.withColumn("trend", _trend_mark(F.col("quality_score") - F.col("previous_score")))
 
 

@@ -1,43 +1,41 @@
 """Previous-row lookups that stay parallel inside one hot group.
 
 A plain lag() sorts each group in one task. Here every group is cut into chunks along its own
-order, the lookup runs inside the chunks, and the value that crosses a chunk border comes
-from the last row of the chunk before it. The result is the same as lag().
+order and lag() runs per chunk. Only the first row of a chunk is then still without its
+previous row, which is the last row of the chunk before: those edge rows, two per chunk, are
+looked up among themselves. The result is the same as lag() over the whole group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-
-def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict[str, str], chunk: Column) -> DataFrame:
+def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict[str, str],
+                 chunks: list[str]) -> DataFrame:
     """Add the value of the previous row in each group under a new name.
 
-    ``values`` maps new names to the columns looked up. ``chunk`` must not decrease along
-    ``order`` (a month of a timestamp, a block of a start position); it decides how finely a
-    group is spread. ``order`` must be total inside a group.
+    ``values`` maps new names to the columns looked up; ``order`` must be total inside a group.
+    ``chunks`` are expressions that do not decrease along ``order``, from fine to coarse: the
+    first over the columns of ``df`` (a month of a timestamp, a block of a start position), each
+    further one over ``chunk`` of the level before. One level is enough unless a group may have
+    so many chunks that their edge rows would not fit one task.
+
+    The rows are shuffled once: both halves read the same exchange, because they need the same
+    columns and are told apart only after it.
     """
-    keyed = df.withColumn("_chunk", chunk)
-    inside = W.partitionBy(*group, "_chunk").orderBy(*order)
-    looked = keyed.withColumns({
-        "_first": F.row_number().over(inside) == 1,
-        **{f"_p{i}": F.lag(src).over(inside) for i, src in enumerate(values.values())},
+    if not chunks:
+        over = W.partitionBy(*group).orderBy(*order)
+        return df.withColumns({new: F.lag(src).over(over) for new, src in values.items()})
+    first, last = f"_first{len(chunks)}", f"_last{len(chunks)}"
+    inside = W.partitionBy(*group, "chunk").orderBy(*order)
+    looked = df.withColumn("chunk", F.expr(chunks[0])).withColumns({
+        **{new: F.lag(src).over(inside) for new, src in values.items()},
+        first: F.lag(F.lit(True)).over(inside).isNull(),
+        last: F.lead(F.lit(True)).over(inside).isNull(),
     })
-    # One row per chunk: its last values, handed to the chunk that follows.
-    tails = keyed.groupBy(*group, "_chunk").agg(
-        F.max_by(F.struct(*[F.col(src).alias(f"t{i}") for i, src in enumerate(values.values())]),
-                 F.struct(*order)).alias("_tail"))
-    over_chunks = W.partitionBy(*group).orderBy("_chunk")
-    keys = [*group, "_chunk"]
-    handed = tails.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
-                          F.lag("_tail").over(over_chunks).alias("_before"))
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
-    joined = looked.join(handed, same, "left")
-    return joined.select(
-        *df.columns,
-        *[F.when(F.col("_first"), F.col(f"_before.t{i}")).otherwise(F.col(f"_p{i}")).alias(new)
-          for i, new in enumerate(values)],
-    )
+    out = [*[c for c in df.columns if c != "chunk"], *values]
+    within = looked.filter(~F.col(first)).select(*out)
+    edges = looked.filter(F.col(first) | F.col(last)).drop(*values, last)
+    across = previous_row(edges, group, order, values, chunks[1:]).filter(F.col(first)).select(*out)
+    return within.unionByName(across)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from lakewarden.functions.numeric import is_number
+from lakewarden.functions.numeric import is_number_sql
+from lakewarden.functions.sqltext import literal
 
 # Candidates in order of preference when nothing else tells them apart.
 DELIMITERS = [",", ";", "|", "\t"]
@@ -66,31 +67,29 @@ def estimated_rows(lines: DataFrame) -> DataFrame:
     return lines.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("rows_estimate"))
 
 
+def _separator_sql(sep: str) -> str:
+    return "chr(9)" if sep == "\t" else literal(sep)
+
+
 def delimiter_evidence(lines: DataFrame) -> DataFrame:
     """Per candidate: lines, occurrences and their exact sum of squares. One row per task is shuffled."""
-    value = F.col("value")
-    stats = [F.count(F.lit(1)).alias("lines")]
+    aggs, structs = ["count(1) as lines"], []
     for i, sep in enumerate(DELIMITERS):
-        hits = (F.length(value) - F.length(F.replace(value, F.lit(sep), F.lit("")))).cast("decimal(38,0)")
-        stats += [F.coalesce(F.sum(hits), F.lit(0)).alias(f"s{i}"), F.coalesce(F.sum(hits * hits), F.lit(0)).alias(f"q{i}")]
-    one = lines.filter(value != "").agg(*stats)
-    listed = F.array(*[
-        F.struct(F.lit(i).alias("preference"), F.lit(sep).alias("delimiter"),
-                 F.col("lines"), F.col(f"s{i}").cast("double").alias("occurrences"),
-                 # n * sum(x^2) - sum(x)^2: zero exactly when every line has the same number.
-                 ((F.col("lines") * F.col(f"q{i}").cast("double")
-                   - F.col(f"s{i}").cast("double") * F.col(f"s{i}").cast("double"))).alias("spread"))
-        for i, sep in enumerate(DELIMITERS)])
-    return one.select(F.inline(listed))
+        hits = f"cast(length(value) - length(replace(value, {_separator_sql(sep)}, '')) as bigint)"
+        # The squares are added up as decimals, which a very large file cannot overflow.
+        aggs += [f"coalesce(sum({hits}), 0L) as s{i}", f"coalesce(sum(cast({hits} * {hits} as decimal(20,0))), 0) as q{i}"]
+        # n * sum(x^2) - sum(x)^2 is zero exactly when every line has the same number.
+        structs.append(f"named_struct('preference', {i}, 'delimiter', {_separator_sql(sep)}, 'lines', lines, 'occurrences', cast(s{i} as double), "
+                       f"'spread', lines * cast(q{i} as double) - cast(s{i} as double) * cast(s{i} as double))")
+    one = lines.filter("value <> ''").agg(*[F.expr(e) for e in aggs])
+    return one.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def detect_delimiter(lines: DataFrame) -> DataFrame:
     """The candidate whose number per line varies least, relative to how often it occurs."""
-    scored = delimiter_evidence(lines).filter(F.col("occurrences") > 0).select(
-        "preference", "delimiter", "occurrences",
-        (F.col("spread") / (F.col("occurrences") * F.col("occurrences"))).alias("variation"))
-    best = scored.agg(F.min_by("delimiter", F.struct("variation", -F.col("occurrences"), "preference")).alias("d"))
-    return best.select(F.coalesce("d", F.lit(",")).alias("delimiter"))
+    best = delimiter_evidence(lines).filter("occurrences > 0").agg(F.expr(
+        "min_by(delimiter, struct(spread / (occurrences * occurrences), -occurrences, preference)) as d"))
+    return best.selectExpr("coalesce(d, ',') as delimiter")
 
 
 def detect_header(lines: DataFrame, first_line: str, sep: str) -> DataFrame:
@@ -101,27 +100,18 @@ def detect_header(lines: DataFrame, first_line: str, sep: str) -> DataFrame:
     """
     width = first_line.count(sep) + 1
     schema = ", ".join(f"f{i} string" for i in range(width))
-    options = {"sep": sep}
-    body = lines.filter((F.col("value") != first_line) & (F.col("value") != "")).select(
-        F.from_csv("value", schema, options).alias("r"))
-
-    def stats(i: int) -> list[Column]:
-        f = F.col(f"r.f{i}")
-        return [F.bool_and(F.coalesce(is_number(f), F.lit(False))).alias(f"n{i}"),
-                F.min(F.coalesce(F.length(f), F.lit(0))).alias(f"a{i}"),
-                F.max(F.coalesce(F.length(f), F.lit(0))).alias(f"z{i}")]
-
-    seen = body.agg(*[s for i in range(width) for s in stats(i)])
-    head = F.from_csv(F.lit(first_line), F.lit(schema), options)
-    votes = F.lit(0)
+    parse = f"from_csv({{}}, '{schema}', map('sep', {_separator_sql(sep)}))"
+    body = (lines.filter((F.col("value") != first_line) & (F.col("value") != ""))
+            .selectExpr(f"{parse.format('value')} as r"))
+    stats, votes = [], []
     for i in range(width):
-        h = head[f"f{i}"]
-        votes = votes + (
-            F.when(F.col(f"n{i}"), F.when(is_number(h), F.lit(-1)).otherwise(F.lit(1)))
-            .when(F.col(f"a{i}") == F.col(f"z{i}"),
-                  F.when(F.length(h) == F.col(f"a{i}"), F.lit(-1)).otherwise(F.lit(1)))
-            .otherwise(F.lit(0)))
-    return seen.select((F.coalesce(votes, F.lit(0)) > 0).alias("has_header"), F.coalesce(votes, F.lit(0)).alias("votes"))
+        stats += [f"bool_and(coalesce({is_number_sql(f'r.f{i}')}, false)) as n{i}",
+                  f"min(coalesce(length(r.f{i}), 0)) as a{i}", f"max(coalesce(length(r.f{i}), 0)) as z{i}"]
+        votes.append(f"case when n{i} then if({is_number_sql(f'h.f{i}')}, -1, 1) "
+                     f"when a{i} = z{i} then if(length(h.f{i}) = a{i}, -1, 1) else 0 end")
+    seen = body.agg(*[F.expr(e) for e in stats]).selectExpr("*", f"{parse.format(literal(first_line))} as h")
+    return (seen.selectExpr(f"coalesce({' + '.join(votes)}, 0) as votes")
+            .selectExpr("votes > 0 as has_header", "votes"))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
