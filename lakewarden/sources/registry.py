@@ -7,6 +7,7 @@ contracts run as ordinary grouped jobs.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import asdict
 
@@ -37,9 +38,6 @@ CONTRACT_SCHEMA = _struct(
     sample_queries=T.ArrayType(_struct(description=_S, sql=_S)),
     schema=T.ArrayType(COLUMN_SCHEMA),
 )
-_LOADED = T.StructType(
-    [T.StructField("path", _S), T.StructField("load_error", _S)] + CONTRACT_SCHEMA.fields)
-
 
 def _pick(raw: dict | None, schema: T.StructType) -> dict | None:
     if raw is None:
@@ -72,25 +70,27 @@ def row_contract(row: T.Row) -> Contract:
     return Contract.of({k: v for k, v in row.asDict(recursive=True).items() if v is not None})
 
 
-def _parse_yaml(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Document text to JSON text of a registry row; Spark reads the JSON with the schema."""
     import yaml
 
-    names = [f.name for f in _LOADED.fields]
     for batch in batches:
-        out = []
-        for path, text in zip(batch["path"], batch["value"]):
+        errors, documents = [], []
+        for text in batch["value"]:
             try:
-                row = contract_row(Contract.of(yaml.safe_load(text)))
-                out.append({"path": path, "load_error": None, **row})
+                documents.append(json.dumps(contract_row(Contract.of(yaml.safe_load(text))), default=str))
+                errors.append(None)
             except Exception as err:  # one bad document must not stop the others
-                out.append({"path": path, "load_error": f"{type(err).__name__}: {err}"})
-        yield pd.DataFrame(out, columns=names)
+                documents.append(None)
+                errors.append(f"{type(err).__name__}: {err}")
+        yield pd.DataFrame({"path": batch["path"], "load_error": errors, "document": documents})
 
 
 def read_contract_files(spark: SparkSession, path: str) -> DataFrame:
     """Contract documents (YAML or JSON), one per file; a bad one has ``load_error`` set."""
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return texts.mapInPandas(_parse_yaml, _LOADED)
+    parsed = texts.mapInPandas(_parse_documents, "path string, load_error string, document string")
+    return parsed.select("path", "load_error", F.from_json("document", CONTRACT_SCHEMA).alias("c")).select("path", "load_error", "c.*")
 
 
 def load_contract(spark: SparkSession, path: str) -> Contract:
