@@ -16,6 +16,10 @@ from lakewarden.operators.values import (
 # A profile whose null share exceeds this is marked in the documentation summary.
 NULL_ALERT_PCT = 30.0
 
+FACTS_DDL = (
+    "pos int, column_name string, dtype string, rows bigint, null_count bigint, null_pct double, unique_count bigint, "
+    "min_value double, max_value double, mean_value double, missing_count bigint"
+)
 STATS = ["dtype", "rows", "null_count", "null_pct", "unique_count", "min_value", "max_value", "mean_value"]
 
 

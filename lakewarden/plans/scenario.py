@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakewarden.contracts import Contract
 from lakewarden.functions.codes import EXIT_CODES
 from lakewarden.operators.checks import rejected, schema_evolution, validate, validate_with_facts
-from lakewarden.operators.profile import column_facts, documentation_summary, profile_with_top
+from lakewarden.operators.profile import FACTS_DDL, column_facts, documentation_summary, profile_with_top
 from lakewarden.operators.score import run_records
 from lakewarden.plans.layers import Lake, promote_load, quarantine_load, stage
 from lakewarden.sources.records import RECORD_DDL, read_records, write_records
@@ -70,8 +70,7 @@ def run_load(spark: SparkSession, lake: Lake, load: Load, run_id: str, scenario:
             row = validate(df, contract, scenario).first()
         else:
             facts = column_facts(df).collect()
-            facts_df = spark.createDataFrame(facts) if facts else column_facts(df)
-            row = validate_with_facts(df, facts_df, contract, scenario).first()
+            row = validate_with_facts(df, spark.createDataFrame(facts, FACTS_DDL), contract, scenario).first()
         if row["status"] == "DLQ":
             facts = []
             path = quarantine_load(df, lake, load.table, run_id, row["issues"])

@@ -13,7 +13,10 @@ LATIN_WARNING = "Not UTF-8: read as latin-1"
 
 
 def read_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files as (path, modificationTime, length, content); a file may be up to 2 GB."""
+    """Whole files as (path, modificationTime, length, content); a file may be up to 2 GB.
+
+    Spark lists no empty files, and there is nothing in them to normalise.
+    """
     return spark.read.format("binaryFile").load(path)
 
 

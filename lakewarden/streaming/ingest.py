@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.contracts import Contract
 from lakewarden.operators.checks import schema_evolution, validate, validate_with_facts
-from lakewarden.operators.profile import column_facts
+from lakewarden.operators.profile import FACTS_DDL, column_facts
 from lakewarden.operators.score import run_records
 from lakewarden.plans.layers import Lake, promote_load, quarantine_load
 from lakewarden.plans.scenario import validate_schema
@@ -53,7 +53,7 @@ def ingest(stream: DataFrame, contract: Contract, lake: Lake, checkpoint: str, s
             row = validate(load, contract, scenario).first()
         else:
             facts = column_facts(load).collect()
-            row = validate_with_facts(load, spark.createDataFrame(facts), contract, scenario).first()
+            row = validate_with_facts(load, spark.createDataFrame(facts, FACTS_DDL), contract, scenario).first()
         if row["status"] == "DLQ":
             facts = []
             quarantine_load(load, lake, contract.table, run_id, row["issues"])
