@@ -28,7 +28,7 @@ def column_evidence(df: DataFrame, columns: list[str] | None = None) -> DataFram
     refs = column_refs(df, columns)
     zero_row = empty_positions(df, len(refs)).selectExpr(
         "pos", "cast(null as string) as value", "cast(null as double) as number", "true as missing", "0L as cnt")
-    counts = (value_counts(df, columns).select("pos", "value", "number", "missing", "cnt").unionByName(zero_row)
+    counts = (value_counts(df, columns, digest=True).select("pos", "value", "number", "missing", "cnt").unionByName(zero_row)
               .selectExpr("*", "not missing and value <> '' as filled"))
     dates = [f"coalesce(bool_and(if(filled, number is null and {matches_date_sql('value', shape, pattern)}, null)), false) as date_{i}"
              for i, (_, shape, pattern) in enumerate(DATE_FORMATS)]
@@ -152,8 +152,11 @@ def draft_document(table: str, columns: list[dict], fmt: str, delimiter: str | N
 
 
 def without_contract(landed: DataFrame, registry: DataFrame) -> DataFrame:
-    """Landed tables that no contract covers yet; only these need inference."""
-    return landed.join(registry.select("table"), "table", "left_anti")
+    """Landed tables that no contract covers yet; only these need inference.
+
+    Repeated registry entries are folded per task before the join, so none of them is hot.
+    """
+    return landed.join(registry.select("table").distinct(), "table", "left_anti")
 
 
 __all__ = ["column_evidence", "infer_columns", "observed_domains", "draft_contract", "draft_document",

@@ -31,14 +31,14 @@ def _named(stats: DataFrame, names: list[str]) -> DataFrame:
     ])
 
 
-def column_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def column_facts(df: DataFrame, columns: list[str] | None = None, digest: bool = True) -> DataFrame:
     """Exact statistics of every column, one row per column.
 
     The second grouping has one group per column, but only after map-side combination has
     brought each task down to one row per column.
     """
     names = [r.name for r in column_refs(df, columns)]
-    counts = value_counts(df, columns).select("pos", "number", "missing", "blank", "cnt")
+    counts = value_counts(df, columns, digest).select("pos", "number", "missing", "blank", "cnt")
     zero = empty_positions(df, len(names)).selectExpr(
         "pos", "cast(null as double) as number", "true as missing", "true as blank", "0L as cnt")
     stats = counts.unionByName(zero).groupBy("pos").agg(*[F.expr(e) for e in (
@@ -80,9 +80,9 @@ def sketch_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return _named(reduce(DataFrame.unionByName, parts), [r.name for r in refs])
 
 
-def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True, digest: bool = True) -> DataFrame:
     """One row per column: dtype, rows, nulls, distinct values, numeric min, max and mean."""
-    facts = column_facts(df, columns) if exact else sketch_facts(df, columns)
+    facts = column_facts(df, columns, digest) if exact else sketch_facts(df, columns)
     return facts.select("pos", "column_name", *STATS)
 
 
@@ -121,7 +121,8 @@ def profile_with_top(df: DataFrame, columns: list[str] | None = None, k: int = 5
     packed = tops.groupBy("pos").agg(
         F.array_sort(F.collect_list(F.struct("value_rank", "value", "cnt"))).alias("top_values")
     )
-    return profile(df, columns, exact).join(packed, "pos", "left")
+    # Both sides count whole values here, so that one shuffle serves both.
+    return profile(df, columns, exact, digest=False).join(packed, "pos", "left")
 
 
 def documentation_summary(profiled: DataFrame, keep: int = 3, alert_pct: float = NULL_ALERT_PCT) -> DataFrame:

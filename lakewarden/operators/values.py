@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lakewarden.functions.numeric import double_text_sql, to_number_sql
+from lakewarden.functions.numeric import double_text_sql, is_number_sql, to_number_sql
 from lakewarden.functions.sqltext import ident, literals
 from lakewarden.functions.text import is_blank_sql
 
@@ -68,14 +68,28 @@ def _text_and_number(kind: str) -> tuple[str, str]:
     return "cast(v as string)", "cast(null as double)"
 
 
-def _branch(df: DataFrame, refs: list[ColumnRef], kind: str) -> DataFrame:
+# A text that is longer than this after trimming is no date, no boolean and, unless it looks
+# like one, no number: where the text itself is not asked for, its digest stands in for it.
+LONG_TEXT = 128
+_IS_LONG = f"octet_length(v) > {LONG_TEXT} and length(trim(v)) > {LONG_TEXT} and not ({is_number_sql('v')})"
+
+
+def _branch(df: DataFrame, refs: list[ColumnRef], kind: str, digest: bool) -> DataFrame:
     cells = [
         f"{text_sql(df, r.name) if kind == 'string' else f'cast({ident(r.name)} as {kind})'} as `{r.pos}`"
         for r in refs
     ]
     long = df.selectExpr(*cells).unpivot([], [str(r.pos) for r in refs], "p", "v")
-    counted = long.groupBy("p", "v").agg(F.expr("count(1) as cnt"))
+    key = ["p", "v"]
+    if kind == "string" and digest:
+        # Whole texts would otherwise be what is shuffled. The flag keeps a digest apart from
+        # a short value that happens to read the same.
+        long = long.selectExpr("p", f"coalesce({_IS_LONG}, false) as is_digest", f"if({_IS_LONG}, sha2(v, 256), v) as v")
+        key = ["p", "is_digest", "v"]
+    counted = long.groupBy(*key).agg(F.expr("count(1) as cnt"))
     text, number = _text_and_number(kind)
+    if "is_digest" in key:
+        number = f"if(is_digest, null, {number})"
     return counted.selectExpr(
         "coalesce(cast(p as int), 0) as pos",  # never NULL, and typed so
         f"{text} as value",
@@ -86,17 +100,19 @@ def _branch(df: DataFrame, refs: list[ColumnRef], kind: str) -> DataFrame:
     )
 
 
-def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def value_counts(df: DataFrame, columns: list[str] | None = None, digest: bool = False) -> DataFrame:
     """(pos, value, number, missing, blank, cnt), one row per column and distinct value.
 
     ``value`` is the text, ``number`` its DOUBLE where it is a number. Unused columns are
-    pruned, so a consumer that needs no text never pays for making it.
+    pruned, so a consumer that needs no text never pays for making it. With ``digest`` long
+    texts are counted by their SHA-256 and ``value`` holds that: for consumers that want to
+    know how many texts there are and what they look like, not what they say.
     """
     by_kind: dict[str, list[ColumnRef]] = {}
     for ref in column_refs(df, columns):
         by_kind.setdefault(ref.kind, []).append(ref)
     branches = [
-        _branch(df, refs[i:i + COLUMNS_PER_BRANCH], kind)
+        _branch(df, refs[i:i + COLUMNS_PER_BRANCH], kind, digest)
         for kind, refs in by_kind.items()
         for i in range(0, len(refs), COLUMNS_PER_BRANCH)
     ]

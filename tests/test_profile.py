@@ -69,6 +69,17 @@ def test_skewed_column_is_exact(spark):
     assert (top["value"], top["cnt"]) == ("hot", 10000)
 
 
+def test_long_texts_are_counted_by_digest(spark):
+    long = "x" * 200
+    rows = [(long + "a",), (long + "a",), (long + "b",), ("7" * 200,), (" " * 300,), (None,), ("  5" + " " * 200,)]
+    df = spark.createDataFrame(rows, "t string")
+    digest = df.filter("t like '%a'").selectExpr("sha2(t, 256) as t").limit(1)
+    df = df.unionByName(digest)
+    got = column_facts(df).first()
+    assert got == column_facts(df, digest=False).first()
+    assert (got["rows"], got["unique_count"], got["null_count"], got["min_value"]) == (8, 6, 2, 5.0)
+
+
 def test_wide_table_is_split_into_branches(spark, monkeypatch):
     monkeypatch.setattr(values, "COLUMNS_PER_BRANCH", 3)
     df = spark.range(10).selectExpr(*[f"cast(id % {i + 1} as string) as c{i}" for i in range(10)])
