@@ -71,25 +71,29 @@ def _text_and_number(kind: str) -> tuple[str, str]:
 # A text that is longer than this after trimming is no date, no boolean and, unless it looks
 # like one, no number: where the text itself is not asked for, its digest stands in for it.
 LONG_TEXT = 128
-_IS_LONG = f"octet_length(v) > {LONG_TEXT} and length(trim(v)) > {LONG_TEXT} and not ({is_number_sql('v')})"
+
+
+def digest_sql(text: str) -> str:
+    """The text, or '#' and its SHA-512 where it is long.
+
+    A digest has 129 characters, so it is long itself and no text that is kept can equal it.
+    """
+    return (f"if(octet_length({text}) > {LONG_TEXT} and length(trim({text})) > {LONG_TEXT} and not ({is_number_sql(text)}), "
+            f"concat('#', sha2({text}, 512)), {text})")
 
 
 def _branch(df: DataFrame, refs: list[ColumnRef], kind: str, digest: bool) -> DataFrame:
-    cells = [
-        f"{text_sql(df, r.name) if kind == 'string' else f'cast({ident(r.name)} as {kind})'} as `{r.pos}`"
-        for r in refs
-    ]
+    def cell(ref: ColumnRef) -> str:
+        if kind != "string":
+            return f"cast({ident(ref.name)} as {kind})"
+        dtype = df.schema[ref.name].dataType
+        plain = isinstance(dtype, (T.BooleanType, T.DecimalType, T.FloatType)) or not digest
+        return text_sql(df, ref.name) if plain else digest_sql(text_sql(df, ref.name))
+
+    cells = [f"{cell(r)} as `{r.pos}`" for r in refs]
     long = df.selectExpr(*cells).unpivot([], [str(r.pos) for r in refs], "p", "v")
-    key = ["p", "v"]
-    if kind == "string" and digest:
-        # Whole texts would otherwise be what is shuffled. The flag keeps a digest apart from
-        # a short value that happens to read the same.
-        long = long.selectExpr("p", f"coalesce({_IS_LONG}, false) as is_digest", f"if({_IS_LONG}, sha2(v, 256), v) as v")
-        key = ["p", "is_digest", "v"]
-    counted = long.groupBy(*key).agg(F.expr("count(1) as cnt"))
+    counted = long.groupBy("p", "v").agg(F.expr("count(1) as cnt"))
     text, number = _text_and_number(kind)
-    if "is_digest" in key:
-        number = f"if(is_digest, null, {number})"
     return counted.selectExpr(
         "coalesce(cast(p as int), 0) as pos",  # never NULL, and typed so
         f"{text} as value",
@@ -105,7 +109,7 @@ def value_counts(df: DataFrame, columns: list[str] | None = None, digest: bool =
 
     ``value`` is the text, ``number`` its DOUBLE where it is a number. Unused columns are
     pruned, so a consumer that needs no text never pays for making it. With ``digest`` long
-    texts are counted by their SHA-256 and ``value`` holds that: for consumers that want to
+    texts are counted by their SHA-512 and ``value`` holds that: for consumers that want to
     know how many texts there are and what they look like, not what they say.
     """
     by_kind: dict[str, list[ColumnRef]] = {}
