@@ -52,13 +52,13 @@ def score_trend(records: DataFrame) -> DataFrame:
     return per_series.withColumn("trend", _trend_mark(F.col("last_score") - F.col("previous_score")))
 
 
-def score_evolution(records: DataFrame) -> DataFrame:
+def score_evolution(records: DataFrame, chunk: str | None = None) -> DataFrame:
     """Every run of each series with the score before it and the trend mark.
 
-    A series may hold most of the history, so the lookup runs month by month.
+    A series may hold most of the history, so the lookup runs over even cuts of it. A history
+    that is even over time can be cut by ``chunk``, for instance "substring(timestamp, 1, 7)".
     """
-    out = previous_row(records, SERIES, ["timestamp", "run_id"], {"previous_score": "quality_score"},
-                       ["substring(cast(timestamp as string), 1, 7)"])
+    out = previous_row(records, SERIES, ["timestamp", "run_id"], {"previous_score": "quality_score"}, chunk)
     return out.withColumn("trend", _trend_mark(F.col("quality_score") - F.col("previous_score")))
 
 

@@ -12,30 +12,33 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict[str, str],
-                 chunks: list[str]) -> DataFrame:
+                 chunk: str | None = None) -> DataFrame:
     """Add the value of the previous row in each group under a new name.
 
     ``values`` maps new names to the columns looked up; ``order`` must be total inside a group.
-    ``chunks`` are expressions that do not decrease along ``order``, from fine to coarse: the
-    first over the columns of ``df`` (a month of a timestamp, a block of a start position), each
-    further one over ``chunk`` of the level before. One level is enough unless a group may have
-    so many chunks that their edge rows would not fit one task.
 
-    The rows are shuffled once: both halves read the same exchange, because they need the same
-    columns and are told apart only after it.
+    Chunks are the partitions of a range partitioning by group and order, which stay even
+    however the rows are spread: a group, a day or a single start position may hold most of
+    them. ``chunk`` is an expression that does not decrease along ``order`` (a month of a
+    timestamp, say) for data known to be even over it; it saves the range partitioning.
+
+    Both halves read the same exchange, because they need the same columns and are told apart
+    only after it. There are two edge rows per group and chunk, so the lookup among them is small.
     """
-    if not chunks:
-        over = W.partitionBy(*group).orderBy(*order)
-        return df.withColumns({new: F.lag(src).over(over) for new, src in values.items()})
-    first, last = f"_first{len(chunks)}", f"_last{len(chunks)}"
-    inside = W.partitionBy(*group, "chunk").orderBy(*order)
-    looked = df.withColumn("chunk", F.expr(chunks[0])).withColumns({
+    if chunk is None:
+        cut = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*group, *order]]).withColumn(
+            "_chunk", F.spark_partition_id())
+    else:
+        cut = df.withColumn("_chunk", F.expr(chunk))
+    inside = W.partitionBy(*group, "_chunk").orderBy(*order)
+    looked = cut.withColumns({
         **{new: F.lag(src).over(inside) for new, src in values.items()},
-        first: F.lag(F.lit(True)).over(inside).isNull(),
-        last: F.lead(F.lit(True)).over(inside).isNull(),
+        "_first": F.lag(F.lit(True)).over(inside).isNull(),
+        "_last": F.lead(F.lit(True)).over(inside).isNull(),
     })
-    out = [*[c for c in df.columns if c != "chunk"], *values]
-    within = looked.filter(~F.col(first)).select(*out)
-    edges = looked.filter(F.col(first) | F.col(last)).drop(*values, last)
-    across = previous_row(edges, group, order, values, chunks[1:]).filter(F.col(first)).select(*out)
-    return within.unionByName(across)
+    out = [*df.columns, *values]
+    within = looked.filter(~F.col("_first")).select(*out)
+    edges = looked.filter(F.col("_first") | F.col("_last")).drop(*values)
+    over = W.partitionBy(*group).orderBy(*order)
+    across = edges.withColumns({new: F.lag(src).over(over) for new, src in values.items()})
+    return within.unionByName(across.filter(F.col("_first")).select(*out))

@@ -144,14 +144,13 @@ def read_layout(spark: SparkSession, path: str) -> DataFrame:
     return parse_layout_lines(spark.read.text(path))
 
 
-def check_layout(fields: DataFrame, by: list[str], tie: str = "name", block: int = 4096) -> DataFrame:
+def check_layout(fields: DataFrame, by: list[str], tie: str = "name") -> DataFrame:
     """Reversed bounds, overlaps and gaps of fields sorted by start; the first field is exempt.
 
-    The previous field is looked up block by block of start positions, so that one layout
-    with very many fields is not sorted in a single task.
+    The previous field is looked up over even cuts, so that one layout with very many fields is
+    not sorted in a single task.
     """
-    out = previous_row(fields, by, ["start", tie], {"prev_end": "end"},
-                       [f"floor(start / {int(block)})", f"floor(chunk / {int(block)})"])
+    out = previous_row(fields, by, ["start", tie], {"prev_end": "end"})
     prev = F.coalesce(F.col("prev_end"), F.lit(0))
     follows = prev > 0
     return out.select(
