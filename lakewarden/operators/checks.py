@@ -16,7 +16,6 @@ from lakewarden.contracts import Contract
 from lakewarden.functions.coercion import fits_type_sql
 from lakewarden.functions.numeric import percent_sql
 from lakewarden.functions.sqltext import ident, literal, literals
-from lakewarden.operators.profile import column_facts
 from lakewarden.operators.values import text_sql
 
 DRAFT_WARNING = "Contract is in DRAFT status: it has not been validated by a data steward"
@@ -244,9 +243,3 @@ def rejected(spark, table: str, issue: str, scenario: str = "baseline") -> DataF
         "cast(array() as array<string>) as warnings", "0L as rows_total", "0L as rows_valid",
         "cast(map() as map<string,double>) as null_violations", "0L as duplicate_count",
     )
-
-
-__all__ = [
-    "Evolution", "schema_evolution", "schema_diff", "duplicate_counts", "drop_duplicates", "null_violations",
-    "validate", "validate_with_facts", "rejected", "column_facts",
-]

@@ -91,16 +91,18 @@ def draft_contract(df: DataFrame, table: str, fmt: str = "csv", delimiter: str |
                    normalize=snake_name) -> Contract:
     """Draft contract of a table: collects one small row per column, never data."""
     drafted = sorted(infer_columns(df, normalize=normalize).collect(), key=lambda r: r["pos"])
-    domains: dict[int, list[str]] = {}
-    for r in observed_domains(df).collect():
-        domains.setdefault(r["pos"], []).append((r["value_rank"], r["value"]))
+    # Only columns with a handful of distinct values are asked for their most frequent ones.
+    small = [r["source_name"] for r in drafted if r["domain_size"]]
+    domains: dict[str, list[tuple[int, str]]] = {}
+    for r in (top_values(df, small, k=6).filter("value <> ''").collect() if small else []):
+        domains.setdefault(r["column_name"], []).append((r["value_rank"], r["value"]))
     columns = []
     for r in drafted:
         rules = []
         if r["range_min"] is not None:
             rules.append(f"Range: {r['range_min']:.4g} to {r['range_max']:.4g}")
         if r["domain_size"]:
-            listed = [v for _, v in sorted(domains.get(r["pos"], []))]
+            listed = [v for _, v in sorted(domains.get(r["source_name"], []))][:5]
             rules.append(f"Domain ({r['domain_size']} values): {listed}")
         if r["date_format"]:
             rules.append(f"Detected format: {r['date_format']}")
@@ -157,7 +159,3 @@ def without_contract(landed: DataFrame, registry: DataFrame) -> DataFrame:
     Repeated registry entries are folded per task before the join, so none of them is hot.
     """
     return landed.join(registry.select("table").distinct(), "table", "left_anti")
-
-
-__all__ = ["column_evidence", "infer_columns", "observed_domains", "draft_contract", "draft_document",
-           "without_contract"]

@@ -51,10 +51,6 @@ LOADS = {
     "text_key": ("orders", {**_ORDERS, "o_orderkey": "concat(' ', cast(o_orderkey as string), ' ')"}),
 }
 
-FLAT = ["table", "scenario", "status", "evolution_type", "rows_total", "rows_valid", "duplicate_count",
-        "issue_count", "warning_count", "violation_count", "worst_null_pct"]
-
-
 def flat(result: DataFrame) -> DataFrame:
     return result.selectExpr(
         "`table`", "scenario", "status", "evolution_type", "rows_total", "rows_valid", "duplicate_count",

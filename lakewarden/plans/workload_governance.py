@@ -17,7 +17,7 @@ from lakewarden.operators.govern import (
 from lakewarden.plans.layers import Lake
 from lakewarden.plans.stored import run_stored_queries
 from lakewarden.plans.workload import COLUMNS, register, table
-from lakewarden.plans.workload_checks import FLAT, contract_for, _score_row_sql, validate_sql  # noqa: F401
+from lakewarden.plans.workload_checks import contract_for, _score_row_sql, validate_sql
 from lakewarden.session import shared_dir
 from lakewarden.sources.records import read_records
 from lakewarden.sources.registry import accessors
