@@ -28,11 +28,12 @@ def running_total(df: DataFrame, key: str, value: str, out: str, ties: tuple[str
     if levels == 0:
         before = W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(one).over(before), F.lit(0)))
-    blocks = df.select(block_of(F.col(key)).alias("_block"), one.alias("_value")).groupBy("_block").agg(F.sum("_value").alias("_value"))
-    blocks = running_total(blocks, "_block", "_value", "_base", (), levels - 1).select("_block", "_base")
-    before = W.partitionBy("_block").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    local = df.withColumn("_block", block_of(F.col(key))).withColumn("_local", F.coalesce(F.sum(one).over(before), F.lit(0)))
-    return local.join(blocks, "_block").withColumn(out, F.col("_base") + F.col("_local")).drop("_block", "_base", "_local")
+    block, base = f"_block{levels}", f"_base{levels}"
+    blocks = df.select(block_of(F.col(key)).alias(block), one.alias("_value")).groupBy(block).agg(F.sum("_value").alias("_value"))
+    blocks = running_total(blocks, block, "_value", base, (), levels - 1).select(block, base)
+    before = W.partitionBy(block).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    local = df.withColumn(block, block_of(F.col(key))).withColumn("_local", F.coalesce(F.sum(one).over(before), F.lit(0)))
+    return local.join(blocks, block).withColumn(out, F.col(base) + F.col("_local")).drop(block, base, "_local")
 
 
 def block_successor(blocks: DataFrame, levels: int = 2) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakewarden.llm.bestfit import packed_documents
-from lakewarden.llm.staging import documents, ship
+from lakewarden.llm.pfor import token_places, write_token_table
+from lakewarden.llm.projections import near_duplicates
+from lakewarden.llm.ranking import fit, scored, with_features
+from lakewarden.llm.sigtree import jaccard_groups
+from lakewarden.llm.staging import documents, shared_folder, ship, staged
 from lakewarden.llm.tokens import word_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +32,31 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of at most 2048 tokens, from best-fit decreasing over the whole corpus."""
     return packed_documents(documents(spark, sf_dir, "doc_id", "text"), word_vocabulary())
+
+
+@query
+def op5_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from preference pairs of the labelled ones."""
+    features = staged(with_features(documents(spark, sf_dir, "doc_id", "text")), "features")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return scored(features, fit(features, labels))
+
+
+@query
+def op8_frame_of_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written in blocks and read back."""
+    path = f"{shared_folder(spark)}/token-table-{uuid.uuid4().hex}"
+    write_token_table(documents(spark, sf_dir, "doc_id", "text"), path, word_vocabulary())
+    return token_places(spark, path)
+
+
+@query
+def op10_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and keeper of every vector among those of its label."""
+    return near_duplicates(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@query
+def op9_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under the 4-word Jaccard join at 0.85."""
+    return jaccard_groups(documents(spark, sf_dir, "doc_id", "text"))
