@@ -6,11 +6,17 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakewarden.llm.bestfit import packed_documents
+from lakewarden.llm.imatch import edited_fingerprints
+from lakewarden.llm.line_runs import oracle as line_runs_sql
+from lakewarden.llm.line_runs import without_repeats
+from lakewarden.llm.merkle import audit, record_index, warc_record
 from lakewarden.llm.pfor import token_places, write_token_table
 from lakewarden.llm.projections import near_duplicates
 from lakewarden.llm.ranking import fit, scored, with_features
+from lakewarden.llm.raking import mixed
 from lakewarden.llm.sigtree import jaccard_groups
 from lakewarden.llm.staging import documents, shared_folder, ship, staged
 from lakewarden.llm.tokens import word_vocabulary
@@ -60,3 +66,55 @@ def op10_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under the 4-word Jaccard join at 0.85."""
     return jaccard_groups(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return edited_fingerprints(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the later copies of repeated runs of lines."""
+    kept = without_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op6_line_runs"] = line_runs_sql()
+
+
+@query
+def op7_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated weight, chance and draw of every document."""
+    rows = mixed(documents(spark, sf_dir, "doc_id", "text", "source", "lang"))
+    return rows.select("doc_id", "n_tokens", "topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
+
+
+#: The second replica: the same pages with some records cut short, altered or lost, told by page_id.
+DAMAGED = {"html": "case page_id % 997 when 3 then substr(html, 1, length(html) // 2) when 5 then replace(html, '<p>', '<P>') else html end"}
+
+
+@query
+def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status in a damaged replica of every page's record, at its place in the archive."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select("page_id", "url", "html")
+    index = staged(record_index(pages, "page_id", warc_record(F.col("url"), F.col("html"))), "index")
+    replica = pages.where("page_id % 997 <> 7").withColumn("html", F.expr(DAMAGED["html"].replace("//", "div")))
+    found = replica.select(F.col("page_id").alias("key"), warc_record(F.col("url"), F.col("html")).alias("record"))
+    found = found.select("key", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
+    placed = found.join(index.select("key", "offset"), "key").select("key", "offset", "length", "digest")
+    return audit(index, placed.transform(lambda df: staged(df, "replica"))).select(
+        F.col("key").alias("page_id"), "offset", "length", F.col("digest").alias("sha256"), "status")
+
+
+ORACLE["op1_merkle_audit"] = f"""
+with a as (select page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+             || chr(13) || chr(10) || 'Content-Length: ' as head, chr(13) || chr(10) || chr(13) || chr(10) as gap, coalesce(html, '') as html from pages),
+b as (select page_id, head || strlen(html) || gap || html || gap as record,
+             head || strlen(other) || gap || other || gap as replica
+      from (select *, {DAMAGED["html"]} as other from a))
+select page_id, cast(coalesce(sum(strlen(record)) over (order by page_id rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset",
+       strlen(record) as length, sha256(record) as sha256,
+       case when page_id % 997 = 7 then 'missing' when record = replica then 'intact' else 'changed' end as status
+from b"""

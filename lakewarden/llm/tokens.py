@@ -11,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 SLICE_CHARS = 1 << 20
+MARK = "\x01"
+JOINED_WORDS = 64
 
 
 class _Index(dict):
@@ -47,18 +49,28 @@ class Encoder:
     def _room(array: np.ndarray, need: int) -> np.ndarray:
         return array if need <= len(array) else np.concatenate([array, np.zeros(max(need - len(array), len(array)), array.dtype)])
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in turn and how many each has. Many are encoded as one text, with a mark between them."""
+        encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        mark = encode([MARK])[0]
+        if len(mark) != 1 or any(MARK in w for w in words):
+            found = encode(words)
+            return np.fromiter((i for ids in found for i in ids), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        joined = [f" {MARK} ".join([*words[k:k + JOINED_WORDS], ""]) for k in range(0, len(words), JOINED_WORDS)]
+        ids = np.concatenate([np.array(found, np.uint32) for found in encode(joined)])
+        ends = np.flatnonzero(ids == mark[0])
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def _learn(self) -> None:
         fresh, self.index.fresh = self.index.fresh, []
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(sizes.sum())
-        self.starts, self.sizes = (self._room(a, self.known + len(found)) for a in (self.starts, self.sizes))
-        self.ids = self._room(self.ids, self.used + total)
-        self.sizes[self.known:self.known + len(found)] = sizes
-        self.starts[self.known:self.known + len(found)] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used:self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
-        self.known += len(found)
-        self.used += total
+        ids, sizes = self._encoded(fresh)
+        self.starts, self.sizes = (self._room(a, self.known + len(fresh)) for a in (self.starts, self.sizes))
+        self.ids = self._room(self.ids, self.used + len(ids))
+        self.sizes[self.known:self.known + len(fresh)] = sizes
+        self.starts[self.known:self.known + len(fresh)] = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.known += len(fresh)
+        self.used += len(ids)
 
     def _slice(self, text: str) -> np.ndarray:
         if len(self.index) > CACHED_WORDS:
