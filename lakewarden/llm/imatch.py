@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from lakewarden.llm.order import block_of, block_successor
 from lakewarden.llm.staging import staged, whole_text
 
-SLOTS = 4096
+SLOTS = 32768
 #: (lexicons, slots of each): a lexicon of s slots holds s / SLOTS of all terms.
-LEXICONS = ((8, 64), (8, 16), (8, 4), (8, 1))
+LEXICONS = ((64, 64), (32, 8), (16, 1))
 USED_SLOTS = sum(n * s for n, s in LEXICONS)
 COUNT = sum(n for n, _ in LEXICONS)
 #: Kept terms have ln(N / df) / ln(N) in this band: not in most documents, nor in hardly any.
-BAND = (0.15, 0.95)
+BAND = (0.3, 0.95)
 NEIGHBOUR_BLOCK = 256
 NONE = "-"
 
@@ -90,14 +90,17 @@ def fingerprints(rows: DataFrame, sides: tuple[str, ...], counted: str) -> DataF
     """
     kept = band(rows, counted, rows.count())
     a, b = sides
-    flagged = F.concat(*(F.transform(x, lambda h, f=f: F.struct(h.alias("term"), F.lit(f).alias("on"))) for x, f in (
-        (F.array_intersect(a, b), 3), (F.array_except(a, b), 1), (F.array_except(b, a), 2))))
+
+    def flag(found: Column, on: int) -> Column:
+        return F.transform(found, lambda h: F.struct(h.alias("term"), F.lit(on).alias("on")))
+
+    flagged = F.concat(flag(F.array_intersect(a, b), 3), flag(F.array_except(a, b), 1), flag(F.array_except(b, a), 2))
     pairs = rows.select("_row", F.explode(flagged).alias("t")).select("_row", "t.term", "t.on").join(kept, "term")
     pairs = pairs.select("_row", "term", "on").repartition("_row").withColumn("lexicon", lexicon_of(F.col("term")))
 
     def hashed(bit: int) -> Column:
         own = F.sort_array(F.collect_list(F.when(F.col("on").bitwiseAND(bit) > 0, F.col("term"))))
-        return F.when(F.size(own) > 0, F.substring(F.hex(F.xxhash64(own)), -8, 8)).otherwise(NONE)
+        return F.when(F.size(own) > 0, F.substring(F.hex(F.xxhash64(own)), -6, 6)).otherwise(NONE)
 
     parts = pairs.groupBy("_row", "lexicon").agg(hashed(1).alias("x"), hashed(2).alias("y"))
     whole = parts.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("lexicon", F.struct("x", "y")))).alias("m"))
