@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakewarden.llm import suffix_sample
 from lakewarden.llm.bestfit import packed_documents
 from lakewarden.llm.imatch import edited_fingerprints
 from lakewarden.llm.line_runs import oracle as line_runs_sql
@@ -118,3 +119,10 @@ select page_id, cast(coalesce(sum(strlen(record)) over (order by page_id rows be
        strlen(record) as length, sha256(record) as sha256,
        case when page_id % 997 = 7 then 'missing' when record = replica then 'intact' else 'changed' end as status
 from b"""
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that also start elsewhere."""
+    kept = suffix_sample.without_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
