@@ -16,7 +16,7 @@ from lakewarden.llm.line_runs import without_repeats
 from lakewarden.llm.merkle import audit, record_index, warc_record
 from lakewarden.llm.pfor import token_places, write_token_table
 from lakewarden.llm.projections import near_duplicates
-from lakewarden.llm.ranking import fit, scored, with_features
+from lakewarden.llm.ranking import fit, scored
 from lakewarden.llm.raking import mixed
 from lakewarden.llm.sigtree import jaccard_groups
 from lakewarden.llm.staging import documents, shared_folder, ship, staged
@@ -44,9 +44,8 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, from preference pairs of the labelled ones."""
-    features = staged(with_features(documents(spark, sf_dir, "doc_id", "text")), "features")
-    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    return scored(features, fit(features, labels))
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return scored(docs, fit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")))
 
 
 @query
