@@ -8,15 +8,17 @@
    of sizes. Large trees are cut into blocks along the sizes; pairs of blocks are pruned by Spark,
    and pairs of nodes inside a task, by the greatest overlap that bitmaps and sizes allow.
 3. Surviving pairs of documents are counted over their shared prefix shingles, which bounds their
-   overlap again, and what is left is verified on the whole sets.
+   overlap again. What is left is bounded by whole sets at 16 bits a shingle, then verified on the
+   whole sets.
 
-Documents are first linked to the leader of each shingle with which they share much; trees whose
+Documents are first linked to the hub of each shingle with which they share much; trees whose
 documents are one component by then have nothing more to tell and are skipped. Equal sets are one
 node throughout.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,9 @@ COMMON = 0.001
 LOCAL_COMMON = 4
 CACHED_WORDS = 500_000
 WANTED_BITS = 1 << 23
+HUB_ROUNDS = 1
+SALTS = 2
+HELD_PAIRS = 200_000
 
 
 class _WordHash(dict):
@@ -149,8 +154,8 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
     return _texts(docs).mapInArrow(make, "doc_id long, prefix array<long>, bits binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """doc_id and whole set of the wanted documents; a bitmap of fixed size spares the tasks most others."""
+def _sets(docs: DataFrame, wanted: DataFrame, n: int, kind: str) -> DataFrame:
+    """doc_id and whole set of the wanted documents, in numbers of the kind; a bitmap of fixed size spares the tasks most others."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
     parts = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()  # at most WANTED_BITS / 8 bytes
@@ -165,19 +170,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 found = maps.get(bucket)
                 if found is not None and found[bit >> 3] >> (bit & 7) & 1:
                     keys.append(key)
-                    sets.append(shingles(batch.column(1)[at].as_py(), n).tobytes())
+                    sets.append(np.sort(shingles(batch.column(1)[at].as_py(), n).astype(kind)).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "set"])
 
     marked = _texts(docs).select("doc_id", "text", F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("b"))
-    return marked.mapInArrow(make, "doc_id long, set binary")
+    found = marked.mapInArrow(make, "doc_id long, set binary").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return staged(found, "sets")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity."""
-    pairs = staged(pairs, "pairs")
+def _in_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted lists; equal numbers inside a list only add to it."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _passing(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, kind: str) -> DataFrame:
+    """The pairs (a, b) whose sets in that kind of numbers reach the similarity; shorter numbers never lose a pair."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _sets(docs, wanted, n).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(sets, "sets")
+    sets = _sets(docs, wanted, n, kind)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -185,17 +195,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) ->
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                same = len(np.intersect1d(a, b, assume_unique=True))
+                a, b = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
+                same = _in_common(a, b)
                 keep.append(den * same >= num * (len(a) + len(b) - same))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return staged(both.mapInArrow(check, "a long, b long"), "verified")
+    return staged(both.mapInArrow(check, "a long, b long"), "passing")
 
 
-def least_shared(a: Column, b: Column, num: int, den: int) -> Column:
-    """Least overlap of linked sets of these sizes: num / (num + den) of their sum."""
-    return F.ceil((a + b) * num / F.lit(float(num + den)) - 1e-9)
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the similarity: few come through 16 bits a shingle that do not."""
+    likely = _passing(staged(pairs, "pairs"), docs, n, num, den, "<u2")
+    return _passing(likely, docs, n, num, den, "<u8")
 
 
 def beyond_prefix(size: Column, num: int, den: int) -> Column:
@@ -268,38 +279,41 @@ def tree_pairs(one: Tree, two: Tree, num: int, den: int) -> Iterator[tuple[int,
 
 
 def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs of rows (token, i, j, side, rep, comp, size, bits), a group being a pair of blocks."""
+    """Candidate pairs (a, b, n) of rows (token, lead, i, j, side, rep, comp, size, bits), n being the trees they met in.
+
+    A tree is a token, or a pair of its blocks. Trees of one lead, the least document in them, hold
+    much the same documents and go to SALTS tasks, where their pairs are counted before they are sent on.
+    """
 
-    def flush(group: list) -> Iterator[tuple[int, int]]:
-        if len(group) < 2:
-            return
-        sides = [[r for r in group if r[0] == s] for s in (0, 1)]
-        trees = [Tree(*(list(c) for c in list(zip(*side, strict=True))[1:])) for side in sides if side]
-        yield from tree_pairs(trees[0], trees[-1], num, den)
+    def pairs_of(group: list) -> Iterator[tuple[int, int]]:
+        if len(group) > 1:
+            sides = [[r for r in group if r[0] == s] for s in (0, 1)]
+            trees = [Tree(*(list(c) for c in list(zip(*side, strict=True))[1:])) for side in sides if side]
+            yield from tree_pairs(trees[0], trees[-1], num, den)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, out = None, [], []
+        now, group, met = None, [], Counter()
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(8)]
             for token, i, j, side, rep, comp, size, bits in zip(*columns, strict=True):
                 if (token, i, j) != now:
-                    out += flush(group)
+                    met.update(pairs_of(group))
                     now, group = (token, i, j), []
                 group.append((side, rep, comp, size, int.from_bytes(bits, "big")))
-                if len(out) > 100_000:
-                    yield _pairs(out)
-                    out = []
-        out += flush(group)
-        if out:
-            yield _pairs(out)
+                if len(met) > HELD_PAIRS:
+                    yield _counted(met)
+                    met = Counter()
+        met.update(pairs_of(group))
+        if met:
+            yield _counted(met)
 
-    dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return dealt.select("token", "i", "j", "side", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long")
+    dealt = rows.withColumn("salt", F.pmod("token", F.lit(SALTS))).repartition("lead", "salt", "i", "j").sortWithinPartitions("lead", "salt", "token", "i", "j")
+    return dealt.select("token", "i", "j", "side", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
 
 
-def _pairs(rows: list) -> pa.RecordBatch:
-    a, b = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _counted(met: Counter) -> pa.RecordBatch:
+    a, b = zip(*met, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(list(met.values()), pa.int64())], ["a", "b", "n"])
 
 
 def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, block: int = BLOCK) -> DataFrame:
@@ -321,26 +335,23 @@ def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, b
     prefixes = staged(prefixes.dropDuplicates(["doc_id"]), "prefixes")
 
     tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("rep"), "size")
-    leaders = tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").select("token", "lead")
-    shared = staged(tokens.join(leaders, "token"), "shared")
-    near = shared.where("rep <> lead").groupBy("rep", "lead", "size").count().where(
-        F.col("count") >= 0.3 * (F.col("size") - beyond_prefix(F.col("size"), num, den)))
-    first = _verified(near.select(F.col("lead").alias("a"), F.col("rep").alias("b")), docs, n, num, den)
-    known = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    open_rows = shared.join(known, F.col("rep") == F.col("node"), "left").select(
-        "token", "rep", "size", F.coalesce("component", "rep").alias("comp"))
-    open_rows = staged(open_rows, "marked")
-    spans = open_rows.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("n")).where("_low < _high").select("token", "n")
+    often = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token", "n")
+    shared = staged(tokens.join(often, "token"), "shared")
+    links, open_rows = None, shared.withColumn("comp", F.col("rep"))
+    for _ in range(HUB_ROUNDS):
+        found = _verified(_hub_pairs(open_rows, num, den), docs, n, num, den)
+        links = found if links is None else staged(links.unionAll(found), "hub-links")
+        open_rows = _marked(shared, links)
+    spans = open_rows.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("rep").alias("lead")).where("_low < _high").select("token", "lead")
     open_rows = open_rows.join(spans, "token").join(prefixes.select(F.col("doc_id").alias("rep"), "bits"), "rep")
     open_rows = staged(open_rows, "trees")
-    pairs = _tree_join(_blocks(open_rows, num, den, block), num, den).groupBy("a", "b").count()
+    pairs = _tree_join(_blocks(open_rows, num, den, block), num, den).groupBy("a", "b").agg(F.sum("n").alias("n"))
     sizes = prefixes.select("doc_id", "size")
     pairs = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("size").alias("sa")), "a").join(
         sizes.select(F.col("doc_id").alias("b"), F.col("size").alias("sb")), "b")
     outside = beyond_prefix(F.greatest("sa", "sb"), num, den)
-    pairs = pairs.where(F.col("count") + outside >= least_shared(F.col("sa"), F.col("sb"), num, den)).select("a", "b")
-    links = first.unionAll(_verified(pairs, docs, n, num, den))
+    pairs = pairs.where((F.col("n") + outside) * (num + den) >= (F.col("sa") + F.col("sb")) * num).select("a", "b")
+    links = links.unionAll(_verified(pairs, docs, n, num, den))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     classes = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "size", F.coalesce("component", "rep").alias("_component"))
@@ -348,6 +359,28 @@ def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, b
         "doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id")).alias("component_id"))
 
 
+def _hub_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of each document and the hub of a shingle, where they share much of a prefix and not yet a component.
+
+    The hub of a shingle is the document that shares its prefix most widely: among edited copies, the original.
+    """
+    reach = rows.groupBy("rep").agg(F.sum("n").alias("reach"))
+    hubs = rows.join(reach, "rep").groupBy("token").agg(
+        F.max_by("rep", "reach").alias("hub"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high").select("token", "hub")
+    near = rows.join(hubs, "token").where("rep <> hub").groupBy("rep", "hub", "size", "comp").count()
+    near = near.where(F.col("count") >= 0.3 * (F.col("size") - beyond_prefix(F.col("size"), num, den)))
+    other = rows.select(F.col("rep").alias("hub"), F.col("comp").alias("_comp")).distinct()
+    near = near.join(other, "hub").where("comp <> _comp")
+    return near.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+
+
+def _marked(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with their documents' components so far."""
+    known = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return staged(shared.join(known, F.col("rep") == F.col("node"), "left").select(
+        "token", "rep", "size", "n", F.coalesce("component", "rep").alias("comp")), "marked")
+
+
 def _blocks(rows: DataFrame, num: int, den: int, block: int) -> DataFrame:
     """Rows of each token as (i, j, side): small trees whole, large ones as pairs of blocks that may hold a link."""
     plain = rows.where(F.col("n") <= block).withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
@@ -360,5 +393,5 @@ def _blocks(rows: DataFrame, num: int, den: int, block: int) -> DataFrame:
         F.col("l.token").alias("token"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
     sides = meets.select("*", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
         meets.where("i < j").select("*", F.col("j").alias("block"), F.lit(1).alias("side")))
-    names = ["token", "i", "j", "side", "rep", "comp", "size", "bits"]
+    names = ["token", "lead", "i", "j", "side", "rep", "comp", "size", "bits"]
     return plain.select(names).unionAll(large.join(sides, ["token", "block"]).select(names))

@@ -43,10 +43,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame as Parquet to a new folder of the shared place and read it back."""
+    """Write the frame as Parquet to a new folder of the shared place and read it back.
+
+    Shuffle files of what led to it are of no use then; Spark drops them when the driver's JVM has
+    collected their last reference, which is asked for here rather than awaited.
+    """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), "staged", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
