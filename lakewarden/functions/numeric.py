@@ -5,8 +5,6 @@ Functions ending in ``_sql`` take and return SQL text; the others work on Column
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Text that counts as a number, after trimming. Stricter than a cast: Spark also
 # accepts '1d' and other engines also accept '1_000'.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -24,10 +22,24 @@ def to_number_sql(text: str) -> str:
     return f"case when {is_number_sql(text)} then try_cast(trim({text}) as double) end"
 
 
+def finite_number_sql(kind: str, value: str) -> str:
+    """DOUBLE of a value of that kind: text that is a number, or a number that is neither NaN nor infinite."""
+    if kind == "string":
+        return to_number_sql(value)
+    if kind == "double":
+        return f"case when not isnan({value}) and abs({value}) < double('infinity') then {value} end"
+    return f"cast({value} as double)" if kind == "bigint" else "cast(null as double)"
+
+
 def round_sql(value: str, digits: int) -> str:
-    """Round half up with plain double arithmetic, so every engine agrees on the digits."""
+    """Round half up with plain double arithmetic, so every engine agrees on the digits.
+
+    From 2**52 / 10**digits on a double has no digits left to round (and floor would leave the range of
+    a bigint); such values, infinities and NaN stay as they are.
+    """
     scale = f"{10**digits}.0D"
-    return f"floor(({value}) * {scale} + 0.5D) / {scale}"
+    limit = f"{float(2**52 // 10**digits)!r}D"
+    return f"case when abs({value}) < {limit} then floor(({value}) * {scale} + 0.5D) / {scale} else ({value}) end"
 
 
 def percent_sql(part: str, whole: str, digits: int = 2) -> str:
@@ -43,11 +55,3 @@ def double_text_sql(value: str) -> str:
             f"then case when endswith({plain}, '.') then concat({plain}, '0') else {plain} end "
             f"else cast({value} as string) end")
 
-
-def is_number(text: Column) -> Column:
-    return F.trim(text).rlike(NUMBER_PATTERN)
-
-
-def round_to(value: Column, digits: int) -> Column:
-    scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

@@ -131,21 +131,11 @@ def export_fields(records: DataFrame) -> DataFrame:
 
 
 def report_lines(records: DataFrame) -> DataFrame:
-    """One Markdown table row per record."""
-    status = F.create_map(*[F.lit(x) for pair in {"PASS": "[PASS]", "WARNING": "[WARN]", "DLQ": "[DLQ]"}.items() for x in pair])
-    docs = F.create_map(*[F.lit(x) for pair in {"SUCCESS": "[OK]", "SKIPPED": "[SKIP]", "ERROR": "[ERR]"}.items() for x in pair])
-    cell = [
-        F.concat(F.lit("`"), F.col("table"), F.lit("`")),
-        F.col("scenario"),
-        F.concat_ws(" ", F.coalesce(status[F.col("validation_status")], F.lit("[?]")), "validation_status"),
-        F.format_number("rows_total", 0),
-        F.col("duplicate_count").cast("string"),
-        F.concat(F.col("avg_null_pct").cast("string"), F.lit("%")),
-        F.col("profiling_ms").cast("string"),
-        F.concat_ws(" ", F.coalesce(docs[F.col("slm_status")], F.lit("[-]")), F.col("slm_inference_ms").cast("string")),
-        F.concat(F.lit("**"), F.col("quality_score").cast("string"), F.lit("**")),
-    ]
-    return records.select("run_id", *SERIES, F.concat(F.lit("| "), F.concat_ws(" | ", *cell), F.lit(" |")).alias("line"))
+    """One line of text per record: where, outcome, rows, share of nulls, duplicates and score."""
+    line = F.format_string("%s/%s %s: score %s, rows %s of %s, nulls %s%%, duplicates %s",
+                           F.col("table"), F.col("scenario"), F.coalesce("validation_status", F.lit("unknown")), F.col("quality_score").cast("string"),
+                           F.col("rows_valid").cast("string"), F.col("rows_total").cast("string"), F.col("avg_null_pct").cast("string"), F.col("duplicate_count").cast("string"))
+    return records.select("run_id", *SERIES, line.alias("line"))
 
 
 def union_records(*frames: DataFrame) -> DataFrame:

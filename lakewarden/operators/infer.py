@@ -130,22 +130,22 @@ def draft_document(table: str, columns: list[dict], fmt: str, delimiter: str | N
     return {
         "table": table,
         "description": f"# TODO: describe {table}",
-        "owner": "# TODO: owning team",
+        "owner": "# TODO: who answers for this table",
         "version": "1.0.0",
         "manifest_status": status,
         "source": {
-            "system": "# TODO: source system", "format": fmt, "encoding": encoding,
-            "os": "# TODO: unix | windows | mainframe", "delimiter": delimiter,
-            "update_frequency": "# TODO: daily | weekly | event_driven",
-            "contact": "# TODO: contact of the source team",
+            "system": "# TODO: where it comes from", "format": fmt, "encoding": encoding,
+            "os": "# TODO: platform that writes the files", "delimiter": delimiter,
+            "update_frequency": "# TODO: how often it arrives",
+            "contact": "# TODO: whom to ask about the files",
         },
         "regulatory": {
-            "tags": tags or ["# TODO: review tags"],
+            "tags": tags or ["# TODO: which rules apply"],
             "data_classification": "confidential" if "LGPD_SENSITIVE" in flags else "internal",
             "retention_years": None,
         },
-        "steward": {"name": "# TODO: name", "email": "# TODO: email"},
-        "business_context": f"# TODO: describe {table}.",
+        "steward": {"name": "# TODO: person", "email": "# TODO: address"},
+        "business_context": "# TODO: what it is used for",
         "tolerance": {"max_null_pct": 20, "allow_duplicates": False},
         "dependencies": [],
         "sample_queries": [],

@@ -8,7 +8,32 @@ looked up among themselves. The result is the same as lag() over the whole group
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+CHUNKS_PER_PARTITION = 2
+BROADCAST_CUTS = 100_000
+
+
+def _with_chunks(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Add ``_chunk``, the number of cuts at or before a row in its group.
+
+    The cuts are rows that a hash of their key picks, a few for each shuffle partition, so a chunk
+    follows from the data alone and is the same whenever a task is run again.
+    """
+    wanted = CHUNKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = max(1, df.count() // wanted)
+    at = F.struct(*[F.col(c) for c in order])
+    picked = df.filter(F.pmod(F.xxhash64(*group, *order), F.lit(every)) == 0)
+    cuts = picked.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], at.alias("_at"))
+    cuts = cuts.groupBy(*[f"_g{i}" for i in range(len(group))]).agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
+    same: list[Column] = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
+    # A tiny frame picks every row; a larger one about `wanted` of them.
+    cuts = F.broadcast(cuts) if wanted <= BROADCAST_CUTS else cuts
+    joined = df.join(cuts, reduce(lambda a, b: a & b, same), "left")
+    passed = F.size(F.filter("_cuts", lambda c: c <= at))
+    return joined.withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).drop("_cuts", *[f"_g{i}" for i in range(len(group))])
 
 
 def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict[str, str],
@@ -16,20 +41,12 @@ def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict
     """Add the value of the previous row in each group under a new name.
 
     ``values`` maps new names to the columns looked up; ``order`` must be total inside a group.
-
-    Chunks are the partitions of a range partitioning by group and order, which stay even
-    however the rows are spread: a group, a day or a single start position may hold most of
-    them. ``chunk`` is an expression that does not decrease along ``order`` (a month of a
-    timestamp, say) for data known to be even over it; it saves the range partitioning.
-
-    Both halves read the same exchange, because they need the same columns and are told apart
-    only after it. There are two edge rows per group and chunk, so the lookup among them is small.
+    ``chunk`` is an expression that does not decrease along ``order`` (a month of a timestamp,
+    say) for data known to be even over it; without one, chunks of about equal size are cut from
+    the data, however many rows a group, a day or a start position holds. Rows are shuffled once;
+    there are two edge rows per group and chunk, so the lookup among them is small.
     """
-    if chunk is None:
-        cut = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*group, *order]]).withColumn(
-            "_chunk", F.spark_partition_id())
-    else:
-        cut = df.withColumn("_chunk", F.expr(chunk))
+    cut = _with_chunks(df, group, order) if chunk is None else df.withColumn("_chunk", F.expr(chunk))
     inside = W.partitionBy(*group, "_chunk").orderBy(*order)
     looked = cut.withColumns({
         **{new: F.lag(src).over(inside) for new, src in values.items()},

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from lakewarden.functions.numeric import percent_sql, round_sql, to_number_sql
+from lakewarden.functions.numeric import finite_number_sql, percent_sql, round_sql
 from lakewarden.functions.sqltext import ident
 from lakewarden.functions.text import is_blank_sql
 from lakewarden.operators.values import (
@@ -57,27 +57,47 @@ def column_facts(df: DataFrame, columns: list[str] | None = None, digest: bool =
 def sketch_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The same statistics with an approximate distinct count and no data shuffle at all.
 
-    One aggregation over the scan; every task sends a single row. This is the form for very
-    large tables where the distinct count does not need to be exact.
+    Every task sends a single row per aggregation. This is the form for very large tables where the distinct count does not need to be exact.
     """
     refs = column_refs(df, columns)
-    parts = []
-    for start in range(0, len(refs), COLUMNS_PER_BRANCH):
-        chunk = refs[start:start + COLUMNS_PER_BRANCH]
-        aggs = ["count(1) as rows"]
-        for r in chunk:
-            col, text = ident(r.name), text_sql(df, r.name)
-            number = {"string": to_number_sql(text), "bigint": f"cast({col} as double)", "double": col}.get(
-                r.kind, "cast(null as double)")
-            aggs.append(
-                f"named_struct('pos', {r.pos}, "
-                f"'null_count', count_if({is_blank_sql(text) if r.kind == 'string' else f'{col} is null'}), "
-                f"'missing_count', count_if({col} is null), "
-                f"'unique_count', approx_count_distinct({text if r.kind == 'string' else col}), "
-                f"'lo', min({number}), 'hi', max({number}), 'total', sum({number}), 'numbers', count({number})) as c{r.pos}")
-        one = df.agg(*[F.expr(a) for a in aggs])
-        parts.append(one.selectExpr("rows", f"inline(array({', '.join(f'c{r.pos}' for r in chunk)}))"))
-    return _named(reduce(DataFrame.unionByName, parts), [r.name for r in refs])
+    parts = [_sketch_part(df, refs[i:i + COLUMNS_PER_BRANCH], distinct)
+             for i in range(0, len(refs), COLUMNS_PER_BRANCH) for distinct in (False, True)]
+    # Two rows per column, plain figures and distinct sketch, become one.
+    merged = reduce(DataFrame.unionByName, parts).groupBy("pos").agg(*[F.expr(f"max({c}) as {c}") for c in (
+        "rows", "null_count", "missing_count", "unique_count", "lo", "hi", "total", "numbers")])
+    return _named(merged, [r.name for r in refs])
+
+
+def _sketch_part(df: DataFrame, refs: list, distinct: bool) -> DataFrame:
+    """One aggregation of one row per task: the plain figures of these columns, or their distinct sketches.
+
+    Each column's number and blank flag are made once, below the aggregation.
+    """
+    cells, aggs, rows = [], ["count(1) as n"], []
+    for r in refs:
+        col, text, pos = ident(r.name), text_sql(df, r.name), r.pos
+        numeric = r.kind in ("string", "bigint", "double")
+        fields = {"rows": "n"} if not distinct else {}
+        if distinct:
+            cells.append(f"{text if r.kind == 'string' else col} as v{pos}")
+            aggs.append(f"approx_count_distinct(v{pos}) as u{pos}")
+            fields["unique_count"] = f"u{pos}"
+        else:
+            cells.append(f"{col} is null as m{pos}")
+            aggs.append(f"count_if(m{pos}) as m{pos}")
+            fields["missing_count"] = fields["null_count"] = f"m{pos}"
+            if r.kind == "string":
+                cells.append(f"{is_blank_sql(text)} as b{pos}")
+                aggs.append(f"count_if(b{pos}) as b{pos}")
+                fields["null_count"] = f"b{pos}"
+            if numeric:
+                cells.append(f"{finite_number_sql(r.kind, text if r.kind == 'string' else col)} as x{pos}")
+                aggs += [f"{f}(x{pos}) as {n}{pos}" for f, n in (("min", "l"), ("max", "h"), ("sum", "s"), ("count", "c"))]
+                fields |= {"lo": f"l{pos}", "hi": f"h{pos}", "total": f"s{pos}", "numbers": f"c{pos}"}
+        typed = {"rows": "bigint", "null_count": "bigint", "missing_count": "bigint", "unique_count": "bigint",
+                 "lo": "double", "hi": "double", "total": "double", "numbers": "bigint"}
+        rows.append("named_struct('pos', %d, %s)" % (pos, ", ".join(f"'{k}', cast({fields.get(k, 'null')} as {t})" for k, t in typed.items())))
+    return df.selectExpr(*cells).agg(*[F.expr(a) for a in aggs]).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True, digest: bool = True) -> DataFrame:

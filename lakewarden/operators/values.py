@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lakewarden.functions.numeric import double_text_sql, is_number_sql, to_number_sql
+from lakewarden.functions.numeric import double_text_sql, finite_number_sql, is_number_sql
 from lakewarden.functions.sqltext import ident, literals
 from lakewarden.functions.text import is_blank_sql
 
@@ -59,13 +59,8 @@ def to_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def _text_and_number(kind: str) -> tuple[str, str]:
-    if kind == "string":
-        return "v", to_number_sql("v")
-    if kind == "double":
-        return double_text_sql("v"), "case when not isnan(v) and abs(v) < double('infinity') then v end"
-    if kind == "bigint":
-        return "cast(v as string)", "cast(v as double)"
-    return "cast(v as string)", "cast(null as double)"
+    text = {"string": "v", "double": double_text_sql("v")}.get(kind, "cast(v as string)")
+    return text, finite_number_sql(kind, "v")
 
 
 # A text that is longer than this after trimming is no date, no boolean and, unless it looks

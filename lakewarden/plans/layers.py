@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 LAYERS = ("bronze", "silver", "gold", "quarantine", "contracts", "metrics", "reports")
@@ -15,34 +17,63 @@ class Lake:
 
     root: str
 
-    def path(self, layer: str, table: str = "", run_id: str | None = None) -> str:
+    def path(self, layer: str, table: str = "", run_id: str | None = None, scenario: str | None = None,
+             fmt: str | None = None) -> str:
+        """Folder of a layer, of a table in it, or of one load of that table.
+
+        A load is told apart by run, scenario and format, so no two loads of a run share a folder.
+        """
         if layer not in LAYERS:
             raise ValueError(f"unknown layer '{layer}', available: {', '.join(LAYERS)}")
-        parts = [self.root.rstrip("/"), layer] + [p for p in (table,) if p]
-        return "/".join(parts + ([f"run_id={run_id}"] if run_id else []))
+        keys = (("run_id", run_id), ("scenario", scenario), ("format", fmt))
+        return "/".join([self.root.rstrip("/"), layer, *filter(None, [table]), *(f"{k}={quote(v, safe='')}" for k, v in keys if v)])
+
+
+@dataclass(frozen=True)
+class LoadKey:
+    """What tells one load of a lake from all others."""
 
+    table: str
+    run_id: str
+    scenario: str = "baseline"
+    fmt: str = "csv"
 
-def stage(df: DataFrame, lake: Lake, table: str, run_id: str) -> DataFrame:
+    def path(self, lake: Lake, layer: str) -> str:
+        return lake.path(layer, self.table, self.run_id, self.scenario, self.fmt)
+
+
+def stage(df: DataFrame, lake: Lake, key: LoadKey) -> DataFrame:
     """Parse a landing file once into columnar bronze, and go on from there.
 
     The checks, the profile and the routing then read only the columns they need, and a lost
     executor re-reads the stage instead of parsing the landing file again.
     """
-    path = lake.path("bronze", table, run_id)
+    path = key.path(lake, "bronze")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def promote_load(df: DataFrame, lake: Lake, table: str, run_id: str | None = None) -> str:
-    """Passing load to silver, replacing what that run (or that table) had there."""
-    path = lake.path("silver", table, run_id)
+def _withdraw(df: DataFrame, path: str) -> None:
+    """Empty what an earlier run of the same load left on the other route, if anything."""
+    try:
+        left = df.sparkSession.read.parquet(path).schema
+    except AnalysisException:
+        return
+    df.sparkSession.createDataFrame([], left).write.mode("overwrite").parquet(path)
+
+
+def promote_load(df: DataFrame, lake: Lake, key: LoadKey) -> str:
+    """Passing load to silver, replacing what that load had there or in quarantine."""
+    path = key.path(lake, "silver")
     df.write.mode("overwrite").parquet(path)
+    _withdraw(df, key.path(lake, "quarantine"))
     return path
 
 
-def quarantine_load(df: DataFrame, lake: Lake, table: str, run_id: str, issues: list[str]) -> str:
-    """Whole load to quarantine with the reasons; bronze keeps its copy."""
-    path = lake.path("quarantine", table, run_id)
+def quarantine_load(df: DataFrame, lake: Lake, key: LoadKey, issues: list[str]) -> str:
+    """Whole load to quarantine with the reasons; bronze keeps its copy, silver loses an earlier one."""
+    path = key.path(lake, "quarantine")
     marked = df.withColumns({"_status": F.lit("DLQ"), "_issues": F.array(*[F.lit(i) for i in issues])})
     marked.write.mode("overwrite").parquet(path)
+    _withdraw(df, key.path(lake, "silver"))
     return path

@@ -15,7 +15,7 @@ from lakewarden.functions.codes import EXIT_CODES
 from lakewarden.operators.checks import rejected, schema_evolution, validate, validate_with_facts
 from lakewarden.operators.profile import FACTS_DDL, column_facts, documentation_summary, profile_with_top
 from lakewarden.operators.score import run_records
-from lakewarden.plans.layers import Lake, promote_load, quarantine_load, stage
+from lakewarden.plans.layers import Lake, LoadKey, promote_load, quarantine_load, stage
 from lakewarden.sources.records import RECORD_DDL, read_records, write_records
 
 
@@ -45,42 +45,49 @@ def _profile_rows(spark: SparkSession, table: str, scenario: str, facts: list) -
     return spark.createDataFrame(rows, "`table` string, scenario string, null_pct double")
 
 
+def check_and_route(spark: SparkSession, lake: Lake, key: LoadKey, df: DataFrame, contract: Contract) -> tuple:
+    """(result row, column facts, path, profiling ms) of a staged load; facts are empty for a rejected one."""
+    facts, elapsed = [], 0.0
+    if schema_evolution(contract, df.columns).breaking:
+        row = validate(df, contract, key.scenario).first()
+    else:
+        started = time.perf_counter()
+        facts = column_facts(df).collect()
+        elapsed = round((time.perf_counter() - started) * 1000, 1)
+        row = validate_with_facts(df, spark.createDataFrame(facts, FACTS_DDL), contract, key.scenario).first()
+    if row["status"] == "DLQ":
+        return row, [], quarantine_load(df, lake, key, row["issues"]), 0.0
+    return row, facts, promote_load(df, lake, key), elapsed
+
+
+def record_of(spark: SparkSession, key: LoadKey, timestamp: str, result: DataFrame, facts: list, elapsed: float) -> DataFrame:
+    profiled = _profile_rows(spark, key.table, key.scenario, facts)
+    return run_records(key.run_id, timestamp, result, profiled, fmt=key.fmt, profiling_ms=elapsed)
+
+
 def run_load(spark: SparkSession, lake: Lake, load: Load, run_id: str, scenario: str = "baseline",
              timestamp: str | None = None) -> Outcome:
     """Validate, profile, route and record one load.
 
-    A load that fails is quarantined and neither profiled nor promoted. What reaches the
-    driver is one result row and one row per column.
+    A load that fails is quarantined and neither profiled nor promoted. An error on the way is the
+    load's own result: it is recorded as DLQ with the error as its issue. What reaches the driver is
+    one result row and one row per column.
     """
     timestamp = timestamp or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-    facts: list = []
-    path = None
-    started = time.perf_counter()
+    key = LoadKey(load.table, run_id, scenario, load.fmt)
+    facts, path, elapsed = [], None, 0.0
+    step = "Invalid contract"
     try:
         contract = load.contract() if callable(load.contract) else load.contract
-    except Exception as err:
-        contract, result = None, rejected(spark, load.table, f"Invalid contract: {err}", scenario)
-    if contract is not None:
-        try:
-            df = stage(load.read(spark), lake, load.table, run_id)
-        except Exception as err:
-            contract, result = None, rejected(spark, load.table, f"Unreadable data: {err}", scenario)
-    if contract is not None:
-        if schema_evolution(contract, df.columns).breaking:
-            row = validate(df, contract, scenario).first()
-        else:
-            facts = column_facts(df).collect()
-            row = validate_with_facts(df, spark.createDataFrame(facts, FACTS_DDL), contract, scenario).first()
-        if row["status"] == "DLQ":
-            facts = []
-            path = quarantine_load(df, lake, load.table, run_id, row["issues"])
-        else:
-            path = promote_load(df, lake, load.table, run_id)
+        step = "Unreadable data"
+        df = stage(load.read(spark), lake, key)
+        step = "Failed load"
+        row, facts, path, elapsed = check_and_route(spark, lake, key, df, contract)
         result = spark.createDataFrame([row], validate_schema())
-    elapsed = round((time.perf_counter() - started) * 1000, 1)
-    profiled = _profile_rows(spark, result.first()["table"], scenario, facts)
-    record = run_records(run_id, timestamp, result, profiled, fmt=load.fmt,
-                         profiling_ms=elapsed if facts else 0.0).first()
+    except Exception as err:
+        facts, path, elapsed = [], None, 0.0
+        result = rejected(spark, load.table, f"{step}: {err}", scenario)
+    record = record_of(spark, key, timestamp, result, facts, elapsed).first()
     return Outcome(record.asDict(recursive=True), path, facts)
 
 
@@ -94,22 +101,32 @@ def run_scenario(spark: SparkSession, lake: Lake, loads: list[Load], run_id: str
                  timestamp: str | None = None, parallel: int = 4) -> list[Outcome]:
     """All loads of a scenario; one failing load does not stop the others.
 
-    Loads are submitted side by side so that a small table does not leave the cluster idle.
+    Loads are submitted side by side so that a small table does not leave the cluster idle. Scenarios
+    and formats of one run share its run id and keep apart by their own keys.
     """
+    keys = [(one.table, one.fmt) for one in loads]
+    if len(set(keys)) < len(keys):
+        raise ValueError("a table is loaded twice in the same format")
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         outcomes = list(pool.map(lambda one: run_load(spark, lake, one, run_id, scenario, timestamp), loads))
-    records = spark.createDataFrame([o.record for o in outcomes], RECORD_DDL)
-    write_records(records, lake.path("metrics"), f"{run_id}-{scenario}")
+    if outcomes:
+        write_records(spark.createDataFrame([o.record for o in outcomes], RECORD_DDL), lake.path("metrics"))
     return outcomes
 
 
+def run_matrix(spark: SparkSession, lake: Lake, scenarios: dict[str, list[Load]], run_id: str,
+               timestamp: str | None = None, parallel: int = 4) -> list[Outcome]:
+    """One run over scenarios, each with its loads in any formats, under one run id."""
+    return [o for name, loads in scenarios.items() for o in run_scenario(spark, lake, loads, run_id, name, timestamp, parallel)]
+
+
 def run_exit_code(outcomes: list[Outcome]) -> int:
     return max((o.exit_code for o in outcomes), default=0)
 
 
 def consolidated(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
     """All records of a run: read back from the one metrics table, no second copy."""
-    return read_records(spark, lake.path("metrics")).filter(F.col("run_id").startswith(run_id))
+    return read_records(spark, lake.path("metrics")).filter(F.col("run_id") == run_id)
 
 
 def document_load(df: DataFrame) -> DataFrame:

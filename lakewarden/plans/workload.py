@@ -64,7 +64,7 @@ KEYS = {
 # A dirty landing table derived from orders: the same expressions in Spark and in SQL.
 DIRTY_ORDERS = {
     "nr_pedido": "cast(o_orderkey as string)",
-    "cd_agencia": "case when o_orderkey % 11 = 3 then 'AGENC-???' else cast(o_orderkey % 9000 + 1000 as string) end",
+    "cd_agencia": "case when o_orderkey % 11 = 3 then '<unknown>' else cast(o_orderkey % 9000 + 1000 as string) end",
     "tp_prioridade": "case when o_orderkey % 7 = 0 then null when o_orderkey % 13 = 0 then '  ' else o_orderpriority end",
     "vl_misto": "case when o_orderkey % 2 = 0 then cast(o_custkey as string) else 'N/D' end",
     "fl_ativo": "case when o_orderstatus = 'F' then 'S' else 'N' end",
@@ -105,7 +105,7 @@ def number_sql(column: str, kind: str) -> str:
 
 def round_sql(expr: str, digits: int) -> str:
     scale = f"1e{digits}"
-    return f"floor(({expr}) * {scale} + 0.5) / {scale}"
+    return f"case when abs({expr}) < {float(2**52 // 10**digits)!r}::double then floor(({expr}) * {scale} + 0.5) / {scale} else ({expr}) end"
 
 
 def percent_sql(part: str, whole: str, digits: int = 2) -> str:

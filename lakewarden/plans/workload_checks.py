@@ -15,7 +15,7 @@ from lakewarden.operators.checks import (
 from lakewarden.operators.profile import column_facts
 from lakewarden.operators.score import run_records
 from lakewarden.plans.layers import Lake
-from lakewarden.plans.scenario import Load, run_scenario
+from lakewarden.plans.scenario import Load, consolidated, run_matrix, run_scenario
 from lakewarden.plans.workload import (
     COLUMNS, KEYS, percent_sql, register, round_sql, table, text_sql,
 )
@@ -47,7 +47,7 @@ LOADS = {
     "breaking": ("customer", {k: v for k, v in _CUSTOMER.items() if k != "c_nationkey"}),
     "missing_key": ("customer", {k: v for k, v in _CUSTOMER.items() if k != "c_custkey"}),
     "repeated_keys": ("customer", {**_CUSTOMER, "c_custkey": "case when c_custkey % 3 = 0 then null else c_custkey % 1000 end"}),
-    "bad_key": ("orders", {**_ORDERS, "o_orderkey": "case when o_orderkey = 3 then 'AGENC-???' else cast(o_orderkey as string) end"}),
+    "bad_key": ("orders", {**_ORDERS, "o_orderkey": "case when o_orderkey = 3 then '<unknown>' else cast(o_orderkey as string) end"}),
     "text_key": ("orders", {**_ORDERS, "o_orderkey": "concat(' ', cast(o_orderkey as string), ' ')"}),
 }
 
@@ -167,7 +167,7 @@ def scorecard(df: DataFrame, contract: Contract, scenario: str = "baseline") ->
                           "duplicate_count", "avg_null_pct", "quality_score")
 
 
-SCORED = ["customer", "orders", "lineitem", "part", "supplier", "events", "documents", "pages", "conversations", "labels"]
+SCORED = list(COLUMNS)
 
 
 def scorecard_all(spark, sf_dir):
@@ -212,6 +212,59 @@ def scenario_runs(spark, sf_dir):
         "avg_null_pct", "quality_score")
 
 
+# One run over scenarios and formats under one run id.
+_MATRIX = {"baseline": ("csv", "json", "fixed"), "breaking": ("csv", "json", "fixed"), "null_required": ("csv", "json"), "non_breaking": ("json", "csv")}
+_WIDTHS = {"c_custkey": 12, "c_name": 30, "c_nationkey": 6, "c_acctbal": 16, "c_mktsegment": 16}
+
+
+def _matrix_sql(scenario: str, fmt: str) -> str:
+    source, contract, columns = load_sql(scenario)
+    return f"""
+    select 'matrix-7' as run_id, scenario, '{fmt}' as format, "table", status as validation_status, rows_total, rows_valid, duplicate_count,
+           case when status = 'DLQ' then 0 else rows_total end as silver_rows, case when status = 'DLQ' then rows_total else 0 end as quarantine_rows
+    from ({validate_sql(contract, source, columns, scenario)}) v"""
+
+
+@register("scenario_matrix", " union all ".join(_matrix_sql(s, f) for s, formats in _MATRIX.items() for f in formats))
+def scenario_matrix(spark, sf_dir):
+    """Landing files of every scenario in every format through one run; rows are counted in the layers."""
+    import uuid
+
+    from lakewarden.plans.layers import LoadKey
+    from lakewarden.operators.values import to_text
+    from lakewarden.sources.fixed import layout_of
+    from lakewarden.sources.reader import read_table, write_table
+
+    root = f"{shared_dir(spark)}/matrix-{uuid.uuid4().hex}"
+    lake = Lake(f"{root}/lake")
+    scenarios, keys = {}, []
+    for scenario, formats in _MATRIX.items():
+        df, contract = load_frame(spark, sf_dir, scenario)
+        layout = layout_of([(c, _WIDTHS.get(c, 30), "string") for c in df.columns])
+        loads = []
+        for fmt in formats:
+            path = f"{root}/landing/{scenario}.{'jsonl' if fmt == 'json' else fmt}"
+            extra = {"layout": layout} if fmt == "fixed" else {}
+            write_table(df if fmt == "json" else to_text(df), path, fmt, **extra)
+            loads.append(Load("customer", lambda s, p=path, f=fmt, e=extra: read_table(s, p, f, **e), contract, fmt))
+            keys.append(LoadKey("customer", "matrix-7", scenario, fmt))
+        scenarios[scenario] = loads
+    # The same run twice: nothing is doubled.
+    for _ in range(2):
+        outcomes = run_matrix(spark, lake, scenarios, "matrix-7", timestamp="1970-01-01T00:00:00")
+    routed = {(o.record["scenario"], o.record["format"]): o.path for o in outcomes}
+    counts = []
+    for key in keys:
+        path = routed[key.scenario, key.fmt]
+        layer = "silver_rows" if path == key.path(lake, "silver") else "quarantine_rows"
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+        counts.append(rows.select(F.lit(key.scenario).alias("scenario"), F.lit(key.fmt).alias("format"),
+                                  *[(F.col("n") if layer == x else F.lit(0)).cast("bigint").alias(x) for x in ("silver_rows", "quarantine_rows")]))
+    records = consolidated(spark, lake, "matrix-7").select(
+        "run_id", "scenario", "format", "table", "validation_status", "rows_total", "rows_valid", "duplicate_count")
+    return records.join(reduce(DataFrame.unionByName, counts), ["scenario", "format"])
+
+
 _NULL_CONTRACT = contract_for("orders")
 _NULL_COLUMNS = {**_ORDERS, "o_orderpriority": "case when o_orderkey % 7 = 0 then null else o_orderpriority end",
                  "o_custkey": "case when o_orderkey % 100 = 1 then null else o_custkey end"}
@@ -252,7 +305,7 @@ def dedup_lineitem(spark, sf_dir):
 
 
 _COERCIONS = {
-    "as_integer": ("integer", "case when o_orderkey % 1000 = 3 then 'AGENC-???' else cast(o_orderkey as string) end"),
+    "as_integer": ("integer", "case when o_orderkey % 1000 = 3 then '<unknown>' else cast(o_orderkey as string) end"),
     "as_float": ("float", "case when o_orderkey % 2 = 0 then concat(' ', cast(o_custkey as string), '.5e3') else 'inf' end"),
     "as_boolean": ("boolean", "case o_orderkey % 4 when 0 then 'Sim' when 1 then 'não' when 2 then ' TRUE ' else 'maybe' end"),
     "as_date": ("date", "case when o_orderkey % 2 = 0 then 'not a date' else null end"),

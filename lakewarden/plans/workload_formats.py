@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakewarden.functions.encoding import line_ending_class, to_lf
 from lakewarden.operators.profile import profile
@@ -18,9 +18,9 @@ from lakewarden.sources.fixed import (
     parse_layout_table, read_fixed,
 )
 from lakewarden.sources.landing import normalize_bytes
-from lakewarden.sources.nested import flatten, nest, observed_schema
+from lakewarden.sources.nested import flatten, nest, observed_schema, read_json_document
 from lakewarden.sources.reader import read_table, write_table
-from lakewarden.sources.tabular import DELIMITERS, detect_delimiter, detect_header, read_split_lines
+from lakewarden.sources.tabular import DELIMITERS, detect_delimiter, detect_header, read_csv, read_split_lines
 
 # ---- delimited text -------------------------------------------------------------------------
 
@@ -102,6 +102,46 @@ def csv_roundtrip_orders(spark, sf_dir):
     return profile(read_table(spark, path, "csv"))
 
 
+# Text that CSV must carry unchanged: quotes, separators, line breaks, blanks at the ends, empty against NULL.
+def _hard_text(column: str, key: str, sql: bool = False) -> str:
+    line_break, text = ("chr(10)", "varchar") if sql else ("chr(10)", "string")
+    return (f"case {key} % 7 when 0 then concat('  ', {column}, ' ') when 1 then concat('say \"', {column}, '\", ok')  when 2 then '' when 3 then null "
+            f"when 4 then concat({column}, {line_break}, 'a;b,c|d', chr(9)) when 5 then concat('\"', {line_break}, '\"\"') else cast({column} as {text}) end")
+
+
+_CSV_TEXT = {"documents": ("doc_id", "text"), "pages": ("page_id", "html"), "conversations": ("conv_id", "text")}
+
+
+def _csv_cells(name: str, sql: bool = False) -> list[str]:
+    key, text = _CSV_TEXT[name]
+    kind = "varchar" if sql else "string"
+    return [f"{_hard_text(text, key, sql) if c == text else f'cast({c} as {kind})'} as {c}" for c, _ in COLUMNS[name]]
+
+
+for _name in _CSV_TEXT:
+    @register(f"csv_text_{_name}", f"select {', '.join(_csv_cells(_name, True))} from {_name}")
+    def _csv_text(spark, sf_dir, name=_name):
+        """Every row and column written as CSV and read back as text."""
+        path = _scratch(spark, f"{name}.csv")
+        write_table(table(spark, sf_dir, name).selectExpr(*_csv_cells(name)), path, "csv")
+        return read_table(spark, path, "csv", multi_line=True)
+
+
+@register("csv_corrupt_rows", """
+    select cast(count(*) as bigint) as rows_total, cast(sum(case when o_orderkey % 10 in (3, 4) then 1 else 0 end) as bigint) as corrupt_rows
+    from orders""")
+def csv_corrupt_rows(spark, sf_dir):
+    """Lines with a field too many or too few are counted, not dropped or cut without a trace."""
+    path = _scratch(spark, "corrupt.csv")
+    lines = table(spark, sf_dir, "orders").selectExpr(
+        "case o_orderkey % 10 when 3 then concat_ws(',', o_orderkey, o_custkey, 'x', 'surplus') when 4 then cast(o_orderkey as string) "
+        "else concat_ws(',', o_orderkey, o_custkey, o_orderstatus) end as value")
+    lines.write.text(path)
+    df = read_csv(spark, path, header=False, schema=T.StructType([T.StructField(c, T.StringType()) for c in ("k", "c", "s")]), corrupt="_corrupt_record")
+    return df.agg(F.count_if(F.col("k").isNotNull() | F.col("_corrupt_record").isNotNull()).alias("rows_total"),
+                  F.count("_corrupt_record").alias("corrupt_rows"))
+
+
 @register("json_roundtrip_customer", profile_sql(
     "customer", [("c_custkey", "int"), ("c_acctbal", "double"), ("c_name", "text"), ("c_mktsegment", "text")]).replace(
     "'c_name'", "'person__c_name'").replace("'c_mktsegment'", "'person__c_mktsegment'"))
@@ -113,6 +153,25 @@ def json_roundtrip_customer(spark, sf_dir):
     return profile(read_table(spark, path), ["c_custkey", "c_acctbal", "person__c_name", "person__c_mktsegment"])
 
 
+# Documents of three shapes in one folder; numbers as text that a DOUBLE would change.
+@register("json_documents_supplier", """
+    select cast(s_suppkey as varchar) as s_suppkey, s_name, concat('9', cast(s_suppkey as varchar), '12345678901234567.10') as wide, 'mixed' as structure
+    from supplier""")
+def json_documents_supplier(spark, sf_dir):
+    """A list, records under a root key, and single objects, written as .json files and read back record by record."""
+    path = _scratch(spark, "documents")
+    item = "concat('{\"s_suppkey\": ', s_suppkey, ', \"s_name\": \"', s_name, '\", \"wide\": 9', s_suppkey, '12345678901234567.10}')"
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        "case when s_suppkey % 5 = 0 then 1000 + s_suppkey else s_suppkey % 4 end as bucket", f"{item} as item")
+    # One file per bucket, each one document.
+    shapes = rows.groupBy("bucket").agg(F.sort_array(F.collect_list("item")).alias("items")).selectExpr("bucket", """
+        case when size(items) = 1 then items[0] when bucket % 2 = 0 then concat('[', array_join(items, ', '), ']')
+             else concat('{"made": "x", "rows": [', array_join(items, ', '), '], "tags": [1]}') end as value""")
+    shapes.repartition("bucket").write.partitionBy("bucket").text(path)
+    read = read_json_document(spark, f"{path}/*/*")
+    return read.df.select("s_suppkey", "s_name", "wide").withColumn("structure", F.lit(read.structure))
+
+
 @register("split_lines_part", """
     select regexp_extract(line, '^(\\S+)', 1) as col_001, nullif(regexp_extract(line, '^\\S+\\s+(\\S+)', 1), '') as col_002,
            nullif(regexp_extract(line, '^\\S+\\s+\\S+\\s+(\\S+)', 1), '') as col_003

@@ -175,12 +175,12 @@ def contract_upsert(spark, sf_dir):
 
 # One contract per table with the analytical questions kept beside its columns.
 _STORED = {
-    "stored_segments": ("customer", "select c_mktsegment, count(*) as qtd from customer where c_acctbal > 0 group by c_mktsegment"),
+    "stored_segments": ("customer", "select c_mktsegment, count(*) as row_count from customer where c_acctbal > 0 group by c_mktsegment"),
     "stored_high_balance": ("customer", "select c_custkey, c_name, c_acctbal from customer where c_nationkey < 20 and c_acctbal > 5000"),
-    "stored_volume_by_channel": ("orders", "select o_orderpriority, count(*) as qtd, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total from orders group by o_orderpriority"),
+    "stored_volume_by_channel": ("orders", "select o_orderpriority, count(*) as row_count, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total from orders group by o_orderpriority"),
     "stored_latest_flagged": ("orders", "select * from orders where o_orderstatus = 'P' order by o_orderdate desc, o_orderkey limit 100"),
-    "stored_returned_by_line": ("lineitem", "select l_linestatus, count(*) as qtd from lineitem where l_returnflag = 'R' group by l_linestatus"),
-    "stored_mean_usage": ("lineitem", "select l_linestatus, floor(avg(l_discount / nullif(l_quantity, 0)) * 1e8 + 0.5) / 1e8 as uso_medio from lineitem where l_returnflag = 'A' group by l_linestatus"),
+    "stored_returned_by_line": ("lineitem", "select l_linestatus, count(*) as row_count from lineitem where l_returnflag = 'R' group by l_linestatus"),
+    "stored_mean_usage": ("lineitem", "select l_linestatus, floor(avg(l_discount / nullif(l_quantity, 0)) * 1e8 + 0.5) / 1e8 as discount_per_unit from lineitem where l_returnflag = 'A' group by l_linestatus"),
 }
 
 
@@ -208,3 +208,26 @@ def stream_ingest_events(spark, sf_dir):
     return read_records(spark, lake.path("metrics")).select(
         "table", "scenario", "validation_status", "evolution_type", "rows_total", "rows_valid", "duplicate_count",
         "avg_null_pct", "quality_score")
+
+
+_STREAMED = ("events", "orders")
+
+
+@register("stream_two_tables", " union all ".join(
+    f"""select "table", rows_total, status as validation_status, cast({n} as bigint) as batches from (
+    {validate_sql(contract_for(t), t, [c for c, _ in COLUMNS[t]])}) v""" for t, n in (("events", 2), ("orders", 2))))
+def stream_two_tables(spark, sf_dir):
+    """Two streams with two batches each into one lake: no record and no layer folder meets another."""
+    root = f"{shared_dir(spark)}/streams-{uuid.uuid4().hex}"
+    lake = Lake(f"{root}/lake")
+    for name in _STREAMED:
+        source, key = table(spark, sf_dir, name), COLUMNS[name][0][0]
+        for part in (0, 1):
+            source.filter(f"{key} % 2 = {part}").write.mode("append").parquet(f"{root}/landing-{name}")
+            stream = landing_stream(spark, f"{root}/landing-{name}", source.schema, fmt="parquet")
+            ingest(stream, contract_for(name), lake, f"{root}/checkpoint-{name}", timestamp="1970-01-01T00:00:00", fmt="parquet").awaitTermination()
+    records = read_records(spark, lake.path("metrics"))
+    silver = [spark.read.parquet(lake.path("silver", n)).agg(F.count(F.lit(1)).alias("silver")).select(F.lit(n).alias("table"), "silver") for n in _STREAMED]
+    totals = records.groupBy("table").agg(F.sum("rows_total").alias("rows_total"), F.max("validation_status").alias("validation_status"), F.count(F.lit(1)).alias("batches"))
+    # Rows that reached silver must be the rows recorded.
+    return totals.join(silver[0].unionByName(silver[1]), "table").filter("silver = rows_total").drop("silver")

@@ -162,11 +162,9 @@ def records_union(spark, sf_dir):
 
 
 @register("report_lines", f"""
-    select run_id, "table", scenario, concat('| `', "table", '` | ', scenario, ' | ',
-        case validation_status when 'PASS' then '[PASS]' when 'WARNING' then '[WARN]' when 'DLQ' then '[DLQ]' else '[?]' end, ' ', validation_status,
-        ' | ', format('{{:,}}', rows_total), ' | ', cast(duplicate_count as varchar), ' | ', cast(avg_null_pct as varchar), '% | ',
-        cast(profiling_ms as varchar), ' | ', case slm_status when 'SUCCESS' then '[OK]' when 'SKIPPED' then '[SKIP]' when 'ERROR' then '[ERR]' else '[-]' end,
-        ' ', cast(slm_inference_ms as varchar), ' | **', cast(quality_score as varchar), '** |') as line
+    select run_id, "table", scenario, concat("table", '/', scenario, ' ', coalesce(validation_status, 'unknown'), ': score ', cast(quality_score as varchar),
+        ', rows ', cast(rows_valid as varchar), ' of ', cast(rows_total as varchar), ', nulls ', cast(avg_null_pct as varchar), '%, duplicates ',
+        cast(duplicate_count as varchar)) as line
     from {RECORDS_SQL} r""")
 def report_lines_query(spark, sf_dir):
     return report_lines(records(spark, sf_dir))

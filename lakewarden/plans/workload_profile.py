@@ -59,6 +59,45 @@ def top_values_dirty_orders(spark, sf_dir):
     return top_values(dirty_orders(spark, sf_dir))
 
 
+# Keys of 16 digits, numbers beyond any bigint, NaN and infinities, made from the orders.
+WIDE_NUMBERS = {
+    "card": ("int", "4539578763620000 + o_orderkey % 9973"),
+    "far": ("double", "case o_orderkey % 4 when 0 then 1e17 when 1 then -1e17 when 2 then cast(o_custkey as double) / 8 end"),
+    "odd": ("double", "case o_orderkey % 4 when 0 then cast('NaN' as double) when 1 then cast('Infinity' as double) "
+                      "when 2 then cast('-Infinity' as double) else cast(o_custkey as double) end"),
+    "card_text": ("text", "cast(4539578763620000 + o_orderkey % 9973 as varchar(20))"),
+}
+_WIDE_SOURCE = f"(select {', '.join(f'{e} as {n}' for n, (_, e) in WIDE_NUMBERS.items())} from orders)"
+_WIDE_COLUMNS = [(n, k) for n, (k, _) in WIDE_NUMBERS.items()]
+
+
+def _wide_sql() -> str:
+    finite = "(select card, far, case when isfinite(odd) then odd end as number, odd, card_text from {} w)".format(_WIDE_SOURCE)
+    parts = []
+    for pos, (name, kind) in enumerate(_WIDE_COLUMNS):
+        number = "number" if name == "odd" else number_sql(name, kind)
+        parts.append(f"select {pos} as pos, '{name}' as column_name, count(*) as n, count({name}) as filled, "
+                     f"min({number}) as lo, max({number}) as hi from {finite} s")
+    return f"""
+    select pos, column_name, cast(n as bigint) as "rows", cast(n - filled as bigint) as null_count,
+           {round_sql('lo', 4)} as min_value, {round_sql('hi', 4)} as max_value
+    from ({' union all '.join(parts)}) p"""
+
+
+def _wide_numbers(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(*[f"{e} as {n}" for n, (_, e) in WIDE_NUMBERS.items()])
+
+
+@register("profile_wide_numbers", _wide_sql())
+def profile_wide_numbers(spark, sf_dir):
+    return profile(_wide_numbers(spark, sf_dir)).select("pos", "column_name", "rows", "null_count", "min_value", "max_value")
+
+
+@register("sketch_wide_numbers", _wide_sql())
+def sketch_wide_numbers(spark, sf_dir):
+    return sketch_facts(_wide_numbers(spark, sf_dir)).select("pos", "column_name", "rows", "null_count", "min_value", "max_value")
+
+
 @register("profile_sketch_lineitem")
 def profile_sketch_lineitem(spark, sf_dir):
     """Approximate by design, so it has no SQL twin; tests bound its error."""

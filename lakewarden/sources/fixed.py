@@ -24,7 +24,7 @@ LAYOUT_HEADERS = {
     "desc": ["descricao", "description", "desc"],
 }
 SPACE_SHARE = 0.7
-INFERENCE_WARNING = "EXPERIMENTAL: layout inferred from the data, review required"
+INFERENCE_WARNING = "layout guessed from blank columns; compare it with the file's specification"
 
 
 @dataclass(frozen=True)
@@ -161,14 +161,15 @@ def check_layout(fields: DataFrame, by: list[str], tie: str = "name") -> DataFra
     )
 
 
-def layout_warnings(checked: DataFrame, tie: str = "name") -> DataFrame:
-    """One line per finding of check_layout()."""
-    found = F.array_compact(F.array(
-        F.when(F.col("reversed"), F.format_string(f"'%s': end (%s) < start (%s)", tie, "end", "start")),
-        F.when(F.col("overlap"), F.format_string("Overlap at '%s' (start=%s <= previous end=%s)", tie, "start", "prev_end")),
-        F.when(F.col("gap") > 0, F.format_string("Gap of %s byte(s) before '%s'", "gap", tie)),
-    ))
-    return checked.select(F.explode(found).alias("warning"))
+def layout_findings(checked: DataFrame, tie: str = "name") -> DataFrame:
+    """(finding, field, position, bytes) of check_layout(): fields that run backwards, overlaps and gaps."""
+    kinds = {
+        "backwards": (F.col("reversed"), F.col("start") - F.col("end")),
+        "overlap": (F.col("overlap"), F.col("prev_end") - F.col("start") + 1),
+        "gap": (F.col("gap") > 0, F.col("gap")),
+    }
+    found = F.array_compact(F.array(*[F.when(hit, F.struct(F.lit(k).alias("finding"), size.cast("bigint").alias("bytes"))) for k, (hit, size) in kinds.items()]))
+    return checked.select(F.explode(found).alias("f"), F.col(tie).alias("field"), F.col("start").alias("position")).select("f.finding", "field", "position", "f.bytes")
 
 
 def space_shares(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -221,10 +222,10 @@ def contract_from_layout(layout: DataFrame, table: str, inferred: bool = False)
     if inferred:
         warnings.append(INFERENCE_WARNING)
         if len(rows) <= 1:
-            warnings.append("Inference found no fields, give a layout")
+            warnings.append("no blank columns tell fields apart; supply a layout")
     if rows:
         checked = check_layout(good.withColumn("layout", F.lit(table)), ["layout"])
-        warnings += [r["warning"] for r in layout_warnings(checked).collect()]
+        warnings += [f"{r['finding']} at byte {r['position']}, field {r['field']}: {r['bytes']} byte(s)" for r in layout_findings(checked).collect()]
     columns = []
     for r in rows:
         d = r.asDict()
@@ -236,7 +237,7 @@ def contract_from_layout(layout: DataFrame, table: str, inferred: bool = False)
             "regulatory_flags": [f for f, words in FLAG_PATTERNS.items() if any(w in text for w in words)],
             "business_rules": ["Binary field, check the conversion"] if d.get("binary") else [],
         })
-    document = draft_document(table, columns, "fixed_width", encoding="# TODO: utf-8 | latin-1 | cp1252",
+    document = draft_document(table, columns, "fixed_width", encoding="# TODO: encoding of the file",
                               status="DRAFT_EXPERIMENTAL" if inferred else "DRAFT")
     document["layout"] = [{"field": r["name"], "start": r["start"], "end": r["end"],
                            "dtype": r["type"] if "type" in r else "string"} for r in rows]

@@ -25,36 +25,44 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None
     return JsonTable(reader.json(path), "jsonlines")
 
 
-def _key_order(spark: SparkSession, path: str) -> list[str]:
-    """Top-level keys in document order (inferred schemas are sorted by name)."""
-    row = spark.read.text(path, wholetext=True).select(F.json_object_keys("value").alias("k")).first()
-    return list(row["k"] or []) if row else []
+def _roots(spark: SparkSession, path: str) -> DataFrame:
+    """Per file whether its value is a list, and its top-level keys in document order."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.col("_metadata.file_path").alias("_file"), (F.substring(F.ltrim("value"), 1, 1) == "[").alias("_list"),
+                       F.json_object_keys("value").alias("_keys"))
 
 
 def read_json_document(spark: SparkSession, path: str, root_key: str | None = None) -> JsonTable:
-    """A list of records, records under a root key, or a single object.
+    """Records of documents that are a list, records under a root key, or a single object, file by file.
 
-    Each file is one JSON value and therefore one task; many files run in parallel. Records
-    are spread out again by the explode that follows.
+    Each file is one JSON value and therefore one task; many files run in parallel. Numbers and
+    booleans come back as the text in the file. Without a root key, the first key of an object
+    document that holds a list is it. ``structure`` is list or object, or mixed where files differ.
     """
-    df = spark.read.option("multiLine", True).json(path)
-    arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    first = spark.read.text(path, wholetext=True).select(F.substring(F.ltrim("value"), 1, 1).alias("c")).first()
-    if first is not None and first["c"] == "[":
-        return JsonTable(df, "list")
-    if root_key is None and arrays:
-        root_key = next((k for k in _key_order(spark, path) if k in arrays), arrays[0])
-    if root_key is None or root_key not in df.columns:
-        return JsonTable(df, "object", root_key)
-    root_type = df.schema[root_key].dataType
-    if isinstance(root_type, T.StructType):
-        return JsonTable(df.select(f"`{root_key}`.*"), "object", root_key)
-    if not isinstance(root_type, T.ArrayType):
-        return JsonTable(df, "object", root_key)
-    items = df.select(F.explode(F.col(f"`{root_key}`")).alias("item"))
-    if isinstance(root_type.elementType, T.StructType):
-        items = items.select("item.*")
-    return JsonTable(items, "list", root_key)
+    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+    lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    roots = _roots(spark, path)
+    if root_key is None and lists:
+        seen = roots.filter(~F.col("_list")).select(F.posexplode("_keys").alias("p", "k")).filter(F.col("k").isin(lists))
+        found = seen.groupBy("k").agg(F.min("p").alias("p")).orderBy("p", "k").first()
+        root_key = found["k"] if found else None
+    keyed = root_key is not None and root_key in df.columns
+    root_type = df.schema[root_key].dataType if keyed else None
+    keyed = keyed and isinstance(root_type, (T.ArrayType, T.StructType))
+    rows = df.withColumn("_file", F.col("_metadata.file_path")).join(roots.select("_file", "_list"), "_file")
+    under = (~F.col("_list") & F.col(f"`{root_key}`").isNotNull()) if keyed else F.lit(False)
+    listed = F.col("_list") | (under if keyed and isinstance(root_type, T.ArrayType) else F.lit(False))
+    kinds = rows.agg(F.bool_or(listed).alias("some"), F.bool_and(listed).alias("all"), F.bool_and(under).alias("under")).first()
+    structure = "list" if kinds["all"] else "mixed" if kinds["some"] else "object"
+    plain = rows.filter(~under).select(*[F.col(f"`{c}`") for c in df.columns if not keyed or c != root_key])
+    if not keyed:
+        return JsonTable(plain, structure, root_key)
+    root = F.col(f"`{root_key}`")
+    items = rows.filter(under).select((F.explode(root) if isinstance(root_type, T.ArrayType) else root).alias("item"))
+    inner = root_type.elementType if isinstance(root_type, T.ArrayType) else root_type
+    items = items.select("item.*") if isinstance(inner, T.StructType) else items
+    # Keys beside the root key of the same object are not part of its records.
+    return JsonTable(items if kinds["under"] else items.unionByName(plain, allowMissingColumns=True), structure, root_key)
 
 
 def flatten(df: DataFrame, max_level: int = 2, sep: str = SEPARATOR) -> tuple[DataFrame, dict[str, list[str]]]:

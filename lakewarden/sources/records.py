@@ -14,22 +14,27 @@ RECORD_DDL = (
 )
 
 
-def write_records(records: DataFrame, path: str, run_id: str) -> None:
-    """Records of one run in their own partition; writing the run again replaces only that run."""
-    records.drop("run_id").write.mode("overwrite").json(f"{path}/run_id={run_id}")
+#: Each record has a folder of its own; writing a load again replaces its record and no other.
+RECORD_KEY = ["run_id", "scenario", "format", "table"]
 
 
-def read_records(spark: SparkSession, path: str, with_summaries: bool = False) -> DataFrame:
-    """The whole history sorted by time. Files named like a summary and broken lines are left out.
+def write_records(records: DataFrame, path: str) -> None:
+    """Records in folders by run, scenario, format and table; only the folders they name are replaced."""
+    (records.repartition(*RECORD_KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*RECORD_KEY).json(path))
 
-    A filter on run_id only opens the folders of those runs.
+
+def read_records(spark: SparkSession, path: str, with_summaries: bool = False, ordered: bool = False) -> DataFrame:
+    """The whole history, sorted by time if asked. Files named like a summary and broken lines are left out.
+
+    A filter on the record key only opens the folders it names.
     """
-    fields = [f for f in spark.createDataFrame([], RECORD_DDL).schema.fields]
-    reader = spark.read.schema(RECORD_DDL).option("mode", "DROPMALFORMED").option("recursiveFileLookup", False)
-    df = reader.json(path)
+    fields = [f.name for f in spark.createDataFrame([], RECORD_DDL).schema.fields]
+    df = spark.read.schema(RECORD_DDL).option("mode", "DROPMALFORMED").json(path)
     if not with_summaries:
         df = df.filter(~F.contains(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("summary")))
-    return df.select(*[f.name for f in fields]).orderBy("timestamp")
+    df = df.select(*fields)
+    return df.orderBy("timestamp", *RECORD_KEY) if ordered else df
 
 
 def read_record_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -11,35 +11,51 @@ from lakewarden.functions.sqltext import literal
 DELIMITERS = [",", ";", "|", "\t"]
 
 
+# Quotes are doubled inside quoted text, and blanks belong to the text. An empty field is NULL, "" is an empty text.
+_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_csv(spark: SparkSession, path: str, sep: str | None = None, header: bool = True,
              encoding: str | None = None, null_values: str | None = None, mode: str = "PERMISSIVE",
-             schema: T.StructType | None = None, sample_rows: int | None = None) -> DataFrame:
+             schema: T.StructType | None = None, sample_rows: int | None = None, multi_line: bool = False,
+             corrupt: str | None = None) -> DataFrame:
     """All columns as strings. ``mode`` DROPMALFORMED skips bad lines.
 
     Without a header columns are named col_001, col_002, ... A sample is only taken when asked
-    for: inference reads everything by default.
+    for: inference reads everything by default. ``multi_line`` reads line breaks inside quotes, one
+    file per task. ``corrupt`` names a column that keeps the whole text of rows with too few or too
+    many fields, which otherwise lose or lack values silently; ask for it along with other columns.
     """
     sep = sep or ("\t" if path.lower().endswith(".tsv") else ",")
-    reader = (spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
-              .option("mode", mode).option("enforceSchema", False if header and schema else True))
-    if encoding:
-        reader = reader.option("encoding", encoding)
-    if null_values is not None:
-        reader = reader.option("nullValue", null_values)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path)
+
+    def reader(given: T.StructType | None):
+        out = (spark.read.options(**_TEXT).option("header", header).option("sep", sep).option("inferSchema", False)
+               .option("mode", mode).option("multiLine", multi_line).option("enforceSchema", False if header and given else True))
+        # Any text that no field holds: unquoted empty fields become NULL, quoted ones stay empty.
+        for name, value in (("encoding", encoding), ("nullValue", "\u0001NULL" if null_values is None else null_values), ("columnNameOfCorruptRecord", corrupt)):
+            out = out if value is None else out.option(name, value)
+        return out if given is None else out.schema(given)
+
+    df = reader(schema).csv(path)
     if not header and schema is None:
         df = df.toDF(*[f"col_{i + 1:03d}" for i in range(len(df.columns))])
+    if corrupt:
+        wide = T.StructType([*df.schema.fields, T.StructField(corrupt, T.StringType())])
+        # Fields are counted only where the parser does not skip columns.
+        df = reader(wide).option("enforceSchema", True).option("columnPruning", False).csv(path)
     return df.limit(sample_rows) if sample_rows else df
 
 
 def sniff_csv(spark: SparkSession, path: str, encoding: str | None = None, **options) -> DataFrame:
-    """read_csv with the delimiter and header found from the data itself."""
+    """read_csv with delimiter, header and line breaks inside quotes found from the data itself."""
     lines = read_lines(spark, path, encoding)
     sep = detect_delimiter(lines).first()["delimiter"]
-    first = lines.first()
-    header = True if first is None else detect_header(lines, first["value"], sep).first()["has_header"]
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # An odd number of quotes on a line means that a quoted text goes on in the next one.
+    breaks = lines.agg(F.bool_or(quotes % 2 == 1).alias("b")).first()["b"]
+    first = lines.filter("value <> ''").first()
+    header = first is None or detect_header(lines, first["value"], sep).first()["has_header"]
+    options.setdefault("multi_line", bool(breaks))
     return read_csv(spark, path, sep=sep, header=header, encoding=encoding, **options)
 
 
@@ -96,23 +112,29 @@ def detect_header(lines: DataFrame, first_line: str, sep: str) -> DataFrame:
     """Whether the first line names the columns, by a vote of the columns.
 
     A column whose other values are all numbers votes yes when its first value is none. A
-    column of constant length votes yes when the first value is longer or shorter.
+    column of constant length votes yes when the first value is longer or shorter. Only the first
+    line itself is left out: where equal lines follow, one of them stands for them in the vote.
     """
     width = first_line.count(sep) + 1
     schema = ", ".join(f"f{i} string" for i in range(width))
     parse = f"from_csv({{}}, '{schema}', map('sep', {_separator_sql(sep)}))"
-    body = (lines.filter((F.col("value") != first_line) & (F.col("value") != ""))
-            .selectExpr(f"{parse.format('value')} as r"))
-    stats, votes = [], []
+    body = lines.filter("value <> ''").selectExpr(f"{parse.format('value')} as r", f"value = {literal(first_line)} as same")
+    stats, folded, votes = ["count_if(same) as again"], ["h"], []
     for i in range(width):
-        stats += [f"bool_and(coalesce({is_number_sql(f'r.f{i}')}, false)) as n{i}",
-                  f"min(coalesce(length(r.f{i}), 0)) as a{i}", f"max(coalesce(length(r.f{i}), 0)) as z{i}"]
+        stats += [f"bool_and(coalesce({is_number_sql(f'r.f{i}')}, false)) filter (where not same) as n{i}",
+                  f"min(coalesce(length(r.f{i}), 0)) filter (where not same) as a{i}",
+                  f"max(coalesce(length(r.f{i}), 0)) filter (where not same) as z{i}"]
+        size = f"if(again > 1, coalesce(length(h.f{i}), 0), null)"
+        folded += [f"if(again > 1, coalesce(n{i}, true) and coalesce({is_number_sql(f'h.f{i}')}, false), n{i}) as n{i}",
+                   f"least(a{i}, {size}) as a{i}", f"greatest(z{i}, {size}) as z{i}"]
         votes.append(f"case when n{i} then if({is_number_sql(f'h.f{i}')}, -1, 1) "
                      f"when a{i} = z{i} then if(length(h.f{i}) = a{i}, -1, 1) else 0 end")
-    seen = body.agg(*[F.expr(e) for e in stats]).selectExpr("*", f"{parse.format(literal(first_line))} as h")
+    seen = body.agg(*[F.expr(e) for e in stats]).selectExpr("*", f"{parse.format(literal(first_line))} as h").selectExpr(*folded)
     return (seen.selectExpr(f"coalesce({' + '.join(votes)}, 0) as votes")
             .selectExpr("votes > 0 as has_header", "votes"))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
-    df.write.mode("overwrite").option("header", header).option("sep", sep).option("lineSep", "\n").csv(path)
+    """Text comes back as it was from read_csv (with multi_line, where it has line breaks); NULL and '' stay apart."""
+    (df.write.mode("overwrite").options(**_TEXT).option("header", header).option("sep", sep)
+     .option("emptyValue", '""').option("lineSep", "\n").csv(path))

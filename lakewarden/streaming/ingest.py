@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.contracts import Contract
-from lakewarden.operators.checks import schema_evolution, validate, validate_with_facts
-from lakewarden.operators.profile import FACTS_DDL, column_facts
-from lakewarden.operators.score import run_records
-from lakewarden.plans.layers import Lake, promote_load, quarantine_load
-from lakewarden.plans.scenario import validate_schema
+from lakewarden.plans.layers import Lake, LoadKey, stage
+from lakewarden.plans.scenario import check_and_route, record_of, validate_schema
 from lakewarden.sources.records import write_records
 
 
@@ -34,36 +33,35 @@ def landing_stream(spark: SparkSession, path: str, columns: list[str] | T.Struct
     return reader.load(path)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of a stream, kept beside its checkpoint, so that another checkpoint is another stream."""
+    path = f"{checkpoint.rstrip('/')}-stream-id"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException:
+        found = uuid.uuid4().hex[:12]
+        spark.createDataFrame([(found,)], "value string").coalesce(1).write.text(path)
+        return found
+
+
 def ingest(stream: DataFrame, contract: Contract, lake: Lake, checkpoint: str, scenario: str = "baseline",
            timestamp: str | None = None, fmt: str = "csv") -> StreamingQuery:
     """Validate each micro-batch as one load, route it, and record it.
 
-    The batch id is the run id and every write replaces its own run folder, so a batch that is
-    replayed after a failure leaves no second copy. Duplicate keys are looked for inside a
-    batch, as they are inside a file.
+    The run id is the stream's id and the batch's number, and every write replaces its own folder, so
+    a batch that is replayed after a failure leaves no second copy and no two streams meet. Duplicate
+    keys are looked for inside a batch, as they are inside a file.
     """
+    name = stream_id(stream.sparkSession, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        run_id = f"batch-{batch_id:08d}"
-        batch.write.mode("overwrite").parquet(lake.path("bronze", contract.table, run_id))
-        load = spark.read.schema(batch.schema).parquet(lake.path("bronze", contract.table, run_id))
-        facts: list = []
-        if schema_evolution(contract, load.columns).breaking:
-            row = validate(load, contract, scenario).first()
-        else:
-            facts = column_facts(load).collect()
-            row = validate_with_facts(load, spark.createDataFrame(facts, FACTS_DDL), contract, scenario).first()
-        if row["status"] == "DLQ":
-            facts = []
-            quarantine_load(load, lake, contract.table, run_id, row["issues"])
-        else:
-            promote_load(load, lake, contract.table, run_id)
-        profiled = spark.createDataFrame([(contract.table, scenario, f["null_pct"]) for f in facts],
-                                         "`table` string, scenario string, null_pct double")
-        result = spark.createDataFrame([row], validate_schema())
+        key = LoadKey(contract.table, f"{name}-{batch_id:08d}", scenario, fmt)
+        load = stage(batch, lake, key)
+        row, facts, _, elapsed = check_and_route(spark, lake, key, load, contract)
         at = timestamp or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-        write_records(run_records(run_id, at, result, profiled, fmt=fmt), lake.path("metrics"), run_id)
+        result = spark.createDataFrame([row], validate_schema())
+        write_records(record_of(spark, key, at, result, facts, elapsed), lake.path("metrics"))
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

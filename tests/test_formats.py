@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from lakewarden.operators.infer import draft_contract
 from lakewarden.functions.naming import json_path_tidy
 from lakewarden.sources.fixed import (
-    check_layout, contract_from_layout, fields_of, format_fixed, infer_layout, layout_of, layout_warnings, parse_fixed, read_layout,
+    check_layout, contract_from_layout, fields_of, format_fixed, infer_layout, layout_findings, layout_of, parse_fixed, read_layout,
 )
 from lakewarden.sources.nested import flatten, nest, observed_keys, observed_schema, read_json_document, read_json_lines
 from lakewarden.sources.reader import format_of, read_table, write_table
-from lakewarden.sources.tabular import detect_delimiter, detect_header, estimated_rows, read_csv, read_lines, sniff_csv
+from lakewarden.sources.tabular import detect_delimiter, detect_header, estimated_rows, read_csv, read_lines, sniff_csv, write_csv
 
 
 @pytest.fixture(scope="module")
@@ -201,8 +201,8 @@ def test_layout_findings(spark):
     found = {(r["layout"], r["name"]): (r["reversed"], r["overlap"], r["gap"]) for r in check_layout(df, ["layout"]).collect()}
     assert found == {("x", "a"): (False, False, 0), ("x", "b"): (False, True, 0), ("y", "a"): (False, False, 0),
                      ("y", "b"): (False, False, 4), ("y", "c"): (True, False, 0)}
-    text = [r["warning"] for r in layout_warnings(check_layout(df, ["layout"])).collect()]
-    assert sorted(text) == ["'c': end (20) < start (21)", "Gap of 4 byte(s) before 'b'", "Overlap at 'b' (start=8 <= previous end=10)"]
+    found = {tuple(r) for r in layout_findings(check_layout(df, ["layout"])).collect()}
+    assert found == {("backwards", "c", 21, 1), ("gap", "b", 10, 4), ("overlap", "b", 8, 3)}
 
 
 def spans(spark, *lines):
@@ -220,7 +220,7 @@ def test_inferred_layout(spark):
 def test_inferred_contract_is_experimental(spark, tmp_path):
     lines = spark.read.text(put(tmp_path, "data.txt", DATA))
     c, warnings = contract_from_layout(infer_layout(lines), "tb", inferred=True)
-    assert c.manifest_status == "DRAFT_EXPERIMENTAL" and any("EXPERIMENTAL" in w for w in warnings)
+    assert c.manifest_status == "DRAFT_EXPERIMENTAL" and any("guessed" in w for w in warnings)
 
 
 def test_fixed_without_layout(spark, tmp_path):
@@ -253,3 +253,31 @@ def test_read_table_json_is_text(spark, tmp_path):
     assert rows(df.select("id", "v")) == [("1", None), ("2", "1.5")]
     df = df.select(F.col("id"))
     assert df.dtypes == [("id", "string")]
+
+
+def test_csv_text_comes_back(spark, tmp_path):
+    rows = [(" lead ", "a"), ('say "hi", ok', "b"), ("line\nbreak", "c"), ("", None), (None, ""), ('"', "\\")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    write_csv(df, str(tmp_path / "t.csv"))
+    back = read_csv(spark, str(tmp_path / "t.csv"), multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_corrupt_rows_are_kept(spark, tmp_path):
+    df = read_csv(spark, put(tmp_path, "c.csv", 'a,b\n1,2\n3,4,5\n6\n'), corrupt="bad")
+    assert {(r["a"], r["bad"]) for r in df.collect()} == {("1", None), ("3", "3,4,5"), ("6", "6")}
+
+
+def test_a_first_line_that_comes_again_is_data(spark):
+    lines = spark.createDataFrame([(x,) for x in "aaa12"], "value string")
+    assert not detect_header(lines, "a", ",").first()["has_header"]
+
+
+def test_documents_of_different_shapes(spark, tmp_path):
+    put(tmp_path, "a.json", '{"rows": [{"x": 1.10}, {"x": 12345678901234567890.12}], "n": 2}')
+    put(tmp_path, "b.json", '[{"x": 3}]')
+    t = read_json_document(spark, str(tmp_path))
+    assert t.structure == "list" and {r["x"] for r in t.df.collect()} == {"1.10", "12345678901234567890.12", "3"}
+    put(tmp_path, "c.json", '{"x": true}')
+    t = read_json_document(spark, str(tmp_path))
+    assert t.structure == "mixed" and t.df.count() == 4

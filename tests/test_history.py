@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from lakewarden.operators.history import (
     dashboard_totals, documentation_status, export_fields, latest, problem_lines, problems, run_totals, score_evolution,
@@ -87,8 +87,8 @@ def test_latest_and_filters(history):
 def test_store_load_export(spark, history, tmp_path):
     base = str(tmp_path / "metrics")
     for run in ("r1", "r2", "r3"):
-        write_records(history.filter(F.col("run_id") == run), base, run)
-    write_records(history.filter("run_id = 'r1'"), base, "r1")  # again: replaced, not doubled
+        write_records(history.filter(F.col("run_id") == run), base)
+    write_records(history.filter("run_id = 'r1'"), base)  # again: replaced, not doubled
     back = read_records(spark, base)
     assert sorted(map(str, back.collect())) == sorted(map(str, history.select(*back.columns).collect()))
     export_records(back, str(tmp_path / "out"))
@@ -96,7 +96,7 @@ def test_store_load_export(spark, history, tmp_path):
     assert export_fields(history).columns == EXPORT_FIELDS
     write_report(history, str(tmp_path / "report"))
     text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "report")).collect())
-    assert "[DLQ] DLQ" in text and "r2: mean score 47.0/100, tables 3, DLQ 1" in text
+    assert " DLQ: score " in text and "r2: mean score 47.0/100, tables 3, DLQ 1" in text
 
 
 def test_record_documents_skip_summaries_and_broken_files(spark, tmp_path):
@@ -118,3 +118,16 @@ def test_previous_row_equals_plain_lag(spark, chunk):
         want[g, o] = last.get(g)
         last[g] = v
     assert got == want
+
+
+def test_previous_row_needs_no_reused_exchange(spark):
+    """Both halves of the lookup cut alike even where nothing is shared between them."""
+    df = spark.range(0, 200_000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', cast(id % 5 as string)) as g", "cast(hash(id) % 5000 as string) as o", "id as k")
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = previous_row(df, ["g"], ["o", "k"], {"p": "k"})
+        plain = df.withColumn("p", F.lag("k").over(W.partitionBy("g").orderBy("o", "k")))
+        assert got.count() == 200_000 and got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)

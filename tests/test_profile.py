@@ -110,3 +110,11 @@ def test_documentation_summary(spark):
     df = spark.createDataFrame([("a",), (None,), (None,), ("b",), ("c",), ("d",)], "v string")
     row = documentation_summary(profile_with_top(df)).first()
     assert len(row["top_values"]) == 3 and "33.33" in row["anomaly"]
+
+
+def test_wide_numbers_and_nan(spark):
+    rows = [(4539578763621486, float("nan"), "1e17"), (4539578763621488, 1.0, "-1e17"), (None, float("inf"), "x")]
+    df = spark.createDataFrame(rows, "card long, odd double, text string")
+    for facts in (column_facts(df), sketch_facts(df)):
+        got = {r["column_name"]: (r["min_value"], r["max_value"]) for r in facts.collect()}
+        assert got == {"card": (4539578763621486.0, 4539578763621488.0), "odd": (1.0, 1.0), "text": (-1e17, 1e17)}

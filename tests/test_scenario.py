@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.contracts import Contract
 from lakewarden.plans.layers import LAYERS, Lake
-from lakewarden.plans.scenario import Load, consolidated, document_load, run_exit_code, run_scenario
+from lakewarden.plans.scenario import Load, consolidated, document_load, run_exit_code, run_matrix, run_scenario
 from lakewarden.plans.stored import run_stored_queries
 from lakewarden.sources.reader import read_table
 from lakewarden.sources.records import read_records
@@ -112,3 +112,21 @@ def test_stream_of_breaking_files(spark, tmp_path):
     r = read_records(spark, lake.path("metrics")).first()
     assert (r["validation_status"], r["evolution_type"], r["quality_score"]) == ("DLQ", "BREAKING", 20.0)
     assert spark.read.parquet(lake.path("quarantine", "tb_t")).filter(F.col("_status") == "DLQ").count() == 1
+
+
+def test_formats_and_scenarios_of_a_run_keep_apart(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    good = csv(tmp_path, "good.csv", "id,nome\n1,Ana\n2,Bia\n")
+    bad = csv(tmp_path, "bad.csv", "id,nome\nx,Ana\n")
+    load = lambda p, f: Load("t", lambda s: read_table(s, p, "csv"), Contract.of({**RAW, "table": "t"}), f)
+    run_matrix(spark, lake, {"one": [load(good, "csv"), load(bad, "json")], "two": [load(good, "csv")]}, "r1")
+    run_matrix(spark, lake, {"one": [load(good, "csv")]}, "r10")
+    records = consolidated(spark, lake, "r1")
+    assert {(r["run_id"], r["scenario"], r["format"], r["validation_status"]) for r in records.collect()} == {
+        ("r1", "one", "csv", "PASS"), ("r1", "one", "json", "DLQ"), ("r1", "two", "csv", "PASS")}
+    # The json load is mended and run again: quarantine lets go of it.
+    run_matrix(spark, lake, {"one": [load(good, "json")]}, "r1")
+    assert consolidated(spark, lake, "r1").filter("validation_status = 'DLQ'").count() == 0
+    assert spark.read.parquet(lake.path("quarantine", "t", "r1", "one", "json")).count() == 0
+    with pytest.raises(ValueError):
+        run_matrix(spark, lake, {"one": [load(good, "csv"), load(good, "csv")]}, "r2")
