@@ -7,7 +7,7 @@ at each line: a maximal repeated run of at least that many words is exactly the
 inside it, so the common-prefix intervals need not be followed further. A run's key is the two
 overlapping names that cover it; its first place stays, later copies go.
 
-Blank lines take no part in runs; those inside a removed run go with it.
+Blank lines take no part in runs; those inside one of the shortest repeated runs go with it.
 """
 
 from __future__ import annotations
