@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lakewarden.contracts import VERSION_PATTERN
 from lakewarden.functions.codes import catalog_key, catalog_type, clean_format
@@ -71,21 +71,29 @@ def promote(contracts: DataFrame, columns: DataFrame, steward: str, at: str) ->
 
 def upsert_actions(registry: DataFrame, incoming: DataFrame, overwrite: bool = False,
                    width: str = "column_count") -> DataFrame:
-    """What happens to each incoming contract: created, replaced, kept, drafted beside, or rejected.
+    """What happens to each incoming contract: created, replaced, kept, drafted beside, superseded or rejected.
 
-    ``incoming`` needs (table, version, <width> = number of columns). A VALIDATED contract is
-    never replaced; its successor is stored as '<table>_draft'.
+    ``incoming`` needs (table, version, <width> = number of columns). Of several complete contracts for
+    one table the highest version counts, the others are superseded. A VALIDATED contract is never
+    replaced, neither is a VALIDATED '<table>_draft': the successor of the former is stored as
+    '<table>_draft', that of the latter is kept out.
     """
-    current = registry.select("table", F.coalesce("manifest_status", F.lit("DRAFT")).alias("current_status"))
-    joined = incoming.join(current, "table", "left")
+    status = registry.groupBy("table").agg(F.max(F.coalesce("manifest_status", F.lit("DRAFT"))).alias("_status"))
+    current = status.select("table", F.col("_status").alias("current_status"))
+    drafts = status.select(F.col("table").alias("_draft"), F.col("_status").alias("draft_status"))
     complete = (F.coalesce(F.col("table"), F.lit("")) != "") & F.col("version").isNotNull() & (F.coalesce(F.col(width), F.lit(0)) > 0)
-    action = (F.when(~complete, F.lit("rejected"))
+    ordered = W.partitionBy("table").orderBy(F.col("_complete").desc(), F.transform(F.split("version", r"\."), lambda v: v.try_cast("int")).desc_nulls_last(), F.xxhash64(*incoming.columns))
+    ranked = incoming.withColumn("_complete", complete).withColumn("_place", F.row_number().over(ordered))
+    joined = ranked.join(current, "table", "left").join(drafts, F.concat("table", F.lit("_draft")) == F.col("_draft"), "left")
+    action = (F.when(~F.col("_complete"), F.lit("rejected"))
+              .when(F.col("_place") > 1, F.lit("superseded"))
+              .when((F.col("current_status") == "VALIDATED") & F.coalesce(F.col("draft_status") == "VALIDATED", F.lit(False)), F.lit("kept"))
               .when(F.col("current_status") == "VALIDATED", F.lit("drafted"))
               .when(F.col("current_status").isNull(), F.lit("created"))
               .when(F.lit(overwrite), F.lit("replaced"))
               .otherwise(F.lit("kept")))
     target = F.when(action == "drafted", F.concat("table", F.lit("_draft"))).otherwise(F.col("table"))
-    return joined.withColumns({"action": action, "target": target}).drop("current_status")
+    return joined.withColumns({"action": action, "target": target}).drop("current_status", "draft_status", "_draft", "_complete", "_place")
 
 
 def upsert(registry: DataFrame, incoming: DataFrame, overwrite: bool = False, width: str = "column_count") -> DataFrame:

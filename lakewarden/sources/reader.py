@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakewarden.contracts import Contract
 from lakewarden.operators.values import to_text
 from lakewarden.sources.fixed import Field, fields_of, infer_layout, read_fixed, write_fixed
 from lakewarden.sources.nested import flatten, read_json_document, read_json_lines, write_json
@@ -51,6 +52,16 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, layout: l
     return read_split_lines(read_lines(spark, path))
 
 
+def read_load(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """A landing table read as its contract says: format, delimiter, encoding and, for fixed width, layout."""
+    source = contract.source or {}
+    kind = format_of(path, source.get("format"))
+    if kind == "csv":
+        return read_csv(spark, path, sep=source.get("delimiter"), encoding=source.get("encoding"))
+    layout = [Field(f["field"], f["start"], f["end"] - f["start"] + 1, f.get("dtype") or "string") for f in contract.layout]
+    return read_table(spark, path, kind, layout or None)
+
+
 def write_table(df: DataFrame, path: str, fmt: str, layout: list[Field] | None = None, **options) -> None:
     kind = format_of(path, fmt)
     if kind == "csv":

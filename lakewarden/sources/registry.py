@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import asdict
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakewarden.contracts import Contract
@@ -37,6 +38,7 @@ CONTRACT_SCHEMA = _struct(
     dependencies=_A,
     sample_queries=T.ArrayType(_struct(description=_S, sql=_S)),
     schema=T.ArrayType(COLUMN_SCHEMA),
+    layout=T.ArrayType(_struct(field=_S, start=T.IntegerType(), end=T.IntegerType(), dtype=_S)),
 )
 
 def _pick(raw: dict | None, schema: T.StructType) -> dict | None:
@@ -62,6 +64,7 @@ def contract_row(contract: Contract) -> dict:
         "sample_queries": [{"description": d, "sql": q} for d, q in contract.sample_queries],
         "schema": [{**asdict(c), "regulatory_flags": list(c.regulatory_flags),
                     "business_rules": list(c.business_rules)} for c in contract.columns],
+        "layout": [_pick({"dtype": "string", **dict(f)}, CONTRACT_SCHEMA["layout"].dataType.elementType) for f in contract.layout] or None,
     }
 
 
@@ -123,3 +126,26 @@ def accessors(columns: DataFrame) -> DataFrame:
         F.count_if(sensitive).alias("sensitive_columns"),
         F.count_if(F.coalesce(F.col("description"), F.lit("")) != "").alias("documented_columns"),
     )
+
+
+def write_registry(registry: DataFrame, path: str) -> None:
+    """Store a registry as a new version beside the earlier ones; readers take the newest.
+
+    The frame may come from the registry read at the same path: nothing that it reads is replaced.
+    """
+    spark = registry.sparkSession
+    try:
+        last = spark.read.parquet(path).agg(F.max("_revision")).first()[0]
+    except AnalysisException:
+        last = None
+    registry.write.parquet(f"{path.rstrip('/')}/_revision={0 if last is None else last + 1}")
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The newest stored registry; an empty one where none is stored."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:
+        return registry_frame(spark, [])
+    last = stored.agg(F.max("_revision")).first()[0]
+    return stored.filter(F.col("_revision") == last).drop("_revision")

@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from lakewarden.contracts import Contract
 from lakewarden.operators.govern import (
     draft_notice, invalid_contracts, pending_items, promote, readiness, review_warnings, upsert, upsert_actions,
 )
-from lakewarden.sources.registry import contract_columns, registry_frame
+from lakewarden.sources.reader import read_load
+from lakewarden.sources.registry import contract_columns, read_registry, registry_frame, row_contract, write_registry
 
 COMPLETE = {
     "table": "supplier", "description": "who delivers", "owner": "purchasing", "version": "1.0.0", "manifest_status": "DRAFT",
@@ -84,3 +86,26 @@ def test_upsert(old_new):
                    "x": ("2.0.0", "DRAFT"), "z": ("1.0.0", "DRAFT")}
     got = {r["table"]: r["version"] for r in upsert(*old_new).collect()}
     assert (got["d"], got["v_draft"], got["x"]) == ("1.0.0", "2.0.0", "2.0.0")
+
+
+def test_repeated_incoming_and_a_validated_draft(spark):
+    old = spark.createDataFrame([("v", "1.0.0", "VALIDATED"), ("v_draft", "1.1.0", "VALIDATED")], "`table` string, version string, manifest_status string")
+    new = spark.createDataFrame([("v", "2.0.0", "DRAFT", 3), ("n", "1.9.0", "DRAFT", 3), ("n", "1.10.0", "DRAFT", 3), ("n", "9.0.0", "DRAFT", 0)],
+                                "`table` string, version string, manifest_status string, column_count bigint")
+    got = sorted((r["table"], r["version"]) for r in upsert(old, new, overwrite=True).collect())
+    assert got == [("n", "1.10.0"), ("v", "1.0.0"), ("v_draft", "1.1.0")]
+
+
+def test_stored_registry_after_two_rounds(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    for contract in (COMPLETE, {**INCOMPLETE, "layout": [{"field": "n_nationkey", "start": 1, "end": 4}]}):
+        now = read_registry(spark, path)
+        write_registry(upsert(now, registry_frame(spark, [Contract.of(contract)]).withColumn("column_count", F.size("schema")), width="column_count"), path)
+    stored = read_registry(spark, path)
+    done = promote(stored, contract_columns(stored), "Lou", "2024-01-01")
+    assert {(r["table"], r["manifest_status"]) for r in done.collect()} == {("supplier", "VALIDATED"), ("nation", "DRAFT")}
+    contract = next(row_contract(r) for r in stored.collect() if r["table"] == "nation")
+    assert contract.layout == ({"field": "n_nationkey", "start": 1, "end": 4, "dtype": "string"},)
+    (tmp_path / "n.txt").write_text("  17rest\n")
+    fixed = Contract.of({**INCOMPLETE, "source": {"format": "fixed_width"}, "layout": [{"field": "k", "start": 1, "end": 4}, {"field": "r", "start": 5, "end": 8}]})
+    assert [tuple(r) for r in read_load(spark, str(tmp_path / "n.txt"), fixed).collect()] == [("17", "rest")]

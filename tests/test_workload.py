@@ -15,7 +15,7 @@ def con():
 
 def test_entry(spark):
     rows = entry.entry(spark).collect()
-    assert len(rows) == 10 and all(0 <= r["quality_score"] <= 100 for r in rows)
+    assert len(rows) == 14 and all(0 <= r["quality_score"] <= 100 for r in rows)
 
 
 def test_every_statement_has_a_query():
