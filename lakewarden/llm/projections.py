@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ BLOCK = 512
 SEED = 20
 
 
+@lru_cache(maxsize=64)
 def directions(size: int, count: int = DIRECTIONS, seed: int = SEED) -> np.ndarray:
     """Unit vectors, one per column, the same wherever they are made."""
     drawn = np.random.default_rng([seed, size]).standard_normal((size, count))

@@ -39,7 +39,6 @@ LOCAL_COMMON = 4
 CACHED_WORDS = 500_000
 WANTED_BITS = 1 << 23
 HUB_ROUNDS = 1
-SALTS = 2
 HELD_PAIRS = 200_000
 
 
@@ -282,7 +281,7 @@ def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs (a, b, n) of rows (token, lead, i, j, side, rep, comp, size, bits), n being the trees they met in.
 
     A tree is a token, or a pair of its blocks. Trees of one lead, the least document in them, hold
-    much the same documents and go to SALTS tasks, where their pairs are counted before they are sent on.
+    much the same documents and meet in one task, where their pairs are counted before they are sent on.
     """
 
     def pairs_of(group: list) -> Iterator[tuple[int, int]]:
@@ -307,7 +306,7 @@ def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
         if met:
             yield _counted(met)
 
-    dealt = rows.withColumn("salt", F.pmod("token", F.lit(SALTS))).repartition("lead", "salt", "i", "j").sortWithinPartitions("lead", "salt", "token", "i", "j")
+    dealt = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "token")
     return dealt.select("token", "i", "j", "side", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
 
 
@@ -321,9 +320,9 @@ def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, b
 
     Two documents link when den * intersection >= num * union of their n-word shingle sets;
     component_id is the least doc_id reachable. Documents without words link with nothing. A null
-    doc_id is no node: its row has a null component. Rows with one doc_id should be one document;
-    where they are not, their sets count as different nodes of one number. An empty frame gives an
-    empty one; other columns are ignored.
+    doc_id is no node: its row has a null component. Repeated rows are one node and each gets its
+    component; rows of one doc_id with different texts are taken for one node too, with the links of
+    one of the texts. An empty frame gives an empty one; other columns are ignored.
     """
     spark = docs.sparkSession
     summaries = staged(_summaries(docs, n), "summaries")

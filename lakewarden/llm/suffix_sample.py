@@ -8,9 +8,10 @@ sampled instead of two in three. Windows with one sampled position follow each o
 block, which is named by its content.
 
 1. Grams that occur once end there. Blocks of equal names repeat as a whole.
-2. Of the other blocks of a repeated gram, one of each name is kept with its bytes. STRIDE windows
-   share a core of LENGTH - STRIDE + 1 bytes; cores that occur once end there.
-3. The windows around the remaining cores are compared in full.
+2. Where blocks of a gram differ, one of each name goes on with its bytes, in steps of STRIDE windows.
+   The bytes that all windows of a step share are its core, all their bytes together its hull. Cores
+   that occur once end there, and steps of equal hulls repeat as a whole.
+3. Where steps of a core differ, the windows of one step of each hull are compared in full.
 
 Each comparison brings equal prefixes together by a 128-bit key of gram and content, sampled suffixes
 first and the others at their distance from these.
@@ -33,6 +34,7 @@ GRAM = 32
 STRIDE = 16
 SLICE_BYTES = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
+WIDE = "cast(9223372036854775808 as decimal(38,0))"
 
 
 def gram_hashes(raw: bytes) -> np.ndarray:
@@ -129,23 +131,25 @@ def strides(n: int, lead: int) -> range:
     return range((lead - n + 1) // STRIDE, lead // STRIDE + 1)
 
 
-def _cores(variants: DataFrame) -> DataFrame:
+def _steps(variants: DataFrame) -> DataFrame:
+    """One row per step of each block: doc_id, step (packed at and j), gram, core, hull."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, ats, grams, js, keys = [], [], [], [], []
+            out: list[list] = [[], [], [], [], []]
             for key, at, n, lead, gram, raw in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 view = memoryview(raw)
                 for j in strides(n, lead):
-                    start = lead - STRIDE * j
-                    docs.append(key)
-                    ats.append(at)
-                    grams.append(gram)
-                    js.append(j)
-                    keys.append(_key(view[start:start + LENGTH - STRIDE + 1], j))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ats, pa.int64()), pa.array(grams, pa.int64()), pa.array(js, pa.int32()), pa.array(keys, pa.int64())],
-                                             ["doc_id", "at", "gram", "j", "key"])
+                    start = lead - STRIDE * j  # of the core: the window of least distance begins there
+                    last = min(STRIDE * j + STRIDE - 1, lead)
+                    first = max(STRIDE * j, lead - n + 1)
+                    hull = view[lead - last:lead - first + LENGTH]
+                    row = (key, at * 64 + j, gram, _key(view[start:start + LENGTH - STRIDE + 1], j), _key(hull, (last - STRIDE * j) * STRIDE + first - STRIDE * j))
+                    for column, x in zip(out, row, strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["doc_id", "step", "gram", "core", "hull"])
 
-    return variants.mapInArrow(cut, "doc_id long, at long, gram long, j int, key long")
+    return variants.mapInArrow(cut, "doc_id long, step long, gram long, core long, hull long")
 
 
 def _windows(variants: DataFrame) -> DataFrame:
@@ -167,25 +171,51 @@ def _windows(variants: DataFrame) -> DataFrame:
     return variants.mapInArrow(cut, "doc_id long, p long, gram long, key long")
 
 
+def _packed(at, n, lead):
+    """Place, windows and distance of a block in one number, in the order of places below 2**44."""
+    return at * (1 << 18) + n * (1 << 9) + lead
+
+
+def _unpacked(column: str) -> list:
+    c = F.col(column)
+    return [F.shiftright(c, 18).alias("at"), (F.shiftright(c, 9) % 512).cast("int").alias("n"), (c % 512).cast("int").alias("lead")]
+
+
+def _sorted_out(rows: DataFrame, outer: list[str], inner: str, place: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Split rows (doc_id, place, outer, inner) by what else begins with the same outer key.
+
+    First the rows (doc_id, place) whose inner key occurs again; then, for outer keys with different
+    inner keys, the first row of each: (doc_id, place, outer).
+    """
+    often = rows.groupBy(*outer).agg(F.count("*").alias("times")).where("times > 1").select(*outer)
+    again = staged(rows.join(often, outer), name)
+    wide = F.expr(f"cast(cast(doc_id as decimal(20,0)) * {WIDE} + {place} as decimal(38,0))")
+    classes = staged(again.groupBy(*outer, inner).agg(F.count("*").alias("times"), F.min(wide).alias("wide")), f"{name}-classes")
+    equal = again.join(classes.where("times > 1").select(*outer, inner), [*outer, inner]).select("doc_id", place)
+    mixed = classes.groupBy(*outer).count().where("count > 1").select(*outer)
+    first = classes.join(mixed, outer).select(*outer, "wide", F.expr(f"cast(pmod(wide, {WIDE}) as long)").alias(place))
+    return equal, first.select(F.expr(f"(wide - {place}) div {WIDE}").cast("long").alias("doc_id"), place, *outer)
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Spans (doc_id, first, last) of byte places covered by windows that also start elsewhere; they may overlap."""
-    rows = _blocks_of(docs)
-    grams = rows.groupBy("gram").agg(F.count("*").alias("times"), F.min("name").alias("low"), F.max("name").alias("high"))
-    grams = grams.where("times > 1").select("gram", (F.col("low") < F.col("high")).alias("mixed"))
-    again = staged(rows.join(grams, "gram"), "again")
-    place = (F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("at")).cast("decimal(38,0)")
-    names = again.groupBy("gram", "name").agg(F.count("*").alias("times"), F.min(place).alias("place"))
-    marked = staged(again.join(names.where("times > 1").select("gram", "name", "place"), ["gram", "name"], "left").withColumn("own", place), "marked")
-    whole = marked.where("place is not null").select("doc_id", F.col("at").alias("first"), (F.col("at") + F.col("n") + LENGTH - 2).alias("last"))
-    chosen = marked.where("mixed and (place is null or place = own)").select("doc_id", "at", "n", "lead", "gram")
-    variants = staged(_bytes_of(docs, chosen), "variants")
-    cores = _cores(variants)
-    often = cores.groupBy("gram", "key").agg(F.count("*").alias("times")).where("times > 1").select("gram", "key")
-    open_ = cores.join(often, ["gram", "key"]).groupBy("doc_id", "at").agg(F.collect_set("j").alias("js"))
-    windows = _windows(variants.join(open_, ["doc_id", "at"]).select("doc_id", "at", "n", "lead", "gram", "raw", "js"))
+    rows = _blocks_of(docs).select("doc_id", _packed(F.col("at"), F.col("n"), F.col("lead")).alias("block"), "gram", "name")
+    whole, chosen = _sorted_out(rows, ["gram"], "name", "block", "blocks")
+    whole = whole.select("doc_id", *_unpacked("block")).select("doc_id", F.col("at").alias("first"), (F.col("at") + F.col("n") + LENGTH - 2).alias("last"))
+    variants = staged(_bytes_of(docs, chosen.select("doc_id", *_unpacked("block"), "gram")), "variants")
+    steps, open_ = _sorted_out(_steps(variants), ["gram", "core"], "hull", "step", "steps")
+    at_j = [F.shiftright("step", 6).alias("at"), (F.col("step") % 64).cast("int").alias("j")]
+    sizes = variants.select("doc_id", "at", "n", "lead")
+    far = F.least(F.col("j") * STRIDE + STRIDE - 1, F.col("lead"))
+    near = F.greatest(F.col("j") * STRIDE, F.col("lead") - F.col("n") + 1)
+    steps = steps.select("doc_id", *at_j).join(sizes, ["doc_id", "at"]).select(
+        "doc_id", (F.col("at") + F.col("lead") - far).alias("first"), (F.col("at") + F.col("lead") - near + LENGTH - 1).alias("last"))
+    lists = open_.select("doc_id", *at_j).groupBy("doc_id", "at").agg(F.collect_set("j").alias("js"))
+    windows = _windows(variants.join(lists, ["doc_id", "at"]).select("doc_id", "at", "n", "lead", "gram", "raw", "js"))
+    windows = staged(windows, "windows")
     equal = windows.groupBy("gram", "key").agg(F.count("*").alias("times")).where("times > 1").select("gram", "key")
     single = windows.join(equal, ["gram", "key"]).select("doc_id", F.col("p").alias("first"), (F.col("p") + LENGTH - 1).alias("last"))
-    return whole.unionAll(single)
+    return whole.unionAll(steps).unionAll(single)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -199,7 +229,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     whole. Rows of one doc_id should be one document; where they are not, each loses what any of them
     loses. An empty frame gives an empty one; other columns are ignored.
     """
-    spans = repeated_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = staged(repeated_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
