@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm.order import running_total
 from lakewarden.llm.staging import staged
-from lakewarden.llm.tokens import encoder
+from lakewarden.llm.tokens import encoder, texts_of
 
 MAGIC = int.from_bytes(b"PFB1", "little")
 BLOCK = 128
@@ -49,14 +49,18 @@ def encode_documents(documents: list[np.ndarray], percentile: float = PERCENTILE
     n = int(blocks.sum())
     of = np.repeat(np.arange(len(documents)), blocks)
     counts = np.minimum(BLOCK, np.repeat(lengths, blocks) - _spread(blocks) * BLOCK)
-    grid = np.full((n, BLOCK), 0xFFFFFFFF, np.uint64)
+    grid = np.full((n, BLOCK), 0xFFFFFFFF, np.uint32)
     inside = np.arange(BLOCK) < counts[:, None]
-    grid[inside] = np.concatenate(documents) if n else np.zeros(0, np.uint64)
-    least = grid.min(axis=1) if n else np.zeros(0, np.uint64)
-    above = np.where(inside, grid - least[:, None], 0)
-    ordered = np.sort(np.where(inside, above, 0xFFFFFFFF), axis=1)
-    widths = _bits(ordered[np.arange(n), np.maximum(np.ceil(percentile * counts).astype(np.int64), 1) - 1]) if n else np.zeros(0, np.int64)
-    odd = inside & ((above >> widths.astype(np.uint64)[:, None]) > 0)
+    grid[inside] = np.concatenate(documents) if n else np.zeros(0, np.uint32)
+    least = grid.min(axis=1) if n else np.zeros(0, np.uint32)
+    above = np.where(inside, grid - least[:, None], np.uint32(0))
+    place = np.maximum(np.ceil(percentile * counts).astype(np.int64), 1) - 1
+    at_percentile = np.zeros(n, np.uint32)
+    for count in np.unique(counts):
+        rows = np.flatnonzero(counts == count)
+        at_percentile[rows] = np.partition(above[rows, :count], place[rows[0]], axis=1)[:, place[rows[0]]]
+    widths = _bits(at_percentile)
+    odd = inside & (above > ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None])
     exceptions = odd.sum(axis=1)
     packed = -(-counts * widths // 8)
     sizes = HEADER + packed + 5 * exceptions
@@ -82,14 +86,14 @@ def encode_documents(documents: list[np.ndarray], percentile: float = PERCENTILE
     put(starts + 6, counts, 1)
     for width in np.unique(widths[widths > 0]):
         rows = np.flatnonzero(widths == width)
-        low = above[rows] & np.uint64((1 << int(width)) - 1)
-        words = np.zeros((len(rows), 2 * int(width)), np.uint64)
+        low = np.ascontiguousarray((above[rows] & np.uint32((1 << int(width)) - 1)).T).astype(np.uint64)
+        words = np.zeros((2 * int(width), len(rows)), np.uint64)
         for j in range(BLOCK):
             word, shift = divmod(j * int(width), 64)
-            words[:, word] |= low[:, j] << np.uint64(shift)
+            words[word] |= low[j] << np.uint64(shift)
             if shift + width > 64:
-                words[:, word + 1] |= low[:, j] >> np.uint64(64 - shift)
-        held = words.astype("<u8").view(np.uint8).reshape(len(rows), -1)
+                words[word + 1] |= low[j] >> np.uint64(64 - shift)
+        held = np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(rows), -1)
         keep = np.arange(held.shape[1]) < packed[rows][:, None]
         out[(starts[rows][:, None] + HEADER + np.arange(held.shape[1]))[keep]] = held[keep]
     row, place = np.nonzero(odd)
@@ -121,12 +125,14 @@ def decode_documents(documents: list[bytes]) -> list[np.ndarray]:
     for width in np.unique(widths[widths > 0]):
         rows, mask = np.flatnonzero(widths == width), np.uint64((1 << int(width)) - 1)
         words = data[starts[rows][:, None] + HEADER + np.arange(16 * int(width))].view("<u8").astype(np.uint64)
+        words = np.ascontiguousarray(words.T)
+        values = np.zeros((BLOCK, len(rows)), np.uint64)
         for j in range(BLOCK):
             word, shift = divmod(j * int(width), 64)
-            value = words[:, word] >> np.uint64(shift)
+            values[j] = words[word] >> np.uint64(shift)
             if shift + width > 64:
-                value = value | (words[:, word + 1] << np.uint64(64 - shift))
-            grid[rows, j] = value & mask
+                values[j] |= words[word + 1] << np.uint64(64 - shift)
+        grid[rows] = (values & mask).T
     row = np.repeat(np.arange(len(starts)), exceptions)
     at = (starts + HEADER + -(-counts * widths // 8))[row] + 5 * _spread(exceptions)
     grid[row, get(at, 1)] = get(at + 1, 4).astype(np.uint64)
@@ -143,12 +149,12 @@ def write_token_table(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary).encode
+        ids_of = encoder(vocabulary).encode_many
         for batch in batches:
             keys, held, total = [], [], 0
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), ids_of(texts_of(batch, "text")), strict=True):
                 keys.append(key)
-                held.append(np.append(ids_of(value.as_py()), np.uint32(end_id)))
+                held.append(np.append(ids, np.uint32(end_id)))
                 total += len(held[-1])
                 if total > HELD_IDS:
                     yield _rows(keys, encode_documents(held, percentile))

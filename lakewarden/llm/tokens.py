@@ -7,7 +7,7 @@ are those of its blank-separated words in turn; each word is encoded once while
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -15,6 +15,7 @@ CACHED_WORDS = 400_000
 SLICE_CHARS = 1 << 20
 MARK = "\x01"
 JOINED_WORDS = 64
+HELD_WORDS = 20_000
 
 
 class _Index(dict):
@@ -72,30 +73,65 @@ class Encoder:
         self.known += len(fresh)
         self.used += len(ids)
 
-    def _slice(self, text: str) -> np.ndarray:
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in turn, and where each word's end."""
         if len(self.index) > CACHED_WORDS:
             self._clear()
-        words = text.replace("\n", " ").split(" ")
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.fresh:
             self._learn()
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
-        return self.ids[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        return self.ids[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])], ends
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a whole text; none for a null or empty one."""
-        if not text:
-            return np.zeros(0, np.uint32)
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        """Words between blanks and line feeds, A-Z in lower case, which the tokenizer does too.
+
+        A text with what may be a special token keeps its case, as those are told by it.
+        """
+        if "<|" not in text:
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        return text.replace("\n", " ").split(" ")
+
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each whole text; none for a null or empty one. Short texts are looked up together."""
+        words: list[str] = []
+        counts: list[int] = []
+        for text in texts:
+            text = text or ""
+            if len(text) > SLICE_CHARS:
+                yield from self._flush(words, counts)
+                words, counts = [], []
+                yield self._long(text)
+                continue
+            mine = self._split(text)
+            words += mine
+            counts.append(len(mine))
+            if len(words) > HELD_WORDS:
+                yield from self._flush(words, counts)
+                words, counts = [], []
+        yield from self._flush(words, counts)
+
+    def _flush(self, words: list[str], counts: list[int]) -> Iterator[np.ndarray]:
+        if counts:
+            ids, ends = self._words(words)
+            cuts = ends[np.cumsum(counts) - 1]
+            yield from np.split(ids, cuts[:-1])
+
+    def _long(self, text: str) -> np.ndarray:
         parts, at = [], 0
         while len(text) - at > SLICE_CHARS:
             cuts = [c for c in (text.find(" ", at + SLICE_CHARS), text.find("\n", at + SLICE_CHARS)) if c >= 0]
             if not cuts:
                 break
-            parts.append(self._slice(text[at:min(cuts)]))
+            parts.append(self._words(self._split(text[at:min(cuts)]))[0])
             at = min(cuts) + 1
-        parts.append(self._slice(text[at:]))
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+        parts.append(self._words(self._split(text[at:]))[0])
+        return np.concatenate(parts)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return next(iter(self.encode_many([text])))
 
 
 _ENCODERS: dict[str, Encoder] = {}
