@@ -8,6 +8,9 @@ untouched; extra columns pass through all stages but the last.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,22 @@ from lakewarden.llm.staging import documents, ship, staged
 from lakewarden.llm.tokens import word_vocabulary
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def documents_stage(stage: Callable) -> Callable:
+    """A stage that gets other columns than those of documents under names no operator uses, and returns all of them."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        away = {c: f"_extra_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(away), sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in away.items()}).select(docs.columns)
+
+    return run_stage
+
+
+@documents_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose pairwise-ranking score reaches the cut; the fit sees labelled documents that are not held out."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
@@ -24,24 +43,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.where(ranking.score_of(model)(F.col("text")) >= ranking.CUT)
 
 
+@documents_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs; those of which nothing is left go."""
     kept = line_runs.without_repeats(docs)
     gone = (F.col("n_removed") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
     return kept.where(~F.coalesce(gone, F.lit(False))).withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+        "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
 
 
+@documents_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group linked by 5-word shingles at a similarity of 0.8."""
     groups = sigtree.jaccard_groups(docs, n=5, num=80, den=100)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(staged(gone, "copies"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(staged(gone, "copies"), "doc_id", "left_anti")
 
 
+@documents_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose source, language and topic weights are flatter than the corpus's."""
-    return raking.mixed(docs).where("kept").select(docs.columns)
+    return raking.mixed(docs).where("kept")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

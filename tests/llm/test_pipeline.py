@@ -8,7 +8,7 @@ import corpus_pipeline as pipeline
 from lakewarden.llm import ranking, sigtree
 
 pytest.importorskip("public_tokenizers")
-DDL = "doc_id long, text string, lang string, source string, n_chars int, score string"
+DDL = "doc_id long, text string, lang string, source string, n_chars int, score string, kept string, n_removed string, weight string"
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def sf_dir(spark, tmp_path_factory):
     shared = " ".join(rng.choice(words, 55))
     texts = [t.capitalize() + "." for t in base] + [f"{shared}\n{base[k][::-1]}" for k in range(10)] + [base[0].capitalize() + ".", base[1].capitalize() + " more."]
     texts += [" ".join(["JUNK!!"] * 50) + f" {k}" for k in range(20)] + [None, "", "x"]
-    rows = [(k, t, "en" if k % 3 else None, f"src{k % 4}", None if t is None else len(t), "extra") for k, t in enumerate(texts)]
+    rows = [(k, t, "en" if k % 3 else None, f"src{k % 4}", None if t is None else len(t), *["extra"] * 4) for k, t in enumerate(texts)]
     path = str(tmp_path_factory.mktemp("sf"))
     spark.createDataFrame(rows, DDL).write.parquet(f"{path}/documents.parquet")
     labels = [(k, 1) for k in range(50)] + [(k, 0) for k in range(62, 80)] + [(None, 1), (3, None)]
@@ -40,6 +40,7 @@ def test_stages_in_turn(spark, sf_dir, tmp_path):
         seen.append((docs, spark.read.parquet(f"{tmp_path}/{k}")))
         docs = seen[-1][1]
         assert name and (k == 4 or docs.columns == columns)
+        assert k == 4 or docs.where("kept <> 'extra' or n_removed <> 'extra' or weight <> 'extra' or score <> 'extra'").count() == 0
     before, after = seen[0]
     model = ranking.fit(before, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     kept = [r["doc_id"] for r in before.collect() if model.scores([r["text"]])[0] >= ranking.CUT]
