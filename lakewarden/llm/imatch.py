@@ -7,6 +7,8 @@ texts. Terms outside every lexicon are left out before anything is counted or mo
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,8 +67,6 @@ def lexicon_of(term: Column) -> Column:
 
 def band(held: DataFrame, column: str, documents: int) -> DataFrame:
     """The terms of the band, from array columns of every document; counts are exact."""
-    import math
-
     low, high = BAND
     counts = held.select(F.explode(column).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     if documents < 2:
