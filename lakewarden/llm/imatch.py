@@ -1,8 +1,8 @@
 """I-Match fingerprints: terms of a chosen band of document frequency, sorted and hashed per lexicon.
 
-The lexicons are disjoint random subsets of all terms, chosen by the terms' hashes, at several
-densities: a dense lexicon tells short texts apart, a sparse one survives large edits of long
-texts. Terms outside every lexicon are left out before anything is counted or moved.
+The lexicons part all terms among them by the terms' hashes, at several densities: a dense lexicon
+tells short texts apart, a sparse one survives large edits of long texts. Document frequencies are
+those of all terms, and every term of the band is in one lexicon.
 """
 
 from __future__ import annotations
@@ -18,11 +18,10 @@ from lakewarden.llm.staging import staged, whole_text
 
 SLOTS = 32768
 #: (lexicons, slots of each): a lexicon of s slots holds s / SLOTS of all terms.
-LEXICONS = ((64, 64), (32, 8), (16, 1))
-USED_SLOTS = sum(n * s for n, s in LEXICONS)
+LEXICONS = ((16, 1775), (64, 64), (32, 8), (16, 1))
 COUNT = sum(n for n, _ in LEXICONS)
 #: Kept terms have ln(N / df) / ln(N) in this band: not in most documents, nor in hardly any.
-BAND = (0.3, 0.95)
+BAND = (0.15, 0.95)
 NEIGHBOUR_BLOCK = 256
 NONE = "-"
 
@@ -51,10 +50,6 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def in_lexicons(hashes: Column) -> Column:
-    return F.filter(hashes, lambda h: F.pmod(h, F.lit(SLOTS)) < USED_SLOTS)
-
-
 def lexicon_of(term: Column) -> Column:
     """Number of the lexicon that holds a term."""
     slot, out, first, number = F.pmod(term, F.lit(SLOTS)), None, 0, 0
@@ -65,14 +60,17 @@ def lexicon_of(term: Column) -> Column:
     return out
 
 
-def band(held: DataFrame, column: str, documents: int) -> DataFrame:
-    """The terms of the band, from array columns of every document; counts are exact."""
+def frequent(held: DataFrame, documents: int) -> DataFrame:
+    """The terms not below the band, from rows of one array per document, and whether they lie above it; counts are exact.
+
+    Those above it are at most mean terms of a document x documents ** BAND[0].
+    """
     low, high = BAND
-    counts = held.select(F.explode(column).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    counts = held.toDF("terms").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     if documents < 2:
-        return counts.where("false").select("term")
+        return counts.where("false").select("term", F.lit(False).alias("common"))
     share = F.log(F.lit(float(documents)) / F.col("df")) / math.log(documents)
-    return counts.where((share >= low) & (share <= high)).select("term")
+    return counts.where(share <= high).select("term", (share < low).alias("common"))
 
 
 def likeness(a: Column, b: Column, whole_a: Column, whole_b: Column) -> Column:
@@ -83,19 +81,19 @@ def likeness(a: Column, b: Column, whole_a: Column, whole_b: Column) -> Column:
     return F.when(F.size(told) > 0, same / F.size(told)).otherwise((whole_a == whole_b).cast("double"))
 
 
-def fingerprints(rows: DataFrame, sides: tuple[str, ...], counted: str) -> DataFrame:
-    """For staged rows (_row, array column per side): _row and one array of COUNT hashes per side.
+def fingerprints(rows: DataFrame) -> DataFrame:
+    """For staged rows (_row, own, edit, both: the terms of one side alone and of both): own_fp and edit_fp of COUNT hashes.
 
-    counted names the side whose document frequencies make the band. Rows without kept terms are absent.
+    The frequencies of the own terms make the band. Rows without kept terms are absent.
     """
-    kept = band(rows, counted, rows.count())
-    a, b = sides
+    found = staged(frequent(rows.select(F.concat("own", "both")), rows.count()), "frequent")
 
-    def flag(found: Column, on: int) -> Column:
-        return F.transform(found, lambda h: F.struct(h.alias("term"), F.lit(on).alias("on")))
+    def flag(terms_of: str, on: int) -> Column:
+        return F.transform(terms_of, lambda h: F.struct(h.alias("term"), F.lit(on).alias("on")))
 
-    flagged = F.concat(flag(F.array_intersect(a, b), 3), flag(F.array_except(a, b), 1), flag(F.array_except(b, a), 2))
-    pairs = rows.select("_row", F.explode(flagged).alias("t")).select("_row", "t.term", "t.on").join(kept, "term")
+    flagged = F.concat(flag("both", 3), flag("own", 1), flag("edit", 2))
+    pairs = rows.select("_row", F.explode(flagged).alias("t")).select("_row", "t.term", "t.on")
+    pairs = pairs.join(F.broadcast(found.where("common").select("term")), "term", "left_anti").join(found.where("not common").select("term"), "term")
     pairs = pairs.select("_row", "term", "on").repartition("_row").withColumn("lexicon", lexicon_of(F.col("term")))
 
     def hashed(bit: int) -> Column:
@@ -106,7 +104,7 @@ def fingerprints(rows: DataFrame, sides: tuple[str, ...], counted: str) -> DataF
     whole = parts.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("lexicon", F.struct("x", "y")))).alias("m"))
     numbers = F.sequence(F.lit(0), F.lit(COUNT - 1))
     side = lambda k: F.transform(numbers, lambda i: F.coalesce(F.element_at("m", i)[k], F.lit(NONE)))
-    return whole.select("_row", side("x").alias(f"{a}_fp"), side("y").alias(f"{b}_fp"))
+    return whole.select("_row", side("x").alias("own_fp"), side("y").alias("edit_fp"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -123,12 +121,12 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = pairs.select("doc_id", "next_id", n.cast("long").alias("n_chars"), F.md5("text").alias("_text"), F.md5("next_text").alias("_next"),
                         F.sha2(edited, 256).alias("edited_sha256"), terms(F.col("text")).alias("t"), terms(edited).alias("e"))
     whole = lambda c: F.hex(F.xxhash64(F.sort_array(c)))
-    rows = rows.select("doc_id", "next_id", "n_chars", "_text", "_next", "edited_sha256", in_lexicons(F.col("t")).alias("own"), in_lexicons(F.col("e")).alias("edit"),
+    rows = rows.select("doc_id", "next_id", "n_chars", "_text", "_next", "edited_sha256", F.array_except("t", "e").alias("own"), F.array_except("e", "t").alias("edit"), F.array_intersect("t", "e").alias("both"),
                        whole("t").alias("own_all"), whole("e").alias("edit_all"), F.monotonically_increasing_id().alias("_row"))
     rows = staged(rows, "terms")
-    marks = fingerprints(rows.select("_row", "own", "edit"), ("own", "edit"), "own")
+    marks = fingerprints(rows.select("_row", "own", "edit", "both"))
     empty = F.array_repeat(F.lit(NONE), COUNT)
-    told = rows.drop("own", "edit").join(marks, "_row", "left").withColumns(
+    told = rows.drop("own", "edit", "both").join(marks, "_row", "left").withColumns(
         {c: F.coalesce(c, empty) for c in ("own_fp", "edit_fp")})
     told = staged(told, "fingerprints")
     after = told.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_next_text"), F.col("own_fp").alias("next_fp"), F.col("own_all").alias("next_all")).dropDuplicates(["_id", "_next_text"])

@@ -39,6 +39,17 @@ def test_fingerprints_of_few_rows(spark):
     assert imatch.edited_fingerprints(spark.createDataFrame([(5, "a b"), (5, "a b"), (None, "c")], DDL)).count() == 3
 
 
+def test_every_term_of_the_band_is_in_a_fingerprint(spark):
+    number = imatch.lexicon_of(F.col("id"))
+    held = dict(spark.range(imatch.SLOTS).groupBy(number.alias("n")).count().collect())
+    assert sorted(held) == list(range(imatch.COUNT)) and sum(held.values()) == imatch.SLOTS
+    # two rows share each word t<k>, which alone is in the band; "all" is above it, u<k> below
+    rows = [(k, f"all t{k // 2} u{k}") for k in range(80)]
+    got = {r["doc_id"]: r["fingerprint"].split(".")[:imatch.COUNT] for r in imatch.edited_fingerprints(spark.createDataFrame(rows, DDL)).collect()}
+    assert all(sum(x != imatch.NONE for x in f) == 1 for f in got.values())
+    assert len({tuple(f) for f in got.values()}) == 40 and all(got[k] == got[k + 1] for k in range(0, 80, 2))
+
+
 def kept_lines(rows, least):
     """Lines that stay: every run that is in an earlier place too goes, whatever its length in lines.
 
