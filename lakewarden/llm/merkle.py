@@ -8,6 +8,7 @@ the root, and only the children of nodes that differ are looked at below, down t
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakewarden.llm.order import running_total
@@ -25,13 +26,34 @@ def warc_record(url: Column, body: Column) -> Column:
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
-def record_index(records: DataFrame, key: str, record: Column) -> DataFrame:
+def record_index(records: DataFrame, key: str, record: Column, place: Column | None = None, nulls_last: bool = False) -> DataFrame:
     """Key, offset, length and SHA-256 of each record, in the order of the integer key.
 
-    Rows of one key follow each other by digest; a null key comes first.
+    Rows of one key follow each other by place, else by digest; a null key comes first unless nulls_last.
     """
-    found = records.select(F.col(key).cast("long").alias("key"), F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"))
-    return running_total(staged(found, "records"), "key", "length", "offset", ("digest",)).select("key", "offset", "length", "digest")
+    digest = F.sha2(record, 256)
+    found = records.select(F.col(key).cast("long").alias("key"), F.octet_length(record).cast("long").alias("length"), digest.alias("digest"),
+                           *([] if place is None else [place.alias("place")]))
+    found = staged(found, "records")
+    index = running_total(found, "key", "length", "offset", ("digest",) if place is None else ("place", "digest")).select("key", "offset", "length", "digest")
+    if not nulls_last:
+        return index
+    null, rest = (found.where(c).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] for c in ("key is null", "key is not null"))
+    return index.withColumn("offset", F.col("offset") + F.when(F.col("key").isNull(), rest).otherwise(-null))
+
+
+def placed(index: DataFrame, replica: DataFrame) -> DataFrame:
+    """The replica's own index (see record_index) with the offsets of the original archive.
+
+    A record belongs to the record of the same key, nulls equal, and the same place among those of the key.
+    Records beyond these are extra and stand behind the original's end, as far as they are into the replica.
+    """
+    nth = F.row_number().over(W.partitionBy("key").orderBy("offset"))
+    end = index.agg(F.coalesce(F.max(F.col("offset") + F.col("length")), F.lit(0))).first()[0]
+    ours = index.select(F.col("key").alias("_key"), F.col("offset").alias("_offset"), nth.alias("_nth"))
+    own = replica.withColumn("nth", nth)
+    joined = own.join(ours, F.col("key").eqNullSafe(F.col("_key")) & (F.col("nth") == F.col("_nth")), "left")
+    return joined.select("key", F.coalesce("_offset", F.col("offset") + end).alias("offset"), "length", "digest")
 
 
 def _folded(nodes: DataFrame) -> DataFrame:
@@ -86,8 +108,11 @@ def damaged(left: DataFrame, right: DataFrame) -> DataFrame:
         F.when(F.col("a").isNull(), F.col("_key")).otherwise(F.col("key")).alias("key"), F.coalesce("offset", "_offset").alias("offset"), "status")
 
 
-def audit(index: DataFrame, replica: DataFrame) -> DataFrame:
-    """Every record of the index with its status in the replica: intact, changed or missing."""
-    found = damaged(index, replica).select(F.col("key").alias("_key"), F.col("offset").alias("_offset"), "status")
-    joined = index.join(found, F.col("key").eqNullSafe(F.col("_key")) & (F.col("offset") == F.col("_offset")), "left")
-    return joined.select("key", "offset", "length", "digest", F.coalesce("status", F.lit("intact")).alias("status"))
+def audit(index: DataFrame, replica: DataFrame, extra: bool = False) -> DataFrame:
+    """Every record of the index with its status in the replica: intact, changed or missing; with extra, also the replica's extra ones."""
+    found = staged(damaged(index, replica).select(F.col("key").alias("_key"), F.col("offset").alias("_offset"), "status"), "damaged")
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("offset") == F.col("_offset"))
+    out = index.join(found, same, "left").select("key", "offset", "length", "digest", F.coalesce("status", F.lit("intact")).alias("status"))
+    if not extra:
+        return out
+    return out.unionAll(replica.join(found.where("status = 'extra'"), same).select("key", "offset", "length", "digest", "status"))

@@ -13,7 +13,7 @@ from lakewarden.llm.bestfit import packed_documents
 from lakewarden.llm.imatch import edited_fingerprints
 from lakewarden.llm.line_runs import oracle as line_runs_sql
 from lakewarden.llm.line_runs import without_repeats
-from lakewarden.llm.merkle import audit, record_index, warc_record
+from lakewarden.llm.merkle import audit, placed, record_index, warc_record
 from lakewarden.llm.pfor import token_places, write_token_table
 from lakewarden.llm.projections import near_duplicates
 from lakewarden.llm.ranking import fit, scored
@@ -97,14 +97,14 @@ DAMAGED = {"html": "case page_id % 997 when 3 then substr(html, 1, length(html)
 
 @query
 def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status in a damaged replica of every page's record, at its place in the archive."""
+    """Status in a damaged replica of every page's record, at its place in the archive, and the replica's extra records."""
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select("page_id", "url", "html")
-    index = staged(record_index(pages, "page_id", warc_record(F.col("url"), F.col("html"))), "index")
-    replica = pages.where("page_id % 997 <> 7").withColumn("html", F.expr(DAMAGED["html"].replace("//", "div")))
-    found = replica.select(F.col("page_id").alias("key"), warc_record(F.col("url"), F.col("html")).alias("record"))
-    found = found.select("key", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
-    placed = found.join(index.select("key", "offset"), "key").select("key", "offset", "length", "digest")
-    return audit(index, placed.transform(lambda df: staged(df, "replica"))).select(
+    index = staged(record_index(pages, "page_id", warc_record(F.col("url"), F.col("html")), nulls_last=True), "index")
+    # the replica keeps the archive's order: records of one page_id follow each other by the digests before the damage
+    replica = pages.where("not (page_id % 997 <=> 7)").withColumn("place", F.sha2(warc_record(F.col("url"), F.col("html")), 256))
+    replica = replica.withColumn("html", F.expr(DAMAGED["html"].replace("//", "div")))
+    own = record_index(replica, "page_id", warc_record(F.col("url"), F.col("html")), F.col("place"), nulls_last=True)
+    return audit(index, staged(placed(index, staged(own, "own")), "replica"), extra=True).select(
         F.col("key").alias("page_id"), "offset", "length", F.col("digest").alias("sha256"), "status")
 
 

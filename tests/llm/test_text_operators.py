@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakewarden.llm import imatch, line_runs, merkle, order, raking, ranking
+from lakewarden.llm import imatch, line_runs, merkle, order, queries, raking, ranking
 from lakewarden.llm.staging import shared_folder
 
 DDL = "doc_id long, text string"
@@ -161,6 +161,32 @@ def test_merkle_finds_every_damage(spark, monkeypatch):
     assert merkle.damaged(empty, empty).count() == 0 and merkle.damaged(index, empty).count() == 81
 
 
+def test_audit_query_with_null_and_repeated_ids(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    one = [(k, f"http://x/{k}", f"<p>{'body' * (k % 9)}") for k in (*range(40), 997 + 3, 997 + 5, 997 + 7)]
+    rows = one + [(None, "http://n", "<p>1"), (None, "http://m", "<p>2")] + [(k, u, h) for k in (3, 5, 7, 9) for u, h in ((f"http://y/{k}", "<p>abc"), (f"http://y/{k}", "abc<p>"), (f"http://z/{k}", "abcdef"))]
+    rows += [(11, one[11][1], one[11][2])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.execute(queries.ORACLE["op1_merkle_audit"]).fetchall()
+    got = [tuple(r) for r in queries.QUERIES["op1_merkle_audit"](spark, str(tmp_path)).collect()]
+    told = lambda found: sorted(((-1 if r[0] is None else r[0], *r[2:]) for r in found))
+    assert told(got) == told(want) and {"intact", "changed", "missing"} == {r[4] for r in got}
+    single = lambda found: {r[0]: r[1] for r in found if r[0] is not None and r[0] not in (3, 5, 7, 9, 11)}
+    assert single(got) == single(want) and min(r[1] for r in got if r[0] is None) == max(r[1] + r[2] for r in got if r[0] is not None)
+
+
+def test_audit_tells_extra_records(spark):
+    pages = [(k, f"http://x/{k}", "b" * k) for k in range(5)] + [(2, "http://x/2", "other"), (None, "u", "n")]
+    index = lambda rows: merkle.record_index(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", merkle.warc_record(F.col("url"), F.col("html"))).cache()
+    ours = index(pages)
+    more = index(pages + [(9, "http://x/9", "new"), (None, "v", "n"), (4, "http://x/4", "bbbb")])
+    got = merkle.audit(ours, merkle.placed(ours, more), extra=True).collect()
+    assert sorted(-1 if r["key"] is None else r["key"] for r in got if r["status"] == "extra") == [-1, 4, 9] and len(got) == 10
+    assert {r["key"] for r in got if r["status"] == "intact"} >= {0, 1, 2, 3, 4}
+
+
 def test_running_totals_and_ranks(spark):
     rows = [(k * 700 - 5000, k % 7, "g" if k % 3 else "h") for k in range(300)] + [(None, 4, "g"), (2001, None, None)]
     df = spark.createDataFrame(rows, "id long, v long, g string").repartition(5)
