@@ -63,6 +63,18 @@ def test_stages_in_turn(spark, sf_dir, tmp_path):
     assert room <= 2048 and after.count() == before.count()
 
 
+def test_rows_with_null_or_repeated_ids_are_documents_of_their_own(spark, sf_dir):
+    rng = np.random.default_rng(3)
+    a, b, c, d = (" ".join(rng.choice([f"word{k}" for k in range(500)], 40)) for _ in range(4))
+    rows = [(5, a), (5, a), (5, b), (None, a), (None, c), (None, c), (2, d), (9, d)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    want = sorted([(5, a), (5, b), (-1, c), (2, d)])
+    for stage in (pipeline.near_duplicates, pipeline.line_dedup):
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns
+        assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in got.collect()) == want
+
+
 def test_run_returns_what_the_last_stage_does(spark, sf_dir):
     rows = pipeline.run(spark, sf_dir)
     assert {"doc_id", "piece", "sequence_id", "offset", "ids_crc32"} <= set(rows.columns) and rows.count() > 20
