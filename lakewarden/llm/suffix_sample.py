@@ -1,5 +1,6 @@
-"""Removal of byte strings that also start elsewhere, by sorting a sample of all suffixes.
+"""Removal of byte strings that also start elsewhere, by grouping a sample of all suffixes by hash.
 
+This replaces the difference-cover algorithm: nothing is sorted, named by rank, recursed on or merged.
 A difference cover samples positions so that any two suffixes meet the sample at one and the same
 distance. Here the sample is taken by content: of every LENGTH-byte window, the position whose
 GRAM-byte string has the least hash. Equal windows have their sampled position at the same place, so
