@@ -4,7 +4,8 @@ Unit vectors are projected on many random directions. Two vectors collide on a d
 lies in a window centred on the other; pairs that collide on enough directions are verified by
 their cosine. Window and count are calibrated so that a pair at the threshold passes with the wanted
 probability. Vectors are sorted by one of the projections and cut into blocks of equal size, and
-only blocks whose ranges come within the greatest possible distance of a linked pair meet.
+only blocks whose ranges come within the greatest possible distance of a linked pair meet. In many
+dimensions these are nearly all blocks, so nearly all pairs of a label are counted.
 """
 
 from __future__ import annotations
