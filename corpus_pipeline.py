@@ -32,7 +32,7 @@ def documents_stage(stage: Callable) -> Callable:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         away = {c: f"_extra_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
         out = stage(spark, docs.withColumnsRenamed(away), sf_dir)
-        return out.withColumnsRenamed({v: k for k, v in away.items()}).select(docs.columns)
+        return out.select([away.get(c, c) for c in docs.columns]).withColumnsRenamed({v: k for k, v in away.items()})
 
     return run_stage
 
