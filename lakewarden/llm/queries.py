@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm import suffix_sample
 from lakewarden.llm.bestfit import packed_documents
+from lakewarden.llm.dot_matrix import clustered
+from lakewarden.llm.dot_matrix import oracle as clusters_sql
+from lakewarden.llm.hard_negatives import hard_negatives
+from lakewarden.llm.hard_negatives import oracle as hard_negatives_sql
 from lakewarden.llm.imatch import edited_fingerprints
+from lakewarden.llm.importance import judged
+from lakewarden.llm.importance import oracle as importance_sql
 from lakewarden.llm.line_runs import oracle as line_runs_sql
 from lakewarden.llm.line_runs import without_repeats
 from lakewarden.llm.merkle import audit, placed, record_index, warc_record
@@ -125,3 +131,30 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 200-byte strings that also start elsewhere."""
     kept = suffix_sample.without_repeats(documents(spark, sf_dir, "doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_incremental_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every sound vector after three rounds from sixteen centroids."""
+    return clustered(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")).drop("centroid")
+
+
+ORACLE["op11_incremental_distances"] = clusters_sql()
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives in the window below each positive of every anchor."""
+    return hard_negatives(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+ORACLE["op12_hard_negatives"] = hard_negatives_sql()
+
+
+@query
+def op13_importance_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, score and verdict of every document; trusted are those labelled 1."""
+    return judged(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
+ORACLE["op13_importance_rules"] = importance_sql()

@@ -42,8 +42,8 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(target)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame as Parquet to a new folder of the shared place and read it back.
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write the frame as Parquet to a new folder of the shared place; the frame read back, and its folder.
 
     Shuffle files of what led to it are of no use then; Spark drops them when the driver's JVM has
     collected their last reference, which is asked for here rather than awaited.
@@ -52,7 +52,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_folder(spark), "staged", f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written as Parquet to a new folder of the shared place and read back."""
+    return staged_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that no frame in use reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Fingerprints, line runs, ranking, raking, fixity and the pipeline on small fixtures."""
 
 import hashlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -201,10 +202,9 @@ def test_running_totals_and_ranks(spark):
         assert [r["r"] for r in mine] == list(range(len(mine)))
 
 
-def test_shared_folder_is_the_one_named(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "file:///some/shared/")
-    try:
-        assert shared_folder(spark) == "file:///some/shared"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_is_the_one_named():
+    session = SimpleNamespace(conf={"spark.checkpoint.dir": "file:///some/shared/"})
+    assert shared_folder(session) == "file:///some/shared"
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=dict))
+    with pytest.raises(RuntimeError):
+        shared_folder(cluster)
