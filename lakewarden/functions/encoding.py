@@ -17,6 +17,17 @@ SINGLE_BYTE_CHARSETS = {
 EBCDIC_NAMES = ["cp037", "cp500", "cp1140", "ibm037", "ebcdic"]
 
 
+UTF8_NAMES = ["utf-8", "utf8", "utf-8-sig", "ascii", "us-ascii"]
+
+
+def charset_of(encoding: str | None) -> str | None:
+    """Name that Spark's readers have for an encoding as contracts and triage name it; None for UTF-8, which is their own."""
+    name = (encoding or "utf-8").strip().lower().replace("_", "-")
+    if name in UTF8_NAMES:
+        return None
+    return SINGLE_BYTE_CHARSETS.get(name, name.upper())
+
+
 def has_utf8_bom(content: Column) -> Column:
     return F.hex(F.substring(content, 1, 3)) == "EFBBBF"
 

@@ -16,8 +16,11 @@ from lakewarden.contracts import Contract
 from lakewarden.functions.coercion import fits_type_sql
 from lakewarden.functions.numeric import percent_sql
 from lakewarden.functions.sqltext import ident, literal, literals
+from lakewarden.functions.text import is_blank_sql
 from lakewarden.operators.values import text_sql
 
+EXTRA_WARNING = "New columns detected (non-breaking)"
+REQUIRED_ISSUE, KEY_ISSUE = "Required columns missing", "Primary key missing"
 DRAFT_WARNING = "Contract is in DRAFT status: it has not been validated by a data steward"
 
 
@@ -42,9 +45,9 @@ def schema_evolution(contract: Contract, columns: list[str]) -> Evolution:
     required = [c for c in contract.required() if c in missing]
     keys = [c for c in contract.primary_keys() if c in missing]
     if required:
-        issues = (f"Required columns missing: {', '.join(required)}",)
+        issues = (f"{REQUIRED_ISSUE}: {', '.join(required)}",)
     elif keys:
-        issues = (f"Primary key missing: {', '.join(keys)}",)
+        issues = (f"{KEY_ISSUE}: {', '.join(keys)}",)
     else:
         issues = ()
     return Evolution(issues, missing, extra)
@@ -172,37 +175,46 @@ def _counters_from_facts(df: DataFrame, facts: DataFrame, contract: Contract) ->
 
 def _judge(counters: DataFrame, contract: Contract, evolution: Evolution, columns: list[str],
            scenario: str, enforce_null_tolerance: bool) -> DataFrame:
-    """Turn the counter row into the result row, step by step over named columns."""
-    required, keys = _in_load(contract, columns)
+    """Turn the counter row into the result row of a load with these columns."""
+    extra = f"{EXTRA_WARNING}: {', '.join(evolution.extra)}" if evolution.extra else None
+    return _judged(counters, contract, *_in_load(contract, columns), literals(evolution.issues), literal(extra), scenario, enforce_null_tolerance)
+
+
+def _judged(counters: DataFrame, contract: Contract, required: list[str], keys: list[str], schema_issues: str, extra: str,
+            scenario: str, enforce_null_tolerance: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Turn counter rows into result rows, step by step over named columns.
+
+    ``schema_issues`` (array) and ``extra`` (text or NULL) are SQL over the counter rows, and ``carry`` names
+    columns of them that stay.
+    """
     types = contract.types()
     bad_key = literals(f"Primary key '{c}' holds values that are not {types[c]}" for c in keys)
-    issues = (literals(evolution.issues) if evolution.breaking else
-              f"slice(filter(transform({bad_key}, (m, i) -> if(bad[i] > 0, m, null)), m -> m is not null), 1, 1)")
+    issues = (f"if(size({schema_issues}) > 0, {schema_issues}, "
+              f"slice(filter(transform({bad_key}, (m, i) -> if(bad[i] > 0, m, null)), m -> m is not null), 1, 1))")
     found = counters.selectExpr(
-        "coalesce(rows_total, 0L) as rows_total", "coalesce(duplicate_count, 0L) as dups", f"{issues} as issues",
+        *carry, "coalesce(rows_total, 0L) as rows_total", "coalesce(duplicate_count, 0L) as dups", f"{issues} as issues", f"{extra} as extra",
         f"filter(transform({literals(required)}, (c, i) -> named_struct('key', c, 'missing', miss[i])), s -> s.missing > 0) as nulls",
     ).selectExpr("*", "size(issues) > 0 as broken")
     no_map = "cast(map() as map<string,double>)"
     pct = percent_sql("s.missing", "rows_total")
     dup_rule = bool(keys) and not contract.allow_duplicates
     over = f"exists(map_values(null_violations), p -> p > {contract.max_null_pct}D)" if enforce_null_tolerance else "size(null_violations) > 0"
-    extra = f"New columns detected (non-breaking): {', '.join(evolution.extra)}" if evolution.extra else None
     judged = found.selectExpr(
         "*", f"if(broken, {no_map}, map_from_entries(transform(nulls, s -> named_struct('k', s.key, 'v', {pct})))) as null_violations",
     ).selectExpr("*", f"{over} as has_nulls", f"not broken and dups > 0 and {str(dup_rule).lower()} as has_dups")
-    is_extra = str(bool(evolution.extra)).lower()
     draft = None if contract.is_validated() else DRAFT_WARNING
     warnings = ", ".join([
         literal(draft),
-        f"if(broken, null, {literal(extra)})",
+        "if(broken, null, extra)",
         "if(has_nulls, concat('Nulls in required columns: ', array_join(map_keys(null_violations), ', ')), null)",
         f"if(has_dups, concat(cast(dups as string), ' duplicate rows (', cast({percent_sql('dups', 'rows_total', 1)} as string), '%)'), null)",
     ])
     return judged.selectExpr(
+        *carry,
         f"{literal(contract.table)} as `table`",
         f"{literal(scenario)} as scenario",
-        f"case when broken then 'DLQ' when {is_extra} or has_nulls or has_dups then 'WARNING' else 'PASS' end as status",
-        f"case when broken then 'BREAKING' when {is_extra} then 'NON_BREAKING' end as evolution_type",
+        "case when broken then 'DLQ' when extra is not null or has_nulls or has_dups then 'WARNING' else 'PASS' end as status",
+        "case when broken then 'BREAKING' when extra is not null then 'NON_BREAKING' end as evolution_type",
         "issues",
         f"array_compact(array({warnings})) as warnings",
         "rows_total",
@@ -212,6 +224,53 @@ def _judge(counters: DataFrame, contract: Contract, evolution: Evolution, column
     )
 
 
+def validate_files(rows: DataFrame, heads: DataFrame, contract: Contract, scenario: str = "baseline", file: str = "_file",
+                   extra: str = "_extra", corrupt: str = "_corrupt_record") -> DataFrame:
+    """One result row per file, each judged by its own columns, with (_file, null_pcts) before the fields of a result.
+
+    ``rows`` has the contract's columns as text, a map of other columns and the text of corrupt lines, and
+    ``heads`` (_file, names). All counters of all files are made in one aggregation by file, one row per file and
+    task; keys are looked for inside a file. ``null_pcts`` holds the percentage of blanks of each column of the file.
+    """
+    required, keys, declared = contract.required(), contract.primary_keys(), contract.column_names()
+    types = contract.types()
+
+    def each(tests: list[str]) -> str:
+        return f"cast(array({', '.join(f'count_if({t})' for t in tests)}) as array<bigint>)"
+
+    nulls, bad, blanks = [f"{ident(c)} is null" for c in required], [_misfit_sql(rows, c, types[c]) for c in keys], [is_blank_sql(ident(c)) for c in declared]
+    counted = rows.groupBy(file).agg(*[F.expr(e) for e in (
+        "count(1) as rows_total", f"{each(nulls)} as miss", f"{each(bad)} as bad", f"{each(blanks)} as blanks", f"count({ident(corrupt)}) as corrupt")])
+    if keys:
+        repeats = rows.groupBy(file, *[ident(c) for c in keys]).agg(F.expr("count(1) as n")).groupBy(file).agg(F.expr("sum(n - 1) as duplicate_count"))
+        counted = counted.join(repeats, file, "left")
+    else:
+        counted = counted.withColumn("duplicate_count", F.lit(0).cast("bigint"))
+    more = rows.select(file, F.explode(extra).alias("name", "value")).groupBy(file, "name").agg(F.expr(f"count_if({is_blank_sql('value')}) as b"))
+    more = more.groupBy(file).agg(F.sort_array(F.collect_list(F.struct("name", "b"))).alias("_more"))  # one entry per column of a file
+    names = heads.select(
+        file, F.expr(f"filter({literals(required)}, c -> not array_contains(names, c))").alias("_lost"),
+        F.expr(f"filter({literals(keys)}, c -> not array_contains(names, c))").alias("_lost_keys"),
+        F.expr(f"array_sort(array_except(names, {literals(declared)}))").alias("_new"),
+        F.expr(f"transform({literals(declared)}, c -> array_contains(names, c))").alias("_has"))
+    whole = names.join(counted, file, "left").join(more, file, "left")
+    # A file with a header alone has no counters.
+    zeros = {"miss": len(required), "bad": len(keys), "blanks": len(declared)}
+    whole = whole.withColumns({c: F.coalesce(c, F.expr(f"array_repeat(0L, {n})")) for c, n in zeros.items()}).withColumn("rows_total", F.coalesce("rows_total", F.lit(0)))
+    whole = whole.withColumn("null_pcts", F.expr(
+        f"concat(filter(zip_with(_has, blanks, (h, b) -> if(h, {percent_sql('b', 'rows_total')}, null)), p -> p is not null), "
+        f"transform(coalesce(_more, cast(array() as array<struct<name:string,b:bigint>>)), s -> {percent_sql('s.b', 'rows_total')}))"))
+    whole = whole.withColumn("lost", F.expr("size(_lost) + size(_lost_keys)"))
+    issues = (f"case when size(_lost) > 0 then array(concat('{REQUIRED_ISSUE}: ', array_join(_lost, ', '))) "
+              f"when size(_lost_keys) > 0 then array(concat('{KEY_ISSUE}: ', array_join(_lost_keys, ', '))) "
+              "when corrupt > 0 then array(concat(cast(corrupt as string), ' of ', cast(rows_total as string), ' lines have too many fields or an open quote')) "
+              "else cast(array() as array<string>) end")
+    judged = _judged(whole, contract, required, keys, f"({issues})", f"if(size(_new) > 0, concat('{EXTRA_WARNING}: ', array_join(_new, ', ')), null)",
+                     scenario, carry=(ident(file), "null_pcts", "corrupt", "lost"))
+    # Damaged lines are no change of the schema.
+    return judged.withColumn("evolution_type", F.when((F.col("corrupt") > 0) & (F.col("lost") == 0), F.lit(None)).otherwise(F.col("evolution_type"))).drop("corrupt", "lost")
+
+
 def validate(df: DataFrame, contract: Contract, scenario: str = "baseline",
              enforce_null_tolerance: bool = False) -> DataFrame:
     """One result row for a load. Nothing runs until the row is asked for."""

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from lakewarden.functions.codes import exit_code
 from lakewarden.operators.ordered import previous_row
 
-SERIES = ["table", "scenario"]
+#: Runs of one table, scenario and format follow each other; formats of one run are not compared with one another.
+SERIES = ["table", "scenario", "format"]
 EXPORT_FIELDS = [
     "run_id", "timestamp", "table", "scenario", "validation_status", "evolution_type", "rows_total",
     "rows_valid", "duplicate_count", "avg_null_pct", "profiling_ms", "slm_status", "slm_inference_ms",
@@ -26,7 +27,7 @@ def select_records(records: DataFrame, table: str | None = None, scenario: str |
 
 
 def latest(records: DataFrame) -> DataFrame:
-    """Most recent record of each (table, scenario). Ranked per task before the shuffle."""
+    """Most recent record of each series. A run has one record in a series, so the order is total. Ranked per task before the shuffle."""
     order = W.partitionBy(*SERIES).orderBy(F.desc("timestamp"), F.desc("run_id"))
     return records.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n")
 
@@ -37,7 +38,7 @@ def _trend_mark(diff: Column) -> Column:
 
 
 def score_trend(records: DataFrame) -> DataFrame:
-    """Last score of each (table, scenario) and its change from the run before.
+    """Last score of each series and its change from the run before.
 
     Only two records per series are needed, so the rank filter keeps two per task.
     """

@@ -20,20 +20,28 @@ def _with_chunks(df: DataFrame, group: list[str], order: list[str]) -> DataFrame
     """Add ``_chunk``, the number of cuts at or before a row in its group.
 
     The cuts are rows that a hash of their key picks, a few for each shuffle partition, so a chunk
-    follows from the data alone and is the same whenever a task is run again.
+    follows from the data alone and is the same whenever a task is run again. They are kept in runs of
+    about the square root of their number: a row is compared with the first of each run, then
+    with the cuts of one.
     """
     wanted = CHUNKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    every = max(1, df.count() // wanted)
+    every = F.greatest(F.lit(1), F.floor(df.select(F.count(F.lit(1))).scalar() / wanted)).cast("bigint")
     at = F.struct(*[F.col(c) for c in order])
-    picked = df.filter(F.pmod(F.xxhash64(*group, *order), F.lit(every)) == 0)
+    picked = df.filter(F.pmod(F.xxhash64(*group, *order), every) == 0)
     cuts = picked.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], at.alias("_at"))
     cuts = cuts.groupBy(*[f"_g{i}" for i in range(len(group))]).agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
+    cuts = cuts.withColumn("_run", F.ceil(F.sqrt(F.size("_cuts"))).cast("int"))
+    starts = F.sequence(F.lit(1), F.size("_cuts"), F.col("_run"))
+    cuts = cuts.withColumn("_runs", F.transform(starts, lambda i: F.slice("_cuts", i, F.col("_run")))).drop("_cuts")
+    cuts = cuts.withColumn("_heads", F.transform("_runs", lambda r: r[0]))
     same: list[Column] = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
     # A tiny frame picks every row; a larger one about `wanted` of them.
     cuts = F.broadcast(cuts) if wanted <= BROADCAST_CUTS else cuts
     joined = df.join(cuts, reduce(lambda a, b: a & b, same), "left")
-    passed = F.size(F.filter("_cuts", lambda c: c <= at))
-    return joined.withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).drop("_cuts", *[f"_g{i}" for i in range(len(group))])
+    joined = joined.withColumn("_before", F.size(F.filter("_heads", lambda c: c <= at)) - 1)  # runs that end before the row's own
+    inside = F.size(F.filter(F.get("_runs", F.col("_before")), lambda c: c <= at))
+    chunk = F.when(F.coalesce(F.col("_before"), F.lit(-1)) < 0, 0).otherwise(F.col("_before") * F.col("_run") + inside)
+    return joined.withColumn("_chunk", chunk).drop("_run", "_runs", "_heads", "_before", *[f"_g{i}" for i in range(len(group))])
 
 
 def previous_row(df: DataFrame, group: list[str], order: list[str], values: dict[str, str],

@@ -48,10 +48,24 @@ def run_records(run_id: str, timestamp: str, results: DataFrame, profiled: DataF
     joined = results.join(mean_nulls(profiled, key), key, "left")
     if documented is not None:
         joined = joined.join(documented.select(*key, "slm_status", "slm_inference_ms"), key, "left")
-    slm = documented is not None
+    return _records(joined, literal(run_id), timestamp, fmt, profiling_ms, documented is not None)
+
+
+def file_records(results: DataFrame, run_id: str, timestamp: str, fmt: str = "csv") -> DataFrame:
+    """One record per file of validate_files(); its run id is the given one and a digest of the file's path.
+
+    A file that failed is not profiled, so its nulls earn nothing.
+    """
+    hundredths = "aggregate(null_pcts, 0L, (s, p) -> s + cast(round(p * 100) as bigint))"
+    scored = results.withColumn("mean_null_pct", F.expr(
+        f"if(status = 'DLQ' or size(null_pcts) = 0, null, cast({hundredths} as double) / size(null_pcts) / 100.0D)"))
+    return _records(scored, f"concat({literal(run_id)}, '-', substring(sha2(_file, 256), 1, 12))", timestamp, fmt, 0.0, False)
+
+
+def _records(joined: DataFrame, run_id: str, timestamp: str, fmt: str, profiling_ms: float, slm: bool) -> DataFrame:
     score = quality_score_sql("status", "mean_null_pct", "rows_total", "duplicate_count", "evolution_type")
     return joined.selectExpr(
-        f"{literal(run_id)} as run_id",
+        f"{run_id} as run_id",
         f"{literal(timestamp)} as timestamp",
         "`table`", "scenario",
         f"{literal(fmt)} as format",

@@ -77,3 +77,13 @@ def quarantine_load(df: DataFrame, lake: Lake, key: LoadKey, issues: list[str])
     marked.write.mode("overwrite").parquet(path)
     _withdraw(df, key.path(lake, "silver"))
     return path
+
+
+def route_rows(rows: DataFrame, lake: Lake, key: LoadKey) -> None:
+    """Rows with a ``_status`` and ``_issues``: those of failed files to quarantine, the others to silver.
+
+    Both folders of the load are replaced; one that gets no rows is left without any.
+    """
+    failed = F.col("_status") == "DLQ"
+    rows.where(~failed).drop("_status", "_issues").write.mode("overwrite").parquet(key.path(lake, "silver"))
+    rows.where(failed).write.mode("overwrite").parquet(key.path(lake, "quarantine"))

@@ -1,7 +1,7 @@
 """Registered queries: run records and the questions asked of their history.
 
-Every order stands for one run record, so a handful of (table, scenario) series hold all rows:
-the series are as hot as they can be.
+Every order stands for one run record, and every fourth order for one in each of three formats under one
+run and time, so a handful of (table, scenario, format) series hold all rows: the series are as hot as they can be.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakewarden.operators.history import (
-    EXPORT_FIELDS, dashboard_totals, documentation_status, export_fields, latest, problem_lines, report_lines,
+    EXPORT_FIELDS, SERIES, dashboard_totals, documentation_status, export_fields, latest, problem_lines, report_lines,
     run_totals, score_evolution, score_trend, select_records, union_records, worst_exit_codes,
 )
 from lakewarden.operators.score import quality_score_sql
@@ -26,7 +26,7 @@ _BASE = {
     "evolution_type": "case when o_orderkey % 10 = 0 then 'BREAKING' when o_orderkey % 20 = 1 then 'NON_BREAKING' end",
     "rows_total": "o_custkey + 1",
     "duplicate_count": "case when o_orderkey % 10 = 0 then 0 else o_orderkey % 5 end",
-    "avg_null_pct": "(o_orderkey % 400) / 10.0",
+    "avg_null_pct": "(o_orderkey % 400) / 10.0 + k",
     "profiling_ms": "(o_orderkey % 1000) / 4.0",
     "slm_status": "case o_orderkey % 6 when 0 then 'SUCCESS' when 1 then 'ERROR' else 'SKIPPED' end",
     "slm_inference_ms": "case when o_orderkey % 6 = 0 then 32000.5 else 0.0 end",
@@ -44,15 +44,18 @@ def _cast(name: str, expr: str) -> str:
     return f"cast({expr} as bigint)" if name in _LONGS else expr
 
 
-_BASE_SQL = "select " + ", ".join(f"{_cast(n, e)} as {n}" for n, e in _BASE.items()) + ", o_orderkey from orders"
+_FORMATS = ("csv", "json", "fixed")
+_FORMAT = "case k when 0 then 'csv' when 1 then 'json' else 'fixed' end"
+_BASE_SQL = ("select " + ", ".join(f"{_cast(n, e)} as {n}" for n, e in _BASE.items()) + f", {_FORMAT} as format from orders, "
+             "(select unnest([0, 1, 2]) as k) f where k = 0 or o_orderkey % 4 = 0")
 RECORDS_SQL = f"""(select r.*, case when validation_status = 'DLQ' then 0 else rows_total - duplicate_count end as rows_valid,
     {score_sql('validation_status', "(case when validation_status = 'DLQ' then null else avg_null_pct end)", 'rows_total', 'duplicate_count', 'evolution_type')} as quality_score
     from ({_BASE_SQL}) r)"""
 
 
 def records(spark, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "orders").selectExpr(
-        *[f"{_cast(n, e)} as {n.replace(chr(34), '`')}" for n, e in _BASE.items()])
+    orders = table(spark, sf_dir, "orders").selectExpr("*", "explode(if(o_orderkey % 4 = 0, array(0, 1, 2), array(0))) as k")
+    base = orders.selectExpr(*[f"{_cast(n, e)} as {n.replace(chr(34), '`')}" for n, e in _BASE.items()], f"{_FORMAT} as format")
     score = quality_score_sql("validation_status", "if(validation_status = 'DLQ', null, avg_null_pct)", "rows_total",
                               "duplicate_count", "evolution_type")
     return base.selectExpr(
@@ -62,7 +65,7 @@ def records(spark, sf_dir: str) -> DataFrame:
 
 
 _TREND = "case when {d} is null then '' when {d} > 1 then '(+)' when {d} < -1 then '(-)' else '(=)' end"
-_LATEST_SQL = f"""(select * from (select *, row_number() over (partition by "table", scenario order by "timestamp" desc, run_id desc) as n
+_LATEST_SQL = f"""(select * from (select *, row_number() over (partition by "table", scenario, format order by "timestamp" desc, run_id desc) as n
     from {RECORDS_SQL} r) x where n = 1)"""
 _EXIT = "case validation_status when 'PASS' then 0 when 'SKIPPED' then 0 when 'WARNING' then 1 when 'DLQ' then 2 when 'ERROR' then 2 else 1 end"
 _FIELDS = ", ".join('"table"' if f == "table" else '"timestamp"' if f == "timestamp" else f for f in EXPORT_FIELDS)
@@ -97,12 +100,12 @@ def worst_exit_codes_query(spark, sf_dir):
 
 
 @register("score_trend", f"""
-    select "table", scenario, last_score, previous_score, last_status, {_TREND.format(d='(last_score - previous_score)')} as trend
-    from (select "table", scenario, max(case when n = 1 then quality_score end) as last_score,
+    select "table", scenario, format, last_score, previous_score, last_status, {_TREND.format(d='(last_score - previous_score)')} as trend
+    from (select "table", scenario, format, max(case when n = 1 then quality_score end) as last_score,
                  max(case when n = 2 then quality_score end) as previous_score,
                  max(case when n = 1 then validation_status end) as last_status
-          from (select *, row_number() over (partition by "table", scenario order by "timestamp" desc, run_id desc) as n
-                from {RECORDS_SQL} r) x where n <= 2 group by 1, 2) t""")
+          from (select *, row_number() over (partition by "table", scenario, format order by "timestamp" desc, run_id desc) as n
+                from {RECORDS_SQL} r) x where n <= 2 group by 1, 2, 3) t""")
 def score_trend_query(spark, sf_dir):
     return score_trend(records(spark, sf_dir))
 
@@ -113,24 +116,24 @@ def latest_runs(spark, sf_dir):
 
 
 @register("score_evolution", f"""
-    select "table", scenario, "timestamp", run_id, validation_status, quality_score, previous_score,
+    select "table", scenario, format, "timestamp", run_id, validation_status, quality_score, previous_score,
            {_TREND.format(d='(quality_score - previous_score)')} as trend
-    from (select *, lag(quality_score) over (partition by "table", scenario order by "timestamp", run_id) as previous_score
+    from (select *, lag(quality_score) over (partition by "table", scenario, format order by "timestamp", run_id) as previous_score
           from {RECORDS_SQL} r) x""")
 def score_evolution_query(spark, sf_dir):
     return score_evolution(records(spark, sf_dir)).select(
-        "table", "scenario", "timestamp", "run_id", "validation_status", "quality_score", "previous_score", "trend")
+        *SERIES, "timestamp", "run_id", "validation_status", "quality_score", "previous_score", "trend")
 
 
 @register("problem_lines", f"""
     with p as (select * from {RECORDS_SQL} r
                where validation_status in ('DLQ', 'WARNING') or issue is not null or warning is not null or extra_warning is not null),
          lines as (
-           select run_id, "timestamp", 'ERR' as severity, issue as message from p where issue is not null
-           union all select run_id, "timestamp", 'WARN', warning from p where warning is not null and warning not like '%DRAFT%'
-           union all select run_id, "timestamp", 'WARN', extra_warning from p where extra_warning is not null)
-    select p.run_id, p."timestamp", p."table", p.scenario, p.validation_status, l.severity, l.message
-    from p left join lines l on p.run_id = l.run_id and p."timestamp" = l."timestamp" """)
+           select run_id, "timestamp", format, 'ERR' as severity, issue as message from p where issue is not null
+           union all select run_id, "timestamp", format, 'WARN', warning from p where warning is not null and warning not like '%DRAFT%'
+           union all select run_id, "timestamp", format, 'WARN', extra_warning from p where extra_warning is not null)
+    select p.run_id, p."timestamp", p."table", p.scenario, p.format, p.validation_status, l.severity, l.message
+    from p left join lines l on p.run_id = l.run_id and p."timestamp" = l."timestamp" and p.format = l.format""")
 def problem_lines_query(spark, sf_dir):
     return problem_lines(records(spark, sf_dir))
 
@@ -151,18 +154,17 @@ def records_of_table(spark, sf_dir):
 
 
 @register("records_union", f"""
-    select format, count(*) as records, cast(sum(rows_total) as bigint) as rows_total from (
-      select 'csv' as format, rows_total from {RECORDS_SQL} a union all select 'json', rows_total from {RECORDS_SQL} b
-      union all select 'fixed', rows_total from {RECORDS_SQL} c) u group by format""")
+    select format, scenario, count(*) as records, cast(sum(rows_total) as bigint) as rows_total from {RECORDS_SQL} r group by format, scenario""")
 def records_union(spark, sf_dir):
+    """The histories of three formats, kept apart and put together again; one of them lacks a field."""
     base = records(spark, sf_dir)
-    frames = [base.withColumn("format", F.lit(f)) for f in ("csv", "json", "fixed")]
-    return union_records(*frames).groupBy("format").agg(
+    frames = [base.where(F.col("format") == f).drop(*(["slm_status"] if f == "fixed" else [])) for f in _FORMATS]
+    return union_records(*frames).groupBy("format", "scenario").agg(
         F.count(F.lit(1)).alias("records"), F.sum("rows_total").alias("rows_total"))
 
 
 @register("report_lines", f"""
-    select run_id, "table", scenario, concat("table", '/', scenario, ' ', coalesce(validation_status, 'unknown'), ': score ', cast(quality_score as varchar),
+    select run_id, "table", scenario, format, concat("table", '/', scenario, ' ', coalesce(validation_status, 'unknown'), ': score ', cast(quality_score as varchar),
         ', rows ', cast(rows_valid as varchar), ' of ', cast(rows_total as varchar), ', nulls ', cast(avg_null_pct as varchar), '%, duplicates ',
         cast(duplicate_count as varchar)) as line
     from {RECORDS_SQL} r""")

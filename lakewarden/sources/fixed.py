@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lakewarden.contracts import Contract
@@ -14,6 +17,7 @@ from lakewarden.functions.numeric import INTEGER_PATTERN, double_text_sql
 from lakewarden.functions.sqltext import ident
 from lakewarden.operators.infer import draft_document
 from lakewarden.operators.ordered import previous_row
+from lakewarden.sources.tabular import read_lines
 
 # Header names accepted in a layout table.
 LAYOUT_HEADERS = {
@@ -24,6 +28,8 @@ LAYOUT_HEADERS = {
     "desc": ["descricao", "description", "desc"],
 }
 SPACE_SHARE = 0.7
+#: Positions counted in one array, arrays a task holds before it sends them on, and characters looked at together.
+RANGE, HELD_RANGES, GROUP_CHARS = 1 << 16, 128, 1 << 22
 INFERENCE_WARNING = "layout guessed from blank columns; compare it with the file's specification"
 
 
@@ -60,8 +66,9 @@ def parse_fixed(lines: DataFrame, layout: list[Field], value: str = "value") ->
         f"nullif(trim(substring({ident(value)}, {int(f.start)}, {int(f.width)})), '') as {ident(f.name)}" for f in layout])
 
 
-def read_fixed(spark: SparkSession, path: str, layout: list[Field]) -> DataFrame:
-    return parse_fixed(spark.read.text(path), layout)
+def read_fixed(spark: SparkSession, path: str, layout: list[Field], encoding: str | None = None) -> DataFrame:
+    """Positions are characters of the file's encoding."""
+    return parse_fixed(read_lines(spark, path, encoding), layout)
 
 
 def field_sql(name: str, dtype: T.DataType, width: int, contract_type: str) -> str:
@@ -172,37 +179,75 @@ def layout_findings(checked: DataFrame, tie: str = "name") -> DataFrame:
     return checked.select(F.explode(found).alias("f"), F.col(tie).alias("field"), F.col("start").alias("position")).select("f.finding", "field", "position", "f.bytes")
 
 
-def space_shares(lines: DataFrame, value: str = "value") -> DataFrame:
-    """(pos, spaces, lines): how many lines have a space at each 0-based position.
+def space_counts(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(pos, spaces): how many lines have a space at each 0-based position; positions without any have no row.
 
-    Counted per task first; what is shuffled has one row per position, bounded by the longest line.
+    A task adds up its own lines in arrays over ranges of positions, so what is shuffled is one row per
+    position and task.
     """
-    filled = lines.filter(F.col(value) != "")
-    chars = filled.select(F.posexplode(F.split(F.col(value), "")).alias("pos", "ch"))
-    per_pos = chars.groupBy("pos").agg(F.count_if(F.col("ch") == " ").alias("spaces"), F.count(F.lit(1)).alias("present"))
-    # Every filled line has a first character, so position 0 holds the number of lines.
-    return per_pos.withColumn("lines", F.max("present").over(W.partitionBy())).select("pos", "spaces", "lines")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for group in _groups(batch.column(0)):
+                sizes = np.fromiter(map(len, group), np.int64, len(group))
+                chars = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32)
+                at = np.flatnonzero(chars == 32)
+                at -= np.repeat(np.cumsum(sizes) - sizes, sizes)[at]
+                for k in np.unique(at // RANGE):
+                    held[int(k)] = held.get(int(k), 0) + np.bincount(at[at // RANGE == k] % RANGE, minlength=RANGE)
+            if len(held) > HELD_RANGES:
+                yield from map(_rows, held.items())
+                held.clear()
+        yield from map(_rows, held.items())
+
+    filled = lines.filter(F.col(value) != "").select(value)
+    return filled.mapInArrow(count, "pos int, spaces long").groupBy("pos").agg(F.sum("spaces").alias("spaces"))
+
+
+def _groups(column: pa.Array) -> Iterator[list[str]]:
+    """Lines of a batch in groups of bounded size."""
+    group, size = [], 0
+    for line in column:
+        group.append(line.as_py())
+        size += len(group[-1])
+        if size > GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _rows(item: tuple[int, np.ndarray]) -> pa.RecordBatch:
+    at = np.flatnonzero(item[1])
+    return pa.RecordBatch.from_arrays([pa.array(item[0] * RANGE + at, pa.int32()), pa.array(item[1][at], pa.int64())], ["pos", "spaces"])
 
 
 def infer_layout(lines: DataFrame, value: str = "value") -> DataFrame:
     """Fields as runs of positions that are mostly not spaces: (name, start, end), 1-based inclusive.
 
-    Works on one row per character position, so its size is that of the longest line.
+    Runs are the gaps between positions that are mostly spaces, the end of the longest line being one
+    too. Gaps are found and numbered inside ranges of positions, then over the ranges: a text has fewer than
+    2**31 characters, so there are fewer than 2**15 ranges.
     """
-    order = W.partitionBy().orderBy("pos")
-    marked = space_shares(lines, value).withColumn("is_space", F.col("spaces") / F.col("lines") >= SPACE_SHARE)
-    runs = marked.withColumn(
-        "opens", ~F.col("is_space") & F.coalesce(F.lag("is_space").over(order), F.lit(True))
-    ).withColumn("run", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    filled = lines.filter(F.col(value) != "")
+    total = filled.agg(F.struct(F.count(F.lit(1)).alias("lines"), F.max(F.length(value)).alias("longest")).alias("t")).scalar()
+    spaces = space_counts(lines, value).filter(F.col("spaces") / total["lines"] >= SPACE_SHARE).select("pos")
+    end = lines.sparkSession.range(1).select(total["longest"].alias("pos")).filter("pos is not null")
+    marks = spaces.unionAll(end).withColumn("_range", F.floor(F.col("pos") / RANGE).cast("int"))
+    inside, over = W.partitionBy("_range").orderBy("pos"), W.partitionBy(F.floor(F.col("_range") / RANGE)).orderBy("_range")
+    marks = marks.withColumn("_prev", F.lag("pos").over(inside))
+    ranges = marks.groupBy("_range").agg(F.min("pos").alias("_first"), F.max("pos").alias("_last"), F.count_if(F.col("pos") - F.col("_prev") > 1).alias("_gaps"))
+    ranges = ranges.withColumn("_before", F.coalesce(F.lag("_last").over(over), F.lit(-1)))
+    ranges = ranges.withColumn("_gaps", F.col("_gaps") + F.when(F.col("_first") - F.col("_before") > 1, 1).otherwise(0))
+    ranges = ranges.withColumn("_base", F.sum("_gaps").over(over) - F.col("_gaps"))
+    gaps = marks.join(ranges.select("_range", "_before", "_base"), "_range").withColumn("first", F.coalesce("_prev", "_before") + 1)
+    gaps = gaps.withColumn("_size", F.col("pos") - F.col("first"))
+    gaps = gaps.withColumn("run", F.col("_base") + F.count_if(F.col("_size") > 0).over(inside))
     # A line that begins with spaces has an empty first run, which still takes a number.
-    runs = runs.withColumn("shift", F.max(F.when((F.col("pos") == 0) & F.col("is_space"), 1).otherwise(0)).over(W.partitionBy()))
-    fields = runs.filter(~F.col("is_space")).groupBy("run").agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("shift").alias("shift"))
-    return fields.filter(F.col("last") - F.col("first") >= 1).select(
-        F.format_string("campo_%03d", F.col("run") + F.col("shift")).alias("name"),
-        (F.col("first") + 1).alias("start"),
-        (F.col("last") + 1).alias("end"),
-    )
+    leads = spaces.filter("pos = 0").agg(F.count(F.lit(1))).scalar()
+    return gaps.filter("_size > 1").select(
+        F.format_string("campo_%03d", F.col("run") + leads).alias("name"), (F.col("first") + 1).alias("start"), F.col("pos").alias("end"))
 
 
 def fields_of(layout_rows: list) -> list[Field]:

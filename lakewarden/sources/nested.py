@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from lakewarden.functions.numeric import double_text_sql
+from lakewarden.functions.sqltext import ident
+
 SEPARATOR = "__"
 
 
@@ -17,52 +22,86 @@ class JsonTable:
     notes: dict[str, list[str]] = field(default_factory=dict)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> JsonTable:
-    """One record per line; lines that are no JSON are skipped. This is the form that splits."""
-    reader = spark.read.option("mode", "DROPMALFORMED")
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None, as_text: bool = False) -> JsonTable:
+    """One record per line; lines that are no JSON are skipped. This is the form that splits.
+
+    With ``as_text`` numbers and booleans come back as the text in the file, digit for digit.
+    """
+    reader = spark.read.option("mode", "DROPMALFORMED").option("primitivesAsString", as_text)
     if schema is not None:
         reader = reader.schema(schema)
     return JsonTable(reader.json(path), "jsonlines")
 
 
-def _roots(spark: SparkSession, path: str) -> DataFrame:
-    """Per file whether its value is a list, and its top-level keys in document order."""
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.col("_metadata.file_path").alias("_file"), (F.substring(F.ltrim("value"), 1, 1) == "[").alias("_list"),
-                       F.json_object_keys("value").alias("_keys"))
+def json_documents(spark: SparkSession, path: str, root_key: str | None = None) -> DataFrame:
+    """(_file, structure, root_key, many, text) of every file, told from that file alone.
+
+    A file holds a list, records under a root key, or a single object. The root key is the given one where
+    the file has it, else the first of its keys that holds a list; ``many`` says whether a list is under
+    it. structure is list or object, or NULL where the file is no JSON. Each file is one JSON value and
+    therefore one task; many files run in parallel, whatever their shapes.
+    """
+    text = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("_file"), F.regexp_replace("value", "^[\\s\ufeff]+", "").alias("text"))
+    is_list, is_object = F.col("text").startswith("["), F.col("text").startswith("{")
+    found = text.withColumns({
+        "_whole": F.try_parse_json("text").isNotNull(),
+        "_top": F.when(is_object, F.map_entries(F.from_json("text", "map<string,variant>")))})
+    of_kind = lambda e, kind: F.schema_of_variant(e["value"]).startswith(kind)
+    wanted = (lambda e: of_kind(e, "ARRAY")) if root_key is None else (lambda e: (e["key"] == root_key) & (of_kind(e, "ARRAY") | of_kind(e, "OBJECT")))
+    found = found.withColumn("_root", F.get(F.filter("_top", wanted), F.lit(0))).withColumn("many", F.coalesce(of_kind(F.col("_root"), "ARRAY"), F.lit(False)))
+    shape = F.when(is_list | F.col("many"), "list").when(is_object, "object")
+    return found.select("_file", F.when(F.col("_whole"), shape).alias("structure"), F.col("_root.key").alias("root_key"), "many", "text")
+
+
+def _read_shape(spark: SparkSession, paths: list[str], root_key: str | None, many: bool) -> DataFrame:
+    """Records of documents of one shape, every value as the text in the file."""
+    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(paths)
+    if root_key is None:
+        if df.columns != ["_corrupt_record"]:
+            return df
+        # A list of plain values has no columns to read.
+        text = spark.read.text(paths, wholetext=True)
+        return text.select(F.explode(F.from_json("value", "array<string>")).alias("item"))
+    root = F.col(ident(root_key))
+    items = df.select((F.explode(root) if many else root).alias("item"))
+    return items.select("item.*") if isinstance(items.schema["item"].dataType, T.StructType) else items
+
+
+def _put_together(frames: list[DataFrame]) -> DataFrame:
+    """Rows of all frames; a column that has different types in them becomes JSON text."""
+    kinds: dict[str, set] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    out = []
+    for df in frames:
+        mixed = [f for f in df.schema.fields if len(kinds[f.name]) > 1 and not isinstance(f.dataType, T.StringType)]
+        out.append(df.withColumns({f.name: F.to_json(F.col(ident(f.name))) for f in mixed}) if mixed else df)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), out)
 
 
 def read_json_document(spark: SparkSession, path: str, root_key: str | None = None) -> JsonTable:
     """Records of documents that are a list, records under a root key, or a single object, file by file.
 
-    Each file is one JSON value and therefore one task; many files run in parallel. Numbers and
-    booleans come back as the text in the file. Without a root key, the first key of an object
-    document that holds a list is it. ``structure`` is list or object, or mixed where files differ.
+    Files are read together by shape, which is their root key and what is under it, each shape with a schema of
+    its own; a shape's rows lack the columns of others. Numbers and booleans come back as the text in the
+    file. ``structure`` is list or object, or mixed where files differ, and ``root_key`` that of all files,
+    or None. Keys beside the root key of an object are not part of its records. A file that is no JSON
+    is an error. What reaches the driver are the files' names.
     """
-    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
-    lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    roots = _roots(spark, path)
-    if root_key is None and lists:
-        seen = roots.filter(~F.col("_list")).select(F.posexplode("_keys").alias("p", "k")).filter(F.col("k").isin(lists))
-        found = seen.groupBy("k").agg(F.min("p").alias("p")).orderBy("p", "k").first()
-        root_key = found["k"] if found else None
-    keyed = root_key is not None and root_key in df.columns
-    root_type = df.schema[root_key].dataType if keyed else None
-    keyed = keyed and isinstance(root_type, (T.ArrayType, T.StructType))
-    rows = df.withColumn("_file", F.col("_metadata.file_path")).join(roots.select("_file", "_list"), "_file")
-    under = (~F.col("_list") & F.col(f"`{root_key}`").isNotNull()) if keyed else F.lit(False)
-    listed = F.col("_list") | (under if keyed and isinstance(root_type, T.ArrayType) else F.lit(False))
-    kinds = rows.agg(F.bool_or(listed).alias("some"), F.bool_and(listed).alias("all"), F.bool_and(under).alias("under")).first()
-    structure = "list" if kinds["all"] else "mixed" if kinds["some"] else "object"
-    plain = rows.filter(~under).select(*[F.col(f"`{c}`") for c in df.columns if not keyed or c != root_key])
-    if not keyed:
-        return JsonTable(plain, structure, root_key)
-    root = F.col(f"`{root_key}`")
-    items = rows.filter(under).select((F.explode(root) if isinstance(root_type, T.ArrayType) else root).alias("item"))
-    inner = root_type.elementType if isinstance(root_type, T.ArrayType) else root_type
-    items = items.select("item.*") if isinstance(inner, T.StructType) else items
-    # Keys beside the root key of the same object are not part of its records.
-    return JsonTable(items if kinds["under"] else items.unionByName(plain, allowMissingColumns=True), structure, root_key)
+    shapes = json_documents(spark, path, root_key).groupBy("structure", "root_key", "many").agg(F.sort_array(F.collect_list("_file")).alias("files")).collect()
+    unreadable = sum(len(r["files"]) for r in shapes if r["structure"] is None)
+    if unreadable:
+        raise ValueError(f"{unreadable} document(s) are no JSON")
+    structures, roots = {r["structure"] for r in shapes}, {r["root_key"] for r in shapes}
+    structure = structures.pop() if len(structures) == 1 else "mixed" if structures else "object"
+    read: dict[tuple, list[str]] = {}
+    for r in shapes:
+        read.setdefault((r["root_key"] or "", r["many"], r["root_key"] is None), []).extend(map(unquote, r["files"]))
+    frames = [_read_shape(spark, files, None if rootless else key, many) for (key, many, rootless), files in sorted(read.items())]
+    df = _put_together(frames) if frames else spark.createDataFrame([], T.StructType([]))
+    return JsonTable(df, structure, roots.pop() if len(roots) == 1 else None)
 
 
 def flatten(df: DataFrame, max_level: int = 2, sep: str = SEPARATOR) -> tuple[DataFrame, dict[str, list[str]]]:
@@ -102,8 +141,17 @@ def nest(df: DataFrame, groups: dict[str, list[str]], keep_nulls: bool = True) -
     return df.select(*flat, *[F.struct(*children).alias(parent) for parent, children in groups.items()])
 
 
+def _plain_number(df: DataFrame, name: str) -> Column:
+    """A DOUBLE as a number without an exponent where its text has none; NaN and infinities as text."""
+    text = double_text_sql(ident(name))
+    finite = f"not isnan({ident(name)}) and abs({ident(name)}) < double('infinity')"
+    return F.expr(f"if({finite}, parse_json({text}), cast({text} as variant))")
+
+
 def write_json(df: DataFrame, path: str, groups: dict[str, list[str]] | None = None) -> None:
-    """JSON Lines with null keys kept."""
+    """JSON Lines with null keys kept and numbers as a landing file has them (12345678.5, not 1.23456785E7)."""
+    doubles = {f.name: _plain_number(df, f.name) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    df = df.withColumns(doubles) if doubles else df
     out = nest(df, groups) if groups else df
     out.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
@@ -117,3 +165,9 @@ def observed_keys(df: DataFrame, column: str) -> DataFrame:
 def observed_schema(df: DataFrame, column: str) -> DataFrame:
     """Merged schema of drifting JSON texts; types in conflict become VARIANT."""
     return df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("json_schema"))
+
+
+def observed_types(df: DataFrame, column: str) -> DataFrame:
+    """(name, type, occurrences) of the top-level keys in a column of JSON texts: a row for every type a key was seen with."""
+    entries = df.select(F.explode(F.map_entries(F.from_json(column, "map<string,variant>"))).alias("e"))
+    return entries.groupBy(F.col("e.key").alias("name"), F.schema_of_variant("e.value").alias("type")).agg(F.count(F.lit(1)).alias("occurrences"))

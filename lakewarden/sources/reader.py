@@ -10,7 +10,7 @@ from lakewarden.contracts import Contract
 from lakewarden.operators.values import to_text
 from lakewarden.sources.fixed import Field, fields_of, infer_layout, read_fixed, write_fixed
 from lakewarden.sources.nested import flatten, read_json_document, read_json_lines, write_json
-from lakewarden.sources.tabular import read_csv, read_lines, read_split_lines, write_csv
+from lakewarden.sources.tabular import breaks_inside_quotes, read_csv, read_lines, read_split_lines, write_csv
 
 FORMATS = ("csv", "json", "fixed")
 SUFFIXES = {
@@ -33,33 +33,38 @@ def format_of(path: str, fmt: str | None = None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, layout: list[Field] | None = None,
-               **options) -> DataFrame:
-    """A landing table as strings, whatever its format."""
+               encoding: str | None = None, **options) -> DataFrame:
+    """A landing table as strings, whatever its format; numbers in JSON stay as written."""
     kind = format_of(path, fmt)
     if kind == "parquet":
         return to_text(spark.read.parquet(path))
     if kind == "csv":
-        return read_csv(spark, path, **options)
+        return read_csv(spark, path, encoding=encoding, **options)
     if kind == "json":
         lines = path.lower().rstrip("/").endswith((".jsonl", ".ndjson"))
-        table = (read_json_lines(spark, path, **options) if lines else read_json_document(spark, path, **options))
+        table = (read_json_lines(spark, path, as_text=True, **options) if lines else read_json_document(spark, path, **options))
         return to_text(flatten(table.df, max_level=LOAD_LEVELS)[0])
     if layout:
-        return read_fixed(spark, path, layout)
-    guessed = fields_of(infer_layout(read_lines(spark, path)).collect())
+        return read_fixed(spark, path, layout, encoding)
+    guessed = fields_of(infer_layout(read_lines(spark, path, encoding)).collect())
     if len(guessed) > 1:
-        return read_fixed(spark, path, guessed)
-    return read_split_lines(read_lines(spark, path))
+        return read_fixed(spark, path, guessed, encoding)
+    return read_split_lines(read_lines(spark, path, encoding))
 
 
 def read_load(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """A landing table read as its contract says: format, delimiter, encoding and, for fixed width, layout."""
+    """A landing table read as its contract says: format, delimiter, encoding, line breaks inside quotes and, for fixed width, layout.
+
+    Where the contract does not say whether quoted text may span lines, the lines themselves tell.
+    """
     source = contract.source or {}
-    kind = format_of(path, source.get("format"))
+    kind, encoding = format_of(path, source.get("format")), source.get("encoding")
     if kind == "csv":
-        return read_csv(spark, path, sep=source.get("delimiter"), encoding=source.get("encoding"))
+        breaks = source.get("multi_line")
+        breaks = breaks_inside_quotes(read_lines(spark, path, encoding)) if breaks is None else bool(breaks)
+        return read_csv(spark, path, sep=source.get("delimiter"), encoding=encoding, multi_line=breaks)
     layout = [Field(f["field"], f["start"], f["end"] - f["start"] + 1, f.get("dtype") or "string") for f in contract.layout]
-    return read_table(spark, path, kind, layout or None)
+    return read_table(spark, path, kind, layout or None, encoding)
 
 
 def write_table(df: DataFrame, path: str, fmt: str, layout: list[Field] | None = None, **options) -> None:

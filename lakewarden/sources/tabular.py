@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lakewarden.functions.encoding import charset_of
 from lakewarden.functions.numeric import is_number_sql
 from lakewarden.functions.sqltext import literal
 
@@ -12,7 +13,7 @@ DELIMITERS = [",", ";", "|", "\t"]
 
 
 # Quotes are doubled inside quoted text, and blanks belong to the text. An empty field is NULL, "" is an empty text.
-_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+TEXT_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_csv(spark: SparkSession, path: str, sep: str | None = None, header: bool = True,
@@ -29,10 +30,10 @@ def read_csv(spark: SparkSession, path: str, sep: str | None = None, header: boo
     sep = sep or ("\t" if path.lower().endswith(".tsv") else ",")
 
     def reader(given: T.StructType | None):
-        out = (spark.read.options(**_TEXT).option("header", header).option("sep", sep).option("inferSchema", False)
+        out = (spark.read.options(**TEXT_OPTIONS).option("header", header).option("sep", sep).option("inferSchema", False)
                .option("mode", mode).option("multiLine", multi_line).option("enforceSchema", False if header and given else True))
         # Any text that no field holds: unquoted empty fields become NULL, quoted ones stay empty.
-        for name, value in (("encoding", encoding), ("nullValue", "\u0001NULL" if null_values is None else null_values), ("columnNameOfCorruptRecord", corrupt)):
+        for name, value in (("encoding", charset_of(encoding)), ("nullValue", "\u0001NULL" if null_values is None else null_values), ("columnNameOfCorruptRecord", corrupt)):
             out = out if value is None else out.option(name, value)
         return out if given is None else out.schema(given)
 
@@ -46,36 +47,46 @@ def read_csv(spark: SparkSession, path: str, sep: str | None = None, header: boo
     return df.limit(sample_rows) if sample_rows else df
 
 
+def _quote_count(line: str):
+    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def breaks_inside_quotes(lines: DataFrame) -> bool:
+    """Whether a quoted text goes on in the next line: then some line has an odd number of quotes."""
+    return bool(lines.agg(F.bool_or(_quote_count("value") % 2 == 1).alias("b")).first()["b"])
+
+
 def sniff_csv(spark: SparkSession, path: str, encoding: str | None = None, **options) -> DataFrame:
     """read_csv with delimiter, header and line breaks inside quotes found from the data itself."""
     lines = read_lines(spark, path, encoding)
     sep = detect_delimiter(lines).first()["delimiter"]
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    # An odd number of quotes on a line means that a quoted text goes on in the next one.
-    breaks = lines.agg(F.bool_or(quotes % 2 == 1).alias("b")).first()["b"]
     first = lines.filter("value <> ''").first()
     header = first is None or detect_header(lines, first["value"], sep).first()["has_header"]
-    options.setdefault("multi_line", bool(breaks))
+    if "multi_line" not in options:
+        options["multi_line"] = breaks_inside_quotes(lines)
     return read_csv(spark, path, sep=sep, header=header, encoding=encoding, **options)
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    if encoding and encoding.lower() not in ("utf-8", "utf8"):
+    charset = charset_of(encoding)
+    if charset:
         # One string column through the CSV reader, which is the text source that decodes.
-        return (spark.read.schema("value string").option("encoding", encoding).option("sep", "\u0001")
-                .option("quote", "").csv(path))
+        reader = spark.read.schema("value string").option("encoding", charset).option("sep", "\u0001").option("quote", "")
+        return (reader.option("lineSep", "\n") if charset.startswith("UTF-") else reader).csv(path)
     return spark.read.text(path)
 
 
-def read_split_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
-    """Whitespace-separated fields of text lines, for positional files without any layout."""
+def read_split_lines(lines: DataFrame, width: int | None = None, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Whitespace-separated fields of text lines, for positional files without any layout.
+
+    With a stated width, lines with more fields keep the first ones, and the whole line in a column for
+    corrupt records.
+    """
     parts = F.split(F.trim("value"), r"\s+")
-    cut = lines.select(parts.alias("p")).filter(F.element_at("p", 1) != "")
-    if width is None:
-        width = cut.agg(F.max(F.size("p"))).first()[0] or 0
-    # Lines with more fields than the header are bad lines and are skipped.
-    return cut.filter(F.size("p") <= width).select(
-        *[F.get("p", F.lit(i)).alias(f"col_{i + 1:03d}") for i in range(width)])
+    cut = lines.select(parts.alias("p"), "value").filter(F.element_at("p", 1) != "")
+    fields = width if width is not None else cut.agg(F.max(F.size("p"))).first()[0] or 0
+    longer = [] if width is None else [F.when(F.size("p") > width, F.col("value")).alias(corrupt)]
+    return cut.select(*[F.get("p", F.lit(i)).alias(f"col_{i + 1:03d}") for i in range(fields)], *longer)
 
 
 def estimated_rows(lines: DataFrame) -> DataFrame:
@@ -136,5 +147,5 @@ def detect_header(lines: DataFrame, first_line: str, sep: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
     """Text comes back as it was from read_csv (with multi_line, where it has line breaks); NULL and '' stay apart."""
-    (df.write.mode("overwrite").options(**_TEXT).option("header", header).option("sep", sep)
+    (df.write.mode("overwrite").options(**TEXT_OPTIONS).option("header", header).option("sep", sep)
      .option("emptyValue", '""').option("lineSep", "\n").csv(path))

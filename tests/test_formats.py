@@ -8,9 +8,14 @@ from lakewarden.functions.naming import json_path_tidy
 from lakewarden.sources.fixed import (
     check_layout, contract_from_layout, fields_of, format_fixed, infer_layout, layout_findings, layout_of, parse_fixed, read_layout,
 )
-from lakewarden.sources.nested import flatten, nest, observed_keys, observed_schema, read_json_document, read_json_lines
-from lakewarden.sources.reader import format_of, read_table, write_table
-from lakewarden.sources.tabular import detect_delimiter, detect_header, estimated_rows, read_csv, read_lines, sniff_csv, write_csv
+from lakewarden.contracts import Contract
+from lakewarden.sources.nested import (
+    flatten, json_documents, nest, observed_keys, observed_schema, observed_types, read_json_document, read_json_lines,
+)
+from lakewarden.sources.reader import format_of, read_load, read_table, write_table
+from lakewarden.sources.tabular import (
+    detect_delimiter, detect_header, estimated_rows, read_csv, read_lines, read_split_lines, sniff_csv, write_csv,
+)
 
 
 @pytest.fixture(scope="module")
@@ -281,3 +286,61 @@ def test_documents_of_different_shapes(spark, tmp_path):
     put(tmp_path, "c.json", '{"x": true}')
     t = read_json_document(spark, str(tmp_path))
     assert t.structure == "mixed" and t.df.count() == 4
+
+
+def test_every_document_has_its_own_root(spark, tmp_path):
+    put(tmp_path, "a.json", '\n {"meta": [1], "rows": [{"a": 1}]}')
+    put(tmp_path, "b.json", '{"note": "[x]", "n": 0.50, "rows": [{"a": 2.50}, {"b": "t", "a": 1e3}]}')
+    put(tmp_path, "c.json", '[{"a": 12345678901234567890.12}]')
+    put(tmp_path, "d.json", '{"a": true, "c": {"d e": 1.0}}')
+    put(tmp_path, "e.json", "[]")
+    found = {r["_file"][-6:-5]: (r["structure"], r["root_key"], r["many"]) for r in json_documents(spark, str(tmp_path)).collect()}
+    assert found == {"a": ("list", "meta", True), "b": ("list", "rows", True), "c": ("list", None, False), "d": ("object", None, False), "e": ("list", None, False)}
+    t = read_json_document(spark, str(tmp_path), "rows")
+    assert t.structure == "mixed" and t.root_key is None
+    assert sorted((r["a"] or "", r["b"] or "") for r in t.df.collect()) == [("1", ""), ("12345678901234567890.12", ""), ("1e3", "t"), ("2.50", ""), ("true", "")]
+    assert t.df.where("c is not null").select("c.`d e`").first()[0] == "1.0"
+    (tmp_path / "a.json").unlink()
+    assert read_json_document(spark, str(tmp_path)).df.count() == 4
+    put(tmp_path, "f.json", '{"a": ')
+    with pytest.raises(ValueError, match="1 document"):
+        read_json_document(spark, str(tmp_path))
+
+
+def test_root_that_is_an_object_and_records_of_one_kind(spark, tmp_path):
+    t = read_json_document(spark, put(tmp_path, "a.json", '{"x": [1], "one": {"a": 5.0}}'), "one")
+    assert (t.structure, t.root_key, t.df.first()["a"]) == ("object", "one", "5.0")
+    t = read_json_document(spark, put(tmp_path, "b c.json", "[15, \"x\", 2]"))
+    assert {r["item"] for r in t.df.collect()} == {"15", "x", "2"}
+
+
+def test_json_lines_keep_digits(spark, tmp_path):
+    path = put(tmp_path, "a.jsonl", '{"v": 1.10}\n{"v": 12345678901234567890.12}\n{"v": true}\n')
+    assert {r["v"] for r in read_table(spark, path).collect()} == {"1.10", "12345678901234567890.12", "true"}
+
+
+def test_loads_as_their_contract_says(spark, tmp_path):
+    raw = {"table": "t", "version": "1.0.0", "schema": [{"name": "town", "type": "string"}]}
+    (tmp_path / "a.csv").write_bytes('town;n\n"Malmö\nold";1\nÅbo;2\n'.encode("latin-1"))
+    df = read_load(spark, str(tmp_path / "a.csv"), Contract.of({**raw, "source": {"format": "csv", "encoding": "latin-1", "delimiter": ";"}}))
+    assert {tuple(r) for r in df.collect()} == {("Malmö\nold", "1"), ("Åbo", "2")}
+    (tmp_path / "b.txt").write_bytes("café X1\nnoir Y2\n".encode("latin-1"))
+    layout = [{"field": "town", "start": 1, "end": 5}, {"field": "code", "start": 6, "end": 7}]
+    df = read_load(spark, str(tmp_path / "b.txt"), Contract.of({**raw, "layout": layout, "source": {"format": "fixed_width", "encoding": "iso_8859-1"}}))
+    assert {tuple(r) for r in df.collect()} == {("café", "X1"), ("noir", "Y2")}
+
+
+def test_lines_with_more_fields_than_stated(spark):
+    lines = spark.createDataFrame([("a b",), ("c d e",), ("f",)], "value string")
+    assert {tuple(r) for r in read_split_lines(lines, 2).collect()} == {("a", "b", None), ("c", "d", "c d e"), ("f", None, None)}
+
+
+def test_types_of_keys(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": "t", "c": {"d": 1}}',), ("no json",)], "j string")
+    assert {tuple(r) for r in observed_types(df, "j").collect()} == {("a", "BIGINT", 1), ("a", "STRING", 1), ("b", "STRING", 1), ("c", "OBJECT<d: BIGINT>", 1)}
+
+
+def test_layout_of_long_lines(spark):
+    """Fields that span ranges of positions, and ranges without any blank."""
+    rows = ["AB " + "x" * 70_000 + "  " + "y" * 200_000 + " z", "CD " + "x" * 70_000 + "  Q", ""]
+    assert spans(spark, *rows) == [("campo_001", 1, 2), ("campo_002", 4, 70_003), ("campo_003", 70_006, 270_007)]
