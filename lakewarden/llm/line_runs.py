@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakewarden.llm.rows import rows_apart
 from lakewarden.llm.staging import staged, whole_text
 
 MIN_WORDS = 25
@@ -78,9 +79,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of docs, with text rewritten and n_lines, n_removed (long) added.
 
-    Null texts stay null and have no lines; an empty text is one blank line. Rows of one doc_id should
-    be one document; where they are not, what is removed from one is removed from all of them.
+    Null texts stay null and have no lines; an empty text is one blank line. Rows of one doc_id, or of a null one, are
+    documents of their own, in the order of doc_id (null last), then of rows.
     """
+    rows, _ = rows_apart(docs)
+    out = _without_repeats(rows, min_words).drop("doc_id").withColumnRenamed("_given_id", "doc_id")
+    return out.select(*docs.columns, "n_lines", "n_removed")
+
+
+def _without_repeats(docs: DataFrame, min_words: int) -> DataFrame:
     spans = repeated_runs(docs, min_words)
     order = W.partitionBy("doc_id").orderBy("first", "last")
     reach = F.coalesce(F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))

@@ -139,7 +139,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     placed = reps.withColumn("_set", F.concat_ws(":", F.col("label").cast("string"), F.size("vector").cast("string")))
     placed = placed.mapInArrow(place, "_same string, rep long, copies long, label " + dict(vectors.dtypes)["label"] + ", vector array<double>, _set string, at double")
     placed = staged(placed.withColumn("_key", F.floor(F.col("at") * (1 << 24)).cast("long")), "placed")
-    ranked = rank_within(placed, "_set", "_key", "_rank", ("at", "rep"), block=1 << 14)
+    ranked = rank_within(placed, "_set", "_key", "_rank", ("at", "rep"))
     ranked = staged(ranked.select("_set", "rep", "copies", "vector", "at", F.floor(F.col("_rank") / block).cast("long").alias("block")), "blocks")
     spans = ranked.groupBy("_set", "block").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     far = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.llm.rows import rows_apart
 from lakewarden.llm.staging import staged
 
 LENGTH = 200
@@ -226,10 +227,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of (doc_id, text): doc_id, n_bytes, n_removed, n_spans and the kept bytes.
 
     Every byte goes that lies in a LENGTH-byte string which also starts at any other place. A null
-    text is empty; texts below LENGTH bytes stay whole. Rows without doc_id take no part and stay
-    whole. Rows of one doc_id should be one document; where they are not, each loses what any of them
-    loses. An empty frame gives an empty one; other columns are ignored.
+    text is empty; texts below LENGTH bytes stay whole. Rows of one doc_id, or of a null one, are documents of
+    their own. An empty frame gives an empty one; other columns are ignored.
     """
+    rows, apart = rows_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    kept = _without_repeats(rows)
+    return kept.join(rows.select("doc_id", "_given_id"), "doc_id").drop("doc_id").withColumnRenamed("_given_id", "doc_id").select("doc_id", *kept.columns[1:]) if apart else kept
+
+
+def _without_repeats(docs: DataFrame) -> DataFrame:
     spans = staged(repeated_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
 
