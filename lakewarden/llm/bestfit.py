@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm.order import rank_within
 from lakewarden.llm.staging import staged
-from lakewarden.llm.tokens import encoder, texts_of
+from lakewarden.llm.tokens import encoder
 
 CAPACITY = 2048
 BROADCAST_ROWS = 300_000
@@ -126,11 +126,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_many
+        encode = encoder(vocabulary).encode_column
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             held = 0
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch, "text")), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text")), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]

@@ -20,15 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.llm.order import running_total
+from lakewarden.llm.order import id_blocks, running_total
+from lakewarden.llm.rows import rows_apart
 from lakewarden.llm.staging import staged
-from lakewarden.llm.tokens import encoder, texts_of
+from lakewarden.llm.tokens import encoder
 
 MAGIC = int.from_bytes(b"PFB1", "little")
 BLOCK = 128
 PERCENTILE = 0.9
 HEADER = 7
 HELD_IDS = 1 << 20
+ROWS_A_FILE = 8192
 
 
 def _spread(sizes: np.ndarray) -> np.ndarray:
@@ -144,27 +146,35 @@ def decode_documents(documents: list[bytes]) -> list[np.ndarray]:
 def write_token_table(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, percentile: float = PERCENTILE) -> None:
     """Write doc_id and data of every document, ascending, to a new Parquet folder at ``path``.
 
-    A null or empty text has end_id alone. A null doc_id comes first; rows with equal doc_id follow
-    each other. An empty frame writes an empty table.
+    Texts are encoded where they are read; the packed bytes are then dealt out by ranges of doc_id, which quantiles of
+    the ids cut. A null or empty text has end_id alone. A null doc_id comes last; rows with equal doc_id
+    follow each other. An empty frame writes an empty table.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary).encode_many
+        ids_of = encoder(vocabulary).encode_column
         for batch in batches:
-            keys, held, total = [], [], 0
-            for key, ids in zip(batch.column(0).to_pylist(), ids_of(texts_of(batch, "text")), strict=True):
-                keys.append(key)
+            at, held, total = 0, [], 0
+            for ids in ids_of(batch.column(2)):
                 held.append(np.append(ids, np.uint32(end_id)))
                 total += len(held[-1])
                 if total > HELD_IDS:
-                    yield _rows(keys, encode_documents(held, percentile))
-                    keys, held, total = [], [], 0
-            if keys:
-                yield _rows(keys, encode_documents(held, percentile))
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows.mapInArrow(encode, "doc_id long, data binary").write.parquet(path)
+                    yield _packed_rows(batch, at, held, percentile)
+                    at, held, total = at + len(held), [], 0
+            if held:
+                yield _packed_rows(batch, at, held, percentile)
+
+    rows, _ = rows_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    part, parts = id_blocks(rows, "doc_id", ROWS_A_FILE)
+    packed = rows.select("doc_id", "_given_id", "text").withColumn("_part", part).select("doc_id", "_given_id", "text", "_part").mapInArrow(
+        encode, "doc_id long, _given_id long, data binary, _part int")
+    packed.repartitionById(parts, F.col("_part")).sortWithinPartitions("doc_id").select(F.col("_given_id").alias("doc_id"), "data").write.parquet(path)
+
+
+def _packed_rows(batch: pa.RecordBatch, at: int, documents: list[np.ndarray], percentile: float) -> pa.RecordBatch:
+    here = batch.slice(at, len(documents))
+    return pa.RecordBatch.from_arrays(
+        [here.column(0), here.column(1), pa.array(encode_documents(documents, percentile), pa.binary()), here.column(3).cast(pa.int32())], ["doc_id", "_given_id", "data", "_part"])
 
 
 def _rows(keys: list, values: list) -> pa.RecordBatch:

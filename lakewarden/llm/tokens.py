@@ -1,7 +1,9 @@
 """Token ids of whole texts inside tasks, with a bounded cache of words.
 
-The tokenizer's own splitting never joins characters over a blank or a line feed, so a text's ids
-are those of its blank-separated words in turn; each word is encoded once while it is cached.
+Where a tokenizer's own splitting never joins characters over a blank or a line feed, a text's ids
+are those of its blank-separated words in turn; each word is encoded once while it is cached, and
+a word with punctuation behind it as the word and the punctuation. What a tokenizer allows is found by
+trying it out: others than that get whole texts.
 """
 
 from __future__ import annotations
@@ -10,12 +12,19 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 SLICE_CHARS = 1 << 20
 MARK = "\x01"
 JOINED_WORDS = 64
 HELD_WORDS = 20_000
+HELD_CHARS = 1 << 22
+TAIL = ".,!?;:"
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
+#: Texts that a splitting by words must leave as they are.
+PROBES = ("The quick-brown fox", "AB cd\nEf  GH 12 3.4", " lead", "trail ", "a\n\nb", "don't we'll 's", "é ß Ä\u0301 日本 x", "#a $b %% (c) [d]", "\t tab\tin", "x <y> z")
 
 
 class _Index(dict):
@@ -31,6 +40,11 @@ class _Index(dict):
         return at
 
 
+def _lower(text: str) -> str:
+    """A-Z in lower case, other letters as they are."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -38,6 +52,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self._clear()
+        plain = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
+        whole = plain(PROBES)
+        by_word = lambda text: [i for ids in plain(text.replace("\n", " ").split(" ")) for i in ids]
+        #: Ids of a text are those of its words; A-Z may be lower-cased first; punctuation may be split off behind a letter.
+        self.words_apart = all(by_word(t) == ids for t, ids in zip(PROBES, whole, strict=True))
+        self.lowers = plain(_lower(t) for t in PROBES) == whole
+        self.tails_apart = self.words_apart and all(plain([w + t])[0] == plain([w])[0] + plain([t])[0] for w in ("word", "éa", "l", "it's", "12x", "#a") for t in (*TAIL, ",.", "...", "?!:"))
 
     def _clear(self) -> None:
         self.index = _Index()
@@ -62,42 +83,102 @@ class Encoder:
         ends = np.flatnonzero(ids == mark[0])
         return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
+    def _parts(self, word: str) -> tuple[str, str] | None:
+        """A word that ends in a-z and the punctuation behind it, if there is any."""
+        if not self.tails_apart or word[-1:] not in TAIL or not word:
+            return None
+        stem = word.rstrip(TAIL)
+        return (stem, word[len(stem):]) if stem[-1:] in LETTERS and stem else None
+
     def _learn(self) -> None:
         fresh, self.index.fresh = self.index.fresh, []
-        ids, sizes = self._encoded(fresh)
-        self.starts, self.sizes = (self._room(a, self.known + len(fresh)) for a in (self.starts, self.sizes))
+        parts = [self._parts(w) for w in fresh]
+        pairs = [(self.index[p[0]], self.index[p[1]]) for p in parts if p]
+        more, self.index.fresh = self.index.fresh, []
+        plain = [k for k, p in enumerate(parts) if not p] + list(range(len(fresh), len(fresh) + len(more)))
+        words = fresh + more
+        total = self.known + len(words)
+        self.starts, self.sizes = (self._room(a, total) for a in (self.starts, self.sizes))
+        ids, sizes = self._encoded([words[k] for k in plain])
+        self._store(np.array(plain, np.int64) + self.known, ids, sizes)
+        if pairs:
+            stem, tail = np.array(pairs, np.int64).T
+            self._store(np.flatnonzero([p is not None for p in parts]) + self.known, *self._joined(stem, tail))
+        self.known = total
+
+    def _joined(self, stem: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known stems with their tails, one after the other, and how many each pair has."""
+        both = np.stack([stem, tail], 1).ravel()
+        return self._gathered(both)[0], self.sizes[stem] + self.sizes[tail]
+
+    def _store(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.ids = self._room(self.ids, self.used + len(ids))
-        self.sizes[self.known:self.known + len(fresh)] = sizes
-        self.starts[self.known:self.known + len(fresh)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[at] = sizes
+        self.starts[at] = self.used + np.cumsum(sizes) - sizes
         self.ids[self.used:self.used + len(ids)] = ids
-        self.known += len(fresh)
         self.used += len(ids)
 
+    def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words in turn, and where each word's end."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        last = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(last)], ends
+
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in turn, and where each word's end."""
         if len(self.index) > CACHED_WORDS:
             self._clear()
+        return self._gathered(self._numbers(words))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.fresh:
             self._learn()
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        return self.ids[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])], ends
+        return at
 
-    @staticmethod
-    def _split(text: str) -> list[str]:
-        """Words between blanks and line feeds, A-Z in lower case, which the tokenizer does too.
+    def _split(self, text: str) -> list[str]:
+        """Words between blanks and line feeds, A-Z in lower case if the tokenizer does that too.
 
         A text with what may be a special token keeps its case, as those are told by it.
         """
-        if "<|" not in text:
-            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        if self.lowers and "<|" not in text:
+            text = _lower(text)
         return text.replace("\n", " ").split(" ")
 
+    def encode_column(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each whole text of an Arrow column; none for a null or empty one.
+
+        Words are split and told apart column by column; only distinct ones are looked up.
+        """
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(column):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HELD_CHARS, "right")))
+            part = column.slice(at, to - at)
+            # special tokens, long texts and other tokenizers go text by text
+            if not self.words_apart or ends[to - 1] - (ends[at - 1] if at else 0) > HELD_CHARS or pc.any(pc.match_substring(part, "<|")).as_py():
+                yield from self.encode_many(x.as_py() for x in part)
+            else:
+                if len(self.index) > CACHED_WORDS:
+                    self._clear()
+                lists = pc.split_pattern(pc.replace_substring(pc.ascii_lower(part) if self.lowers else part, "\n", " "), " ")
+                words = lists.flatten().dictionary_encode()
+                numbers = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+                ids, word_ends = self._gathered(numbers)
+                cuts = word_ends[np.cumsum(lists.value_lengths().to_numpy()) - 1]
+                yield from np.split(ids, cuts[:-1])
+            at = to
+
     def encode_many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """The ids of each whole text; none for a null or empty one. Short texts are looked up together."""
         words: list[str] = []
         counts: list[int] = []
+        if not self.words_apart:
+            for text in texts:
+                yield np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, np.uint32)
+            return
         for text in texts:
             text = text or ""
             if len(text) > SLICE_CHARS:
