@@ -23,7 +23,7 @@ from lakewarden.llm.merkle import audit, placed, record_index, warc_record
 from lakewarden.llm.pfor import token_places, write_token_table
 from lakewarden.llm.projections import near_duplicates
 from lakewarden.llm.ranking import fit, scored
-from lakewarden.llm.raking import mixed
+from lakewarden.llm.raking import TOLERANCE, mixed
 from lakewarden.llm.sigtree import jaccard_groups
 from lakewarden.llm.staging import documents, shared_folder, ship, staged
 from lakewarden.llm.tokens import word_vocabulary
@@ -94,7 +94,7 @@ ORACLE["op6_line_runs"] = line_runs_sql()
 def op7_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated weight, chance and draw of every document."""
     rows = mixed(documents(spark, sf_dir, "doc_id", "text", "source", "lang"))
-    return rows.select("doc_id", "n_tokens", "topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
+    return rows.select("doc_id", "n_tokens", "topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept", (F.col("deviation") <= TOLERANCE).alias("met"))
 
 
 #: The second replica: the same pages with some records cut short, altered or lost, told by page_id.
