@@ -14,12 +14,18 @@
 Documents are first linked to the hub of each shingle with which they share much; trees whose
 documents are one component by then have nothing more to tell and are skipped. Equal sets are one
 node throughout.
+
+Documents that gather around one least document (its lead) in great numbers, or with many candidates for
+each of them, send no pairs on: their whole sets come to the trees, which then hold bitmaps of whole
+sets, pairs are verified where they meet, and a union-find skips pairs of one component. Such a
+cluster sends one link a document.
 """
 
 from __future__ import annotations
 
+import operator
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +35,10 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm.graph import components
 from lakewarden.llm.order import rank_within
+from lakewarden.llm.rows import rows_apart
 from lakewarden.llm.staging import staged
 
 BITS = 512
-BLOCK = 512
 LEAVES = 16
 COMMON = 0.001
 LOCAL_COMMON = 4
@@ -40,6 +46,10 @@ CACHED_WORDS = 500_000
 WANTED_BITS = 1 << 23
 HUB_ROUNDS = 1
 HELD_PAIRS = 200_000
+DENSE = 512
+PAIRS_A_MEMBER = 8
+DENSE_BLOCK = 256
+WHOLE_BITS = 2048
 
 
 class _WordHash(dict):
@@ -92,9 +102,9 @@ def prefix_of(values: np.ndarray, common: np.ndarray, num: int, den: int) -> np.
     return values[:take]
 
 
-def bitmap(values: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(values % np.uint64(BITS)).astype(np.int64)] = 1
+def bitmap(values: np.ndarray, size: int = BITS) -> bytes:
+    bits = np.zeros(size, np.uint8)
+    bits[(values % np.uint64(size)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
@@ -235,17 +245,20 @@ class Tree:
         return first, last, ors, self.leaves[first][2], self.leaves[last - 1][2], few, kids
 
 
-def tree_pairs(one: Tree, two: Tree, num: int, den: int) -> Iterator[tuple[int, int]]:
-    """Pairs (a, b), a < b, of different components that may be linked, by a dual traversal of both trees.
+def tree_pairs(one: Tree, two: Tree, num: int, den: int, whole: bool = False, apart: Callable[[int, int], bool] = operator.ne) -> Iterator[tuple[int, int]]:
+    """Pairs (a, b), a < b, that may be linked and whose components are apart, by a dual traversal of both trees.
 
     Overlap beyond the prefixes is at most what the larger set keeps there; overlap inside is at most
-    the bits in common plus the prefix shingles that fell on a bit already set.
+    the bits in common plus the prefix shingles that fell on a bit already set. Bitmaps of ``whole`` sets
+    leave nothing beyond, and the shingles of a set that fell on a set bit are its size less its bits.
     """
 
     def possible(x: tuple, y: tuple) -> bool:
         if den * min(x[4], y[4]) < num * max(x[3], y[3]):
             return False
         shared = (x[2] & y[2]).bit_count()
+        if whole:
+            return (num + den) * (shared + min(x[4] - x[5], y[4] - y[5])) >= num * (x[3] + y[3])
         rest = 0  # greatest prefix size - bits: shingles that fell on a set bit
         for node in (x, y):
             largest = node[4]
@@ -267,7 +280,7 @@ def tree_pairs(one: Tree, two: Tree, num: int, den: int) -> Iterator[tuple[int,
                 a = one.leaves[k]
                 for m in range(max(y[0], k + 1) if same else y[0], y[1]):
                     b = two.leaves[m]
-                    if a[1] != b[1] and possible(as_node(a), as_node(b)):
+                    if apart(a[1], b[1]) and possible(as_node(a), as_node(b)):
                         yield (a[0], b[0]) if a[0] < b[0] else (b[0], a[0])
         elif same and x is y:
             todo += [(x[6][0], x[6][0]), (x[6][0], x[6][1]), (x[6][1], x[6][1])]
@@ -277,61 +290,139 @@ def tree_pairs(one: Tree, two: Tree, num: int, den: int) -> Iterator[tuple[int,
             todo += [(x, kid) for kid in y[6]]
 
 
-def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b, n) of rows (token, lead, i, j, side, rep, comp, size, bits), n being the trees they met in.
+class Forest:
+    """Union-find over the components of some documents."""
 
-    A tree is a token, or a pair of its blocks. Trees of one lead, the least document in them, hold
-    much the same documents and meet in one task, where their pairs are counted before they are sent on.
-    """
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (above := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(above, above)
+            x = above
+        return x
+
+    def apart(self, x: int, y: int) -> bool:
+        return self.root(x) != self.root(y)
 
-    def pairs_of(group: list) -> Iterator[tuple[int, int]]:
-        if len(group) > 1:
-            sides = [[r for r in group if r[0] == s] for s in (0, 1)]
-            trees = [Tree(*(list(c) for c in list(zip(*side, strict=True))[1:])) for side in sides if side]
-            yield from tree_pairs(trees[0], trees[-1], num, den)
+    def join(self, x: int, y: int) -> None:
+        self.up[self.root(x)] = self.root(y)
+
+
+def dense_links(sides: list[list[tuple]], num: int, den: int) -> list[tuple[int, int]]:
+    """Links (a, b) that join the components of documents (rep, comp, set) of one block, or of two: a forest of verified pairs."""
+    sets = {rep: held for side in sides for rep, _, held in side}
+    comps = {rep: comp for side in sides for rep, comp, _ in side}
+    trees = [Tree([r[0] for r in side], [r[1] for r in side], [len(r[2]) for r in side],
+                  [int.from_bytes(bitmap(r[2], WHOLE_BITS), "big") for r in side]) for side in sides]
+    forest, links = Forest(), []
+    for a, b in tree_pairs(trees[0], trees[-1], num, den, True, forest.apart):
+        same = _in_common(sets[a], sets[b])
+        if den * same >= num * (len(sets[a]) + len(sets[b]) - same):
+            forest.join(comps[a], comps[b])
+            links.append((a, b))
+    return links
+
+
+def _dense_join(members: DataFrame, docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFrame:
+    """Links (a, b) inside each lead of members (lead, rep, comp, size), whose documents are dealt out in blocks by size."""
+    sets = _sets(docs, members.select(F.col("rep").alias("doc_id")).distinct(), n, "<u8").select(F.col("doc_id").alias("rep"), "set")
+    rows = _blocks(members, "lead", num, den, block).join(sets, "rep")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, met = None, [], Counter()
+        now, sides = None, ([], [])
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(8)]
-            for token, i, j, side, rep, comp, size, bits in zip(*columns, strict=True):
-                if (token, i, j) != now:
-                    met.update(pairs_of(group))
-                    now, group = (token, i, j), []
-                group.append((side, rep, comp, size, int.from_bytes(bits, "big")))
-                if len(met) > HELD_PAIRS:
-                    yield _counted(met)
-                    met = Counter()
-        met.update(pairs_of(group))
-        if met:
-            yield _counted(met)
+            for lead, i, j, side, rep, comp, held in zip(*(batch.column(k).to_pylist() for k in range(6)), batch.column(6), strict=True):
+                if (lead, i, j) != now:
+                    yield _edges(dense_links([s for s in sides if s], num, den) if now else [])
+                    now, sides = (lead, i, j), ([], [])
+                sides[side].append((rep, comp, np.frombuffer(held.as_py(), "<u8")))
+        yield _edges(dense_links([s for s in sides if s], num, den) if now else [])
+
+    dealt = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+    return dealt.select("lead", "i", "j", "side", "rep", "comp", "set").mapInArrow(join, "a long, b long")
 
-    dealt = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "token")
-    return dealt.select("token", "i", "j", "side", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
 
+def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
-def _counted(met: Counter) -> pa.RecordBatch:
-    a, b = zip(*met, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(list(met.values()), pa.int64())], ["a", "b", "n"])
 
+def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b, n) of rows (token, lead, members, rep, comp, size, bits), n being the trees they met in.
+
+    A tree is a token. Trees of one lead, the least document in them, hold much the same documents, at most
+    DENSE, and meet in one task, where their pairs are counted before they are sent on. A lead with more than
+    PAIRS_A_MEMBER pairs for each of its members sends none of them but itself: a row with a null b.
+    """
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, token, group, met, room = None, None, [], Counter(), 0
+        out: list[tuple] = []
 
-def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, block: int = BLOCK) -> DataFrame:
+        def count_tree() -> None:
+            if len(group) > 1 and len(met) <= room:
+                tree = Tree(*(list(c) for c in zip(*group, strict=True)))
+                for pair in tree_pairs(tree, tree, num, den):
+                    met[pair] += 1
+                    if len(met) > room:
+                        return
+
+        def close_lead() -> None:
+            count_tree()
+            out.extend([(lead, None, 0)] if len(met) > room else ((a, b, n) for (a, b), n in met.items()))
+
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(7)]
+            for of, members, tree_of, rep, comp, size, bits in zip(*columns, strict=True):
+                if of != lead:
+                    if lead is not None:
+                        close_lead()
+                    lead, token, group, met, room = of, tree_of, [], Counter(), PAIRS_A_MEMBER * members
+                elif tree_of != token:
+                    count_tree()
+                    token, group = tree_of, []
+                group.append((rep, comp, size, int.from_bytes(bits, "big")))
+                if len(out) > HELD_PAIRS:
+                    yield _counted(out)
+                    out.clear()
+        if lead is not None:
+            close_lead()
+        yield _counted(out)
+
+    dealt = rows.repartition("lead").sortWithinPartitions("lead", "token")
+    return dealt.select("lead", "members", "token", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
+
+
+def _counted(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ([], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
+
+
+def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, block: int = DENSE_BLOCK) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
 
     Two documents link when den * intersection >= num * union of their n-word shingle sets;
-    component_id is the least doc_id reachable. Documents without words link with nothing. A null
-    doc_id is no node: its row has a null component. Repeated rows are one node and each gets its
-    component; rows of one doc_id with different texts are taken for one node too, with the links of
-    one of the texts. An empty frame gives an empty one; other columns are ignored.
+    component_id is the least doc_id reachable. Documents without words link with nothing. Rows of one
+    doc_id, or of a null one, are documents of their own; null is the greatest doc_id. An empty frame gives an
+    empty one; other columns are ignored.
     """
+    rows, told_apart = rows_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    groups = _groups(rows, n, num, den, block)
+    if not told_apart:
+        return groups
+    names = rows.select("doc_id", "_given_id")
+    groups = groups.join(names, "doc_id").join(names.select(F.col("doc_id").alias("component_id"), F.col("_given_id").alias("_least")), "component_id")
+    return groups.select(F.col("_given_id").alias("doc_id"), "n_shingles", F.col("_least").alias("component_id"))
+
+
+def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFrame:
     spark = docs.sparkSession
     summaries = staged(_summaries(docs, n), "summaries")
     common = spark.sparkContext.broadcast(_common(summaries))
     nodes = summaries.select("doc_id", "size", "digest")
-    classes = nodes.where("size > 0 and doc_id is not null").groupBy("digest", "size").agg(F.min("doc_id").alias("rep"))
-    classes = staged(classes, "classes")
+    classes = staged(nodes.where("size > 0").groupBy("digest", "size").agg(F.min("doc_id").alias("rep")), "classes")
     prefixes = _prefixes(docs, n, num, den, common).join(classes.select(F.col("rep").alias("doc_id"), "size"), "doc_id")
-    prefixes = staged(prefixes.dropDuplicates(["doc_id"]), "prefixes")
+    prefixes = staged(prefixes, "prefixes")
 
     tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("rep"), "size")
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token", "n")
@@ -342,20 +433,26 @@ def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, b
         links = found if links is None else staged(links.unionAll(found), "hub-links")
         open_rows = _marked(shared, links)
     spans = open_rows.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("rep").alias("lead")).where("_low < _high").select("token", "lead")
-    open_rows = open_rows.join(spans, "token").join(prefixes.select(F.col("doc_id").alias("rep"), "bits"), "rep")
-    open_rows = staged(open_rows, "trees")
-    pairs = _tree_join(_blocks(open_rows, num, den, block), num, den).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    open_rows = staged(open_rows.join(spans, "token"), "open")
+    members = staged(open_rows.groupBy("lead", "rep").agg(F.first("comp").alias("comp"), F.first("size").alias("size")), "members")
+    counts = staged(members.groupBy("lead").agg(F.count("*").alias("members")), "leads")
+    sparse = open_rows.join(counts.where(F.col("members") <= DENSE), "lead").join(prefixes.select(F.col("doc_id").alias("rep"), "bits"), "rep")
+    met = staged(_tree_join(sparse, num, den), "met")
+    dense = staged(counts.where(F.col("members") > DENSE).select("lead").unionAll(met.where("b is null").select("a")), "dense")
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
     sizes = prefixes.select("doc_id", "size")
     pairs = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("size").alias("sa")), "a").join(
         sizes.select(F.col("doc_id").alias("b"), F.col("size").alias("sb")), "b")
     outside = beyond_prefix(F.greatest("sa", "sb"), num, den)
     pairs = pairs.where((F.col("n") + outside) * (num + den) >= (F.col("sa") + F.col("sb")) * num).select("a", "b")
     links = links.unionAll(_verified(pairs, docs, n, num, den))
+    if not dense.isEmpty():
+        links = links.unionAll(staged(_dense_join(members.join(dense, "lead", "left_semi"), docs, n, num, den, block), "dense-links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     classes = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "size", F.coalesce("component", "rep").alias("_component"))
     return nodes.join(classes, ["digest", "size"], "left").select(
-        "doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id")).alias("component_id"))
+        "doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id"))
 
 
 def _hub_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -380,17 +477,15 @@ def _marked(shared: DataFrame, links: DataFrame) -> DataFrame:
         "token", "rep", "size", "n", F.coalesce("component", "rep").alias("comp")), "marked")
 
 
-def _blocks(rows: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """Rows of each token as (i, j, side): small trees whole, large ones as pairs of blocks that may hold a link."""
-    plain = rows.where(F.col("n") <= block).withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(0)})
-    large = rank_within(rows.where(F.col("n") > block), "token", "size", "_rank", ("rep",), block=64)
-    large = large.withColumn("block", F.floor(F.col("_rank") / block).cast("int")).drop("_rank")
-    spans = large.groupBy("token", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+def _blocks(rows: DataFrame, group: str, num: int, den: int, block: int) -> DataFrame:
+    """Rows of each group as (i, j, side): pairs of blocks along the sizes that may hold a link."""
+    ranked = rank_within(rows, group, "size", "_rank", ("rep",))
+    ranked = staged(ranked.withColumn("block", F.floor(F.col("_rank") / block).cast("int")).drop("_rank"), "blocks")
+    spans = ranked.groupBy(group, "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     left, right = spans.alias("l"), spans.alias("r")
-    meets = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.block") <= F.col("r.block"))
+    meets = left.join(right, (F.col(f"l.{group}") == F.col(f"r.{group}")) & (F.col("l.block") <= F.col("r.block"))
                       & (F.col("l.high") * den >= F.col("r.low") * num)).select(
-        F.col("l.token").alias("token"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
+        F.col(f"l.{group}").alias(group), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
     sides = meets.select("*", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
         meets.where("i < j").select("*", F.col("j").alias("block"), F.lit(1).alias("side")))
-    names = ["token", "lead", "i", "j", "side", "rep", "comp", "size", "bits"]
-    return plain.select(names).unionAll(large.join(sides, ["token", "block"]).select(names))
+    return ranked.join(sides, [group, "block"])
