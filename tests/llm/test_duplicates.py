@@ -55,9 +55,11 @@ def linked_documents(rows, n, num, den):
     return [len(s) for s in sets], roots(len(rows), links)
 
 
-@pytest.mark.parametrize("n,num,den,block", [(4, 85, 100, 512), (5, 80, 100, 8)])
-def test_jaccard_groups(spark, n, num, den, block, monkeypatch):
+@pytest.mark.parametrize("n,num,den,block,dense", [(4, 85, 100, 256, 512), (5, 80, 100, 8, 3), (4, 85, 100, 8, 12)])
+def test_jaccard_groups(spark, n, num, den, block, dense, monkeypatch):
     monkeypatch.setattr(sigtree, "LEAVES", 3)
+    monkeypatch.setattr(sigtree, "DENSE", dense)
+    monkeypatch.setattr(sigtree, "PAIRS_A_MEMBER", 1 if dense == 12 else 8)
     rows = corpus(n)
     sizes, groups = linked_documents(rows, n, num, den)
     docs = spark.createDataFrame(rows, DDL).selectExpr("*", "'x' as bits", "1 as size", "2 as token").repartition(5)
@@ -69,7 +71,10 @@ def test_jaccard_edges(spark):
     assert sigtree.jaccard_groups(spark.createDataFrame([], DDL)).count() == 0
     rows = [(None, "a b c d e"), (3, "a b c d e"), (9, "a b c d e"), (9, "a b c d e"), (4, None)]
     got = sorted((tuple(r) for r in sigtree.jaccard_groups(spark.createDataFrame(rows, DDL)).collect()), key=str)
-    assert got == sorted([(None, 2, None), (3, 2, 3), (9, 2, 3), (9, 2, 3), (4, 0, 4)], key=str)
+    assert got == sorted([(None, 2, 3), (3, 2, 3), (9, 2, 3), (9, 2, 3), (4, 0, 4)], key=str)
+    rows = [(None, "a b c d e"), (None, "f g h i"), (None, "A B C D E"), (9, "x y z w v"), (9, "x y z w"), (9, "f g h i")]
+    got = sorted((tuple(r) for r in sigtree.jaccard_groups(spark.createDataFrame(rows, DDL).coalesce(1)).collect()), key=str)
+    assert got == sorted([(None, 2, None), (None, 1, 9), (None, 2, None), (9, 2, 9), (9, 1, 9), (9, 1, 9)], key=str)
 
 
 def test_tree_bound_never_loses_a_pair():
@@ -82,6 +87,11 @@ def test_tree_bound_never_loses_a_pair():
     found = set(sigtree.tree_pairs(tree, tree, 85, 100))
     links = {(a, b) for b in range(60) for a in range(b) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))}
     assert links and links <= found and len(found) < 60 * 59 / 4
+    side = lambda ks: [(k, k, sets[k]) for k in ks]
+    forest = sigtree.dense_links([side(range(60))], 85, 100)
+    assert set(forest) <= links and roots(60, forest) == roots(60, links)
+    across = sigtree.dense_links([side(range(30)), side(range(30, 60))], 85, 100)
+    assert set(across) <= links and roots(60, across) == roots(60, [(a, b) for a, b in links if a < 30 <= b])
 
 
 def removed(rows, size=200):
@@ -137,7 +147,7 @@ def test_repeated_bytes_edges(spark):
     rng = random.Random(4)
     text = "".join(rng.choice("abc ") for _ in range(500))
     rows = [tuple(r) for r in suffix_sample.without_repeats(spark.createDataFrame([(None, text), (1, text)], DDL)).select("doc_id", "n_removed").collect()]
-    assert sorted(rows, key=str) == [(1, 0), (None, 0)]
+    assert sorted(rows, key=str) == [(1, 500), (None, 500)]
 
 
 def vectors():
