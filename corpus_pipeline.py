@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm import line_runs, raking, ranking, sigtree
 from lakewarden.llm.bestfit import packed_documents
-from lakewarden.llm.order import running_total
+from lakewarden.llm.rows import rows_apart
 from lakewarden.llm.staging import documents, ship, staged
 from lakewarden.llm.tokens import word_vocabulary
 
@@ -37,21 +37,6 @@ def documents_stage(stage: Callable) -> Callable:
     return run_stage
 
 
-def rows_apart(docs: DataFrame) -> DataFrame:
-    """Docs with their doc_id as ``_id`` and a doc_id that is unique, not null and in the order of doc_id (null last), then of rows.
-
-    Where doc_id is so already, it stays.
-    """
-    shared = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
-    if shared.isEmpty():
-        return docs.withColumn("_id", F.col("doc_id"))
-    rows = staged(docs.withColumnRenamed("doc_id", "_id").withColumn("_row", F.monotonically_increasing_id()), "rows")
-    numbers = running_total(rows.select("_id", "_row", F.lit(1).alias("_one")), "_id", "_one", "_n", ("_row",))
-    after = F.when(F.col("_id").isNull(), F.lit(rows.count())).otherwise(F.lit(0))  # null ids are counted first
-    numbers = numbers.select("_row", (F.col("_n") + after).cast("long").alias("doc_id"))
-    return staged(rows.join(numbers, "_row").drop("_row"), "rows")
-
-
 @documents_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose pairwise-ranking score reaches the cut; the fit sees labelled documents that are not held out."""
@@ -63,7 +48,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @documents_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs; those of which nothing is left go."""
-    kept = line_runs.without_repeats(rows_apart(docs)).drop("doc_id").withColumnRenamed("_id", "doc_id")
+    kept = line_runs.without_repeats(docs)
     gone = (F.col("n_removed") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
     return kept.where(~F.coalesce(gone, F.lit(False))).withColumn(
         "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
@@ -72,10 +57,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @documents_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group linked by 5-word shingles at a similarity of 0.8."""
-    docs = rows_apart(docs)
+    docs, _ = rows_apart(docs)
     groups = sigtree.jaccard_groups(docs, n=5, num=80, den=100)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(staged(gone, "copies"), "doc_id", "left_anti").drop("doc_id").withColumnRenamed("_id", "doc_id")
+    return docs.join(staged(gone, "copies"), "doc_id", "left_anti").drop("doc_id").withColumnRenamed("_given_id", "doc_id")
 
 
 @documents_stage
