@@ -294,10 +294,10 @@ def validate_with_facts(df: DataFrame, facts: DataFrame, contract: Contract,
     return _judge(counters, contract, evolution, df.columns, scenario, False)
 
 
-def rejected(spark, table: str, issue: str, scenario: str = "baseline") -> DataFrame:
-    """Result row of a load that could not be checked: unreadable data or an invalid contract."""
+def rejected(spark, table: str, issue: str, scenario: str = "baseline", status: str = "DLQ") -> DataFrame:
+    """Result row of a load that could not be checked: unreadable data or an invalid contract; ERROR where the run itself failed."""
     return spark.range(1).selectExpr(
-        f"{literal(table)} as `table`", f"{literal(scenario)} as scenario", "'DLQ' as status",
+        f"{literal(table)} as `table`", f"{literal(scenario)} as scenario", f"{literal(status)} as status",
         "cast(null as string) as evolution_type", f"{literals([issue])} as issues",
         "cast(array() as array<string>) as warnings", "0L as rows_total", "0L as rows_valid",
         "cast(map() as map<string,double>) as null_violations", "0L as duplicate_count",

@@ -69,9 +69,10 @@ def run_load(spark: SparkSession, lake: Lake, load: Load, run_id: str, scenario:
              timestamp: str | None = None) -> Outcome:
     """Validate, profile, route and record one load.
 
-    A load that fails is quarantined and neither profiled nor promoted. An error on the way is the
-    load's own result: it is recorded as DLQ with the error as its issue. What reaches the driver is
-    one result row and one row per column.
+    A load that fails is quarantined and neither profiled nor promoted. A contract that is none and data that
+    cannot be read are the load's own result: DLQ with the error as its issue. Any other error, such as a lost
+    cluster or a full disk, says nothing about the load and is recorded as ERROR. What reaches the
+    driver is one result row and one row per column.
     """
     timestamp = timestamp or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
     key = LoadKey(load.table, run_id, scenario, load.fmt)
@@ -86,7 +87,7 @@ def run_load(spark: SparkSession, lake: Lake, load: Load, run_id: str, scenario:
         result = spark.createDataFrame([row], validate_schema())
     except Exception as err:
         facts, path, elapsed = [], None, 0.0
-        result = rejected(spark, load.table, f"{step}: {err}", scenario)
+        result = rejected(spark, load.table, f"{step}: {err}", scenario, "ERROR" if step == "Failed load" else "DLQ")
     record = record_of(spark, key, timestamp, result, facts, elapsed).first()
     return Outcome(record.asDict(recursive=True), path, facts)
 

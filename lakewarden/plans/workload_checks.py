@@ -230,14 +230,14 @@ def scenario_matrix(spark, sf_dir):
     """Landing files of every scenario in every format through one run; rows are counted in the layers."""
     import uuid
 
-    from lakewarden.plans.layers import LoadKey
+    from lakewarden.plans.layers import read_route
     from lakewarden.operators.values import to_text
     from lakewarden.sources.fixed import layout_of
     from lakewarden.sources.reader import read_table, write_table
 
     root = f"{shared_dir(spark)}/matrix-{uuid.uuid4().hex}"
     lake = Lake(f"{root}/lake")
-    scenarios, keys = {}, []
+    scenarios = {}
     for scenario, formats in _MATRIX.items():
         df, contract = load_frame(spark, sf_dir, scenario)
         layout = layout_of([(c, _WIDTHS.get(c, 30), "string") for c in df.columns])
@@ -247,22 +247,16 @@ def scenario_matrix(spark, sf_dir):
             extra = {"layout": layout} if fmt == "fixed" else {}
             write_table(df if fmt == "json" else to_text(df), path, fmt, **extra)
             loads.append(Load("customer", lambda s, p=path, f=fmt, e=extra: read_table(s, p, f, **e), contract, fmt))
-            keys.append(LoadKey("customer", "matrix-7", scenario, fmt))
         scenarios[scenario] = loads
     # The same run twice: nothing is doubled.
     for _ in range(2):
-        outcomes = run_matrix(spark, lake, scenarios, "matrix-7", timestamp="1970-01-01T00:00:00")
-    routed = {(o.record["scenario"], o.record["format"]): o.path for o in outcomes}
-    counts = []
-    for key in keys:
-        path = routed[key.scenario, key.fmt]
-        layer = "silver_rows" if path == key.path(lake, "silver") else "quarantine_rows"
-        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
-        counts.append(rows.select(F.lit(key.scenario).alias("scenario"), F.lit(key.fmt).alias("format"),
-                                  *[(F.col("n") if layer == x else F.lit(0)).cast("bigint").alias(x) for x in ("silver_rows", "quarantine_rows")]))
+        run_matrix(spark, lake, scenarios, "matrix-7", timestamp="1970-01-01T00:00:00")
+    found = [read_route(spark, lake, layer, "customer").groupBy("scenario", "format").agg(
+        *[(F.count(F.lit(1)) if layer == x else F.lit(0)).cast("bigint").alias(f"{x}_rows") for x in ("silver", "quarantine")]) for layer in ("silver", "quarantine")]
+    rows = found[0].unionByName(found[1]).groupBy("scenario", "format").agg(*[F.sum(f"{x}_rows").alias(f"{x}_rows") for x in ("silver", "quarantine")])
     records = consolidated(spark, lake, "matrix-7").select(
         "run_id", "scenario", "format", "table", "validation_status", "rows_total", "rows_valid", "duplicate_count")
-    return records.join(reduce(DataFrame.unionByName, counts), ["scenario", "format"])
+    return records.join(rows, ["scenario", "format"])
 
 
 _NULL_CONTRACT = contract_for("orders")

@@ -128,24 +128,35 @@ def accessors(columns: DataFrame) -> DataFrame:
     )
 
 
+_REVISIONS = "revision bigint, contracts bigint"
+
+
+def _revisions(spark: SparkSession, path: str) -> int | None:
+    """Newest revision that was written whole; None where none was."""
+    try:
+        return spark.read.schema(_REVISIONS).json(f"{path.rstrip('/')}-revisions").agg(F.max("revision")).first()[0]
+    except AnalysisException:
+        return None
+
+
 def write_registry(registry: DataFrame, path: str) -> None:
-    """Store a registry as a new version beside the earlier ones; readers take the newest.
+    """Store a registry as a new revision beside the earlier ones; readers take the newest.
 
-    The frame may come from the registry read at the same path: nothing that it reads is replaced.
+    The frame may come from the registry read at the same path: nothing that it reads is replaced. A revision
+    counts once a row beside the registry says so, so an empty one and one that was only half written are told apart.
     """
     spark = registry.sparkSession
-    try:
-        last = spark.read.parquet(path).agg(F.max("_revision")).first()[0]
-    except AnalysisException:
-        last = None
-    registry.write.parquet(f"{path.rstrip('/')}/_revision={0 if last is None else last + 1}")
+    last = _revisions(spark, path)
+    now = 0 if last is None else last + 1
+    target = f"{path.rstrip('/')}/_revision={now}"
+    registry.write.mode("overwrite").parquet(target)
+    spark.read.schema(registry.schema).parquet(target).agg(F.lit(now).cast("bigint").alias("revision"), F.count(F.lit(1)).alias("contracts")).coalesce(1).write.mode(
+        "append").json(f"{path.rstrip('/')}-revisions")
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The newest stored registry; an empty one where none is stored."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
+    last = _revisions(spark, path)
+    if last is None:
         return registry_frame(spark, [])
-    last = stored.agg(F.max("_revision")).first()[0]
-    return stored.filter(F.col("_revision") == last).drop("_revision")
+    return spark.read.parquet(f"{path.rstrip('/')}/_revision={last}")

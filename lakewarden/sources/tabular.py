@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakewarden.functions.encoding import charset_of
-from lakewarden.functions.numeric import is_number_sql
-from lakewarden.functions.sqltext import literal
+from lakewarden.functions.numeric import double_text_sql, is_number_sql
+from lakewarden.functions.sqltext import ident, literal
 
 # Candidates in order of preference when nothing else tells them apart.
 DELIMITERS = [",", ";", "|", "\t"]
@@ -146,6 +146,11 @@ def detect_header(lines: DataFrame, first_line: str, sep: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
-    """Text comes back as it was from read_csv (with multi_line, where it has line breaks); NULL and '' stay apart."""
+    """Text comes back as it was from read_csv (with multi_line, where it has line breaks); NULL and '' stay apart.
+
+    Numbers are written without an exponent, as landing files have them.
+    """
+    doubles = {f.name: F.expr(double_text_sql(ident(f.name))) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    df = df.withColumns(doubles) if doubles else df
     (df.write.mode("overwrite").options(**TEXT_OPTIONS).option("header", header).option("sep", sep)
      .option("emptyValue", '""').option("lineSep", "\n").csv(path))

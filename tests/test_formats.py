@@ -19,13 +19,13 @@ from lakewarden.sources.tabular import (
 
 
 @pytest.fixture(scope="module")
-def sample(spark):
+def trips(spark):
     return spark.createDataFrame(
-        [("C001", "Ana Silva", 5000.0, "S", "2024-01-01"), ("C002", "Bruno", None, "N", None), ("C003", None, 12345678.5, "S", "2024-01-03")],
-        "id_cliente string, nm_cliente string, vl_renda double, fl_ativo string, dt_cadastro string")
+        [("N4", 12.5, "harbour; nights only", None), ("S11", None, "", "late"), ("ring", 23456789.25, None, "ok"), ("x", -0.5, '"loop"', "ok")],
+        "line string, km double, remark string, state string")
 
 
-LAYOUT = layout_of([("id_cliente", 8, "string"), ("nm_cliente", 20, "string"), ("vl_renda", 10, "float"), ("fl_ativo", 1, "string"), ("dt_cadastro", 10, "date")])
+TRIP_LAYOUT = layout_of([("state", 6, "string"), ("km", 12, "float"), ("line", 5, "string"), ("remark", 22, "string")])
 
 
 def rows(df):
@@ -39,28 +39,27 @@ def put(tmp_path, name, content):
 
 # ---- delimited
 
-def test_csv_round_trip(spark, sample, tmp_path):
-    path = str(tmp_path / "t.csv")
-    write_table(sample, path, "csv", sep=";")
+def test_csv_round_trip(spark, trips, tmp_path):
+    path = str(tmp_path / "trips.csv")
+    write_table(trips, path, "csv", sep=";")
     back = read_csv(spark, path, sep=";")
-    assert all(t == "string" for _, t in back.dtypes)
-    assert rows(back)[0] == ("C001", "Ana Silva", "5000.0", "S", "2024-01-01")
-    assert rows(back)[1] == ("C002", "Bruno", None, "N", None)
+    assert back.dtypes == [(c, "string") for c in trips.columns]
+    assert rows(back) == [("N4", "12.5", "harbour; nights only", None), ("S11", None, "", "late"), ("ring", "23456789.25", None, "ok"), ("x", "-0.5", '"loop"', "ok")]
 
 
 def test_csv_options(spark, tmp_path):
     path = put(tmp_path, "t.csv", "a,b\n1,NA\n2,\n")
     assert rows(read_csv(spark, path)) == [("1", "NA"), ("2", None)]
     assert rows(read_csv(spark, path, null_values="NA"))[0] == ("1", None)
-    assert read_csv(spark, put(tmp_path, "n.csv", "1,Ana\n2,Bruno\n"), header=False).columns == ["col_001", "col_002"]
+    assert read_csv(spark, put(tmp_path, "n.csv", "N4,12.5\nring,3\n"), header=False).columns == ["col_001", "col_002"]
     assert read_csv(spark, put(tmp_path, "t.tsv", "a\tb\n1\t2\n")).columns == ["a", "b"]
     assert read_csv(spark, path, sample_rows=1).count() == 1
 
 
 def test_latin1_csv(spark, tmp_path):
-    path = put(tmp_path, "l.csv", "id,nome\n1,João\n".encode("latin-1"))
-    assert rows(read_csv(spark, path, encoding="ISO-8859-1")) == [("1", "João")]
-    assert read_lines(spark, path, "ISO-8859-1").collect()[1]["value"] == "1,João"
+    path = put(tmp_path, "stops.csv", "stop,zone\nÅs,4\nVänö,7\n".encode("latin-1"))
+    assert rows(read_csv(spark, path, encoding="ISO-8859-1")) == [("Vänö", "7"), ("Ås", "4")]
+    assert read_lines(spark, path, "latin-1").collect()[2]["value"] == "Vänö,7"
 
 
 @pytest.mark.parametrize("text,sep", [("a;b\n1;2\n", ";"), ("a,b\n1,2\n", ","), ("a|b\n1|2\n", "|"), ("a\tb\n1\t2\n", "\t"),
@@ -69,16 +68,17 @@ def test_delimiter(spark, tmp_path, text, sep):
     assert detect_delimiter(spark.read.text(put(tmp_path, "d.csv", text))).first()["delimiter"] == sep
 
 
-@pytest.mark.parametrize("text,header", [("id,nome\n1,Ana\n2,Bruno\n", True), ("1,Ana\n2,Bruno\n", False), ("code,x\nAB,y\nCD,zz\n", True)])
+@pytest.mark.parametrize("text,header", [("stop,zone\nOslo,4\nBergen,12\n", True), ("Oslo,4\nBergen,12\nMoss,7\n", False), ("code,x\nAB,y\nCD,zz\n", True)])
 def test_header(spark, tmp_path, text, header):
     lines = spark.read.text(put(tmp_path, "h.csv", text))
     assert detect_header(lines, text.split("\n")[0], ",").first()["has_header"] == header
 
 
 def test_sniffed_read(spark, tmp_path):
-    df = sniff_csv(spark, put(tmp_path, "s.csv", "id;nome\n1;Ana\n2;Bia\n"))
-    assert df.columns == ["id", "nome"] and df.count() == 2
-    assert sniff_csv(spark, put(tmp_path, "s2.csv", "1|Ana\n2|Bia\n")).columns == ["col_001", "col_002"]
+    df = sniff_csv(spark, put(tmp_path, "named.csv", "zone|stop\n4|Oslo\n12|Bergen\n4|Moss\n"))
+    assert df.columns == ["zone", "stop"] and df.count() == 3
+    bare = sniff_csv(spark, put(tmp_path, "bare.csv", "4;Oslo\n12;Bergen\n"))
+    assert bare.columns == ["col_001", "col_002"] and bare.count() == 2
 
 
 def test_estimated_rows(spark, tmp_path):
@@ -89,7 +89,7 @@ def test_estimated_rows(spark, tmp_path):
 # ---- nested
 
 def test_json_structures(spark, tmp_path):
-    t = read_json_document(spark, put(tmp_path, "a.json", json.dumps([{"id": 1, "nome": "Ana"}, {"id": 2}])))
+    t = read_json_document(spark, put(tmp_path, "a.json", json.dumps([{"zone": 4, "stops": ["Oslo"]}, {"zone": 7}])))
     assert (t.structure, t.root_key, t.df.count()) == ("list", None, 2)
     t = read_json_document(spark, put(tmp_path, "b.json", json.dumps({"zeta": [{"id": 1}], "alfa": [2], "versao": "1"})))
     assert (t.structure, t.root_key, t.df.columns) == ("list", "zeta", ["id"])
@@ -112,29 +112,28 @@ def test_flatten_levels(spark, tmp_path):
 
 
 def test_json_contract(spark, tmp_path):
-    path = put(tmp_path, "j.json", json.dumps([{"id": 1, "nome": "Ana", "end": {"Cidade X": "SP"}, "l": [1], "nr_cpf": "123"}, {"id": 2, "end": {}, "nr_cpf": "9"}]))
-    table = read_json_document(spark, path)
+    trips = [{"trip": 40 + k, "from": {"Stop Name": "Oslo", "zone": k % 2}, "via": [k], "nr_cpf": str(k)} for k in range(4)] + [{"trip": 50, "from": {}, "nr_cpf": "7"}]
+    table = read_json_document(spark, put(tmp_path, "trips.json", json.dumps({"made": "now", "trips": trips})))
     flat, notes = flatten(table.df)
-    c = draft_contract(flat, "tb", fmt="json", notes=notes, normalize=json_path_tidy)
-    cols = {x.name: x for x in c.columns}
-    assert "end__cidade_x" in cols and cols["nome"].nullable and not cols["id"].nullable
-    assert cols["l"].type == "string" and cols["l"].nullable and "collapsed" in cols["l"].business_rules[0]
-    assert cols["nr_cpf"].regulatory_flags == ("LGPD_SENSITIVE",) and c.manifest_status == "DRAFT"
+    drafted = draft_contract(flat, "trips", fmt="json", notes=notes, normalize=json_path_tidy)
+    cols = {c.name: c for c in drafted.columns}
+    assert set(cols) == {"trip", "from__stop_name", "from__zone", "via", "nr_cpf"} and drafted.manifest_status == "DRAFT"
+    assert not cols["trip"].nullable and cols["from__zone"].nullable and cols["trip"].type == "integer"
+    assert cols["via"].type == "string" and cols["via"].nullable and "collapsed" in cols["via"].business_rules[0]
+    assert cols["nr_cpf"].regulatory_flags == ("LGPD_SENSITIVE",)
 
 
-def test_nest(spark, sample, tmp_path):
-    nested = nest(sample, {"dados": ["nm_cliente", "dt_cadastro"]})
-    assert nested.columns == ["id_cliente", "vl_renda", "fl_ativo", "dados"]
+def test_nest(spark, trips, tmp_path):
+    assert nest(trips, {"seen": ["state", "remark"], "way": ["km"]}).columns == ["line", "seen", "way"]
     with pytest.raises(ValueError):
-        nest(sample, {"g": ["nope"]})
-    path = str(tmp_path / "o.jsonl")
-    write_table(sample, path, "json", groups={"dados": ["nm_cliente", "dt_cadastro"]})
-    text = [json.loads(r["value"]) for r in spark.read.text(path).collect()]
-    assert all(set(t["dados"]) == {"nm_cliente", "dt_cadastro"} for t in text)
-    back = read_table(spark, path)
-    assert set(back.columns) == {"id_cliente", "vl_renda", "fl_ativo", "dados__nm_cliente", "dados__dt_cadastro"}
-    assert back.filter("id_cliente = 'C003'").first()["vl_renda"] == "12345678.5"
-    assert back.filter("dados__nm_cliente is null").count() == 1
+        nest(trips, {"seen": ["nothing"]})
+    path = str(tmp_path / "trips.jsonl")
+    write_table(trips, path, "json", groups={"seen": ["state", "remark"]})
+    texts = {t["line"]: t for t in (json.loads(r["value"]) for r in spark.read.text(path).collect())}
+    assert texts["N4"] == {"line": "N4", "km": 12.5, "seen": {"state": None, "remark": "harbour; nights only"}}
+    back = {r["line"]: r for r in read_table(spark, path).collect()}
+    assert back["ring"].asDict() == {"line": "ring", "km": "23456789.25", "seen__state": "ok", "seen__remark": None}
+    assert back["S11"]["km"] is None and back["x"]["km"] == "-0.5"
 
 
 def test_observed_keys_and_schema(spark):
@@ -146,11 +145,11 @@ def test_observed_keys_and_schema(spark):
 
 # ---- fixed width
 
-def test_fixed_lines(sample):
-    lines = [r["value"] for r in format_fixed(sample, LAYOUT).collect()]
-    assert all(len(x) == 49 for x in lines)
-    assert lines[0] == "C001    Ana Silva               5000.0S2024-01-01"
-    assert lines[1][8:38] == "Bruno" + " " * 25 and lines[2][28:38] == "12345678.5"
+def test_fixed_lines(trips):
+    lines = [r["value"] for r in format_fixed(trips, TRIP_LAYOUT).collect()]
+    assert {len(x) for x in lines} == {45}
+    assert lines[0] == " " * 6 + "        12.5" + "N4   " + "harbour; nights only  "
+    assert lines[1][6:18] == " " * 12 and lines[1][:6] == "late  " and lines[2][6:18] == " 23456789.25"
 
 
 def test_fixed_truncates(spark):
@@ -158,46 +157,44 @@ def test_fixed_truncates(spark):
     assert format_fixed(df, layout_of([("a", 4, "string"), ("n", 5, "integer")])).first()[0] == "LONG12345"
 
 
-def test_fixed_errors(sample):
+def test_fixed_errors(trips):
     with pytest.raises(ValueError):
         layout_of([])
     with pytest.raises(ValueError):
-        format_fixed(sample, [])
+        format_fixed(trips, [])
     with pytest.raises(ValueError):
-        format_fixed(sample, layout_of([("nope", 3, "string")]))
+        format_fixed(trips, layout_of([("nope", 3, "string")]))
 
 
-def test_fixed_round_trip(spark, sample, tmp_path):
-    path = str(tmp_path / "f.txt")
-    write_table(sample, path, "fixed_width", layout=LAYOUT)
-    back = read_table(spark, path, layout=LAYOUT)
-    assert rows(back) == rows(sample.selectExpr("id_cliente", "nm_cliente", "case when vl_renda > 1e7 then '12345678.5' else cast(vl_renda as string) end", "fl_ativo", "dt_cadastro"))
+def test_fixed_round_trip(spark, trips, tmp_path):
+    path = str(tmp_path / "trips.txt")
+    write_table(trips, path, "fixed_width", layout=TRIP_LAYOUT)
+    back = {r["line"]: r for r in read_table(spark, path, layout=TRIP_LAYOUT).collect()}
+    assert set(back) == {"N4", "S11", "ring", "x"} and back["S11"]["remark"] is None  # an empty text is blank, as NULL is
+    assert back["ring"]["km"] == "23456789.25" and back["x"]["remark"] == '"loop"' and back["N4"]["state"] is None
 
 
-def test_parse_only_needed_fields(spark, sample):
-    lines = format_fixed(sample, LAYOUT)
-    plan = parse_fixed(lines, LAYOUT).select("fl_ativo")._jdf.queryExecution().optimizedPlan().toString()
+def test_parse_only_needed_fields(spark, trips):
+    lines = format_fixed(trips, TRIP_LAYOUT)
+    plan = parse_fixed(lines, TRIP_LAYOUT).select("line")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("substring") == 1
 
 
-DATA = "C001Ana Silva         5000.00\nC002Bruno Martins     8000.00\n"
-
-
 def test_layout_text(spark, tmp_path):
-    path = put(tmp_path, "l.txt", "# comment\n\nCD_CLIENTE 1 4 CHAR\nNM_CLIENTE 5 24 CHAR Nome do cliente\nVL_RENDA 25 31 NUMERIC\nBAD 1\nWORSE a 4\nBIN 32 33 B\n")
-    c, warnings = contract_from_layout(read_layout(spark, path), "tb")
-    assert c.column_names() == ["cd_cliente", "nm_cliente", "vl_renda", "bin"] and c.types()["vl_renda"] == "float"
-    assert c.columns[1].description == "Nome do cliente" and c.columns[3].business_rules
-    assert "SCR_CANDIDATE" in c.columns[2].regulatory_flags and c.layout[0]["start"] == 1
-    assert len([w for w in warnings if w.startswith("Line")]) == 2 and c.source["format"] == "fixed_width"
+    path = put(tmp_path, "trips.layout", "# bytes of a trip\n\n  LINE_NO 1 5 an\nKM_RUN 6 17 PACKED distance of a run\nVL_RENDA 18 30 num\nHALF 31\nODD 31 b\nFLAGS 31 32 Binary  raw bits\n")
+    drafted, warnings = contract_from_layout(read_layout(spark, path), "trips")
+    assert [(c.name, c.type) for c in drafted.columns] == [("line_no", "string"), ("km_run", "float"), ("vl_renda", "float"), ("flags", "string")]
+    assert drafted.columns[1].description == "distance of a run" and drafted.columns[3].business_rules and not drafted.columns[0].business_rules
+    assert "SCR_CANDIDATE" in drafted.columns[2].regulatory_flags and [f["end"] for f in drafted.layout] == [5, 17, 30, 32]
+    assert sum(w.startswith("Line") for w in warnings) == 2 and drafted.source["format"] == "fixed_width"
 
 
 def test_layout_csv(spark, tmp_path):
-    path = put(tmp_path, "l.csv", "Campo,inicio,FIM,tipo\nCD_CLIENTE,1,4,char\nNM_CLIENTE,5,24,char\nX,a,4,char\n")
-    c, warnings = contract_from_layout(read_layout(spark, path), "tb")
-    assert c.column_names() == ["cd_cliente", "nm_cliente"] and len(warnings) == 1
+    path = put(tmp_path, "trips.csv", "End,Start,Field,Desc\n5,1,LINE_NO,line\n17,6,KM_RUN,\n,18,LOST,x\n")
+    drafted, warnings = contract_from_layout(read_layout(spark, path), "trips")
+    assert drafted.column_names() == ["line_no", "km_run"] and drafted.columns[0].description == "line" and len(warnings) == 1
     with pytest.raises(ValueError):
-        read_layout(spark, put(tmp_path, "m.csv", "campo,tipo\na,b\n"))
+        read_layout(spark, put(tmp_path, "short.csv", "field,start\na,1\n"))
 
 
 def test_layout_findings(spark):
@@ -223,7 +220,7 @@ def test_inferred_layout(spark):
 
 
 def test_inferred_contract_is_experimental(spark, tmp_path):
-    lines = spark.read.text(put(tmp_path, "data.txt", DATA))
+    lines = spark.read.text(put(tmp_path, "data.txt", "N4    12.5  ok\nring 23456  ok\n"))
     c, warnings = contract_from_layout(infer_layout(lines), "tb", inferred=True)
     assert c.manifest_status == "DRAFT_EXPERIMENTAL" and any("guessed" in w for w in warnings)
 
