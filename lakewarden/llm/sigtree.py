@@ -46,9 +46,9 @@ CACHED_WORDS = 500_000
 WANTED_BITS = 1 << 23
 HUB_ROUNDS = 1
 HELD_PAIRS = 200_000
-DENSE = 512
+DENSE = 20_000
 PAIRS_A_MEMBER = 8
-DENSE_BLOCK = 256
+DENSE_BLOCK = 512
 WHOLE_BITS = 2048
 
 
