@@ -74,14 +74,17 @@ class Encoder:
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in turn and how many each has. Many are encoded as one text, with a mark between them."""
         encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         mark = encode([MARK])[0]
-        if len(mark) != 1 or any(MARK in w for w in words):
-            found = encode(words)
-            return np.fromiter((i for ids in found for i in ids), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
-        joined = [f" {MARK} ".join([*words[k:k + JOINED_WORDS], ""]) for k in range(0, len(words), JOINED_WORDS)]
-        ids = np.concatenate([np.array(found, np.uint32) for found in encode(joined)])
-        ends = np.flatnonzero(ids == mark[0])
-        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        if len(mark) == 1 and not any(MARK in w for w in words):
+            joined = [f" {MARK} ".join([*words[k:k + JOINED_WORDS], ""]) for k in range(0, len(words), JOINED_WORDS)]
+            ids = np.concatenate([np.array(found, np.uint32) for found in encode(joined)])
+            ends = np.flatnonzero(ids == mark[0])
+            if len(ends) == len(words):  # else other words have the mark's id too
+                return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        found = encode(words)
+        return np.fromiter((i for ids in found for i in ids), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
     def _parts(self, word: str) -> tuple[str, str] | None:
         """A word that ends in a-z and the punctuation behind it, if there is any."""

@@ -1,6 +1,7 @@
 """Ids through the word cache equal the tokenizer's own on whole texts."""
 
 import os
+import tempfile
 
 import pytest
 from hypothesis import given, settings
@@ -45,3 +46,27 @@ def test_null_and_slices(encoder, monkeypatch):
 
 def test_vocabulary_is_not_in_the_repository():
     assert not PATH.startswith(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+def test_vocabularies_that_keep_case_or_blanks():
+    """What may be taken apart is found by trying: others get whole texts."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    texts = ["The cat, the CAT; a dog.", "", "It's 12 o'clock...\nAb\tcd  ef", "<|x|> Yes!", "é?!"]
+    cased = Tokenizer(models.WordLevel({"the": 0, "The": 1, "cat": 2, "CAT": 3, "?": 4}, "?"))
+    cased.pre_tokenizer = pre_tokenizers.Whitespace()
+    for tokenizer, path in ((cased, None), (None, public_tokenizers.path("byte_bpe_50k.json")), (None, PATH)):
+        if tokenizer is not None:
+            with tempfile.NamedTemporaryFile("w", suffix=".json") as f:
+                f.write(tokenizer.to_str())
+                f.flush()
+                encoder = tokens.Encoder(f.name)
+        else:
+            encoder = tokens.Encoder(path)
+        whole = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        for _ in range(2):  # learned, then looked up
+            assert [list(x) for x in encoder.encode_many(texts)] == whole
+            assert [list(x) for x in encoder.encode_column(pa.array(texts))] == whole
+            assert [list(x) for t in texts for x in encoder.encode_column(pa.array([t, None]))][::2] == whole
