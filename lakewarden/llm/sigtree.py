@@ -48,6 +48,7 @@ HUB_ROUNDS = 1
 HELD_PAIRS = 200_000
 DENSE = 20_000
 PAIRS_A_MEMBER = 8
+MOST_PAIRS = 20_000
 DENSE_BLOCK = 512
 WHOLE_BITS = 2048
 
@@ -348,36 +349,41 @@ def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b, n) of rows (token, lead, members, rep, comp, size, bits), n being the trees they met in.
+    """Candidate pairs (a, b, n) of rows (token, lead, rep, comp, size, bits), n being the trees they met in.
 
-    A tree is a token. Trees of one lead, the least document in them, hold much the same documents, at most
-    DENSE, and meet in one task, where their pairs are counted before they are sent on. A lead with more than
-    PAIRS_A_MEMBER pairs for each of its members sends none of them but itself: a row with a null b.
+    A tree is a token. Trees of one lead, the least document in them, hold much the same documents and meet in one task,
+    where their pairs are counted before they are sent on. A lead with more than PAIRS_A_MEMBER pairs for
+    each of its documents sends none of them but itself: a row with a null b.
     """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, token, group, met, room = None, None, [], Counter(), 0
+        lead, token, group, met, members = None, None, [], Counter(), set()
         out: list[tuple] = []
 
+        def room() -> int:
+            return PAIRS_A_MEMBER * len(members)
+
         def count_tree() -> None:
-            if len(group) > 1 and len(met) <= room:
+            members.update(r[0] for r in group)
+            limit = max(room(), MOST_PAIRS)  # more documents may follow
+            if len(group) > 1 and len(met) <= limit:
                 tree = Tree(*(list(c) for c in zip(*group, strict=True)))
                 for pair in tree_pairs(tree, tree, num, den):
                     met[pair] += 1
-                    if len(met) > room:
+                    if len(met) > limit:
                         return
 
         def close_lead() -> None:
             count_tree()
-            out.extend([(lead, None, 0)] if len(met) > room else ((a, b, n) for (a, b), n in met.items()))
+            out.extend([(lead, None, 0)] if len(met) > room() else ((a, b, n) for (a, b), n in met.items()))
 
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(7)]
-            for of, members, tree_of, rep, comp, size, bits in zip(*columns, strict=True):
+            columns = [batch.column(k).to_pylist() for k in range(6)]
+            for of, tree_of, rep, comp, size, bits in zip(*columns, strict=True):
                 if of != lead:
                     if lead is not None:
                         close_lead()
-                    lead, token, group, met, room = of, tree_of, [], Counter(), PAIRS_A_MEMBER * members
+                    lead, token, group, met, members = of, tree_of, [], Counter(), set()
                 elif tree_of != token:
                     count_tree()
                     token, group = tree_of, []
@@ -390,7 +396,7 @@ def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
         yield _counted(out)
 
     dealt = rows.repartition("lead").sortWithinPartitions("lead", "token")
-    return dealt.select("lead", "members", "token", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
+    return dealt.select("lead", "token", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
 
 
 def _counted(rows: list[tuple]) -> pa.RecordBatch:
@@ -434,11 +440,11 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
         open_rows = _marked(shared, links)
     spans = open_rows.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("rep").alias("lead")).where("_low < _high").select("token", "lead")
     open_rows = staged(open_rows.join(spans, "token"), "open")
-    members = staged(open_rows.groupBy("lead", "rep").agg(F.first("comp").alias("comp"), F.first("size").alias("size")), "members")
-    counts = staged(members.groupBy("lead").agg(F.count("*").alias("members")), "leads")
-    sparse = open_rows.join(counts.where(F.col("members") <= DENSE), "lead").join(prefixes.select(F.col("doc_id").alias("rep"), "bits"), "rep")
-    met = staged(_tree_join(sparse, num, den), "met")
-    dense = staged(counts.where(F.col("members") > DENSE).select("lead").unionAll(met.where("b is null").select("a")), "dense")
+    # trees too large for a task, if there are any
+    large = staged(open_rows.where(F.col("n") > DENSE).select("lead").distinct(), "large")
+    sparse = open_rows if large.isEmpty() else open_rows.join(large, "lead", "left_anti")
+    met = staged(_tree_join(sparse.join(prefixes.select(F.col("doc_id").alias("rep"), "bits"), "rep"), num, den), "met")
+    dense = staged(large.unionAll(met.where("b is null").select("a")), "dense")
     pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
     sizes = prefixes.select("doc_id", "size")
     pairs = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("size").alias("sa")), "a").join(
@@ -447,7 +453,8 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
     pairs = pairs.where((F.col("n") + outside) * (num + den) >= (F.col("sa") + F.col("sb")) * num).select("a", "b")
     links = links.unionAll(_verified(pairs, docs, n, num, den))
     if not dense.isEmpty():
-        links = links.unionAll(staged(_dense_join(members.join(dense, "lead", "left_semi"), docs, n, num, den, block), "dense-links"))
+        members = open_rows.join(dense, "lead", "left_semi").groupBy("lead", "rep").agg(F.first("comp").alias("comp"), F.first("size").alias("size"))
+        links = links.unionAll(staged(_dense_join(staged(members, "members"), docs, n, num, den, block), "dense-links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     classes = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "size", F.coalesce("component", "rep").alias("_component"))

@@ -60,6 +60,7 @@ def test_jaccard_groups(spark, n, num, den, block, dense, monkeypatch):
     monkeypatch.setattr(sigtree, "LEAVES", 3)
     monkeypatch.setattr(sigtree, "DENSE", dense)
     monkeypatch.setattr(sigtree, "PAIRS_A_MEMBER", 1 if dense == 12 else 8)
+    monkeypatch.setattr(sigtree, "MOST_PAIRS", 5 if dense == 12 else 20_000)
     rows = corpus(n)
     sizes, groups = linked_documents(rows, n, num, den)
     docs = spark.createDataFrame(rows, DDL).selectExpr("*", "'x' as bits", "1 as size", "2 as token").repartition(5)
