@@ -18,7 +18,7 @@ from lakewarden.sources.fixed import (
     parse_layout_table, read_fixed,
 )
 from lakewarden.sources.landing import normalize_bytes
-from lakewarden.sources.nested import flatten, nest, observed_schema, read_json_document
+from lakewarden.sources.nested import flatten, nest, observed_schema, read_json_document, write_documents
 from lakewarden.sources.reader import read_table, write_table
 from lakewarden.sources.tabular import DELIMITERS, detect_delimiter, detect_header, read_csv, read_split_lines
 
@@ -163,12 +163,12 @@ def json_documents_supplier(spark, sf_dir):
     item = "concat('{\"s_suppkey\": ', s_suppkey, ', \"s_name\": \"', s_name, '\", \"wide\": 9', s_suppkey, '12345678901234567.10}')"
     rows = table(spark, sf_dir, "supplier").selectExpr(
         "case when s_suppkey % 5 = 0 then 1000 + s_suppkey else s_suppkey % 4 end as bucket", f"{item} as item")
-    # One file per bucket, each one document.
+    # One file per bucket, each one document, all in one folder: a folder for each is a task for each wherever they are listed.
     shapes = rows.groupBy("bucket").agg(F.sort_array(F.collect_list("item")).alias("items")).selectExpr("bucket", """
         case when size(items) = 1 then items[0] when bucket % 2 = 0 then concat('[', array_join(items, ', '), ']')
              else concat('{"made": "x", "rows": [', array_join(items, ', '), '], "tags": [1]}') end as value""")
-    shapes.repartition("bucket").write.partitionBy("bucket").text(path)
-    read = read_json_document(spark, f"{path}/*/*")
+    write_documents(shapes.select("value"), path)
+    read = read_json_document(spark, path)
     return read.df.select("s_suppkey", "s_name", "wide").withColumn("structure", F.lit(read.structure))
 
 

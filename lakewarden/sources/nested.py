@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakewarden.functions.numeric import double_text_sql
 from lakewarden.functions.sqltext import ident
+from lakewarden.session import shared_dir
 
 SEPARATOR = "__"
 
@@ -54,15 +55,14 @@ def json_documents(spark: SparkSession, path: str, root_key: str | None = None)
     return found.select("_file", F.when(F.col("_whole"), shape).alias("structure"), F.col("_root.key").alias("root_key"), "many", "text")
 
 
-def _read_shape(spark: SparkSession, paths: list[str], root_key: str | None, many: bool) -> DataFrame:
-    """Records of documents of one shape, every value as the text in the file."""
-    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(paths)
+def _read_shape(spark: SparkSession, lines: str, root_key: str | None, many: bool) -> DataFrame:
+    """Records of documents of one shape, one document a line, every value as the text in the file."""
+    df = spark.read.option("primitivesAsString", True).json(lines)
     if root_key is None:
         if df.columns != ["_corrupt_record"]:
             return df
         # A list of plain values has no columns to read.
-        text = spark.read.text(paths, wholetext=True)
-        return text.select(F.explode(F.from_json("value", "array<string>")).alias("item"))
+        return spark.read.text(lines).select(F.explode(F.from_json("value", "array<string>")).alias("item"))
     root = F.col(ident(root_key))
     items = df.select((F.explode(root) if many else root).alias("item"))
     return items.select("item.*") if isinstance(items.schema["item"].dataType, T.StructType) else items
@@ -88,22 +88,32 @@ def read_json_document(spark: SparkSession, path: str, root_key: str | None = No
     its own; a shape's rows lack the columns of others. Numbers and booleans come back as the text in the
     file. ``structure`` is list or object, or mixed where files differ, and ``root_key`` that of all files,
     or None. Keys beside the root key of an object are not part of its records. A file that is no JSON
-    is an error. What reaches the driver are the files' names.
+    is an error. Files are listed once and put down again in the shared folder as one document a line, a folder
+    for each shape, so that neither the number of files nor that of shapes makes for more listings. Only the
+    shapes reach the driver.
     """
-    shapes = json_documents(spark, path, root_key).groupBy("structure", "root_key", "many").agg(F.sort_array(F.collect_list("_file")).alias("files")).collect()
-    unreadable = sum(len(r["files"]) for r in shapes if r["structure"] is None)
+    told = json_documents(spark, path, root_key)
+    shapes = told.groupBy("structure", "root_key", "many", _shape()).count().collect()
+    unreadable = sum(r["count"] for r in shapes if r["structure"] is None)
     if unreadable:
         raise ValueError(f"{unreadable} document(s) are no JSON")
     structures, roots = {r["structure"] for r in shapes}, {r["root_key"] for r in shapes}
     structure = structures.pop() if len(structures) == 1 else "mixed" if structures else "object"
-    read: dict[tuple, list[str]] = {}
-    for r in shapes:
-        read.setdefault((r["root_key"] or "", r["many"], r["root_key"] is None), []).extend(map(unquote, r["files"]))
-    frames = [_read_shape(spark, files, None if rootless else key, many) for (key, many, rootless), files in sorted(read.items())]
+    read = sorted({(r["root_key"] or "", r["many"], r["root_key"] is None, r["shape"]) for r in shapes})
+    lines = f"{shared_dir(spark)}/documents-{uuid.uuid4().hex}"
+    if read:
+        # Line breaks in JSON are blanks between values; those in strings are escaped.
+        told.select(F.translate("text", "\r\n", "  ").alias("value"), _shape()).write.partitionBy("shape").text(lines)
+    frames = [_read_shape(spark, f"{lines}/shape={shape}", None if rootless else key, many) for key, many, rootless, shape in read]
     df = _put_together(frames) if frames else spark.createDataFrame([], T.StructType([]))
     return JsonTable(df, structure, roots.pop() if len(roots) == 1 else None)
 
 
+def _shape() -> Column:
+    """A name for the root key of a document and what is under it that is fit for a folder."""
+    return F.concat(F.when(F.col("many"), "many-").otherwise("one-"), F.coalesce(F.sha2("root_key", 256), F.lit("rootless"))).alias("shape")
+
+
 def flatten(df: DataFrame, max_level: int = 2, sep: str = SEPARATOR) -> tuple[DataFrame, dict[str, list[str]]]:
     """Objects down to ``max_level`` become columns joined by the separator.
 
@@ -156,6 +166,15 @@ def write_json(df: DataFrame, path: str, groups: dict[str, list[str]] | None = N
     out.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_documents(df: DataFrame, path: str) -> None:
+    """Each row of a frame (value) as a file of its own, all in one folder.
+
+    Files cost time by their number, so they are dealt out among all shuffle partitions, however small they are.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(partitions, F.xxhash64("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
 def observed_keys(df: DataFrame, column: str) -> DataFrame:
     """(name, occurrences) of the top-level keys in a column of JSON texts; per-task counts first."""
     keys = df.select(F.explode(F.json_object_keys(column)).alias("name"))

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameReader, functions as F
 
 from lakewarden.operators.infer import draft_contract
 from lakewarden.functions.naming import json_path_tidy
@@ -10,7 +10,7 @@ from lakewarden.sources.fixed import (
 )
 from lakewarden.contracts import Contract
 from lakewarden.sources.nested import (
-    flatten, json_documents, nest, observed_keys, observed_schema, observed_types, read_json_document, read_json_lines,
+    flatten, json_documents, nest, observed_keys, observed_schema, observed_types, read_json_document, read_json_lines, write_documents,
 )
 from lakewarden.sources.reader import format_of, read_load, read_table, write_table
 from lakewarden.sources.tabular import (
@@ -304,6 +304,21 @@ def test_every_document_has_its_own_root(spark, tmp_path):
         read_json_document(spark, str(tmp_path))
 
 
+def test_documents_are_listed_once(spark, tmp_path, monkeypatch):
+    """However many files and shapes there are, Spark is given folders to read, never a list of files."""
+    texts = [json.dumps({"k": k}, indent=1) for k in range(40)] + ['{"rows": [{"k": 40},\r\n{"k": 41}]}', '{"rows": {"k": 42}, "a b": [{"k": 43}]}', '[{"k":\n44}]']
+    write_documents(spark.createDataFrame([(t,) for t in texts], "value string"), str(tmp_path / "in"))
+    assert len(list((tmp_path / "in").glob("part-*"))) == len(texts) and not list((tmp_path / "in").glob("*/"))
+    given = []
+    for kind in ("text", "json"):
+        real = getattr(DataFrameReader, kind)
+        monkeypatch.setattr(DataFrameReader, kind, lambda self, path, real=real, **options: given.append(path) or real(self, path, **options))
+    t = read_json_document(spark, str(tmp_path / "in"))
+    assert sorted(int(r["k"]) for r in t.df.collect()) == [*range(42), 43, 44]
+    assert t.structure == "mixed" and t.root_key is None
+    assert all(isinstance(p, str) for p in given) and given.count(str(tmp_path / "in")) == 1 and len(given) == 4
+
+
 def test_root_that_is_an_object_and_records_of_one_kind(spark, tmp_path):
     t = read_json_document(spark, put(tmp_path, "a.json", '{"x": [1], "one": {"a": 5.0}}'), "one")
     assert (t.structure, t.root_key, t.df.first()["a"]) == ("object", "one", "5.0")
