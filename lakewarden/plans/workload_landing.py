@@ -18,7 +18,7 @@ from lakewarden.plans.workload_inference import infer_sql
 from lakewarden.session import shared_dir
 from lakewarden.sources.fixed import contract_from_layout, parse_layout_lines
 from lakewarden.sources.landing import file_summaries
-from lakewarden.sources.nested import json_documents, observed_types, read_json_document
+from lakewarden.sources.nested import json_documents, observed_types, read_json_document, write_documents
 from lakewarden.sources.reader import read_load, read_table
 from lakewarden.sources.records import export_records, read_records, write_records
 from lakewarden.sources.registry import read_registry, registry_frame, row_contract, write_registry
@@ -114,9 +114,10 @@ def json_roots_supplier(spark, sf_dir):
     shapes = rows.groupBy("bucket").agg(F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("items")).selectExpr("bucket", """
         case substr(bucket, 1, 2) when 'k0' then concat('{"made": "x", "rows": [', items, '], "tags": [1]}') when 'k1' then concat('{"items": [', items, '], "rows": [2]}')
              when 'k2' then concat('[', items, ']') else items end as value""")
-    shapes.repartition("bucket").write.partitionBy("bucket").text(path)
-    told = json_documents(spark, f"{path}/*/*").select(F.regexp_extract("_file", "bucket=([^/]*)/", 1).alias("bucket"), "structure", "root_key")
-    return read_json_document(spark, f"{path}/*/*").df.select("bucket", "s_suppkey", "s_name", "s_nationkey", "s_acctbal").join(told, "bucket").drop("bucket")
+    write_documents(shapes.select("value"), path)
+    # The first record of a document names the bucket of all.
+    told = json_documents(spark, path).select(F.regexp_extract("text", '"bucket": "([^"]*)"', 1).alias("bucket"), "structure", "root_key")
+    return read_json_document(spark, path).df.select("bucket", "s_suppkey", "s_name", "s_nationkey", "s_acctbal").join(told, "bucket").drop("bucket")
 
 
 @register("jsonl_digits_orders", "select cast(o_orderkey as varchar) as k, cast(cast(o_totalprice as decimal(15,3)) as varchar) as price, concat('9', cast(o_custkey as varchar), '12345678901234567890.10') as wide from orders")
