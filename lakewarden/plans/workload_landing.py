@@ -170,6 +170,12 @@ def draft_layout_nation(spark, sf_dir):
 _PARTS = 16
 
 
+def _dealt(docs: DataFrame) -> DataFrame:
+    """Texts and the part they go to, each part in a task of its own: dealt out by a hash, several parts meet in one task."""
+    parts = docs.selectExpr("text as value", f"cast(doc_id % {_PARTS} as string) as part")
+    return parts.repartitionById(_PARTS, F.col("part").cast("int"))
+
+
 @register("landing_files_documents", f"""
     select cast(doc_id % {_PARTS} as varchar) as part, cast(sum(strlen(text) + 1) as bigint) as length,
            case when bool_or(regexp_matches(text, '[^\\x00-\\x7F]')) then 'utf-8' else 'ascii' end as encoding, false as bom_removed,
@@ -178,8 +184,7 @@ _PARTS = 16
 def landing_files_documents(spark, sf_dir):
     """All texts as files in a folder; encoding, byte order mark and line ends of each, found split by split."""
     path = _scratch(spark, "files")
-    docs = table(spark, sf_dir, "documents").selectExpr("text as value", f"cast(doc_id % {_PARTS} as string) as part")
-    docs.repartition(_PARTS, "part").write.partitionBy("part").text(path)
+    _dealt(table(spark, sf_dir, "documents")).write.partitionBy("part").text(path)
     report = file_summaries(spark, f"{path}/*/*").withColumn("part", F.regexp_extract("path", "part=([^/]*)/", 1))
     return report.select("part", "length", "encoding", "bom_removed", "line_endings", "status")
 

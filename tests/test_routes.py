@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakewarden.contracts import Contract
-from lakewarden.plans import layers, onboard as onboarding
+from lakewarden.plans import layers, onboard as onboarding, workload_landing
 from lakewarden.plans.layers import Lake, LoadKey, promote_load, quarantine_load, read_route
 from lakewarden.plans.scenario import Load, run_load
 from lakewarden.sources.landing import file_summaries, normalization_report
@@ -108,6 +108,13 @@ def test_summaries_of_many_splits(spark, tmp_path):
     assert (row["encoding"], row["line_endings"], row["length"]) == ("utf-8", "CRLF->LF", (tmp_path / "a.txt").stat().st_size)
 
 
+def test_landing_parts_are_dealt_to_tasks_of_their_own(spark):
+    docs = spark.createDataFrame([(k if k else None, None if k == 5 else f"text {k}") for k in range(200)], "doc_id long, text string")
+    dealt = [(r["task"], r["part"]) for r in workload_landing._dealt(docs).withColumn("task", F.spark_partition_id()).collect()]
+    assert len(dealt) == 200 and len({t for t, _ in dealt}) == 16
+    assert all(len({p for t, p in dealt if t == task and p}) == 1 for task in range(16))
+
+
 def test_onboarding(spark, tmp_path):
     landing, lake = tmp_path / "landing", Lake(str(tmp_path / "lake"))
     landing.mkdir()
