@@ -30,19 +30,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewarden.llm.graph import components
 from lakewarden.llm.order import rank_within
 from lakewarden.llm.rows import rows_apart
-from lakewarden.llm.staging import staged
+from lakewarden.llm.staging import discard, staged, staged_at
 
 BITS = 512
 LEAVES = 16
 COMMON = 0.001
 LOCAL_COMMON = 4
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 WANTED_BITS = 1 << 23
 HUB_ROUNDS = 1
 HELD_PAIRS = 200_000
@@ -113,6 +113,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
+def _repeated(held: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that are in the arrays so often at least, sorted, and how often; the list is emptied, as it is sorted in one copy."""
+    values = np.concatenate(held)
+    held.clear()
+    values.sort()
+    found = np.unique(values[least - 1:][values[least - 1:] == values[:len(values) - least + 1]])
+    return found, np.searchsorted(values, found, "right") - np.searchsorted(values, found, "left")
+
+
 def _summaries(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, size and digest of each set; the first row of a batch also lists the batch's common shingles."""
 
@@ -126,9 +135,8 @@ def _summaries(docs: DataFrame, n: int) -> DataFrame:
                 held.append(found)
             often: list = [None] * len(sizes)
             if sizes:
-                values, counts = np.unique(np.concatenate(held), return_counts=True)
-                keep = counts >= LOCAL_COMMON
-                often[0] = [{"shingle": int(v), "count": int(c)} for v, c in zip(values[keep].view(np.int64), counts[keep], strict=True)]
+                values, counts = _repeated(held, LOCAL_COMMON)
+                often[0] = [{"shingle": int(v), "count": int(c)} for v, c in zip(values.view(np.int64), counts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
                  pa.array(often, pa.list_(pa.struct([("shingle", pa.int64()), ("count", pa.int64())])))],
@@ -153,7 +161,7 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 prefix = prefix_of(shingles(value.as_py(), n), often, num, den)
                 keys.append(key)
-                found.append(prefix.view(np.int64))
+                found.append(prefix.view(np.int64).copy())  # a slice would hold the whole set
                 bits.append(bitmap(prefix))
             offsets = np.cumsum([0, *map(len, found)])
             values = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
@@ -164,8 +172,11 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
     return _texts(docs).mapInArrow(make, "doc_id long, prefix array<long>, bits binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int, kind: str) -> DataFrame:
-    """doc_id and whole set of the wanted documents, in numbers of the kind; a bitmap of fixed size spares the tasks most others."""
+def _sets(docs: DataFrame, wanted: DataFrame, n: int, kind: str) -> tuple[DataFrame, str]:
+    """doc_id and whole set of the wanted documents, in numbers of the kind, and the folder they are staged in.
+
+    A bitmap of fixed size spares the tasks most others.
+    """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
     parts = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()  # at most WANTED_BITS / 8 bytes
@@ -185,7 +196,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, kind: str) -> DataFrame:
 
     marked = _texts(docs).select("doc_id", "text", F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("b"))
     found = marked.mapInArrow(make, "doc_id long, set binary").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return staged(found, "sets")
+    return staged_at(found, "sets")
 
 
 def _in_common(a: np.ndarray, b: np.ndarray) -> int:
@@ -197,7 +208,7 @@ def _in_common(a: np.ndarray, b: np.ndarray) -> int:
 def _passing(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, kind: str) -> DataFrame:
     """The pairs (a, b) whose sets in that kind of numbers reach the similarity; shorter numbers never lose a pair."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _sets(docs, wanted, n, kind)
+    sets, folder = _sets(docs, wanted, n, kind)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -210,7 +221,9 @@ def _passing(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, kind
                 keep.append(den * same >= num * (len(a) + len(b) - same))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return staged(both.mapInArrow(check, "a long, b long"), "passing")
+    passing = staged(both.mapInArrow(check, "a long, b long"), "passing")
+    discard(docs.sparkSession, folder)
+    return passing
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -327,8 +340,8 @@ def dense_links(sides: list[list[tuple]], num: int, den: int) -> list[tuple[int,
 
 def _dense_join(members: DataFrame, docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFrame:
     """Links (a, b) inside each lead of members (lead, rep, comp, size), whose documents are dealt out in blocks by size."""
-    sets = _sets(docs, members.select(F.col("rep").alias("doc_id")).distinct(), n, "<u8").select(F.col("doc_id").alias("rep"), "set")
-    rows = _blocks(members, "lead", num, den, block).join(sets, "rep")
+    sets, folder = _sets(docs, members.select(F.col("rep").alias("doc_id")).distinct(), n, "<u8")
+    rows = _blocks(members, "lead", num, den, block).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sides = None, ([], [])
@@ -341,7 +354,9 @@ def _dense_join(members: DataFrame, docs: DataFrame, n: int, num: int, den: int,
         yield _edges(dense_links([s for s in sides if s], num, den) if now else [])
 
     dealt = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
-    return dealt.select("lead", "i", "j", "side", "rep", "comp", "set").mapInArrow(join, "a long, b long")
+    links = staged(dealt.select("lead", "i", "j", "side", "rep", "comp", "set").mapInArrow(join, "a long, b long"), "dense-links")
+    discard(docs.sparkSession, folder)
+    return links
 
 
 def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -428,11 +443,13 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
     nodes = summaries.select("doc_id", "size", "digest")
     classes = staged(nodes.where("size > 0").groupBy("digest", "size").agg(F.min("doc_id").alias("rep")), "classes")
     prefixes = _prefixes(docs, n, num, den, common).join(classes.select(F.col("rep").alias("doc_id"), "size"), "doc_id")
-    prefixes = staged(prefixes, "prefixes")
+    prefixes, prefixes_at = staged_at(prefixes, "prefixes")
 
+    # most tokens are in one document only: they are shuffled once, and go where they are counted
     tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("rep"), "size")
-    often = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token", "n")
-    shared = staged(tokens.join(often, "token"), "shared")
+    shared, shared_at = staged_at(tokens.withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1"), "shared")
+    leaves = staged(prefixes.select("doc_id", "size", "bits"), "leaves")
+    discard(spark, prefixes_at)
     links, open_rows = None, shared.withColumn("comp", F.col("rep"))
     for _ in range(HUB_ROUNDS):
         found = _verified(_hub_pairs(open_rows, num, den), docs, n, num, den)
@@ -440,13 +457,14 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
         open_rows = _marked(shared, links)
     spans = open_rows.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("rep").alias("lead")).where("_low < _high").select("token", "lead")
     open_rows = staged(open_rows.join(spans, "token"), "open")
+    discard(spark, shared_at)
     # trees too large for a task, if there are any
     large = staged(open_rows.where(F.col("n") > DENSE).select("lead").distinct(), "large")
     sparse = open_rows if large.isEmpty() else open_rows.join(large, "lead", "left_anti")
-    met = staged(_tree_join(sparse.join(prefixes.select(F.col("doc_id").alias("rep"), "bits"), "rep"), num, den), "met")
+    met = staged(_tree_join(sparse.join(leaves.select(F.col("doc_id").alias("rep"), "bits"), "rep"), num, den), "met")
     dense = staged(large.unionAll(met.where("b is null").select("a")), "dense")
     pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    sizes = prefixes.select("doc_id", "size")
+    sizes = leaves.select("doc_id", "size")
     pairs = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("size").alias("sa")), "a").join(
         sizes.select(F.col("doc_id").alias("b"), F.col("size").alias("sb")), "b")
     outside = beyond_prefix(F.greatest("sa", "sb"), num, den)
@@ -454,7 +472,7 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
     links = links.unionAll(_verified(pairs, docs, n, num, den))
     if not dense.isEmpty():
         members = open_rows.join(dense, "lead", "left_semi").groupBy("lead", "rep").agg(F.first("comp").alias("comp"), F.first("size").alias("size"))
-        links = links.unionAll(staged(_dense_join(staged(members, "members"), docs, n, num, den, block), "dense-links"))
+        links = links.unionAll(_dense_join(staged(members, "members"), docs, n, num, den, block))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     classes = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "digest", "size", F.coalesce("component", "rep").alias("_component"))

@@ -1,6 +1,7 @@
 """Operators on pairs against brute force."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 
 from lakewarden.llm import graph, projections, sigtree, suffix_sample
+from lakewarden.llm.staging import shared_folder
 
 DDL = "doc_id long, text string"
 
@@ -55,6 +57,24 @@ def linked_documents(rows, n, num, den):
     return [len(s) for s in sets], roots(len(rows), links)
 
 
+def test_tables_of_tokens_and_sets_do_not_stay(spark):
+    """What no later step reads is gone from the shared folder, and tokens are shuffled once to be counted."""
+    folder = os.path.join(shared_folder(spark), "staged")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    rows = corpus(5)
+    got = {r["doc_id"]: r["component_id"] for r in sigtree.jaccard_groups(spark.createDataFrame(rows, DDL)).collect()}
+    assert [got[k] for k, _ in rows] == linked_documents(rows, 4, 85, 100)[1]
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert "open" in left and not left & {"prefixes", "shared", "sets"}
+
+
+def test_repeated_values():
+    held = [np.array([1, 2, 3], np.uint64), np.array([2, 3, 2**63 + 5], np.uint64), np.array([3, 2**63 + 5], np.uint64)]
+    values, counts = sigtree._repeated(list(held), 2)
+    assert list(values) == [2, 3, 2**63 + 5] and list(counts) == [2, 3, 2]
+    assert [len(x) for x in sigtree._repeated(list(held), 4)] == [0, 0] == [len(x) for x in sigtree._repeated([np.zeros(0, np.uint64)], 4)]
+
+
 @pytest.mark.parametrize("n,num,den,block,dense", [(4, 85, 100, 256, 512), (5, 80, 100, 8, 3), (4, 85, 100, 8, 12)])
 def test_jaccard_groups(spark, n, num, den, block, dense, monkeypatch):
     monkeypatch.setattr(sigtree, "LEAVES", 3)
