@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,9 +67,9 @@ class Ranking:
 def score_of(model: Ranking):
     """A column function that scores texts in one pass; null texts score as empty ones."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(t if isinstance(t, str) else None for t in texts))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(t.as_py() for t in texts), pa.float64())
 
     return score
 
