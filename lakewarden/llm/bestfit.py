@@ -21,6 +21,7 @@ from lakewarden.llm.tokens import encoder
 
 CAPACITY = 2048
 BROADCAST_ROWS = 300_000
+HELD_TOKENS = 1 << 19
 
 
 class CapacityTree:
@@ -137,7 +138,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
                     for column, x in zip(rows, (doc_id, piece, start, len(part), part.tobytes()), strict=True):
                         column.append(x)
                     held += len(part)
-                if held > 1 << 21:
+                if held > HELD_TOKENS:
                     yield _pieces(rows)
                     rows, held = [[], [], [], [], []], 0
             if rows[0]:

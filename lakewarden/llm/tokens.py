@@ -15,12 +15,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_WORDS = 800_000
+#: Words and their characters that are cached before those not met again go.
+CACHED_WORDS, CACHED_CHARS = 300_000, 1 << 22
+ENCODED_WORDS = 1 << 13
 SLICE_CHARS = 1 << 20
 MARK = "\x01"
 JOINED_WORDS = 64
 HELD_WORDS = 20_000
-HELD_CHARS = 1 << 22
+HELD_CHARS = 1 << 21
 TAIL = ".,!?;:"
 LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
 #: Texts that a splitting by words must leave as they are.
@@ -64,18 +66,42 @@ class Encoder:
         self.index = _Index()
         self.starts = np.zeros(1 << 12, np.int64)
         self.sizes = np.zeros(1 << 12, np.int64)
+        self.again = np.zeros(1 << 12, np.bool_)
         self.ids = np.zeros(1 << 14, np.uint32)
-        self.known = self.used = 0
+        self.known = self.used = self.chars = 0
+
+    def _trim(self) -> None:
+        """Where the cache is full, words not met again since they were learned, or since the last time, go; where that leaves too many, all."""
+        if len(self.index) <= CACHED_WORDS and self.chars <= CACHED_CHARS:
+            return
+        kept = np.flatnonzero(self.again[:self.known])
+        words = [w for w, again in zip(self.index, self.again[:self.known].tolist(), strict=True) if again]
+        ids, sizes = self._gathered(kept)[0], self.sizes[kept]
+        self._clear()
+        chars = sum(map(len, words))
+        if 2 * len(words) <= CACHED_WORDS and 2 * chars <= CACHED_CHARS:
+            self.index.update(zip(words, range(len(words)), strict=True))
+            self._grow(len(words))
+            self._store(np.arange(len(words)), ids, sizes)
+            self.known, self.chars = len(words), chars
 
     @staticmethod
     def _room(array: np.ndarray, need: int) -> np.ndarray:
         return array if need <= len(array) else np.concatenate([array, np.zeros(max(need - len(array), len(array)), array.dtype)])
 
+    def _grow(self, total: int) -> None:
+        self.starts, self.sizes, self.again = (self._room(a, total) for a in (self.starts, self.sizes, self.again))
+
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in turn and how many each has. Many are encoded as one text, with a mark between them."""
-        encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of the words in turn and how many each has, some words at a time: a tokenizer's own results are many times as large as the ids."""
         if not words:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids, sizes = zip(*(self._encoded_part(words[k:k + ENCODED_WORDS]) for k in range(0, len(words), ENCODED_WORDS)), strict=True)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encoded_part(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Many words are encoded as one text, with a mark between them."""
+        encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         mark = encode([MARK])[0]
         if len(mark) == 1 and not any(MARK in w for w in words):
             joined = [f" {MARK} ".join([*words[k:k + JOINED_WORDS], ""]) for k in range(0, len(words), JOINED_WORDS)]
@@ -101,11 +127,13 @@ class Encoder:
         plain = [k for k, p in enumerate(parts) if not p] + list(range(len(fresh), len(fresh) + len(more)))
         words = fresh + more
         total = self.known + len(words)
-        self.starts, self.sizes = (self._room(a, total) for a in (self.starts, self.sizes))
+        self._grow(total)
+        self.chars += sum(map(len, words))
         ids, sizes = self._encoded([words[k] for k in plain])
         self._store(np.array(plain, np.int64) + self.known, ids, sizes)
         if pairs:
             stem, tail = np.array(pairs, np.int64).T
+            self.again[np.concatenate([x[x < self.known] for x in (stem, tail)])] = True
             self._store(np.flatnonzero([p is not None for p in parts]) + self.known, *self._joined(stem, tail))
         self.known = total
 
@@ -126,16 +154,18 @@ class Encoder:
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         last = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(last)], ends
+        places = np.repeat(self.starts[at] - (ends - sizes), sizes)
+        places += np.arange(last)
+        return self.ids[places], ends
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in turn, and where each word's end."""
-        if len(self.index) > CACHED_WORDS:
-            self._clear()
+        self._trim()
         return self._gathered(self._numbers(words))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.again[at[at < self.known]] = True
         if self.index.fresh:
             self._learn()
         return at
@@ -164,8 +194,7 @@ class Encoder:
             if not self.words_apart or ends[to - 1] - (ends[at - 1] if at else 0) > HELD_CHARS or pc.any(pc.match_substring(part, "<|")).as_py():
                 yield from self.encode_many(x.as_py() for x in part)
             else:
-                if len(self.index) > CACHED_WORDS:
-                    self._clear()
+                self._trim()
                 lists = pc.split_pattern(pc.replace_substring(pc.ascii_lower(part) if self.lowers else part, "\n", " "), " ")
                 words = lists.flatten().dictionary_encode()
                 numbers = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]

@@ -44,6 +44,50 @@ def test_null_and_slices(encoder, monkeypatch):
     assert encoder.encode(text).tolist() == direct(encoder, text)
 
 
+def test_cache_keeps_words_met_again(monkeypatch):
+    """Words met once go when the cache is full, frequent ones stay and are not encoded anew; ids stay right."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 40)
+    mine = tokens.Encoder(PATH)
+    encoded = []
+    plain = mine._encoded
+    monkeypatch.setattr(mine, "_encoded", lambda words: encoded.extend(words) or plain(words))
+    texts = ["the quick, brown fox " + " ".join(f"w{k}x{j}." for j in range(7)) for k in range(60)]
+    for k, text in enumerate(texts):
+        assert [list(x) for x in (mine.encode_column(pa.array([text])) if k % 2 else mine.encode_many([text]))] == [direct(mine, text)]
+    assert len(mine.index) <= 40 + 20
+    assert all(encoded.count(w) == 1 for w in ("the", "quick", "brown", "fox"))
+
+
+def test_cache_is_bounded_by_characters(monkeypatch):
+    """Texts without blanks are words too: few, but as long as the texts."""
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 5_000, raising=False)
+    mine = tokens.Encoder(PATH)
+    for k in range(40):
+        text = f"{k}q" * 300
+        assert mine.encode(text).tolist() == direct(mine, text)
+    assert sum(map(len, mine.index)) <= 6_500
+
+
+def test_many_words_are_encoded_some_at_a_time(monkeypatch):
+    """No call of the tokenizer gets all words of a text: its results are many times as large as the ids."""
+    mine = tokens.Encoder(PATH)
+    seen = []
+    real = mine.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kind):
+            seen.append(sum(map(len, texts)))
+            return real.encode_batch_fast(texts, **kind)
+
+    text = " ".join(f"ab{k}c" for k in range(30_000))
+    want = direct(mine, text)
+    mine.tokenizer = Counted()
+    assert mine.encode(text).tolist() == want
+    assert max(seen) < len(text) / 2
+
+
 def test_vocabulary_is_not_in_the_repository():
     assert not PATH.startswith(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
