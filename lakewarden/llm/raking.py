@@ -67,6 +67,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     now, path = staged_at(now.coalesce(parts), "cells")
     worst = float("inf")
     for _ in range(0, sweeps, SWEEPS_STAGED):
+        now = now.coalesce(1) if parts == 1 else now  # few cells are in one task as it is, and need no shuffle for each dimension
         for _ in range(SWEEPS_STAGED):
             for name in targets:
                 reached = F.sum("weight").over(W.partitionBy(name))

@@ -306,3 +306,27 @@ def test_shared_folder_is_the_one_named():
     cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=dict))
     with pytest.raises(RuntimeError):
         shared_folder(cluster)
+
+
+def test_few_cells_are_raked_without_a_shuffle(spark, monkeypatch):
+    """Cells that one task holds are summed in it: no sweep deals them out, whatever the number of shuffle partitions."""
+    cells = spark.createDataFrame([(a, b, 1 + 7 * k % 11) for k, (a, b) in enumerate((a, b) for a in "xyz" for b in "uvw")], "source string, lang string, tokens long")
+    plans = []
+    plain = raking.staged_at
+    monkeypatch.setattr(raking, "staged_at", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, name))
+    targets = {"source": spark.createDataFrame([("x", 0.5), ("y", 0.25), ("z", 0.25)], "source string, share double"),
+               "lang": spark.createDataFrame([("u", 0.2), ("v", 0.3), ("w", 0.5)], "lang string, share double")}
+    raked, off = raking.rake(cells, targets)
+    assert off <= raking.TOLERANCE
+    sweeps = [p for p in plans if "Window" in p]
+    assert sweeps and not any("Exchange" in p for p in sweeps)
+    total = sum(r["tokens"] for r in raked.collect())
+    for name, shares in targets.items():
+        want = {r[name]: r["share"] * total for r in shares.collect()}
+        got = {r[name]: r["w"] for r in raked.groupBy(name).agg(F.sum("weight").alias("w")).collect()}
+        assert got == pytest.approx(want, rel=1e-5)
+    empty, _ = raking.rake(cells.limit(0), targets)
+    assert empty.count() == 0
+    monkeypatch.setattr(raking, "CELLS_A_TASK", 2)
+    more, _ = raking.rake(cells, targets)
+    assert {(r["source"], r["lang"]): r["weight"] for r in more.collect()} == pytest.approx({(r["source"], r["lang"]): r["weight"] for r in raked.collect()})
