@@ -4,9 +4,11 @@
    least overlap of a linked pair. Linked pairs share a prefix shingle, so the documents of one
    prefix shingle are the leaves of one tree. Shingles of at least COMMON of all documents come
    last in the order, which keeps them out of most prefixes.
-2. Every leaf has a bitmap of its prefix; every node the OR of its leaves' bitmaps and their range
-   of sizes. Large trees are cut into blocks along the sizes; pairs of blocks are pruned by Spark,
-   and pairs of nodes inside a task, by the greatest overlap that bitmaps and sizes allow.
+2. Every leaf has a bitmap of its prefix, and the number of its shingles below fixed places of the
+   order; every node the OR of its leaves' bitmaps and their range of sizes. Large trees are cut into
+   blocks along the sizes; pairs of blocks are pruned by Spark, and pairs of nodes inside a task, by
+   the greatest overlap that bitmaps, sizes and places allow, so that documents which share shingles
+   by chance send no pairs on.
 3. Surviving pairs of documents are counted over their shared prefix shingles, which bounds their
    overlap again. What is left is bounded by whole sets at 16 bits a shingle, then verified on the
    whole sets.
@@ -26,6 +28,7 @@ from __future__ import annotations
 import operator
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,10 @@ from lakewarden.llm.order import rank_within
 from lakewarden.llm.rows import rows_apart
 from lakewarden.llm.staging import discard, staged, staged_at
 
-BITS = 512
-LEAVES = 16
+BITS, MOST_BITS = 512, 4096
+LEAVES = 64
+BLOCK_PAIRS = 32
+CUTS = 16
 COMMON = 0.001
 LOCAL_COMMON = 4
 CACHED_WORDS = 200_000
@@ -93,14 +98,33 @@ def need_overlap(size: int, num: int, den: int) -> int:
 
 def prefix_of(values: np.ndarray, common: np.ndarray, num: int, den: int) -> np.ndarray:
     """The prefix of a sorted set: rare shingles first, then common ones, both in hash order."""
+    return prefix_and_steps(values, common, num, den)[0]
+
+
+def prefix_and_steps(values: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, bytes]:
+    """The prefix of a sorted set, and how many rare shingles lie between one cut and the next.
+
+    Cuts are fixed hashes, the same for all sets; there is a step for each that the prefix reaches, that is, has all
+    the set's rare shingles below it. Steps over 255 are given as 255: counts are never too large.
+    """
     if not len(values):
-        return values
+        return values, b""
     take = len(values) - need_overlap(len(values), num, den) + 1
+    rare = len(values)
     if len(common):
         at = np.minimum(np.searchsorted(common, values), len(common) - 1)
         often = common[at] == values
         values = np.concatenate([values[~often], values[often]])
-    return values[:take]
+        rare -= int(often.sum())
+    width = min((1 << 64) - 1, (1 << 64) * 5 * (den - num) // (4 * den)) // CUTS  # a prefix of rare shingles ends near the last cut but two
+    below = np.searchsorted(values[:rare], np.arange(1, CUTS + 1, dtype=np.uint64) * np.uint64(width))
+    below = below[below <= take]
+    return values[:take], np.minimum(np.diff(below, prepend=0), 255).astype(np.uint8).tobytes()
+
+
+def steps_below(steps: bytes) -> list[int]:
+    """Rare shingles below each cut that is reached, after a 0 for no cut."""
+    return list(accumulate(steps, initial=0))
 
 
 def bitmap(values: np.ndarray, size: int = BITS) -> bytes:
@@ -109,6 +133,20 @@ def bitmap(values: np.ndarray, size: int = BITS) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def bits_for(shingles_in: int) -> int:
+    """Size of the bitmap of so many shingles: four bits a shingle, in powers of two from BITS to MOST_BITS."""
+    return min(MOST_BITS, max(BITS, 1 << (4 * shingles_in - 1).bit_length()))
+
+
+def folded(bits: bytes, width: int) -> int:
+    """A bitmap as a number, of so many bytes: the halves of a larger one fall on each other."""
+    found, now = int.from_bytes(bits, "big"), len(bits)
+    while now > width:
+        now //= 2
+        found = found >> 8 * now | found & (1 << 8 * now) - 1
+    return found
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -157,19 +195,20 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = common.value
         for batch in batches:
-            keys, found, bits = [], [], []
+            keys, found, bits, steps = [], [], [], []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                prefix = prefix_of(shingles(value.as_py(), n), often, num, den)
+                prefix, below = prefix_and_steps(shingles(value.as_py(), n), often, num, den)
                 keys.append(key)
                 found.append(prefix.view(np.int64).copy())  # a slice would hold the whole set
-                bits.append(bitmap(prefix))
+                bits.append(bitmap(prefix, bits_for(len(prefix))))
+                steps.append(below)
             offsets = np.cumsum([0, *map(len, found)])
             values = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values), pa.array(bits, pa.binary())],
-                ["doc_id", "prefix", "bits"])
+                [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values), pa.array(bits, pa.binary()), pa.array(steps, pa.binary())],
+                ["doc_id", "prefix", "bits", "steps"])
 
-    return _texts(docs).mapInArrow(make, "doc_id long, prefix array<long>, bits binary")
+    return _texts(docs).mapInArrow(make, "doc_id long, prefix array<long>, bits binary, steps binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int, kind: str) -> tuple[DataFrame, str]:
@@ -237,13 +276,26 @@ def beyond_prefix(size: Column, num: int, den: int) -> Column:
     return F.ceil(size * num / F.lit(float(den)) - 1e-9) - 1
 
 
+def least_shared(x: int, y: int, below_x: list[int], below_y: list[int], num: int, den: int) -> int:
+    """Least number of shingles that the prefixes of linked sets of these sizes share, as their sizes and cuts tell.
+
+    Beyond the prefixes the overlap is at most what the larger set keeps there; beyond a cut that both prefixes
+    reach, at most what either set has there.
+    """
+    cut = min(len(below_x), len(below_y)) - 1
+    outside = min(need_overlap(max(x, y), num, den) - 1, x - below_x[cut], y - below_y[cut])
+    return -(-num * (x + y) // (num + den)) - outside
+
+
 class Tree:
     """Leaves sorted by size under nodes of LEAVES; a node has the OR of bitmaps and the range of sizes."""
 
-    def __init__(self, reps: list[int], comps: list[int], sizes: list[int], bits: list[int]):
+    def __init__(self, reps: list[int], comps: list[int], sizes: list[int], bits: list[int], below: list[list[int]] | None = None):
         order = sorted(range(len(reps)), key=lambda k: (sizes[k], reps[k]))
         self.leaves = [(reps[k], comps[k], sizes[k], bits[k], bits[k].bit_count()) for k in order]
+        self.below = [below[k] for k in order] if below else [[0]] * len(order)
         self.root = self._node(0, len(order))
+        self._columns: tuple | None = None
 
     def _node(self, first: int, last: int) -> tuple:
         """(first, last, OR of bitmaps, least and largest size, fewest bits, children)"""
@@ -258,12 +310,46 @@ class Tree:
             ors, few = kids[0][2] | kids[1][2], min(kids[0][5], kids[1][5])
         return first, last, ors, self.leaves[first][2], self.leaves[last - 1][2], few, kids
 
+    def columns(self) -> tuple[np.ndarray, ...]:
+        """Of the leaves: size, bits set, bitmap in words, cuts reached, rare shingles below each cut (0 for those not reached)."""
+        if self._columns is None:
+            words = max(1, -(-max(leaf[3].bit_length() for leaf in self.leaves) // 64))
+            bits = np.frombuffer(b"".join(leaf[3].to_bytes(8 * words, "little") for leaf in self.leaves), "<u8").reshape(-1, words)
+            below = np.zeros((len(self.leaves), CUTS + 1), np.int64)
+            for row, found in zip(below, self.below, strict=True):
+                row[:len(found)] = found
+            self._columns = (np.array([leaf[2] for leaf in self.leaves], np.int64), np.array([leaf[4] for leaf in self.leaves], np.int64),
+                             bits, np.array([len(found) - 1 for found in self.below]), below)
+        return self._columns
+
+
+def possible_leaves(one: Tree, two: Tree, x: tuple, y: tuple, num: int, den: int, whole: bool) -> Iterator[tuple[int, int]]:
+    """Places (k, m) of the leaves under nodes x and y of the trees that may be linked; of one node, those with k < m."""
+    (sx, cx, bx, rx, tx), (sy, cy, by, ry, ty) = ([c[node[0]:node[1]] for c in tree.columns()] for tree, node in ((one, x), (two, y)))
+    a, b = np.nonzero(den * np.minimum(sx[:, None], sy[None, :]) >= num * np.maximum(sx[:, None], sy[None, :]))
+    if one is two and x is y:
+        a, b = a[a < b], b[a < b]
+    words = min(bx.shape[1], by.shape[1])  # what is beyond is not set in one of them
+    shared = np.zeros(len(a), np.int64)
+    for w in range(words):
+        shared += np.bitwise_count(bx[a, w] & by[b, w])
+    sa, sb = sx[a], sy[b]
+    if whole:
+        room = np.minimum((sx - cx)[a], (sy - cy)[b])
+    else:
+        spare = [s + (-s * num // den) + 1 - c for s, c in ((sx, cx), (sy, cy))]
+        cut = np.minimum(rx[a], ry[b])
+        outside = np.minimum(-(-np.maximum(sa, sb) * num // den) - 1, np.minimum(sa - tx[a, cut], sb - ty[b, cut]))
+        room = np.minimum(spare[0][a], spare[1][b]) + outside
+    fits = (num + den) * (shared + room) >= num * (sa + sb)
+    yield from zip((a[fits] + x[0]).tolist(), (b[fits] + y[0]).tolist(), strict=True)
+
 
 def tree_pairs(one: Tree, two: Tree, num: int, den: int, whole: bool = False, apart: Callable[[int, int], bool] = operator.ne) -> Iterator[tuple[int, int]]:
     """Pairs (a, b), a < b, that may be linked and whose components are apart, by a dual traversal of both trees.
 
-    Overlap beyond the prefixes is at most what the larger set keeps there; overlap inside is at most
-    the bits in common plus the prefix shingles that fell on a bit already set. Bitmaps of ``whole`` sets
+    Overlap beyond the prefixes is bounded as in least_shared; overlap inside is at most
+    the bits in common plus the prefix shingles of either set that fell on a bit already set. Bitmaps of ``whole`` sets
     leave nothing beyond, and the shingles of a set that fell on a set bit are its size less its bits.
     """
 
@@ -273,15 +359,24 @@ def tree_pairs(one: Tree, two: Tree, num: int, den: int, whole: bool = False, ap
         shared = (x[2] & y[2]).bit_count()
         if whole:
             return (num + den) * (shared + min(x[4] - x[5], y[4] - y[5])) >= num * (x[3] + y[3])
-        rest = 0  # greatest prefix size - bits: shingles that fell on a set bit
-        for node in (x, y):
-            largest = node[4]
-            rest = max(rest, largest - need_overlap(largest, num, den) + 1 - node[5])
+        # greatest prefix size - bits: shingles that fell on a set bit
+        rest = min(node[4] - need_overlap(node[4], num, den) + 1 - node[5] for node in (x, y))
         outside = need_overlap(max(x[4], y[4]), num, den) - 1
         return (num + den) * (shared + rest + outside) >= num * (x[3] + y[3])
 
-    def as_node(leaf: tuple) -> tuple:
-        return 0, 1, leaf[3], leaf[2], leaf[2], leaf[4], ()
+    def leaf_pairs(x: tuple, y: tuple) -> Iterator[tuple[int, int]]:
+        if (x[1] - x[0]) * (y[1] - y[0]) >= BLOCK_PAIRS:
+            yield from possible_leaves(one, two, x, y, num, den, whole)
+            return
+        for k in range(x[0], x[1]):
+            a = one.leaves[k]
+            for m in range(max(y[0], k + 1) if same else y[0], y[1]):
+                b = two.leaves[m]
+                if possible((0, 1, a[3], a[2], a[2], a[4]), (0, 1, b[3], b[2], b[2], b[4])):
+                    least = 0 if whole else least_shared(a[2], b[2], one.below[k], two.below[m], num, den)
+                    spare = min(leaf[2] - need_overlap(leaf[2], num, den) + 1 - leaf[4] for leaf in (a, b))
+                    if whole or (a[3] & b[3]).bit_count() + spare >= least:
+                        yield k, m
 
     same = one is two
     todo = [(one.root, two.root)]
@@ -290,12 +385,10 @@ def tree_pairs(one: Tree, two: Tree, num: int, den: int, whole: bool = False, ap
         if not possible(x, y):
             continue
         if not x[6] and not y[6]:
-            for k in range(x[0], x[1]):
-                a = one.leaves[k]
-                for m in range(max(y[0], k + 1) if same else y[0], y[1]):
-                    b = two.leaves[m]
-                    if apart(a[1], b[1]) and possible(as_node(a), as_node(b)):
-                        yield (a[0], b[0]) if a[0] < b[0] else (b[0], a[0])
+            for k, m in leaf_pairs(x, y):
+                a, b = one.leaves[k], two.leaves[m]
+                if apart(a[1], b[1]):
+                    yield (a[0], b[0]) if a[0] < b[0] else (b[0], a[0])
         elif same and x is y:
             todo += [(x[6][0], x[6][0]), (x[6][0], x[6][1]), (x[6][1], x[6][1])]
         elif x[6] and (not y[6] or x[1] - x[0] >= y[1] - y[0]):
@@ -363,60 +456,85 @@ def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
 
+def lead_pairs(members: list[tuple], num: int, den: int, most: int) -> Counter:
+    """Pairs (a, b) of members (rep, comp, size, bits, below, tokens) that may be linked, with the tokens they share; a few more than ``most`` at most.
+
+    A tree is a token, or all members where these have fewer pairs than all tokens together. Bitmaps are of several
+    sizes: members of one size are a tree, and the larger ones near them in size meet it folded.
+    """
+    trees: dict[int, list[tuple]] = {}
+    for member in members:
+        for token in member[5]:
+            trees.setdefault(token, []).append(member)
+    met, groups, held = Counter(), list(trees.values()), None
+    if len(members) * (len(members) - 1) <= sum(len(g) * (len(g) - 1) for g in groups):
+        groups, held = [members], {m[0]: set(m[5]) for m in members}
+    for group in groups:
+        for one, two in _sized_trees(group, num, den) if len(group) > 1 else ():
+            for a, b in tree_pairs(one, two, num, den):
+                if shared := len(held[a] & held[b]) if held else 1:
+                    met[a, b] += shared
+                    if len(met) > most:
+                        return met
+    return met
+
+
+def _sized_trees(group: list[tuple], num: int, den: int) -> Iterator[tuple[Tree, Tree]]:
+    """Pairs of trees in which all pairs of the group that are near in size meet once, with bitmaps of one size."""
+    sides: dict[int, list[tuple]] = {}
+    for member in group:
+        sides.setdefault(len(member[3]), []).append(member)
+    make = lambda side, width: Tree([m[0] for m in side], [m[1] for m in side], [m[2] for m in side], [folded(m[3], width) for m in side], [m[4] for m in side])
+    for width, side in sides.items():
+        one, largest = make(side, width), max(m[2] for m in side)
+        yield one, one
+        if over := [m for other, found in sides.items() if other > width for m in found if den * largest >= num * m[2]]:
+            yield one, make(over, width)
+
+
 def _tree_join(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b, n) of rows (token, lead, rep, comp, size, bits), n being the trees they met in.
+    """Candidate pairs (a, b, n, least) of rows (lead, rep, comp, size, tokens, bits, steps), n being the tokens they share.
 
-    A tree is a token. Trees of one lead, the least document in them, hold much the same documents and meet in one task,
+    Tokens of one lead, the least document that has them, are in much the same documents and meet in one task,
     where their pairs are counted before they are sent on. A lead with more than PAIRS_A_MEMBER pairs for
-    each of its documents sends none of them but itself: a row with a null b.
+    each of its documents sends none of them but itself: a row with a null b. ``least`` is the n of linked documents.
     """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, token, group, met, members = None, None, [], Counter(), set()
+        lead, members = None, []
         out: list[tuple] = []
 
-        def room() -> int:
-            return PAIRS_A_MEMBER * len(members)
-
-        def count_tree() -> None:
-            members.update(r[0] for r in group)
-            limit = max(room(), MOST_PAIRS)  # more documents may follow
-            if len(group) > 1 and len(met) <= limit:
-                tree = Tree(*(list(c) for c in zip(*group, strict=True)))
-                for pair in tree_pairs(tree, tree, num, den):
-                    met[pair] += 1
-                    if len(met) > limit:
-                        return
-
         def close_lead() -> None:
-            count_tree()
-            out.extend([(lead, None, 0)] if len(met) > room() else ((a, b, n) for (a, b), n in met.items()))
+            room = PAIRS_A_MEMBER * len(members)
+            met = lead_pairs(members, num, den, max(room, MOST_PAIRS))
+            if len(met) > room:
+                out.append((lead, None, 0, 0))
+                return
+            of = {m[0]: m for m in members}
+            out.extend((a, b, n, least_shared(of[a][2], of[b][2], of[a][4], of[b][4], num, den)) for (a, b), n in met.items())
 
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(6)]
-            for of, tree_of, rep, comp, size, bits in zip(*columns, strict=True):
-                if of != lead:
-                    if lead is not None:
+            columns = [batch.column(k).to_pylist() for k in range(7)]
+            for now, rep, comp, size, tokens, bits, steps in zip(*columns, strict=True):
+                if now != lead:
+                    if len(members) > 1:
                         close_lead()
-                    lead, token, group, met, members = of, tree_of, [], Counter(), set()
-                elif tree_of != token:
-                    count_tree()
-                    token, group = tree_of, []
-                group.append((rep, comp, size, int.from_bytes(bits, "big")))
+                    lead, members = now, []
+                members.append((rep, comp, size, bits, steps_below(steps), tokens))
                 if len(out) > HELD_PAIRS:
                     yield _counted(out)
                     out.clear()
-        if lead is not None:
+        if len(members) > 1:
             close_lead()
         yield _counted(out)
 
-    dealt = rows.repartition("lead").sortWithinPartitions("lead", "token")
-    return dealt.select("lead", "token", "rep", "comp", "size", "bits").mapInArrow(join, "a long, b long, n long")
+    dealt = rows.repartition("lead").sortWithinPartitions("lead")
+    return dealt.select("lead", "rep", "comp", "size", "tokens", "bits", "steps").mapInArrow(join, "a long, b long, n long, least long")
 
 
 def _counted(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else ([], [], [])
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
+    columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n", "least"])
 
 
 def jaccard_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, block: int = DENSE_BLOCK) -> DataFrame:
@@ -448,7 +566,7 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
     # most tokens are in one document only: they are shuffled once, and go where they are counted
     tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("rep"), "size")
     shared, shared_at = staged_at(tokens.withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1"), "shared")
-    leaves = staged(prefixes.select("doc_id", "size", "bits"), "leaves")
+    leaves = staged(prefixes.select(F.col("doc_id").alias("rep"), "bits", "steps"), "leaves")
     discard(spark, prefixes_at)
     links, open_rows = None, shared.withColumn("comp", F.col("rep"))
     for _ in range(HUB_ROUNDS):
@@ -461,14 +579,12 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, block: int) -> DataFram
     # trees too large for a task, if there are any
     large = staged(open_rows.where(F.col("n") > DENSE).select("lead").distinct(), "large")
     sparse = open_rows if large.isEmpty() else open_rows.join(large, "lead", "left_anti")
-    met = staged(_tree_join(sparse.join(leaves.select(F.col("doc_id").alias("rep"), "bits"), "rep"), num, den), "met")
+    # a document and its bitmap are sent to a lead once, with all their tokens there
+    members = sparse.repartition("rep").groupBy("rep", "lead").agg(F.first("comp").alias("comp"), F.first("size").alias("size"), F.collect_list("token").alias("tokens"))
+    met = staged(_tree_join(members.join(leaves, "rep"), num, den), "met")
     dense = staged(large.unionAll(met.where("b is null").select("a")), "dense")
-    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    sizes = leaves.select("doc_id", "size")
-    pairs = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("size").alias("sa")), "a").join(
-        sizes.select(F.col("doc_id").alias("b"), F.col("size").alias("sb")), "b")
-    outside = beyond_prefix(F.greatest("sa", "sb"), num, den)
-    pairs = pairs.where((F.col("n") + outside) * (num + den) >= (F.col("sa") + F.col("sb")) * num).select("a", "b")
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("least").alias("least"))
+    pairs = pairs.where("n >= least").select("a", "b")
     links = links.unionAll(_verified(pairs, docs, n, num, den))
     if not dense.isEmpty():
         members = open_rows.join(dense, "lead", "left_semi").groupBy("lead", "rep").agg(F.first("comp").alias("comp"), F.first("size").alias("size"))

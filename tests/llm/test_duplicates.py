@@ -98,6 +98,52 @@ def test_jaccard_edges(spark):
     assert got == sorted([(None, 2, None), (None, 1, 9), (None, 2, None), (9, 2, 9), (9, 1, 9), (9, 1, 9)], key=str)
 
 
+def test_documents_alike_by_chance_send_no_pairs(spark, monkeypatch):
+    rng, rows = random.Random(3), []
+    for k in range(240):
+        rows.append((k, " ".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(150, 185)))))
+    rows += [(240 + k, t[:-2] + " z") for k, (_, t) in enumerate(rows[:40])]
+    sent, plain = {}, sigtree.staged
+
+    def kept(df, name):
+        sent.setdefault(name, []).append((out := plain(df, name)).count())
+        return out
+
+    monkeypatch.setattr(sigtree, "staged", kept)
+    got = {r["doc_id"]: r["component_id"] for r in sigtree.jaccard_groups(spark.createDataFrame(rows, DDL), 3).collect()}
+    assert [got[k] for k in range(len(rows))] == linked_documents(rows, 3, 85, 100)[1]
+    assert got[240] == 0 and sent["dense"] == [0] and sent["met"][0] <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("num, den", [(85, 100), (80, 100), (1, 2)])
+def test_bounds_of_a_lead_never_lose_a_pair(num, den, monkeypatch):
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2)
+    common, sets = np.sort(words[:300]), []
+    for size in (3, 8, 30, 100, 400, 900, 1800, 6000):
+        of = rng.choice(words[:max(500, 2 * size)], size, replace=False)
+        for part in (0, 0.02, 0.05, 0.08, 0.15, 0.3):
+            sets.append(np.unique(np.concatenate([of[rng.random(size) >= part], rng.choice(words, int(rng.integers(0, size // 10 + 2)))])))
+    members = []
+    for k, held in enumerate(sets):
+        prefix, steps = sigtree.prefix_and_steps(held, common, num, den)
+        members.append((k, k, len(held), sigtree.bitmap(prefix, sigtree.bits_for(len(prefix))), sigtree.steps_below(steps), prefix.tolist()))
+    found = []
+    for pairs in (1, 32, 1 << 40):
+        monkeypatch.setattr(sigtree, "BLOCK_PAIRS", pairs)
+        found.append(sigtree.lead_pairs(members, num, den, 1 << 40))
+    assert found[0] == found[1] == found[2]
+    linked = 0
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            same = len(np.intersect1d(sets[a], sets[b]))
+            if den * same >= num * (len(sets[a]) + len(sets[b]) - same):
+                linked += 1
+                (_, _, x, _, below_x, px), (_, _, y, _, below_y, py) = members[a], members[b]
+                assert found[0][a, b] == len(set(px) & set(py)) >= sigtree.least_shared(x, y, below_x, below_y, num, den)
+    assert linked > 8
+
+
 def test_tree_bound_never_loses_a_pair():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 2**63, rng.integers(5, 90)).astype(np.uint64)) for _ in range(30)]
